@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskframe.functions import sql
 from riskframe.functions.scalars import nan_to_null
 
 
@@ -46,6 +46,13 @@ def nans_to_nulls(df: DataFrame) -> DataFrame:
     return df.withColumns({c: nan_to_null(c) for c in floats}) if floats else df
 
 
+def replace_columns(df: DataFrame, changed: Mapping[str, str]) -> DataFrame:
+    """Each column in its place, those in ``changed`` from their SQL; new ones at the end."""
+    kept = [f"{changed[c]} as {sql.name(c)}" if c in changed else sql.name(c) for c in df.columns]
+    new = [f"{e} as {sql.name(c)}" for c, e in changed.items() if c not in df.columns]
+    return df.selectExpr(*kept, *new)
+
+
 def melt(
     df: DataFrame,
     columns: Sequence[str],
@@ -55,5 +62,8 @@ def melt(
     as_type: str = "double",
 ) -> DataFrame:
     """One row per (row, column), all values cast to one type."""
-    typed = df.select(*keys, *[F.col(c).cast(as_type).alias(c) for c in columns])
+    typed = df.selectExpr(
+        *[sql.name(k) for k in keys],
+        *[f"cast({sql.name(c)} as {as_type}) as {sql.name(c)}" for c in columns],
+    )
     return typed.unpivot(list(keys), list(columns), name, value)

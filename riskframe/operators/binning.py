@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from riskframe.functions import sql
+from riskframe.functions.columns import replace_columns
 from riskframe.operators.quantiles import quantiles
 
 WIDEN = 0.001
@@ -42,13 +43,14 @@ def _uniform(low: float, high: float, bins: int) -> list[float]:
 
 def uniform_edges(df: DataFrame, columns: Sequence[str], bins: int = 10) -> dict[str, list[float]]:
     """Edges at equal distances, the lowest moved down a little so the minimum is inside."""
-    wanted = []
-    for c in columns:
-        value = F.col(c).cast("double")
-        wanted += [F.min(value).alias(f"{c}|lo"), F.max(value).alias(f"{c}|hi")]
-    row = df.agg(*wanted).first()
+    row = df.selectExpr(
+        *[
+            f"struct(min({v}) as lo, max({v}) as hi) as {sql.name(c)}"
+            for c, v in ((c, sql.as_double(c)) for c in columns)
+        ]
+    ).first()
     return {
-        c: _uniform(row[f"{c}|lo"], row[f"{c}|hi"], bins) if row[f"{c}|lo"] is not None else []
+        c: _uniform(row[c]["lo"], row[c]["hi"], bins) if row[c]["lo"] is not None else []
         for c in columns
     }
 
@@ -67,25 +69,26 @@ def fit_edges(
     raise ValueError(f"strategy must be 'quantile' or 'uniform', not {strategy!r}")
 
 
-def choose_by_bin(c: Column | str, edges: Sequence[float], results: Sequence, missing) -> Column:
-    """``results[i]`` for a value in bin i + 1, ``missing`` for none of the bins."""
-    c = (F.col(c) if isinstance(c, str) else c).cast("double")
+def choose_by_bin(column: str, edges: Sequence[float], results: Sequence, missing) -> str:
+    """SQL: ``results[i]`` for a value in bin i + 1, ``missing`` for none of the bins."""
     if len(edges) < 2:
-        return F.lit(missing)
-    chosen = F.when(c.isNull() | F.isnan(c) | (c < F.lit(edges[0])), F.lit(missing))
-    for edge, result in zip(edges[1:], results):
-        chosen = chosen.when(c <= F.lit(edge), F.lit(result))
-    return chosen.otherwise(F.lit(missing))
+        return sql.literal(missing)
+    value, otherwise = sql.as_double(column), sql.literal(missing)
+    chosen = [f"when {value} < {sql.number(edges[0])} then {otherwise}"]
+    chosen += [
+        f"when {value} <= {sql.number(edge)} then {sql.literal(result)}"
+        for edge, result in zip(edges[1:], results)
+    ]
+    return f"case {' '.join(chosen)} else {otherwise} end"
 
 
-def bin_number(c: Column | str, edges: Sequence[float]) -> Column:
-    """1, 2, ... for the bin that holds the value; null outside the edges."""
-    numbers = range(1, len(edges))
-    return choose_by_bin(c, edges, list(numbers), None).cast("bigint")
+def bin_number(column: str, edges: Sequence[float]) -> str:
+    """SQL: 1, 2, ... for the bin that holds the value; null outside the edges."""
+    return f"cast({choose_by_bin(column, edges, range(1, len(edges)), None)} as bigint)"
 
 
 def assign_bins(df: DataFrame, edges: Mapping[str, Sequence[float]]) -> DataFrame:
-    return df.withColumns({c: bin_number(c, e) for c, e in edges.items()})
+    return replace_columns(df, {c: bin_number(c, e) for c, e in edges.items()})
 
 
 def edge_table(spark: SparkSession, edges: Mapping[str, Sequence[float]]) -> DataFrame:

@@ -26,10 +26,10 @@ def _ranges(df: DataFrame, columns: Sequence[str]) -> DataFrame:
         df,
         columns,
         {
-            "n": lambda c: F.count(c),
-            "lo": lambda c: F.min(F.col(c).cast("double")),
-            "hi": lambda c: F.max(F.col(c).cast("double")),
-            "sd": lambda c: F.stddev_samp(c),
+            "n": lambda c: f"count({c})",
+            "lo": lambda c: f"min(cast({c} as double))",
+            "hi": lambda c: f"max(cast({c} as double))",
+            "sd": lambda c: f"stddev_samp({c})",
         },
     ).withColumnRenamed("column", "feature")
 
@@ -40,38 +40,36 @@ def histogram(df: DataFrame, columns: Sequence[str] | None = None, bins: int = B
     A column of one value gets the range of half a unit to either side.
     """
     columns = list(columns or numeric_columns(df))
-    constant = F.col("lo") == F.col("hi")
     ranges = (
         _ranges(df, columns)
-        .filter(F.col("n") > 0)
-        .select(
-            "feature",
-            F.when(constant, F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-            F.when(constant, F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
+        .filter("n > 0")
+        .selectExpr(
+            "feature", "if(lo = hi, lo - 0.5D, lo) as lo", "if(lo = hi, hi + 0.5D, hi) as hi"
         )
     )
-    position = (F.col("value") - F.col("lo")) / (F.col("hi") - F.col("lo")) * F.lit(bins)
+    # One row per column and one per bin: both small whatever the table.
     counted = (
         melt(df, columns)
-        .filter(F.col("value").isNotNull())
+        .filter("value is not null")
         .join(F.broadcast(ranges), "feature")
-        .select("feature", F.least(F.floor(position), F.lit(bins - 1)).alias("bin"))
+        .selectExpr(
+            "feature", f"least(floor((value - lo) / (hi - lo) * {bins}), {bins - 1}L) as bin"
+        )
         .groupBy("feature", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    width = (F.col("hi") - F.col("lo")) / F.lit(bins)
-    frame = ranges.select(
+    frame = ranges.selectExpr(
         "feature",
         "lo",
-        width.alias("width"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(bins - 1).cast("bigint"))).alias("bin"),
+        f"(hi - lo) / {bins} as width",
+        f"explode(sequence(0L, {bins - 1}L)) as bin",
     )
-    return frame.join(F.broadcast(counted), ["feature", "bin"], "left").select(
+    return frame.join(F.broadcast(counted), ["feature", "bin"], "left").selectExpr(
         "feature",
         "bin",
-        (F.col("lo") + F.col("bin") * F.col("width")).alias("bin_start"),
-        (F.col("lo") + (F.col("bin") + 1) * F.col("width")).alias("bin_end"),
-        F.coalesce("n", F.lit(0)).alias("n"),
+        "lo + bin * width as bin_start",
+        "lo + (bin + 1) * width as bin_end",
+        "coalesce(n, 0L) as n",
     )
 
 
@@ -92,44 +90,41 @@ def kde(
     columns = list(columns or numeric_columns(df))
     ranges = (
         _ranges(df, columns)
-        .filter(F.col("sd") > 0)
-        .select(
+        .filter("sd > 0")
+        .selectExpr(
             "feature",
             "n",
             "lo",
             "hi",
-            ((F.col("hi") - F.col("lo")) / F.lit(grid - 1)).alias("step"),
-            (F.pow(F.col("n").cast("double"), F.lit(-0.2)) * F.col("sd")).alias("bandwidth"),
+            f"(hi - lo) / {grid - 1} as step",
+            "power(n, -0.2D) * sd as bandwidth",
         )
     )
-    at = F.col("lo") + F.col("point") * F.col("step")
-    distance = F.lit(reach) * F.col("bandwidth")
-    first = F.ceil((F.col("value") - distance - F.col("lo")) / F.col("step"))
-    last = F.floor((F.col("value") + distance - F.col("lo")) / F.col("step"))
-    kernel = F.exp(-0.5 * F.pow((at - F.col("value")) / F.col("bandwidth"), F.lit(2.0)))
+    first = f"greatest(ceil((value - {reach}D * bandwidth - lo) / step), 0L)"
+    last = f"least(floor((value + {reach}D * bandwidth - lo) / step), {grid - 1}L)"
+    # One row per column and one per grid point: both small whatever the table.
     sums = (
         melt(df, columns)
-        .filter(F.col("value").isNotNull())
+        .filter("value is not null")
         .join(F.broadcast(ranges.drop("n", "hi")), "feature")
-        .withColumn("_first", F.greatest(first, F.lit(0)))
-        .withColumn("_last", F.least(last, F.lit(grid - 1)))
-        .filter(F.col("_first") <= F.col("_last"))
-        .withColumn("point", F.explode(F.sequence("_first", "_last")))
+        .selectExpr("*", f"{first} as first", f"{last} as last")
+        .filter("first <= last")
+        .selectExpr("*", "explode(sequence(first, last)) as point")
+        .selectExpr("feature", "point", "(lo + point * step - value) / bandwidth as u")
         .groupBy("feature", "point")
-        .agg(F.sum(kernel).alias("_sum"))
+        .agg(F.expr("sum(exp(-0.5D * u * u)) as total"))
     )
-    points = F.sequence(F.lit(0).cast("bigint"), F.lit(grid - 1).cast("bigint"))
-    frame = ranges.withColumn("point", F.explode(points))
-    norm = F.col("n") * F.col("bandwidth") * F.sqrt(F.lit(2.0) * F.pi())
-    bin_width = (F.col("hi") - F.col("lo")) / F.lit(bins)
+    frame = ranges.selectExpr("*", f"explode(sequence(0L, {grid - 1}L)) as point")
     return (
         frame.join(F.broadcast(sums), ["feature", "point"], "left")
-        .withColumn("density", F.coalesce("_sum", F.lit(0.0)) / norm)
-        .select(
+        .selectExpr(
+            "*", "coalesce(total, 0D) / (n * bandwidth * sqrt(2D * pi())) as density"
+        )
+        .selectExpr(
             "feature",
             "point",
-            at.alias("x"),
+            "lo + point * step as x",
             "density",
-            (F.col("density") * F.col("n") * bin_width).alias("curve"),
+            f"density * n * (hi - lo) / {bins} as curve",
         )
     )

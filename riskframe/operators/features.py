@@ -14,13 +14,13 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalars as S
+from riskframe.functions import sql
 from riskframe.functions.columns import require_columns
 from riskframe.schema import (
     AMOUNT,
     CUSTOMER_ID,
     FEATURES,
     LAST_TIME_FEATURES,
-    RFM,
     START_TIME,
     TIME_PARTS,
 )
@@ -61,30 +61,40 @@ def drop_undated(
 
 
 def _feature_aggregates(
-    timestamp_col: str, exact_distinct: bool, only: Column | None = None
+    timestamp_col: str, exact_distinct: bool, only_dated: bool = False
 ) -> list[Column]:
-    """The feature columns but for the time parts; ``only`` restricts the rows that count."""
-
-    def rows(name: str) -> Column:
-        return F.col(name) if only is None else F.when(only, F.col(name))
-
-    distinct = F.count_distinct if exact_distinct else F.approx_count_distinct
-    return [
-        F.coalesce(F.sum(rows(AMOUNT)), F.lit(0.0)).alias("total_transaction_amount"),
-        F.avg(rows(AMOUNT)).alias("average_transaction_amount"),
-        F.coalesce(F.stddev_samp(rows(AMOUNT)), F.lit(0.0)).alias("std_transaction_amount"),
-        F.count(rows("TransactionId")).alias("transaction_count"),
-        F.avg(rows("PricingStrategy")).alias("average_pricing_strategy"),
-        distinct(rows("ProductCategory")).alias("distinct_product_categories"),
-        F.max(timestamp_col).alias("_last"),
-    ]
-
-
-def _time_parts(last: str = "_last") -> dict[str, Column]:
-    parts = {"hour": S.hour, "day": S.day, "month": S.month, "year": S.year}
-    return {
-        name: S.fill(parts[part](last), 0) for name, part in zip(LAST_TIME_FEATURES, TIME_PARTS)
+    """The feature columns but for the time parts, over all rows or over the dated ones."""
+
+    def rows(column: str) -> str:
+        return f"if({sql.name(timestamp_col)} is null, null, {column})" if only_dated else column
+
+    category = rows("ProductCategory")
+    distinct = f"count(distinct {category})"
+    if not exact_distinct:
+        distinct = f"approx_count_distinct({category})"
+    made = {
+        "total_transaction_amount": f"coalesce(sum({rows(AMOUNT)}), 0D)",
+        "average_transaction_amount": f"avg({rows(AMOUNT)})",
+        "std_transaction_amount": f"coalesce(stddev_samp({rows(AMOUNT)}), 0D)",
+        "transaction_count": f"count({rows('TransactionId')})",
+        "average_pricing_strategy": f"avg({rows('PricingStrategy')})",
+        "distinct_product_categories": distinct,
+        "_last": f"max({sql.name(timestamp_col)})",
     }
+    return [F.expr(e).alias(c) for c, e in made.items()]
+
+
+# Spark's name of each part of a time.
+_PART = {"hour": "hour", "day": "dayofmonth", "month": "month", "year": "year"}
+
+
+def _feature_columns() -> list[str]:
+    """The features in order, the time parts taken from the latest time."""
+    parts = {
+        name: f"cast(coalesce({_PART[part]}(_last), 0) as bigint) as {name}"
+        for name, part in zip(LAST_TIME_FEATURES, TIME_PARTS)
+    }
+    return [parts.get(c, c) for c in FEATURES]
 
 
 def customer_features(
@@ -115,7 +125,7 @@ def customer_features(
         dated.filter(F.col(customer_id_col).isNotNull()).groupBy(*group).agg(*aggregates)
     )
     target = ["Target"] if target_col is not None else []
-    return grouped.withColumns(_time_parts()).select(*group, *FEATURES, *target)
+    return grouped.selectExpr(*map(sql.name, group), *_feature_columns(), *target)
 
 
 def customer_target_max(
@@ -130,12 +140,11 @@ def customer_target_max(
     )
 
 
-def _with_recency(summary: DataFrame, latest: DataFrame, last: str = "_last") -> DataFrame:
-    """Recency against the day after the latest time of all; ``latest`` is one row."""
-    return (
-        summary.crossJoin(F.broadcast(latest))
-        .withColumn("Recency", S.elapsed_days(last, S.plus_one_day("_latest")))
-        .drop("_latest")
+def _with_recency(summary: DataFrame, latest: DataFrame, *columns: str) -> DataFrame:
+    """Adds recency against the day after the latest time of all; ``latest`` is one row."""
+    recency = "timestampdiff(DAY, _last, _latest + INTERVAL 1 DAY) as Recency"
+    return summary.crossJoin(F.broadcast(latest)).selectExpr(
+        *columns, recency, "Frequency", "Monetary"
     )
 
 
@@ -163,7 +172,7 @@ def rfm(
             F.coalesce(F.sum(amount_col), F.lit(0.0)).alias("Monetary"),
         )
     )
-    return _with_recency(summary, latest).select(customer_id_col, *RFM)
+    return _with_recency(summary, latest, sql.name(customer_id_col))
 
 
 def features_and_rfm(
@@ -185,23 +194,22 @@ def features_and_rfm(
         dated.filter(F.col(customer_id_col).isNotNull())
         .groupBy(customer_id_col)
         .agg(
-            *_feature_aggregates(timestamp_col, exact_distinct, F.col(timestamp_col).isNotNull()),
+            *_feature_aggregates(timestamp_col, exact_distinct, only_dated=True),
             F.count(F.lit(1)).alias("Frequency"),
             F.coalesce(F.sum(AMOUNT), F.lit(0.0)).alias("Monetary"),
         )
         .filter(F.col("_last").isNotNull())
-        .withColumns(_time_parts())
     )
-    return _with_recency(summary, latest).select(customer_id_col, *FEATURES, *RFM)
+    return _with_recency(summary, latest, sql.name(customer_id_col), *_feature_columns())
 
 
 def first_per_customer(
     df: DataFrame, customer_id_col: str = CUSTOMER_ID, timestamp_col: str = START_TIME
 ) -> DataFrame:
     """The earliest non-missing value of each column per customer; equal times go by TransactionId."""
-    order = F.struct(timestamp_col, "TransactionId")
-    rest = [c for c in df.columns if c != customer_id_col]
-    aggregates = [F.min_by(c, F.when(F.col(c).isNotNull(), order)).alias(c) for c in rest]
+    order = f"struct({sql.name(timestamp_col)}, TransactionId)"
+    rest = [sql.name(c) for c in df.columns if c != customer_id_col]
+    aggregates = [F.expr(f"min_by({c}, if({c} is null, null, {order})) as {c}") for c in rest]
     return (
         df.filter(F.col(customer_id_col).isNotNull())
         .groupBy(customer_id_col)

@@ -10,6 +10,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions import sql
+from riskframe.functions.columns import replace_columns
 from riskframe.functions.scalars import flag_equal
 from riskframe.operators.features import rfm
 from riskframe.operators.scale import PopulationScaler
@@ -21,7 +23,7 @@ SCALED = tuple(f"scaled_{c}" for c in RFM)
 
 def scaled_rfm(table: DataFrame) -> DataFrame:
     """RFM with the three standardized columns beside the plain ones."""
-    copies = table.withColumns({s: F.col(c) for s, c in zip(SCALED, RFM)})
+    copies = replace_columns(table, dict(zip(SCALED, RFM)))
     return PopulationScaler(inputCols=list(SCALED)).fit(copies).transform(copies)
 
 
@@ -29,9 +31,9 @@ def assign_cluster(df: DataFrame, centroids: Mapping[int, Sequence[float]]) -> D
     """The nearest of the given centroids; equally near ones go to the lower id."""
     choices = []
     for cluster, centre in sorted(centroids.items()):
-        squared = sum((F.col(s) - F.lit(float(x))) ** 2 for s, x in zip(SCALED, centre))
-        choices.append(F.struct(squared.alias("d"), F.lit(cluster).alias("Cluster")))
-    return df.withColumn("Cluster", F.least(*choices)["Cluster"])
+        squared = " + ".join(f"power({s} - {sql.number(x)}, 2)" for s, x in zip(SCALED, centre))
+        choices.append(f"struct({squared} as d, {cluster} as id)")
+    return df.selectExpr("*", f"least({', '.join(choices)}).id as Cluster")
 
 
 def cluster_profile(df: DataFrame) -> DataFrame:
@@ -50,17 +52,16 @@ def high_risk_cluster(profile: DataFrame) -> DataFrame:
     return (
         profile.orderBy(F.desc("avg_recency"), "avg_frequency", "avg_monetary", "Cluster")
         .limit(1)
-        .select(F.col("Cluster").alias("_risky"))
+        .select("Cluster")
     )
 
 
 def flag_high_risk(clustered: DataFrame) -> DataFrame:
-    risky = high_risk_cluster(cluster_profile(clustered))
-    return (
-        clustered.crossJoin(F.broadcast(risky))
-        .withColumn(LABEL, flag_equal("Cluster", "_risky"))
-        .drop("_risky")
-    )
+    """Adds the 0/1 label; the riskiest cluster is found first and is one number."""
+    risky = high_risk_cluster(cluster_profile(clustered)).first()
+    if risky is None:
+        return clustered.withColumn(LABEL, F.lit(None).cast("int"))
+    return clustered.withColumn(LABEL, flag_equal("Cluster", F.lit(risky["Cluster"])))
 
 
 def fit_kmeans(scaled: DataFrame, n_clusters: int = 3, random_state: int = 42) -> PipelineModel:

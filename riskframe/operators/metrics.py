@@ -8,10 +8,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.functions.scalars import ratio
+from riskframe.functions import sql
 
 SCORE_BUCKETS = 256
 METRICS = ("accuracy", "precision", "recall", "f1")
@@ -19,9 +19,9 @@ METRICS = ("accuracy", "precision", "recall", "f1")
 
 def _score_bounds(df: DataFrame, score_col: str, buckets: int) -> list[float]:
     """Rough quantiles of the scores. They spread the work; no result depends on them."""
-    probabilities = [i / buckets for i in range(1, buckets)]
-    row = df.agg(F.percentile_approx(score_col, probabilities, 10 * buckets).alias("q")).first()
-    return sorted(set(row["q"] or [0.0]))
+    probabilities = ", ".join(sql.number(i / buckets) for i in range(1, buckets))
+    found = f"percentile_approx({sql.name(score_col)}, array({probabilities}), {10 * buckets})"
+    return sorted(set(df.selectExpr(found).first()[0] or [0.0]))
 
 
 def roc_auc(
@@ -37,62 +37,54 @@ def roc_auc(
     row. The order statistics then come in two levels: inside buckets of the score,
     and over the totals of the buckets, of which there are at most ``buckets``.
     """
-    keys = list(by)
-    df = df.filter(F.col(label_col).isNotNull() & F.col(score_col).isNotNull()).withColumn(
-        score_col, F.col(score_col).cast("double")
+    keys = [sql.name(k) for k in by]
+    grouping = ", ".join(keys)
+    label, score = sql.name(label_col), sql.as_double(score_col)
+    known = df.filter(f"{label} is not null and {score} is not null").selectExpr(
+        *keys, f"{label} as _label", f"{score} as _score"
+    )
+    splits = [float("-inf"), *_score_bounds(known, "_score", buckets), float("inf")]
+    distinct = known.groupBy(*by, "_score").agg(
+        F.expr("count_if(_label = 1) as pos"), F.expr("count_if(_label = 0) as neg")
     )
-    splits = [float("-inf"), *_score_bounds(df, score_col, buckets), float("inf")]
-    positive = F.count_if(F.col(label_col) == 1).alias("pos")
-    negative = F.count_if(F.col(label_col) == 0).alias("neg")
-    distinct = df.groupBy(*keys, score_col).agg(positive, negative)
     bucketed = Bucketizer(
-        splits=splits, inputCol=score_col, outputCol="_bucket", handleInvalid="keep"
+        splits=splits, inputCol="_score", outputCol="_bucket", handleInvalid="keep"
     ).transform(distinct)
-    higher = (
-        Window.partitionBy(*keys, "_bucket")
-        .orderBy(F.desc(score_col))
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    above = F.coalesce(F.sum("pos").over(higher), F.lit(0))
+    partition = ", ".join([*keys, "_bucket"])
+    before = "rows between unbounded preceding and 1 preceding"
     totals = (
-        bucketed.withColumn("_pairs", F.col("neg") * (above + F.col("pos") * F.lit(0.5)))
-        .groupBy(*keys, "_bucket")
+        bucketed.selectExpr(
+            "*",
+            f"coalesce(sum(pos) over (partition by {partition} order by _score desc {before}), 0)"
+            " as above",
+        )
+        .groupBy(*by, "_bucket")
         .agg(
-            F.sum("_pairs").alias("_pairs"), F.sum("pos").alias("pos"), F.sum("neg").alias("neg")
+            F.expr("sum(neg * (above + pos * 0.5D)) as pairs"),
+            F.expr("sum(pos) as pos"),
+            F.expr("sum(neg) as neg"),
         )
     )
-    higher_buckets = (
-        Window.partitionBy(*keys)
-        .orderBy(F.desc("_bucket"))
-        .rowsBetween(Window.unboundedPreceding, -1)
+    over = f"(partition by {grouping} order by _bucket desc {before})" if keys else (
+        f"(order by _bucket desc {before})"
     )
-    beyond = F.coalesce(F.sum("pos").over(higher_buckets), F.lit(0))
-    wins = F.sum(F.col("_pairs") + F.col("neg") * F.col("_beyond"))
-    all_pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     return (
-        totals.withColumn("_beyond", beyond)
-        .groupBy(*keys)
-        .agg(F.try_divide(wins, all_pairs).alias("roc_auc"))
+        totals.selectExpr("*", f"coalesce(sum(pos) over {over}, 0) as beyond")
+        .groupBy(*by)
+        .agg(
+            F.expr(
+                "try_divide(sum(pairs + neg * cast(beyond as double)), "
+                "cast(sum(pos) as double) * sum(neg)) as roc_auc"
+            )
+        )
     )
 
 
-def _confusion(label_col: str, prediction_col: str) -> dict[str, Column]:
-    label, predicted = F.col(label_col), F.col(prediction_col)
-    return {
-        "tp": F.count_if((label == 1) & (predicted == 1)),
-        "fp": F.count_if((label == 0) & (predicted == 1)),
-        "fn": F.count_if((label == 1) & (predicted == 0)),
-        "tn": F.count_if((label == 0) & (predicted == 0)),
-    }
-
+def _or_zero(numerator: str, denominator: str) -> str:
+    return f"coalesce(try_divide(cast({numerator} as double), {denominator}), 0D)"
 
-def _or_zero(numerator: Column, denominator: Column) -> Column:
-    return F.coalesce(ratio(numerator.cast("double"), denominator), F.lit(0.0))
 
-
-def _f1(precision: str, recall: str) -> Column:
-    p, r = F.col(precision), F.col(recall)
-    return _or_zero(F.lit(2.0) * p * r, p + r)
+_F1 = _or_zero("2 * precision * recall", "precision + recall")
 
 
 def binary_metrics(
@@ -102,17 +94,20 @@ def binary_metrics(
     by: Sequence[str] = ("model",),
 ) -> DataFrame:
     """Accuracy, and precision, recall and F1 of class 1; 0 where undefined."""
+    label, predicted = sql.name(label_col), sql.name(prediction_col)
+    cells = {"tp": (1, 1), "fp": (0, 1), "fn": (1, 0), "tn": (0, 0)}
     counts = df.groupBy(*by).agg(
-        *[c.alias(n) for n, c in _confusion(label_col, prediction_col).items()]
-    )
-    tp, fp, fn, tn = (F.col(c) for c in ("tp", "fp", "fn", "tn"))
-    return (
-        counts.withColumn("accuracy", _or_zero(tp + tn, tp + fp + fn + tn))
-        .withColumn("precision", _or_zero(tp, tp + fp))
-        .withColumn("recall", _or_zero(tp, tp + fn))
-        .withColumn("f1", _f1("precision", "recall"))
-        .select(*by, *METRICS)
+        *[
+            F.expr(f"count_if({label} = {y} and {predicted} = {p}) as {cell}")
+            for cell, (y, p) in cells.items()
+        ]
     )
+    return counts.selectExpr(
+        "*",
+        f"{_or_zero('tp + tn', 'tp + fp + fn + tn')} as accuracy",
+        f"{_or_zero('tp', 'tp + fp')} as precision",
+        f"{_or_zero('tp', 'tp + fn')} as recall",
+    ).selectExpr(*map(sql.name, by), "accuracy", "precision", "recall", f"{_F1} as f1")
 
 
 def classification_report(
@@ -125,67 +120,45 @@ def classification_report(
 
     The accuracy row carries the accuracy in all three measures.
     """
-    keys = list(by)
-    cells = df.groupBy(*keys, label_col, prediction_col).agg(F.count(F.lit(1)).alias("n"))
-    sides = cells.select(
+    keys = [sql.name(k) for k in by]
+    label, predicted = sql.name(label_col), sql.name(prediction_col)
+    measures = ("precision", "recall", "f1")
+    cells = df.groupBy(*by, label_col, prediction_col).agg(F.count(F.lit(1)).alias("n"))
+    # One row per cell of the confusion table and side, so few whatever the table.
+    sides = cells.selectExpr(
         *keys,
         "n",
-        F.inline(
-            F.array(
-                F.struct(F.col(label_col).cast("bigint").alias("class"), F.lit("l").alias("side")),
-                F.struct(
-                    F.col(prediction_col).cast("bigint").alias("class"), F.lit("p").alias("side")
-                ),
-            )
-        ),
-        (F.col(label_col) == F.col(prediction_col)).alias("right"),
+        f"{label} = {predicted} as right",
+        f"inline(array(struct(cast({label} as bigint) as class, true as actual), "
+        f"struct(cast({predicted} as bigint) as class, false as actual)))",
     )
-    actual = F.col("side") == "l"
-
-    def total(condition: Column) -> Column:
-        return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0))
-
     classes = (
-        sides.groupBy(*keys, "class")
+        sides.groupBy(*by, "class")
         .agg(
-            total(actual & F.col("right")).alias("hits"),
-            total(actual).alias("support"),
-            total(~actual).alias("predicted"),
+            F.expr("coalesce(sum(if(actual and right, n, null)), 0L) as hits"),
+            F.expr("coalesce(sum(if(actual, n, null)), 0L) as support"),
+            F.expr("coalesce(sum(if(actual, null, n)), 0L) as predicted"),
         )
-        .withColumn("precision", _or_zero(F.col("hits"), F.col("predicted")))
-        .withColumn("recall", _or_zero(F.col("hits"), F.col("support")))
-        .withColumn("f1", _f1("precision", "recall"))
-    )
-    measures = ("precision", "recall", "f1")
-    per_class = classes.select(
-        *keys, F.col("class").cast("string").alias("row"), *measures, "support"
-    )
-    support = F.sum("support")
-    accuracy = _or_zero(F.sum("hits"), support)
-
-    def weighted(m: str) -> Column:
-        return _or_zero(F.sum(F.col(m) * F.col("support")), support)
-
-    summary = classes.groupBy(*keys).agg(
-        F.array(
-            F.struct(
-                F.lit("accuracy").alias("row"),
-                *[accuracy.alias(m) for m in measures],
-                support.alias("support"),
-            ),
-            F.struct(
-                F.lit("macro avg").alias("row"),
-                *[F.avg(m).alias(m) for m in measures],
-                support.alias("support"),
-            ),
-            F.struct(
-                F.lit("weighted avg").alias("row"),
-                *[weighted(m).alias(m) for m in measures],
-                support.alias("support"),
-            ),
-        ).alias("rows")
+        .selectExpr(
+            "*",
+            f"{_or_zero('hits', 'predicted')} as precision",
+            f"{_or_zero('hits', 'support')} as recall",
+        )
+        .selectExpr("*", f"{_F1} as f1")
     )
-    return per_class.unionByName(summary.select(*keys, F.inline("rows")))
+    per_class = classes.selectExpr(*keys, "cast(class as string) as row", *measures, "support")
+
+    def summary_row(row: str, measure) -> str:
+        made = ", ".join(f"{measure(m)} as {m}" for m in measures)
+        return f"struct('{row}' as row, {made}, sum(support) as support)"
+
+    rows = [
+        summary_row("accuracy", lambda m: _or_zero("sum(hits)", "sum(support)")),
+        summary_row("macro avg", lambda m: f"avg({m})"),
+        summary_row("weighted avg", lambda m: _or_zero(f"sum({m} * support)", "sum(support)")),
+    ]
+    summary = classes.groupBy(*by).agg(F.expr(f"array({', '.join(rows)}) as rows"))
+    return per_class.unionByName(summary.selectExpr(*keys, "inline(rows)"))
 
 
 def model_comparison(

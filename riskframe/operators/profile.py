@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions import sql
 from riskframe.functions.columns import melt, numeric_columns, string_columns
 from riskframe.functions.scalars import percent
 from riskframe.operators.quantiles import quantiles
@@ -15,25 +16,37 @@ from riskframe.schema import FRAUD
 
 
 def per_column(
-    df: DataFrame, columns: Sequence[str], stats: dict, known: dict | None = None
+    df: DataFrame,
+    columns: Sequence[str],
+    stats: Mapping[str, Callable[[str], str]],
+    known: Mapping[str, Callable[[str], str]] | None = None,
 ) -> DataFrame:
     """Aggregate every column in one pass, then turn the single row into one row per column.
 
-    ``stats`` maps a name to a function from column name to an aggregate, ``known`` a
-    name to a function from column name to a Column that needs no rows.
+    ``stats`` maps a name to a function from a column's SQL name to an aggregate,
+    ``known`` to a function from the column to SQL that needs no rows.
     """
-    wide = [f(c).alias(f"{i}|{s}") for i, c in enumerate(columns) for s, f in stats.items()]
-    row = df.agg(*wide)
+    names = list(stats)
+    row = df.selectExpr(
+        *[f"{stats[s](sql.name(c))} as c{i}_{s}" for i, c in enumerate(columns) for s in names]
+    )
     structs = [
-        F.struct(
-            F.lit(i).cast("bigint").alias("position"),
-            F.lit(c).alias("column"),
-            *[F.col(f"`{i}|{s}`").alias(s) for s in stats],
-            *[f(c).alias(s) for s, f in (known or {}).items()],
+        "named_struct("
+        + ", ".join(
+            [
+                f"'position', {i}L, 'column', {sql.text(c)}",
+                *[f"'{s}', c{i}_{s}" for s in names],
+                *[f"'{s}', {f(c)}" for s, f in (known or {}).items()],
+            ]
         )
+        + ")"
         for i, c in enumerate(columns)
     ]
-    return row.select(F.inline(F.array(*structs)))
+    return row.selectExpr(f"inline(array({', '.join(structs)}))")
+
+
+def _real(column: str) -> str:
+    return f"cast({column} as double)"
 
 
 def table_shape(df: DataFrame) -> DataFrame:
@@ -46,7 +59,10 @@ def column_info(df: DataFrame) -> DataFrame:
     """Position, type and number of non-missing values of each column."""
     types = dict(df.dtypes)
     return per_column(
-        df, df.columns, {"non_null": lambda c: F.count(c)}, {"dtype": lambda c: F.lit(types[c])}
+        df,
+        df.columns,
+        {"non_null": lambda c: f"count({c})"},
+        {"dtype": lambda c: sql.text(types[c])},
     )
 
 
@@ -63,20 +79,17 @@ def describe_numeric(
     quartiles = quantiles(df, columns, [0.25, 0.5, 0.75], exact)
 
     def quartile(i: int):
-        return lambda c: F.lit(quartiles[c][i]).cast("double")
-
-    def value(c: str) -> Column:
-        return F.col(c).cast("double")
+        return lambda c: sql.number(quartiles[c][i])
 
     return per_column(
         df,
         columns,
         {
-            "count": lambda c: F.count(c),
-            "mean": lambda c: F.avg(c),
-            "std": lambda c: F.stddev_samp(c),
-            "min": lambda c: F.min(value(c)),
-            "max": lambda c: F.max(value(c)),
+            "count": lambda c: f"count({c})",
+            "mean": lambda c: f"avg({_real(c)})",
+            "std": lambda c: f"stddev_samp({c})",
+            "min": lambda c: f"min({_real(c)})",
+            "max": lambda c: f"max({_real(c)})",
         },
         {"q25": quartile(0), "q50": quartile(1), "q75": quartile(2)},
     ).select("column", "count", "mean", "std", "min", "q25", "q50", "q75", "max")
@@ -123,8 +136,8 @@ def missing_report(df: DataFrame) -> DataFrame:
         df,
         df.columns,
         {
-            "missing_count": lambda c: F.count_if(F.col(c).isNull()),
-            "_rows": lambda c: F.count(F.lit(1)),
+            "missing_count": lambda c: f"count_if({c} is null)",
+            "_rows": lambda c: "count(1)",
         },
     )
     return (
@@ -138,9 +151,9 @@ def missing_report(df: DataFrame) -> DataFrame:
 
 def missing_pattern(df: DataFrame) -> DataFrame:
     """Which columns are missing together: a 0/1 text in column order, and its rows."""
-    bits = [F.when(F.col(c).isNull(), F.lit("1")).otherwise(F.lit("0")) for c in df.columns]
+    bits = [f"if({sql.name(c)} is null, '1', '0')" for c in df.columns]
     return (
-        df.select(F.concat(*bits).alias("pattern"))
+        df.selectExpr(f"concat({', '.join(bits)}) as pattern")
         .groupBy("pattern")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -157,8 +170,8 @@ def constant_columns(df: DataFrame) -> DataFrame:
             df,
             df.columns,
             {
-                "value": lambda c: F.min(c).cast("string"),
-                "_same": lambda c: F.min(c) == F.max(c),
+                "value": lambda c: f"cast(min({c}) as string)",
+                "_same": lambda c: f"min({c}) = max({c})",
             },
         )
         .filter("_same")
@@ -190,22 +203,20 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     All pairs come out of one pass.
     """
     columns = list(columns or numeric_columns(df))
-    values = {c: F.col(c).cast("double") for c in columns}
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
 
-    def correlation(a: str, b: str) -> Column:
-        both = values[a].isNotNull() & values[b].isNotNull()
-        x, y = F.when(both, values[a]), F.when(both, values[b])
-        spread = F.stddev_pop(x) * F.stddev_pop(y)
-        return F.try_divide(F.covar_pop(x, y), spread)
+    def correlation(a: str, b: str) -> str:
+        both = f"{sql.name(a)} is not null and {sql.name(b)} is not null"
+        x, y = f"if({both}, {sql.as_double(a)}, null)", f"if({both}, {sql.as_double(b)}, null)"
+        return f"try_divide(covar_pop({x}, {y}), stddev_pop({x}) * stddev_pop({y}))"
 
-    row = df.agg(*[correlation(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)])
+    row = df.selectExpr(*[f"{correlation(a, b)} as r{i}" for i, (a, b) in enumerate(pairs)])
     cells = [
-        F.struct(F.lit(x).alias("x"), F.lit(y).alias("y"), F.col(f"`{i}`").alias("correlation"))
+        f"struct({sql.text(x)} as x, {sql.text(y)} as y, r{i} as correlation)"
         for i, (a, b) in enumerate(pairs)
-        for x, y in ({(a, b), (b, a)})
+        for x, y in dict.fromkeys(((a, b), (b, a)))
     ]
-    return row.select(F.inline(F.array(*cells)))
+    return row.selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def redundant_pairs(
@@ -230,28 +241,22 @@ def boxplot_stats(
     low, high = {}, {}
     for c in present:
         q1, _, q3 = medians[c]
-        low[c], high[c] = q1 - REACH * (q3 - q1), q3 + REACH * (q3 - q1)
-
-    def value(c: str) -> Column:
-        return F.col(c).cast("double")
+        low[sql.name(c)] = sql.number(q1 - REACH * (q3 - q1))
+        high[sql.name(c)] = sql.number(q3 + REACH * (q3 - q1))
 
-    def inside(c: str) -> Column:
-        return F.when(value(c).between(F.lit(low[c]), F.lit(high[c])), value(c))
+    def inside(c: str) -> str:
+        return f"if({_real(c)} between {low[c]} and {high[c]}, {_real(c)}, null)"
 
-    def outside(c: str) -> Column:
-        return (value(c) < F.lit(low[c])) | (value(c) > F.lit(high[c]))
+    def known(i: int):
+        return lambda c: sql.number(medians[c][i])
 
     return per_column(
         df,
         present,
         {
-            "whisker_low": lambda c: F.min(inside(c)),
-            "whisker_high": lambda c: F.max(inside(c)),
-            "outliers": lambda c: F.count_if(outside(c)),
-        },
-        {
-            "q1": lambda c: F.lit(medians[c][0]),
-            "median": lambda c: F.lit(medians[c][1]),
-            "q3": lambda c: F.lit(medians[c][2]),
+            "whisker_low": lambda c: f"min({inside(c)})",
+            "whisker_high": lambda c: f"max({inside(c)})",
+            "outliers": lambda c: f"count_if({_real(c)} < {low[c]} or {_real(c)} > {high[c]})",
         },
+        {"q1": known(0), "median": known(1), "q3": known(2)},
     ).drop("position")

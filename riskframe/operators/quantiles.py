@@ -11,12 +11,14 @@ shuffles the rows; what reaches the driver is a few numbers per quantile.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions import sql
+
 ACCURACY = 10_000
 MAX_RANKED = 500_000
 
@@ -33,8 +35,9 @@ class _Bracket:
     inside: int = 0
     distinct: int = 0
 
-    def holds(self):
-        return F.col(self.column).between(F.lit(self.lo), F.lit(self.hi))
+    def holds(self, value: str | None = None) -> str:
+        value = value or sql.name(self.column)
+        return f"{value} between {sql.number(self.lo)} and {sql.number(self.hi)}"
 
 
 def _position(n: int, p: float) -> tuple[int, float]:
@@ -61,23 +64,21 @@ def _sketch_brackets(df, columns, probabilities, accuracy):
     probes = sorted(
         {min(max(p + d, 0.0), 1.0) for p in probabilities for d in (-margin, margin)}
     )
-    aggregates = []
-    for c in columns:
-        aggregates += [
-            F.count(c).alias(f"{c}|n"),
-            F.min(c).alias(f"{c}|min"),
-            F.max(c).alias(f"{c}|max"),
-            F.percentile_approx(c, probes, accuracy).alias(f"{c}|q"),
+    at_probes = f"array({', '.join(map(sql.number, probes))}), {accuracy}"
+    row = df.selectExpr(
+        *[
+            f"struct(count({v}) as n, min({v}) as lo, max({v}) as hi, "
+            f"percentile_approx({v}, {at_probes}) as q) as {v}"
+            for v in map(sql.name, columns)
         ]
-    row = df.agg(*aggregates).first()
+    ).first()
     counts, brackets = {}, []
     for c in columns:
-        n = row[f"{c}|n"]
-        counts[c] = n
+        counts[c] = n = row[c]["n"]
         if n == 0:
             continue
-        low, high = row[f"{c}|min"], row[f"{c}|max"]
-        at = dict(zip(probes, row[f"{c}|q"]))
+        low, high = row[c]["lo"], row[c]["hi"]
+        at = dict(zip(probes, row[c]["q"]))
         for p in probabilities:
             below, above = p - margin, p + margin
             brackets.append(
@@ -105,16 +106,16 @@ def _merge(brackets: list[_Bracket]) -> list[_Bracket]:
 
 
 def _count_brackets(df: DataFrame, brackets: list[_Bracket]) -> None:
-    aggregates = []
-    for i, b in enumerate(brackets):
-        aggregates += [
-            F.count_if(F.col(b.column) < F.lit(b.lo)).alias(f"below{i}"),
-            F.count_if(b.holds()).alias(f"inside{i}"),
-            F.approx_count_distinct(F.when(b.holds(), F.col(b.column))).alias(f"distinct{i}"),
+    row = df.selectExpr(
+        *[
+            f"struct(count_if({sql.name(b.column)} < {sql.number(b.lo)}) as below, "
+            f"count_if({b.holds()}) as inside, "
+            f"approx_count_distinct(if({b.holds()}, {sql.name(b.column)}, null)) as n) as b{i}"
+            for i, b in enumerate(brackets)
         ]
-    row = df.agg(*aggregates).first()
-    for i, b in enumerate(brackets):
-        b.below, b.inside, b.distinct = row[f"below{i}"], row[f"inside{i}"], row[f"distinct{i}"]
+    ).first()
+    for b, found in zip(brackets, row):
+        b.below, b.inside, b.distinct = found["below"], found["inside"], found["n"]
 
 
 def _narrow(df, brackets: list[_Bracket], accuracy: int, margin: float) -> list[_Bracket]:
@@ -124,12 +125,11 @@ def _narrow(df, brackets: list[_Bracket], accuracy: int, margin: float) -> list[
         for rank in sorted(b.ranks):
             p = (rank - b.below) / max(b.inside - 1, 1)
             probes = [max(p - margin, 0.0), min(p + margin, 1.0)]
-            inside = F.when(b.holds(), F.col(b.column))
-            aggregates.append(
-                F.percentile_approx(inside, probes, accuracy).alias(f"q{len(wanted)}")
-            )
+            inside = f"if({b.holds()}, {sql.name(b.column)}, null)"
+            at = f"array({', '.join(map(sql.number, probes))}), {accuracy}"
+            aggregates.append(f"percentile_approx({inside}, {at}) as q{len(wanted)}")
             wanted.append((b, rank, p))
-    row = df.agg(*aggregates).first()
+    row = df.selectExpr(*aggregates).first()
     result = []
     for i, (b, rank, p) in enumerate(wanted):
         lo = b.lo if p - margin <= 0 else row[f"q{i}"][0]
@@ -152,39 +152,29 @@ def _around_misses(b: _Bracket) -> list[_Bracket]:
 
 def _pick(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
     """Rank the values inside the brackets and read off the wanted ones."""
-    slot = F.lit(None).cast("int")
-    for i, b in enumerate(brackets):
-        here = (F.col("feature") == b.column) & F.col("value").between(
-            F.lit(b.lo), F.lit(b.hi)
-        )
-        slot = F.when(here, F.lit(i)).otherwise(slot)
+    cases = " ".join(
+        f"when feature = {sql.text(b.column)} and {b.holds('value')} then {i}"
+        for i, b in enumerate(brackets)
+    )
     columns = list(dict.fromkeys(b.column for b in brackets))
     inside = (
         df.select(*columns)
         .unpivot([], columns, "feature", "value")
-        .select(slot.alias("slot"), "value")
-        .filter(F.col("slot").isNotNull())
+        .selectExpr(f"case {cases} end as slot", "value")
+        .filter("slot is not null")
         .groupBy("slot", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    upto = F.sum("n").over(
-        Window.partitionBy("slot").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = ", ".join(
+        f"{i}, array({', '.join(f'{r - b.below}L' for r in sorted(b.ranks))})"
+        for i, b in enumerate(brackets)
     )
-    entries = []
-    for i, b in enumerate(brackets):
-        ranks = [F.lit(r - b.below).cast("bigint") for r in sorted(b.ranks)]
-        entries += [F.lit(i), F.array(*ranks)]
-    wanted = F.create_map(*entries)[F.col("slot")]
     rows = (
-        inside.withColumn("upto", upto)
-        .withColumn(
-            "hit",
-            F.filter(
-                wanted, lambda r: (r < F.col("upto")) & (r >= F.col("upto") - F.col("n"))
-            ),
+        inside.selectExpr("*", "sum(n) over (partition by slot order by value) as upto")
+        .selectExpr(
+            "slot", "value", f"filter(map({ranks})[slot], r -> r < upto and r >= upto - n) as hit"
         )
-        .filter(F.size("hit") > 0)
-        .select("slot", "value", "hit")
+        .filter("size(hit) > 0")
         .collect()
     )
     return {
@@ -207,7 +197,7 @@ def exact_quantiles(
     task. It bounds work per task only; the result does not depend on it.
     """
     columns = list(columns)
-    df = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    df = df.selectExpr(*[f"{sql.as_double(c)} as {sql.name(c)}" for c in columns])
     counts, pending = _sketch_brackets(df, columns, probabilities, accuracy)
     found: dict[tuple[str, int], float] = {}
     # A column of few values is ranked whole, with no counting pass.
@@ -254,11 +244,9 @@ def approximate_quantiles(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
     """One pass, rank error at most 1 / ACCURACY of the rows."""
-    row = df.agg(
-        *[
-            F.percentile_approx(F.col(c).cast("double"), list(probabilities), ACCURACY).alias(c)
-            for c in columns
-        ]
+    at = f"array({', '.join(map(sql.number, probabilities))}), {ACCURACY}"
+    row = df.selectExpr(
+        *[f"percentile_approx({sql.as_double(c)}, {at}) as {sql.name(c)}" for c in columns]
     ).first()
     return {c: row[c] or [None] * len(probabilities) for c in columns}
 
@@ -270,14 +258,6 @@ def quantiles(
     return compute(df, list(columns), list(probabilities))
 
 
-def literal_map(values: Mapping[str, float | None]):
-    """A map column from fitted numbers, one entry per key."""
-    entries = [
-        x for k, v in values.items() for x in (F.lit(k), F.lit(v).cast("double"))
-    ]
-    return F.create_map(*entries)
-
-
 def quantile_table(
     df: DataFrame, columns: Sequence[str], probabilities: Sequence[float], exact: bool = True
 ) -> DataFrame:

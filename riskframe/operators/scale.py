@@ -8,14 +8,16 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
+from riskframe.functions import sql
+from riskframe.functions.columns import replace_columns
 
-def _scaled(c: str, mean: float, std: float) -> Column:
+
+def _scaled(c: str, mean: float, std: float) -> str:
     if std == 0:
-        return F.when(F.col(c).isNotNull(), F.lit(0.0))
-    return (F.col(c).cast("double") - F.lit(mean)) / F.lit(std)
+        return f"if({sql.name(c)} is null, null, 0D)"
+    return f"({sql.as_double(c)} - {sql.number(mean)}) / {sql.number(std)}"
 
 
 class _Columns(Params):
@@ -32,7 +34,7 @@ class PopulationScalerModel(Model, _Columns, DefaultParamsReadable, DefaultParam
             self.getOrDefault(self.means),
             self.getOrDefault(self.stds),
         )
-        return df.withColumns({c: _scaled(c, m, s) for c, m, s in fitted})
+        return replace_columns(df, {c: _scaled(c, m, s) for c, m, s in fitted})
 
 
 class PopulationScaler(Estimator, _Columns, DefaultParamsReadable, DefaultParamsWritable):
@@ -48,15 +50,14 @@ class PopulationScaler(Estimator, _Columns, DefaultParamsReadable, DefaultParams
 
     def _fit(self, df: DataFrame) -> PopulationScalerModel:
         columns = self.getOrDefault(self.inputCols)
-        wanted = []
-        for c in columns:
-            wanted += [F.avg(c).alias(f"{c}|mean"), F.stddev_pop(c).alias(f"{c}|std")]
-        row = df.agg(*wanted).first()
+        row = df.selectExpr(
+            *[f"struct(avg({v}) as mean, stddev_pop({v}) as std) as {v}" for v in map(sql.name, columns)]
+        ).first()
         model = PopulationScalerModel()
         model._set(
             inputCols=columns,
-            means=[row[f"{c}|mean"] or 0.0 for c in columns],
-            stds=[row[f"{c}|std"] or 0.0 for c in columns],
+            means=[row[c]["mean"] or 0.0 for c in columns],
+            stds=[row[c]["std"] or 0.0 for c in columns],
         )
         return model
 

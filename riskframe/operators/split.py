@@ -10,11 +10,12 @@ no shuffle and no sort of the whole table.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from riskframe.functions import sql
 from riskframe.functions.columns import require_columns
 from riskframe.schema import CUSTOMER_ID, LABEL
 
@@ -36,61 +37,58 @@ def class_sizes(df: DataFrame, label_col: str = LABEL) -> dict:
     return {r[label_col]: r["count"] for r in sorted(counted, key=lambda r: r[label_col])}
 
 
-def shuffle_key(key_col: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(key_col).cast("string"), F.lit(f"|{seed}")))
+def shuffle_key(key_col: str, seed: int) -> str:
+    """SQL: the hash that orders the rows."""
+    return f"md5(concat(cast({sql.name(key_col)} as string), '|{int(seed)}'))"
 
 
 def _cuts(
     df: DataFrame, key_col: str, label_col: str, seed: int, ranks: dict[object, Sequence[int]]
 ) -> dict[tuple[object, int], str]:
     """The hash at each of the given 1-based ranks of each class."""
-    hashed = df.filter(F.col(label_col).isNotNull()).select(
-        F.col(label_col).alias("_class"), shuffle_key(key_col, seed).alias("_hash")
+    classes = list(ranks)
+    number = "case " + " ".join(
+        f"when {sql.name(label_col)} = {sql.literal(c)} then {i}" for i, c in enumerate(classes)
     )
-    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, PREFIX))
-    # At most 16^PREFIX rows per class.
-    upto = F.sum("n").over(
-        Window.partitionBy("_class")
-        .orderBy("_prefix")
-        .rowsBetween(Window.unboundedPreceding, 0)
+    wanted = ", ".join(
+        f"{i}, array({', '.join(f'{int(r)}L' for r in rs)})"
+        for i, rs in enumerate(ranks.values())
     )
-    counted = (
-        hashed.groupBy("_class", "_prefix")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("_upto", upto)
-    )
-    wanted = df.sparkSession.createDataFrame(
-        [(c, int(r)) for c, rs in ranks.items() for r in rs],
-        f"_class {dict(df.dtypes)[label_col]}, _rank bigint",
+    hashed = (
+        df.selectExpr(f"{number} end as class", f"{shuffle_key(key_col, seed)} as hash")
+        .filter("class is not null")
+        .selectExpr("*", f"substring(hash, 1, {PREFIX}) as prefix")
     )
+    # At most 16^PREFIX rows per class, of which one per wanted rank is kept.
     boundary = (
-        counted.join(F.broadcast(wanted), "_class")
-        .filter((F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("n")))
-        .select(
-            "_class",
-            "_prefix",
-            "_rank",
-            (F.col("_rank") - F.col("_upto") + F.col("n")).alias("_place"),
-        )
+        hashed.groupBy("class", "prefix")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .selectExpr("*", "sum(n) over (partition by class order by prefix) as upto")
+        .selectExpr("class", "prefix", "n", "upto", f"explode(map({wanted})[class]) as rank")
+        .filter("rank <= upto and rank > upto - n")
+        .selectExpr("class", "prefix", "rank", "rank - upto + n as place")
     )
-    # One boundary row per wanted rank, so the broadcast is as small as ``wanted``.
-    place = F.row_number().over(Window.partitionBy("_class", "_rank").orderBy("_hash"))
     found = (
-        hashed.join(F.broadcast(boundary), ["_class", "_prefix"])
-        .withColumn("_at", place)
-        .filter(F.col("_at") == F.col("_place"))
-        .select("_class", "_rank", "_hash")
+        hashed.join(F.broadcast(boundary), ["class", "prefix"])
+        .selectExpr("*", "row_number() over (partition by class, rank order by hash) as at")
+        .filter("at = place")
+        .select("class", "rank", "hash")
         .collect()
     )
-    return {(r["_class"], r["_rank"]): r["_hash"] for r in found}
+    return {(classes[r["class"]], r["rank"]): r["hash"] for r in found}
 
 
-def _by_class(label_col: str, sizes: dict, build: Callable[[object], Column]) -> Column:
-    chosen = None
-    for c in sizes:
-        here = F.col(label_col) == F.lit(c)
-        chosen = F.when(here, build(c)) if chosen is None else chosen.when(here, build(c))
-    return chosen if chosen is not None else F.lit(None)
+def _add_by_class(
+    df: DataFrame, name: str, label_col: str, by_class: dict[object, str], as_type: str
+) -> DataFrame:
+    """Rows that have a label, with a column whose SQL depends on the class."""
+    cases = " ".join(
+        f"when {sql.name(label_col)} = {sql.literal(c)} then {e}" for c, e in by_class.items()
+    )
+    chosen = f"case {cases} end" if cases else "null"
+    return df.filter(F.col(label_col).isNotNull()).selectExpr(
+        "*", f"cast({chosen} as {as_type}) as {sql.name(name)}"
+    )
 
 
 def stratified_split(
@@ -107,15 +105,13 @@ def stratified_split(
     require_columns(df, key_col, label_col)
     sizes = class_sizes(df, label_col)
     take = {c: math.ceil(round(test_size * n, 9)) for c, n in sizes.items()}
-    cuts = _cuts(df, key_col, label_col, seed, {c: [k] for c, k in take.items() if k > 0})
-
-    def is_test(c) -> Column:
-        if (c, take[c]) not in cuts:
-            return F.lit(0)
-        return (shuffle_key(key_col, seed) <= F.lit(cuts[c, take[c]])).cast("int")
-
-    labelled = df.filter(F.col(label_col).isNotNull())
-    return labelled.withColumn("is_test", _by_class(label_col, sizes, is_test).cast("int"))
+    ranks = {c: [k] for c, k in take.items() if k > 0}
+    cuts = _cuts(df, key_col, label_col, seed, ranks) if ranks else {}
+    hashed = shuffle_key(key_col, seed)
+    is_test = {
+        c: f"{hashed} <= '{cuts[c, k]}'" if k > 0 else "false" for c, k in take.items()
+    }
+    return _add_by_class(df, "is_test", label_col, is_test, "int")
 
 
 def stratified_folds(
@@ -132,19 +128,17 @@ def stratified_folds(
     require_columns(df, key_col, label_col)
     sizes = class_sizes(df, label_col)
     ends = {c: [n * (j + 1) // n_folds for j in range(n_folds - 1)] for c, n in sizes.items()}
-    cuts = _cuts(
-        df, key_col, label_col, seed, {c: sorted({e for e in es if e > 0}) for c, es in ends.items()}
-    )
+    ranks = {c: sorted({e for e in es if e > 0}) for c, es in ends.items()}
+    ranks = {c: es for c, es in ranks.items() if es}
+    cuts = _cuts(df, key_col, label_col, seed, ranks) if ranks else {}
     hashed = shuffle_key(key_col, seed)
-
-    def fold(c) -> Column:
-        passed = F.lit(0)
-        for e in ends[c]:
-            passed = passed + ((hashed > F.lit(cuts[c, e])).cast("int") if e > 0 else F.lit(1))
-        return passed
-
-    labelled = df.filter(F.col(label_col).isNotNull())
-    return labelled.withColumn("fold", _by_class(label_col, sizes, fold).cast("int"))
+    fold = {
+        c: " + ".join(
+            [f"if({hashed} > '{cuts[c, e]}', 1, 0)" if e > 0 else "1" for e in es] or ["0"]
+        )
+        for c, es in ends.items()
+    }
+    return _add_by_class(df, "fold", label_col, fold, "int")
 
 
 def class_weights(sizes: dict) -> dict:
@@ -156,10 +150,8 @@ def class_weights(sizes: dict) -> dict:
 def balanced_weights(df: DataFrame, label_col: str = LABEL, weight_col: str = "weight") -> DataFrame:
     """Adds the weight of each row's class, such that all classes weigh the same."""
     weights = class_weights(class_sizes(df, label_col))
-    labelled = df.filter(F.col(label_col).isNotNull())
-    return labelled.withColumn(
-        weight_col, _by_class(label_col, weights, lambda c: F.lit(weights[c]))
-    )
+    made = {c: sql.number(w) for c, w in weights.items()}
+    return _add_by_class(df, weight_col, label_col, made, "double")
 
 
 def align(features: DataFrame, label: DataFrame, key_col: str = CUSTOMER_ID) -> DataFrame:

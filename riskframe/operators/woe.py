@@ -24,6 +24,8 @@ from pyspark.ml.util import (
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from riskframe.functions import sql
+from riskframe.functions.columns import replace_columns
 from riskframe.functions.scalars import as_category
 from riskframe.operators.binning import assign_bins, choose_by_bin, fit_edges
 from riskframe.schema import LABEL
@@ -44,8 +46,12 @@ def bin_counts(df: DataFrame, columns, label_col: str) -> DataFrame:
 
     Rows combine map-side into (feature, bin), so no rows are shuffled.
     """
-    as_text = df.select(
-        F.col(label_col).cast("bigint").alias("_y"), *[as_category(c).alias(c) for c in columns]
+    as_text = df.selectExpr(
+        f"cast({sql.name(label_col)} as bigint) as _y",
+        *[
+            f"coalesce(cast({v} as string), {sql.text(MISSING)}) as {v}"
+            for v in map(sql.name, columns)
+        ],
     )
     return (
         as_text.unpivot(["_y"], list(columns), "feature", "bin")
@@ -132,7 +138,7 @@ class WoeEncoderModel(Model, _WoeParams, DefaultParamsReadable, DefaultParamsWri
             if c in df.columns:
                 by_bin = [woe.get((c, str(i)), fill) for i in range(1, len(edges))]
                 encoded[c] = choose_by_bin(c, edges, by_bin, woe.get((c, MISSING), fill))
-        return df.withColumns(encoded) if encoded else df
+        return replace_columns(df, encoded) if encoded else df
 
     def _category(self, df: DataFrame, column: str, fill: float) -> DataFrame:
         """Look one text column up in the table of categories.
@@ -225,29 +231,37 @@ class WoeEncoder(Estimator, _WoeParams, DefaultParamsReadable, DefaultParamsWrit
                 self.getOrDefault(self.strategy),
                 self.getOrDefault(self.exact),
             )
-        totals = df.agg(
-            F.count(label).alias("n"), F.coalesce(F.sum(label), F.lit(0)).alias("events")
-        ).first()
-        all_events, all_non_events = totals["events"], totals["n"] - totals["events"]
+        counted = []
+        if numeric:
+            # At most bins + 1 rows per column; the bins of one column hold all rows.
+            counted = (
+                bin_counts(assign_bins(df, edges), numeric, label)
+                .orderBy("feature", "bin")
+                .collect()
+            )
+            one = [r for r in counted if r["feature"] == numeric[0]]
+            all_rows, all_events = sum(r["n"] for r in one), sum(r["events"] for r in one)
+        else:
+            all_rows, all_events = df.agg(
+                F.count(label), F.coalesce(F.sum(label), F.lit(0))
+            ).first()
+        all_non_events = all_rows - all_events
         if all_events == 0 or all_non_events == 0:
             raise ValueError(
                 f"label {label!r} needs both classes: {all_events} events, "
                 f"{all_non_events} non-events"
             )
         rows = []
-        if numeric:
-            counted = bin_counts(assign_bins(df, edges), numeric, label)
-            # At most bins + 1 rows per column.
-            for r in counted.orderBy("feature", "bin").collect():
-                non_events = r["n"] - r["events"]
-                woe = _woe(r["events"], non_events, all_events, all_non_events)
-                rows.append((r["feature"], r["bin"], r["n"], r["events"], non_events, woe))
+        for r in counted:
+            non_events = r["n"] - r["events"]
+            woe = _woe(r["events"], non_events, all_events, all_non_events)
+            rows.append((r["feature"], r["bin"], r["n"], r["events"], non_events, woe))
         model = WoeEncoderModel()
         if text:
-            counted = bin_counts(df, text, label).withColumn(
+            categories = bin_counts(df, text, label).withColumn(
                 "non_events", F.col("n") - F.col("events")
             )
-            fitted = counted.withColumn("woe", _woe_column(all_events, all_non_events))
+            fitted = categories.withColumn("woe", _woe_column(all_events, all_non_events))
             model.categories = stage(
                 fitted.select("feature", "bin", "n", "events", "non_events", "woe"), "woe"
             )

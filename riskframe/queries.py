@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalars as S
-from riskframe.functions.columns import numeric_columns, string_columns
+from riskframe.functions import sql
+from riskframe.functions.columns import numeric_columns, replace_columns, string_columns
 from riskframe.operators import binning, distribution, label, metrics, profile, split
 from riskframe.operators import features as feat
 from riskframe.operators.classifiers import FOREST, GBT, LOGISTIC, assembler, predict
@@ -63,27 +64,26 @@ def all_queries() -> dict[str, Query]:
 def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Doubles rounded, with no negative zero."""
     doubles = [c for c, t in df.dtypes if t == "double"]
-    return df.withColumns({c: F.round(c, digits) + F.lit(0.0) for c in doubles})
+    return replace_columns(df, {c: f"round({sql.name(c)}, {digits}) + 0D" for c in doubles})
 
 
 # --- shared inputs ----------------------------------------------------------
 
 
 def labelled_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Stored: customer, features, RFM, cluster and label by the fixed centroids."""
-    summary = feat.features_and_rfm(tx_orders(spark, sf_dir))
-    exact_features = {c: F.round(c, DIGITS) + F.lit(0.0) for c in FEATURES if _is_real(summary, c)}
-    customers = stage(summary.withColumns(exact_features), "customers")
-    return stage(label.flag_high_risk(fixed_clusters(customers)).drop(*label.SCALED), "labelled")
-
+    """Customer, features, RFM, cluster and label by the fixed centroids.
 
-def _is_real(df: DataFrame, column: str) -> bool:
-    return dict(df.dtypes)[column] == "double"
+    The grouping is stored; the label is an expression over the stored table.
+    """
+    summary = feat.features_and_rfm(tx_orders(spark, sf_dir))
+    exact = rounded(summary.select(CUSTOMER_ID, *FEATURES, *RFM))
+    customers = stage(exact, "customers")
+    return label.flag_high_risk(fixed_clusters(customers)).drop(*label.SCALED)
 
 
 def fixed_clusters(rfm_table: DataFrame) -> DataFrame:
     scaled = label.scaled_rfm(rfm_table)
-    scaled = scaled.withColumns({c: F.round(c, DIGITS) for c in label.SCALED})
+    scaled = replace_columns(scaled, {c: f"round({c}, {DIGITS})" for c in label.SCALED})
     return label.assign_cluster(scaled, CENTROIDS)
 
 
@@ -93,17 +93,16 @@ def features_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three made models: scores are a hash of the customer, moved up for the label."""
-    base = labelled_customers(spark, sf_dir).select(CUSTOMER_ID, F.col(LABEL).alias("label"))
-    hashed = F.md5(CUSTOMER_ID)
-    parts = []
+    made = []
     for i, (name, lift) in enumerate((("plain", 0.2), ("strong", 0.4), ("weak", 0.0))):
-        digits = F.substring(hashed, 4 * i + 1, 4)
-        uniform = F.conv(digits, 16, 10).cast("double") / 65535
-        score = F.round(uniform, 2) + F.when(F.col("label") == 1, F.lit(lift)).otherwise(0.0)
-        capped = F.round(F.when(score > 1, F.lit(1.0)).otherwise(score), 2)
-        parts.append(F.struct(F.lit(name).alias("model"), capped.alias("score")))
-    return base.select(CUSTOMER_ID, "label", F.inline(F.array(*parts))).withColumn(
-        "prediction", (F.col("score") >= 0.5).cast("int")
+        uniform = f"cast(conv(substring(md5({CUSTOMER_ID}), {4 * i + 1}, 4), 16, 10) as double) / 65535"
+        score = f"round({uniform}, 2) + if(label = 1, {lift}D, 0D)"
+        made.append(f"struct('{name}' as model, round(least({score}, 1D), 2) as score)")
+    return (
+        labelled_customers(spark, sf_dir)
+        .select(CUSTOMER_ID, F.col(LABEL).alias("label"))
+        .selectExpr(CUSTOMER_ID, "label", f"inline(array({', '.join(made)}))")
+        .selectExpr("*", "int(score >= 0.5D) as prediction")
     )
 
 
@@ -454,7 +453,7 @@ def high_risk_pick_fixed(spark, sf_dir):
 def high_risk_cluster_fixed(spark, sf_dir):
     """The cluster the three-key order puts first."""
     profiled = label.cluster_profile(labelled_customers(spark, sf_dir))
-    return label.high_risk_cluster(profiled).withColumnRenamed("_risky", "Cluster")
+    return label.high_risk_cluster(profiled)
 
 
 @query

@@ -22,6 +22,7 @@ def local_session(cpus: int = 8, app: str = "riskframe", **conf: str) -> SparkSe
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config(SCRATCH_CONF, tempfile.mkdtemp(prefix="riskframe-scratch-"))
     )

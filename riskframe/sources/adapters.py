@@ -3,84 +3,85 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from riskframe.schema import CUSTOMER_ID, START_TIME, TRANSACTION_SCHEMA
+from riskframe.functions.columns import replace_columns
+from riskframe.functions.sql import name
+from riskframe.schema import TRANSACTION_SCHEMA
 
+_KEYED = {
+    "TransactionId": "{key}",
+    "BatchId": "{key} % 100",
+    "AccountId": "{customer}",
+    "SubscriptionId": "{customer}",
+    "CustomerId": "{customer}",
+    "CurrencyCode": "'UGX'",
+    "CountryCode": "256",
+    "ProviderId": "'P' || {key} % 6",
+    "ProductId": "'PR' || {key} % 23",
+    "FraudResult": "if({key} % 500 = 0, 1, 0)",
+}
 
-def _conform(df: DataFrame) -> DataFrame:
-    return df.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRANSACTION_SCHEMA]
+
+def _project(df: DataFrame, key: str, customer: str, columns: dict[str, str]) -> DataFrame:
+    """Each column of the schema from its expression, cast to its type."""
+    made = {c: e.format(key=key, customer=customer) for c, e in {**_KEYED, **columns}.items()}
+    return df.selectExpr(
+        *[
+            f"cast({made[f.name]} as {f.dataType.simpleString()}) as {name(f.name)}"
+            for f in TRANSACTION_SCHEMA
+        ]
     )
 
 
 def tx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    key, customer = F.col("o_orderkey"), F.col("o_custkey")
-    price = F.col("o_totalprice")
-    return _conform(
-        orders.select(
-            key.alias("TransactionId"),
-            (key % 100).alias("BatchId"),
-            customer.alias("AccountId"),
-            customer.alias("SubscriptionId"),
-            customer.alias(CUSTOMER_ID),
-            F.lit("UGX").alias("CurrencyCode"),
-            F.lit(256).alias("CountryCode"),
-            F.concat(F.lit("P"), (key % 6).cast("string")).alias("ProviderId"),
-            F.concat(F.lit("PR"), (key % 23).cast("string")).alias("ProductId"),
-            F.col("o_orderpriority").alias("ProductCategory"),
-            F.col("o_orderstatus").alias("ChannelId"),
-            F.when(F.col("o_orderstatus") == "P", -price).otherwise(price).alias("Amount"),
-            price.alias("Value"),
-            F.col("o_orderdate").alias(START_TIME),
-            (key % 5).alias("PricingStrategy"),
-            (key % 500 == 0).cast("int").alias("FraudResult"),
-        )
+    return _project(
+        spark.read.parquet(f"{sf_dir}/orders.parquet"),
+        "o_orderkey",
+        "o_custkey",
+        {
+            "ProductCategory": "o_orderpriority",
+            "ChannelId": "o_orderstatus",
+            "Amount": "if(o_orderstatus = 'P', -o_totalprice, o_totalprice)",
+            "Value": "o_totalprice",
+            "TransactionStartTime": "o_orderdate",
+            "PricingStrategy": "{key} % 5",
+        },
     )
 
 
 def tx_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    key, user, value = F.col("event_id"), F.col("user_id"), F.col("value")
-    return _conform(
-        events.select(
-            key.alias("TransactionId"),
-            (key % 100).alias("BatchId"),
-            user.alias("AccountId"),
-            user.alias("SubscriptionId"),
-            user.alias(CUSTOMER_ID),
-            F.lit("UGX").alias("CurrencyCode"),
-            F.lit(256).alias("CountryCode"),
-            F.concat(F.lit("P"), (key % 6).cast("string")).alias("ProviderId"),
-            F.concat(F.lit("PR"), (key % 23).cast("string")).alias("ProductId"),
-            F.col("event_type").alias("ProductCategory"),
-            F.concat(F.lit("CH"), (key % 4).cast("string")).alias("ChannelId"),
-            F.when(F.col("event_type") == "error", -value).otherwise(value).alias("Amount"),
-            value.alias("Value"),
-            F.col("ts").alias(START_TIME),
-            (F.get_json_object("props", "$.k").cast("int") % 5).alias("PricingStrategy"),
-            (key % 500 == 0).cast("int").alias("FraudResult"),
-        )
+    return _project(
+        spark.read.parquet(f"{sf_dir}/events.parquet"),
+        "event_id",
+        "user_id",
+        {
+            "ProductCategory": "event_type",
+            "ChannelId": "'CH' || event_id % 4",
+            "Amount": "if(event_type = 'error', -value, value)",
+            "Value": "value",
+            "TransactionStartTime": "ts",
+            "PricingStrategy": "cast(get_json_object(props, '$.k') as int) % 5",
+        },
     )
 
 
 def tx_events_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event transactions with times as text, every 97th of them unreadable."""
-    tx = tx_events(spark, sf_dir)
-    bad = F.col("TransactionId").cast("bigint") % 97 == 0
-    text = F.col(START_TIME).cast("string")
-    return tx.withColumn(START_TIME, F.when(bad, F.lit("not-a-date")).otherwise(text))
+    bad = "cast(TransactionId as bigint) % 97 = 0"
+    text = "cast(TransactionStartTime as string)"
+    return replace_columns(
+        tx_events(spark, sf_dir), {"TransactionStartTime": f"if({bad}, 'not-a-date', {text})"}
+    )
 
 
 def tx_orders_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order transactions with gaps in amount, category and customer."""
-    tx = tx_orders(spark, sf_dir)
-    key = F.col("TransactionId").cast("bigint")
-    return tx.withColumns(
+    key = "cast(TransactionId as bigint)"
+    return replace_columns(
+        tx_orders(spark, sf_dir),
         {
-            "Amount": F.when(key % 41 != 0, F.col("Amount")),
-            "ProductCategory": F.when(key % 53 != 0, F.col("ProductCategory")),
-            CUSTOMER_ID: F.when(key % 211 != 0, F.col(CUSTOMER_ID)),
-        }
+            "Amount": f"if({key} % 41 != 0, Amount, null)",
+            "ProductCategory": f"if({key} % 53 != 0, ProductCategory, null)",
+            "CustomerId": f"if({key} % 211 != 0, CustomerId, null)",
+        },
     )
