@@ -24,6 +24,7 @@ from riskframe.schema import (
     START_TIME,
     TIME_PARTS,
 )
+from riskframe.session import stage
 
 _ON_BAD = ("null", "raise")
 
@@ -182,25 +183,34 @@ def features_and_rfm(
     exact_distinct: bool = True,
     on_bad_timestamp: str = "raise",
 ) -> DataFrame:
-    """Features and RFM of each customer from one grouping of the transactions.
+    """Features and RFM of each customer from one pass over the transactions.
 
-    Features count the rows that have a time, RFM counts all rows, as the separate
-    functions do. A customer without any dated row is left out.
+    The grouping is stored and the latest time of all read from it, so the
+    transactions are scanned once. Features count the rows that have a time, RFM
+    counts all rows, as the separate functions do. A customer without any dated row
+    is left out.
     """
     require_columns(df, customer_id_col, timestamp_col)
     dated = with_timestamp(df, timestamp_col, on_bad_timestamp)
-    latest = dated.agg(F.max(timestamp_col).alias("_latest"))
-    summary = (
-        dated.filter(F.col(customer_id_col).isNotNull())
-        .groupBy(customer_id_col)
-        .agg(
+    customer = sql.name(customer_id_col)
+    # Rows without a customer form one more group, only for the latest time.
+    summary = stage(
+        dated.groupBy(customer_id_col).agg(
             *_feature_aggregates(timestamp_col, exact_distinct, only_dated=True),
             F.count(F.lit(1)).alias("Frequency"),
-            F.coalesce(F.sum(AMOUNT), F.lit(0.0)).alias("Monetary"),
-        )
-        .filter(F.col("_last").isNotNull())
+            F.expr(f"coalesce(sum({AMOUNT}), 0D) as Monetary"),
+        ),
+        "customers",
+    )
+    latest = summary.selectExpr("cast(max(_last) as string)").first()[0]
+    snapshot = f"cast({sql.literal(latest)} as timestamp_ntz) + INTERVAL 1 DAY"
+    return summary.filter(f"{customer} is not null and _last is not null").selectExpr(
+        customer,
+        *_feature_columns(),
+        f"timestampdiff(DAY, _last, {snapshot}) as Recency",
+        "Frequency",
+        "Monetary",
     )
-    return _with_recency(summary, latest, sql.name(customer_id_col), *_feature_columns())
 
 
 def first_per_customer(

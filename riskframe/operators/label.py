@@ -74,12 +74,16 @@ def fit_kmeans(scaled: DataFrame, n_clusters: int = 3, random_state: int = 42) -
 
 
 def label_rfm(
-    table: DataFrame, customer_id_col: str = CUSTOMER_ID, n_clusters: int = 3, random_state: int = 42
+    table: DataFrame,
+    customer_id_col: str = CUSTOMER_ID,
+    n_clusters: int = 3,
+    random_state: int = 42,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Cluster a stored RFM table and flag the high-risk cluster."""
+    """Cluster a stored RFM table and flag the high-risk cluster; ``keep`` carries columns along."""
     scaled = scaled_rfm(table)
     clustered = fit_kmeans(scaled, n_clusters, random_state).transform(scaled)
-    return flag_high_risk(clustered).select(customer_id_col, *RFM, "Cluster", LABEL)
+    return flag_high_risk(clustered).select(customer_id_col, *keep, *RFM, "Cluster", LABEL)
 
 
 def high_risk_target(

@@ -10,7 +10,7 @@ no shuffle and no sort of the whole table.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,20 +91,26 @@ def _add_by_class(
     )
 
 
+def test_sizes(sizes: Mapping, test_size: float) -> dict:
+    """Rows of each class that go to the test side."""
+    return {c: math.ceil(round(test_size * n, 9)) for c, n in sizes.items()}
+
+
 def stratified_split(
     df: DataFrame,
     key_col: str = CUSTOMER_ID,
     label_col: str = LABEL,
     test_size: float = 0.2,
     seed: int = 42,
+    sizes: Mapping | None = None,
 ) -> DataFrame:
     """Adds ``is_test``: 1 for the first ceil(test_size * n) rows of each class by hash.
 
-    The key must identify a row. Rows without a label are left out.
+    The key must identify a row. Rows without a label are left out. ``sizes`` are the
+    class sizes where they are known.
     """
     require_columns(df, key_col, label_col)
-    sizes = class_sizes(df, label_col)
-    take = {c: math.ceil(round(test_size * n, 9)) for c, n in sizes.items()}
+    take = test_sizes(class_sizes(df, label_col) if sizes is None else sizes, test_size)
     ranks = {c: [k] for c, k in take.items() if k > 0}
     cuts = _cuts(df, key_col, label_col, seed, ranks) if ranks else {}
     hashed = shuffle_key(key_col, seed)
@@ -120,13 +126,14 @@ def stratified_folds(
     label_col: str = LABEL,
     n_folds: int = 5,
     seed: int = 42,
+    sizes: Mapping | None = None,
 ) -> DataFrame:
     """Adds ``fold``, 0 .. n_folds - 1: equal ranges of each class by hash.
 
-    Fold sizes of a class differ by at most one.
+    Fold sizes of a class differ by at most one. ``sizes`` as in ``stratified_split``.
     """
     require_columns(df, key_col, label_col)
-    sizes = class_sizes(df, label_col)
+    sizes = class_sizes(df, label_col) if sizes is None else sizes
     ends = {c: [n * (j + 1) // n_folds for j in range(n_folds - 1)] for c, n in sizes.items()}
     ranks = {c: sorted({e for e in es if e > 0}) for c, es in ends.items()}
     ranks = {c: es for c, es in ranks.items() if es}
@@ -141,15 +148,20 @@ def stratified_folds(
     return _add_by_class(df, "fold", label_col, fold, "int")
 
 
-def class_weights(sizes: dict) -> dict:
+def class_weights(sizes: Mapping) -> dict:
     """n / (classes * class size)."""
     total = sum(sizes.values())
     return {c: total / (len(sizes) * n) for c, n in sizes.items()}
 
 
-def balanced_weights(df: DataFrame, label_col: str = LABEL, weight_col: str = "weight") -> DataFrame:
+def balanced_weights(
+    df: DataFrame,
+    label_col: str = LABEL,
+    weight_col: str = "weight",
+    sizes: Mapping | None = None,
+) -> DataFrame:
     """Adds the weight of each row's class, such that all classes weigh the same."""
-    weights = class_weights(class_sizes(df, label_col))
+    weights = class_weights(class_sizes(df, label_col) if sizes is None else sizes)
     made = {c: sql.number(w) for c, w in weights.items()}
     return _add_by_class(df, weight_col, label_col, made, "double")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from riskframe.queries import CENTROIDS, DIGITS
+from riskframe.queries import AMOUNT_DIGITS, CENTROIDS, DIGITS, NUDGE
 from riskframe.schema import FEATURES, LABEL, TRANSACTION_SCHEMA
 
 COLUMNS = [f.name for f in TRANSACTION_SCHEMA]
@@ -32,8 +32,12 @@ def with_ctes(sql: str, *names: str) -> str:
     return f"WITH {body}\n{sql}"
 
 
-def r(expression: str, digits: int = DIGITS) -> str:
-    return f"round({expression}, {digits}) + 0.0"
+def r(expression: str, digits: int = AMOUNT_DIGITS) -> str:
+    return f"round({expression} + {NUDGE}, {digits}) + 0.0"
+
+
+def r6(expression: str) -> str:
+    return r(expression, DIGITS)
 
 
 def _tx(table: str, key: str, customer: str, category: str, channel: str, amount: str,
@@ -174,7 +178,7 @@ def _scaled(source: str) -> str:
     mean = "avg(value) OVER (PARTITION BY feature)"
     return f"""SELECT CustomerId, feature,
       CASE WHEN min(value) OVER (PARTITION BY feature) = max(value) OVER (PARTITION BY feature)
-           THEN 0.0 ELSE round((value - {mean}) / {sd}, 6) + 0.0 END AS value FROM {source}"""
+           THEN 0.0 ELSE {r6(f'(value - {mean}) / {sd}')} END AS value FROM {source}"""
 
 
 cte("scores", f"""SELECT CustomerId, {LABEL} AS label, model,
@@ -250,7 +254,7 @@ def _correlations(columns, source: str) -> str:
     def cell(a: str, b: str) -> str:
         value = f"corr(CAST({b} AS DOUBLE), CAST({a} AS DOUBLE))"
         return (f"SELECT '{a}' AS x, '{b}' AS y, "
-                f"(SELECT CASE WHEN isnan({value}) THEN NULL ELSE {r(value)} END FROM {source}) AS correlation")
+                f"(SELECT CASE WHEN isnan({value}) THEN NULL ELSE {r6(value)} END FROM {source}) AS correlation")
 
     return " UNION ALL ".join(cell(a, b) for a in columns for b in columns)
 
@@ -270,13 +274,13 @@ def all_oracles() -> dict[str, str]:
         for c in COLUMNS if c != "CustomerId"
     )
     pattern = " || ".join(f"CASE WHEN {c} IS NULL THEN '1' ELSE '0' END" for c in COLUMNS)
-    report_columns = f"{r('precision')} AS precision, {r('recall')} AS recall, {r('f1')} AS f1"
+    report_columns = f"{r6('precision')} AS precision, {r6('recall')} AS recall, {r6('f1')} AS f1"
     profile_columns = (
         f"{r('avg_recency')} AS avg_recency, {r('avg_frequency')} AS avg_frequency, "
         f"{r('avg_monetary')} AS avg_monetary"
     )
     label_known = f"(SELECT CustomerId, {LABEL} FROM label WHERE CAST(CustomerId AS BIGINT) % 7 <> 0)"
-    binary_columns = ", ".join(f"{r(m)} AS {m}" for m in ("accuracy", "precision", "recall", "f1"))
+    binary_columns = ", ".join(f"{r6(m)} AS {m}" for m in ("accuracy", "precision", "recall", "f1"))
     return {
         "payload_explode": with_ctes(
             f"SELECT request_id, {EV_COLUMNS} FROM requests WHERE reason IS NULL", "requests"),
@@ -346,7 +350,7 @@ def all_oracles() -> dict[str, str]:
                 GROUP BY c""", "gaps"),
         "missing_report": with_ctes(
             f"""SELECT column_name AS column, missing AS missing_count,
-                  {r('100.0 * missing / n')} AS missing_percent
+                  {r6('100.0 * missing / n')} AS missing_percent
                 FROM ({_union(lambda i, c: f"SELECT '{c}' AS column_name, count(*) - count({c}) AS missing, "
                                            f"count(*) AS n FROM gaps", COLUMNS)}) WHERE missing > 0""",
             "gaps"),
@@ -365,7 +369,7 @@ def all_oracles() -> dict[str, str]:
                              f"CAST(max({c}) AS VARCHAR) AS hi FROM tx", COLUMNS)}) WHERE lo = hi""", "tx"),
         "class_balance": with_ctes(
             f"""SELECT FraudResult AS label, count(*) AS n,
-                  {r('100.0 * count(*) / sum(count(*)) OVER ()')} AS percent
+                  {r6('100.0 * count(*) / sum(count(*)) OVER ()')} AS percent
                 FROM tx GROUP BY FraudResult""", "tx"),
         "quantiles": with_ctes(
             f"""SELECT feature AS column, p AS probability, {r('q')} AS quantile
@@ -416,14 +420,14 @@ def all_oracles() -> dict[str, str]:
                 CROSS JOIN range(11) t(i)""", "long"),
         "assign_bin": with_ctes(pivot("binned", "bin"), "binned"),
         "woe_fit": with_ctes(
-            f"SELECT feature, bin, n, events, non_events, {r('woe')} AS woe FROM woe", "woe"),
+            f"SELECT feature, bin, n, events, non_events, {r6('woe')} AS woe FROM woe", "woe"),
         "woe_fit_categories": with_ctes(
-            f"SELECT feature, bin, n, events, non_events, {r('woe')} AS woe FROM category_woe",
+            f"SELECT feature, bin, n, events, non_events, {r6('woe')} AS woe FROM category_woe",
             "category_woe"),
-        "woe_transform": with_ctes(pivot("encoded", r("value")), "encoded"),
+        "woe_transform": with_ctes(pivot("encoded", r6("value")), "encoded"),
         "woe_transform_categories": with_ctes(
             pivot("(SELECT * FROM category_text t JOIN category_woe w USING (feature, bin))",
-                  r("woe"), "TransactionId", CATEGORIES), "category_text", "category_woe"),
+                  r6("woe"), "TransactionId", CATEGORIES), "category_text", "category_woe"),
         "standardized_features": with_ctes(pivot(f"({_scaled('long')})", "value"), "long"),
         "model_features": with_ctes(pivot(f"({_scaled('encoded')})", "value"), "encoded"),
         "cluster_profile_fixed": with_ctes(
@@ -442,26 +446,26 @@ def all_oracles() -> dict[str, str]:
         "class_counts": with_ctes(f"SELECT {LABEL}, count(*) AS n FROM label GROUP BY {LABEL}", "label"),
         "balanced_weights": with_ctes(
             f"""SELECT CustomerId, {LABEL},
-                  {r(f'count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY {LABEL}))')} AS weight
+                  {r6(f'count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY {LABEL}))')} AS weight
                 FROM label""", "label"),
-        "roc_auc": with_ctes(f"SELECT model, {r('roc_auc')} AS roc_auc FROM auc", "auc"),
+        "roc_auc": with_ctes(f"SELECT model, {r6('roc_auc')} AS roc_auc FROM auc", "auc"),
         "binary_metrics": with_ctes(f"SELECT model, {binary_columns} FROM measures", "measures"),
         "classification_report": with_ctes(
             f"""SELECT model, CAST(class AS VARCHAR) AS row, {report_columns}, support FROM classes
                 UNION ALL
-                SELECT model, 'accuracy', {r('sum(tp) / sum(support)')}, {r('sum(tp) / sum(support)')},
-                  {r('sum(tp) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM classes GROUP BY model
+                SELECT model, 'accuracy', {r6('sum(tp) / sum(support)')}, {r6('sum(tp) / sum(support)')},
+                  {r6('sum(tp) / sum(support)')}, CAST(sum(support) AS BIGINT) FROM classes GROUP BY model
                 UNION ALL
-                SELECT model, 'macro avg', {r('avg(precision)')}, {r('avg(recall)')}, {r('avg(f1)')},
+                SELECT model, 'macro avg', {r6('avg(precision)')}, {r6('avg(recall)')}, {r6('avg(f1)')},
                   CAST(sum(support) AS BIGINT) FROM classes GROUP BY model
                 UNION ALL
-                SELECT model, 'weighted avg', {r('sum(precision * support) / sum(support)')},
-                  {r('sum(recall * support) / sum(support)')}, {r('sum(f1 * support) / sum(support)')},
+                SELECT model, 'weighted avg', {r6('sum(precision * support) / sum(support)')},
+                  {r6('sum(recall * support) / sum(support)')}, {r6('sum(f1 * support) / sum(support)')},
                   CAST(sum(support) AS BIGINT) FROM classes GROUP BY model""", "classes"),
         "model_comparison": with_ctes(
-            f"SELECT model, {r('roc_auc')} AS roc_auc, {binary_columns} FROM auc JOIN measures USING (model)",
+            f"SELECT model, {r6('roc_auc')} AS roc_auc, {binary_columns} FROM auc JOIN measures USING (model)",
             "auc", "measures"),
         "best_run": with_ctes(
-            f"SELECT model AS run_name, {r('roc_auc')} AS roc_auc FROM auc ORDER BY auc.roc_auc DESC, model LIMIT 1",
+            f"SELECT model AS run_name, {r6('roc_auc')} AS roc_auc FROM auc ORDER BY auc.roc_auc DESC, model LIMIT 1",
             "auc"),
     }

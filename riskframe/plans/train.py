@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -25,12 +26,14 @@ from riskframe.operators.split import (
     class_sizes,
     stratified_folds,
     stratified_split,
+    test_sizes,
 )
 from riskframe.plans.runs import log_run, read_runs, save_model
 from riskframe.schema import CUSTOMER_ID, FEATURES, LABEL
 from riskframe.session import stage
 
 MODEL_NAME = "risk_classifier"
+ROWS_PER_TASK = 20_000
 
 
 @dataclass(frozen=True)
@@ -49,16 +52,25 @@ def training_set(
     n_folds: int = 5,
     seed: int = 42,
 ) -> TrainingSet:
-    """Split, folds, class weights and feature vectors, stored for the iterative fits."""
-    split = stratified_split(labelled, key_col, LABEL, test_size, seed)
-    vectors = assembler(columns).transform(split)
-    slim = vectors.select(key_col, LABEL, "features", "is_test")
-    stored = stage(slim, "training")
-    train = stored.filter(F.col("is_test") == 0).drop("is_test")
-    folded = stratified_folds(train, key_col, LABEL, n_folds, seed)
-    weighted = stage(balanced_weights(folded, LABEL, WEIGHT), "train")
-    test = stored.filter(F.col("is_test") == 1).drop("is_test")
-    return TrainingSet(weighted, test, sum(class_sizes(train, LABEL).values()), n_folds)
+    """Split, folds, class weights and feature vectors.
+
+    All of them are expressions over ``labelled``, a stored table with one row per key:
+    two small jobs find the cuts of split and folds, and no rows move.
+    """
+    sizes = class_sizes(labelled, LABEL)
+    held_out = test_sizes(sizes, test_size)
+    kept = {c: n - held_out[c] for c, n in sizes.items() if n > held_out[c]}
+    split = stratified_split(labelled, key_col, LABEL, test_size, seed, sizes)
+    train = split.filter("is_test = 0")
+    folded = stratified_folds(train, key_col, LABEL, n_folds, seed, kept)
+    weighted = balanced_weights(folded, LABEL, WEIGHT, kept)
+    to_vector = assembler(columns)
+    return TrainingSet(
+        to_vector.transform(weighted).select(key_col, LABEL, "features", "fold", WEIGHT),
+        to_vector.transform(split.filter("is_test = 1")).select(key_col, LABEL, "features"),
+        sum(kept.values()),
+        n_folds,
+    )
 
 
 @dataclass(frozen=True)
@@ -72,7 +84,9 @@ class Fitted:
 def fit_family(
     data: TrainingSet, family: Family, tuned: bool, grid: Mapping | None = None, **search
 ) -> Fitted:
-    train = data.train.persist()
+    # Few rows in many tasks would make each of the many passes wait for scheduling.
+    tasks = max(1, math.ceil(data.rows / ROWS_PER_TASK))
+    train = data.train.coalesce(tasks).persist()
     try:
         if not tuned:
             params = {**family.default, **(grid or {})}
@@ -110,7 +124,7 @@ def train_all(
 ) -> Training:
     """Fit every family as baseline and tuned, log the runs, store the best by test AUC."""
     spark = labelled.sparkSession
-    data = training_set(labelled, n_folds=n_folds, seed=seed)
+    data = training_set(stage(labelled, "labelled"), n_folds=n_folds, seed=seed)
     models = {}
     for family in families:
         for tuned in (False, True):

@@ -36,7 +36,10 @@ from riskframe.sources.adapters import (
 from riskframe.sources.payloads import explode_payloads, rejected_payloads, to_payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
+# Amounts run to millions, so the last digits of a double are noise there.
+AMOUNT_DIGITS = 4
 DIGITS = 6
+NUDGE = 1e-9
 
 # Centroids in scaled (recency, frequency, monetary); cluster 0 is risky.
 CENTROIDS = {0: (2.0, -1.0, -0.8), 1: (-0.2, -0.4, -0.4), 2: (-0.3, 1.0, 1.0)}
@@ -61,10 +64,16 @@ def all_queries() -> dict[str, Query]:
     return dict(_registry)
 
 
-def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
-    """Doubles rounded, with no negative zero."""
+def rounded(df: DataFrame, digits: int = AMOUNT_DIGITS) -> DataFrame:
+    """Doubles rounded, with no negative zero.
+
+    Means of cents often end in an exact half of the last digit; a tiny shift sends
+    those the same way whatever order the engine summed in.
+    """
     doubles = [c for c, t in df.dtypes if t == "double"]
-    return replace_columns(df, {c: f"round({sql.name(c)}, {digits}) + 0D" for c in doubles})
+    return replace_columns(
+        df, {c: f"round({sql.name(c)} + {NUDGE}D, {digits}) + 0D" for c in doubles}
+    )
 
 
 # --- shared inputs ----------------------------------------------------------
@@ -73,11 +82,9 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 def labelled_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customer, features, RFM, cluster and label by the fixed centroids.
 
-    The grouping is stored; the label is an expression over the stored table.
+    All of it is an expression over the stored grouping of the transactions.
     """
-    summary = feat.features_and_rfm(tx_orders(spark, sf_dir))
-    exact = rounded(summary.select(CUSTOMER_ID, *FEATURES, *RFM))
-    customers = stage(exact, "customers")
+    customers = rounded(feat.features_and_rfm(tx_orders(spark, sf_dir)))
     return label.flag_high_risk(fixed_clusters(customers)).drop(*label.SCALED)
 
 
@@ -302,7 +309,7 @@ def describe_categorical(spark, sf_dir):
 
 @query
 def missing_report(spark, sf_dir):
-    return rounded(profile.missing_report(tx_orders_missing(spark, sf_dir)))
+    return rounded(profile.missing_report(tx_orders_missing(spark, sf_dir)), DIGITS)
 
 
 @query
@@ -317,14 +324,14 @@ def value_counts(spark, sf_dir):
 
 @query
 def correlation_matrix(spark, sf_dir):
-    return rounded(profile.correlation_matrix(tx_orders_missing(spark, sf_dir)))
+    return rounded(profile.correlation_matrix(tx_orders_missing(spark, sf_dir)), DIGITS)
 
 
 @query
 def redundant_pairs(spark, sf_dir):
     """Correlated pairs among the customer features."""
     table = stage(feat.customer_features(tx_orders(spark, sf_dir)), "customers")
-    return rounded(profile.redundant_pairs(table.select(*FEATURES), threshold=0.5))
+    return rounded(profile.redundant_pairs(table.select(*FEATURES), threshold=0.5), DIGITS)
 
 
 @query
@@ -334,7 +341,7 @@ def constant_columns(spark, sf_dir):
 
 @query
 def class_balance(spark, sf_dir):
-    return rounded(profile.class_balance(tx_orders(spark, sf_dir), FRAUD))
+    return rounded(profile.class_balance(tx_orders(spark, sf_dir), FRAUD), DIGITS)
 
 
 @query
@@ -396,7 +403,7 @@ def _encoder(table: DataFrame):
 
 @query
 def woe_fit(spark, sf_dir):
-    return rounded(_encoder(features_label(spark, sf_dir)).table())
+    return rounded(_encoder(features_label(spark, sf_dir)).table(), DIGITS)
 
 
 @query
@@ -404,13 +411,13 @@ def woe_fit_categories(spark, sf_dir):
     """Transactions by category and channel against the fraud flag, gaps as a category."""
     tx = tx_orders_missing(spark, sf_dir)
     encoder = WoeEncoder(categoryCols=["ProductCategory", "ChannelId", "ProductId"], labelCol=FRAUD)
-    return rounded(encoder.fit(tx).table())
+    return rounded(encoder.fit(tx).table(), DIGITS)
 
 
 @query
 def woe_transform(spark, sf_dir):
     table = features_label(spark, sf_dir)
-    return rounded(_encoder(table).transform(table).drop(LABEL))
+    return rounded(_encoder(table).transform(table).drop(LABEL), DIGITS)
 
 
 @query
@@ -418,20 +425,20 @@ def woe_transform_categories(spark, sf_dir):
     tx = tx_orders_missing(spark, sf_dir)
     names = ["ProductCategory", "ChannelId", "ProductId"]
     model = WoeEncoder(categoryCols=names, labelCol=FRAUD).fit(tx)
-    return rounded(model.transform(tx.select("TransactionId", *names)))
+    return rounded(model.transform(tx.select("TransactionId", *names)), DIGITS)
 
 
 @query
 def standardized_features(spark, sf_dir):
     table = features_label(spark, sf_dir).drop(LABEL)
-    return rounded(standardize(table, FEATURES))
+    return rounded(standardize(table, FEATURES), DIGITS)
 
 
 @query
 def model_features(spark, sf_dir):
     """Aggregation, weight of evidence and scaling in turn."""
     table = features_label(spark, sf_dir)
-    return rounded(fit_encoding(table).transform(table).drop(LABEL))
+    return rounded(fit_encoding(table).transform(table).drop(LABEL), DIGITS)
 
 
 # --- label --------------------------------------------------------------------
@@ -490,7 +497,7 @@ def class_counts(spark, sf_dir):
 @query
 def balanced_weights(spark, sf_dir):
     table = labelled_customers(spark, sf_dir).select(CUSTOMER_ID, LABEL)
-    return rounded(split.balanced_weights(table))
+    return rounded(split.balanced_weights(table), DIGITS)
 
 
 # --- metrics --------------------------------------------------------------------
@@ -498,22 +505,22 @@ def balanced_weights(spark, sf_dir):
 
 @query
 def roc_auc(spark, sf_dir):
-    return rounded(metrics.roc_auc(stage(model_scores(spark, sf_dir), "scores")))
+    return rounded(metrics.roc_auc(stage(model_scores(spark, sf_dir), "scores")), DIGITS)
 
 
 @query
 def binary_metrics(spark, sf_dir):
-    return rounded(metrics.binary_metrics(model_scores(spark, sf_dir)))
+    return rounded(metrics.binary_metrics(model_scores(spark, sf_dir)), DIGITS)
 
 
 @query
 def classification_report(spark, sf_dir):
-    return rounded(metrics.classification_report(model_scores(spark, sf_dir)))
+    return rounded(metrics.classification_report(model_scores(spark, sf_dir)), DIGITS)
 
 
 @query
 def model_comparison(spark, sf_dir):
-    return rounded(metrics.model_comparison(stage(model_scores(spark, sf_dir), "scores")))
+    return rounded(metrics.model_comparison(stage(model_scores(spark, sf_dir), "scores")), DIGITS)
 
 
 @query
@@ -524,7 +531,7 @@ def best_run(spark, sf_dir):
     entries = [x for m in names for x in (F.lit(m), F.col(m))]
     runs = compared.select(F.col("model").alias("run_name"), F.create_map(*entries).alias("metrics"))
     best = metrics.best_run(runs)
-    return rounded(best.select("run_name", F.col("metrics")["roc_auc"].alias("roc_auc")))
+    return rounded(best.select("run_name", F.col("metrics")["roc_auc"].alias("roc_auc")), DIGITS)
 
 
 # --- classifiers and scoring ------------------------------------------------------
@@ -544,7 +551,7 @@ def _evaluated(spark: SparkSession, sf_dir: str, family, tuned: bool) -> DataFra
     compared = metrics.model_comparison(stage(scored([fitted], data.test), "scores"))
     if tuned:
         compared = compared.withColumn("cv_roc_auc", F.lit(fitted.cv_roc_auc))
-    return rounded(compared)
+    return rounded(compared, DIGITS)
 
 
 @query
@@ -590,16 +597,16 @@ def _fitted_logistic(spark: SparkSession, sf_dir: str):
 def class_probability(spark, sf_dir):
     """Score and prediction of every test customer."""
     data, fitted, _, _ = _fitted_logistic(spark, sf_dir)
-    return rounded(predict(fitted.model, data.test, fitted.name, keep=[CUSTOMER_ID]))
+    return rounded(predict(fitted.model, data.test, fitted.name, keep=[CUSTOMER_ID]), DIGITS)
 
 
 @query
 def score_transactions_batch(spark, sf_dir):
     _, _, encoder, classifier = _fitted_logistic(spark, sf_dir)
-    return rounded(score_transactions(tx_orders(spark, sf_dir).drop(FRAUD), encoder, classifier))
+    return rounded(score_transactions(tx_orders(spark, sf_dir).drop(FRAUD), encoder, classifier), DIGITS)
 
 
 @query
 def score_payloads_batch(spark, sf_dir):
     _, _, encoder, classifier = _fitted_logistic(spark, sf_dir)
-    return rounded(score_payloads(requests(spark, sf_dir), encoder, classifier))
+    return rounded(score_payloads(requests(spark, sf_dir), encoder, classifier), DIGITS)
