@@ -25,19 +25,28 @@ MAX_RANKED = 500_000
 
 @dataclass
 class _Bracket:
-    """Values of ``column`` in [lo, hi] that contain the order statistics ``ranks``."""
+    """Values of ``column`` between lo and hi, around the order statistics ``ranks``.
+
+    The ends are counted apart from what lies between them, so a value that many rows
+    share drops out as soon as it is an end.
+    """
 
     column: str
     lo: float
     hi: float
     ranks: set[int] = field(default_factory=set)
-    below: int = 0
+    below: int = 0  # rows before the first one strictly inside
     inside: int = 0
     distinct: int = 0
 
     def holds(self, value: str | None = None) -> str:
         value = value or sql.name(self.column)
-        return f"{value} between {sql.number(self.lo)} and {sql.number(self.hi)}"
+        ends = [f"{value} is not null"]  # an open end takes infinite values in
+        if self.lo > -math.inf:
+            ends.append(f"{value} > {sql.number(self.lo)}")
+        if self.hi < math.inf:
+            ends.append(f"{value} < {sql.number(self.hi)}")
+        return f"({' and '.join(ends)})"
 
 
 def _position(n: int, p: float) -> tuple[int, float]:
@@ -92,76 +101,81 @@ def _sketch_brackets(df, columns, probabilities, accuracy):
     return counts, brackets
 
 
-def _merge(brackets: list[_Bracket]) -> list[_Bracket]:
-    """Overlapping brackets of a column become one, so that a value has one bracket."""
-    merged: list[_Bracket] = []
-    for b in sorted(brackets, key=lambda b: (b.column, b.lo, b.hi)):
-        last = merged[-1] if merged else None
-        if last and last.column == b.column and b.lo <= last.hi:
-            last.hi = max(last.hi, b.hi)
-            last.ranks |= b.ranks
-        else:
-            merged.append(_Bracket(b.column, b.lo, b.hi, set(b.ranks)))
-    return merged
+def _locate(
+    df: DataFrame, brackets: list[_Bracket], found: dict[tuple[str, int], float]
+) -> tuple[list[_Bracket], list[_Bracket]]:
+    """Count the brackets exactly, all in one pass.
 
-
-def _count_brackets(df: DataFrame, brackets: list[_Bracket]) -> None:
+    Ranks that fall on an end are found. Returns the brackets with the ranks strictly
+    inside, and new ones to the left or right for ranks the sketch missed.
+    """
     row = df.selectExpr(
         *[
-            f"struct(count_if({sql.name(b.column)} < {sql.number(b.lo)}) as below, "
+            f"struct(count_if({v} < {lo}) as below, count_if({v} = {lo} and not {b.holds()}) as at_lo, "
             f"count_if({b.holds()}) as inside, "
-            f"approx_count_distinct(if({b.holds()}, {sql.name(b.column)}, null)) as n) as b{i}"
+            f"count_if({v} = {hi} and {hi} > {lo} and not {b.holds()}) as at_hi, "
+            f"approx_count_distinct(if({b.holds()}, {v}, null)) as n) as b{i}"
             for i, b in enumerate(brackets)
+            for v, lo, hi in ((sql.name(b.column), sql.number(b.lo), sql.number(b.hi)),)
         ]
     ).first()
-    for b, found in zip(brackets, row):
-        b.below, b.inside, b.distinct = found["below"], found["inside"], found["n"]
-
-
-def _narrow(df, brackets: list[_Bracket], accuracy: int, margin: float) -> list[_Bracket]:
-    """Brackets around each rank again, inside the given ones."""
-    aggregates, wanted = [], []
-    for b in brackets:
-        for rank in sorted(b.ranks):
-            p = (rank - b.below) / max(b.inside - 1, 1)
-            probes = [max(p - margin, 0.0), min(p + margin, 1.0)]
-            inside = f"if({b.holds()}, {sql.name(b.column)}, null)"
-            at = f"array({', '.join(map(sql.number, probes))}), {accuracy}"
-            aggregates.append(f"percentile_approx({inside}, {at}) as q{len(wanted)}")
-            wanted.append((b, rank, p))
-    row = df.selectExpr(*aggregates).first()
-    result = []
-    for i, (b, rank, p) in enumerate(wanted):
-        lo = b.lo if p - margin <= 0 else row[f"q{i}"][0]
-        hi = b.hi if p + margin >= 1 else row[f"q{i}"][1]
-        result.append(_Bracket(b.column, lo, hi, {rank}))
-    return result
+    kept, missed = [], []
+    for b, counts in zip(brackets, row):
+        starts = [counts["below"]]
+        for part in ("at_lo", "inside", "at_hi"):
+            starts.append(starts[-1] + counts[part])
+        left = {r for r in b.ranks if r < starts[0]}
+        right = {r for r in b.ranks if r >= starts[3]}
+        missed += [_Bracket(b.column, -math.inf, b.lo, left)] if left else []
+        missed += [_Bracket(b.column, b.hi, math.inf, right)] if right else []
+        found.update({(b.column, r): b.lo for r in b.ranks if starts[0] <= r < starts[1]})
+        found.update({(b.column, r): b.hi for r in b.ranks if starts[2] <= r < starts[3]})
+        within = {r for r in b.ranks if starts[1] <= r < starts[2]}
+        if within:
+            kept.append(
+                _Bracket(b.column, b.lo, b.hi, within, starts[1], counts["inside"], counts["n"])
+            )
+    return kept, missed
+
 
+def _narrow(
+    df: DataFrame, brackets: list[_Bracket], accuracy: int, margin: float
+) -> list[_Bracket]:
+    """Brackets around each rank again, inside the given ones.
 
-def _around_misses(b: _Bracket) -> list[_Bracket]:
-    """The sketch missed a rank: look for it on its side of the bracket."""
-    left = {r for r in b.ranks if r < b.below}
-    right = {r for r in b.ranks if r >= b.below + b.inside}
-    parts = [
-        _Bracket(b.column, -math.inf, b.lo, left),
-        _Bracket(b.column, b.lo, b.hi, b.ranks - left - right),
-        _Bracket(b.column, b.hi, math.inf, right),
+    What is left strictly inside is about twice ``margin`` of the rows before.
+    """
+    wanted = [(b, r, (r - b.below) / max(b.inside - 1, 1)) for b in brackets for r in b.ranks]
+    row = df.selectExpr(
+        *[
+            f"percentile_approx(if({b.holds()}, {sql.name(b.column)}, null), "
+            f"array({sql.number(max(p - margin, 0))}, {sql.number(min(p + margin, 1))}), "
+            f"{accuracy}) as q{i}"
+            for i, (b, _, p) in enumerate(wanted)
+        ]
+    ).first()
+    return [
+        _Bracket(
+            b.column,
+            b.lo if p - margin <= 0 else row[i][0],
+            b.hi if p + margin >= 1 else row[i][1],
+            {r},
+        )
+        for i, (b, r, p) in enumerate(wanted)
     ]
-    return [p for p in parts if p.ranks]
 
 
 def _pick(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
     """Rank the values inside the brackets and read off the wanted ones."""
-    cases = " ".join(
-        f"when feature = {sql.text(b.column)} and {b.holds('value')} then {i}"
+    slots = ", ".join(
+        f"if(feature = {sql.text(b.column)} and {b.holds('value')}, {i}, null)"
         for i, b in enumerate(brackets)
     )
     columns = list(dict.fromkeys(b.column for b in brackets))
     inside = (
         df.select(*columns)
         .unpivot([], columns, "feature", "value")
-        .selectExpr(f"case {cases} end as slot", "value")
-        .filter("slot is not null")
+        .selectExpr("value", f"explode(array_compact(array({slots}))) as slot")
         .groupBy("slot", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
@@ -210,18 +224,10 @@ def exact_quantiles(
     pending = [b for b in pending if b.column not in small]
     margin = 2.0 / accuracy
     while pending:
-        pending = _merge(pending)
-        _count_brackets(df, pending)
-        too_big, missed = [], []
-        for b in pending:
-            if any(not b.below <= r < b.below + b.inside for r in b.ranks):
-                missed += _around_misses(b)
-            elif b.lo == b.hi:
-                found.update({(b.column, r): b.lo for r in b.ranks})
-            elif b.distinct <= max_ranked or margin > 0.25:
-                ready.append(b)
-            else:
-                too_big.append(b)
+        kept, missed = _locate(df, pending, found)
+        small_enough = [b for b in kept if b.distinct <= max_ranked or margin > 0.2]
+        ready += small_enough
+        too_big = [b for b in kept if b not in small_enough]
         if missed:
             margin *= 2
         pending = missed + (_narrow(df, too_big, accuracy, margin) if too_big else [])
