@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from riskframe.functions import sql
 
-SCORE_BUCKETS = 256
+SCORE_BUCKETS = 1_024
 METRICS = ("accuracy", "precision", "recall", "f1")
 
 

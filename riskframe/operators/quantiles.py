@@ -167,15 +167,19 @@ def _narrow(
 
 def _pick(df: DataFrame, brackets: list[_Bracket]) -> dict[tuple[str, int], float]:
     """Rank the values inside the brackets and read off the wanted ones."""
-    slots = ", ".join(
-        f"if(feature = {sql.text(b.column)} and {b.holds('value')}, {i}, null)"
-        for i, b in enumerate(brackets)
-    )
     columns = list(dict.fromkeys(b.column for b in brackets))
+    tests = [f"feature = {sql.text(b.column)} and {b.holds('value')}" for b in brackets]
+    if len(columns) == len(brackets):
+        cases = " ".join(f"when {t} then {i}" for i, t in enumerate(tests))
+        slot = f"case {cases} end as slot"
+    else:  # brackets of a column may overlap, so a value may count in several
+        slots = ", ".join(f"if({t}, {i}, null)" for i, t in enumerate(tests))
+        slot = f"explode(array_compact(array({slots}))) as slot"
     inside = (
         df.select(*columns)
         .unpivot([], columns, "feature", "value")
-        .selectExpr("value", f"explode(array_compact(array({slots}))) as slot")
+        .selectExpr("value", slot)
+        .filter("slot is not null")
         .groupBy("slot", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
