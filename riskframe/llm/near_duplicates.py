@@ -9,10 +9,10 @@
    similarity (uniform prior) is asked for P(similarity >= threshold); below ``miss`` the
    pair is dropped. Survivors are verified on their full sets.
 4. Components of the verified links. Buckets whose members then lie in several
-   components are compared in full, in square blocks of bounded size: members outside
-   the bucket's largest component against all members, pairs within one component left
-   out. Only survivors of step 3 leave a block. So no pair of a bucket goes untested
-   unless its ends are already linked.
+   components are compared in full, in blocks of bounded bytes: members outside the
+   bucket's largest component against all members, pairs within one component left out.
+   A block applies step 3 and returns links, no candidates. So no pair of a bucket goes
+   untested unless its ends are already linked.
 5. Components of all links; the least id of each names it.
 
 The bands find a pair at the threshold but for (1 - t^rows)^bands: 2e-5 at 0.75.
@@ -44,7 +44,7 @@ BANDS = 40
 HASHES = ROWS * BANDS
 BATCH = 40
 MISS = 1e-5
-BLOCK = 512
+BLOCK = 4 << 20
 BLOOM_BITS = 1 << 24
 
 _FACTORS = (W.randoms(HASHES, 9) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
@@ -196,68 +196,85 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sides.select("a", "b", "s_a", "s_b").mapInArrow(run, "a long, b long")
 
 
-def _block_pairs(members: DataFrame, classes: DataFrame, labels: DataFrame, bounds, block: int) -> DataFrame:
-    """Likely pairs across components, of buckets that hold several components."""
-    placed = (
+def _block_links(members: DataFrame, classes: DataFrame, labels: DataFrame, sets: DataFrame, percent: int, miss: float, block: int) -> DataFrame:
+    """Links across components, of buckets that hold several components.
+
+    A bucket's members are dealt into blocks of about ``block`` bytes, and every block of
+    members outside the largest component meets every block. A pair is looked at in the
+    first band it shares; if that bucket is left out here, its hub or its component has
+    settled the pair already. Of a member's links into one component one is returned.
+    """
+    bounds = least_matches(percent, miss)
+    placed = stored(
         members.filter((F.col("size") > 2) & (F.col("rep") != F.col("hub")))
-        .select("bucket", "rep")
+        .select("bucket", "band", "rep", "weight")
         .join(labels.select(F.col("node").alias("rep"), "label"), "rep", "left")
-        .select("bucket", "rep", F.coalesce("label", "rep").alias("component"))
+        .select("bucket", "band", "rep", "weight", F.coalesce("label", "rep").alias("component")),
+        "placed",
     )
-    per_component = placed.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-    mixed = (
+    per_component = placed.groupBy("bucket", "component").agg(F.sum("weight").alias("w"))
+    mixed = stored(
         per_component.groupBy("bucket")
-        .agg(
-            F.max(F.struct("n", "component")).alias("largest"),
-            F.sum("n").alias("total"),
+        .agg(F.max(F.struct("w", "component")).alias("largest"), F.sum("w").alias("total"))
+        .select(
+            "bucket",
+            F.col("largest.component").alias("bulk"),
+            F.ceil((F.col("total") - F.col("largest.w")) / block).cast("int").alias("n_i"),
+            F.ceil(F.col("total") / block).cast("int").alias("n_j"),
         )
-        .select("bucket", "largest", "total", (F.col("total") - F.col("largest.n")).alias("outside"))
-        .filter("outside > 0")
+        .filter("n_i > 0"),
+        "mixed",
     )
     rows = (
         placed.join(mixed, "bucket")
         .join(classes.select("rep", "signature"), "rep")
-        .select(
-            "bucket",
-            "rep",
-            "component",
-            "signature",
-            (F.col("component") != F.col("largest.component")).alias("out"),
-            F.ceil(F.col("outside") / block).cast("int").alias("n_i"),
-            F.ceil(F.col("total") / block).cast("int").alias("n_j"),
-            F.xxhash64("rep").alias("h"),
-        )
+        .join(sets.select(F.col("id").alias("rep"), "shingles"), "rep")
+        .withColumn("out", F.col("component") != F.col("bulk"))
+    )
+    own, i, j = F.xxhash64("rep"), F.sequence(F.lit(0), F.col("n_i") - 1), F.sequence(F.lit(0), F.col("n_j") - 1)
+    # each row goes to its own line of blocks as an outsider, and across all lines as a member
+    as_left = F.when(
+        F.col("out"),
+        F.transform(j, lambda x: F.struct(F.pmod(own, "n_i").cast("int").alias("i"), x.alias("j"), F.lit(True).alias("left"))),
+    ).otherwise(F.array().cast("array<struct<i: int, j: int, left: boolean>>"))
+    as_right = F.transform(
+        i, lambda x: F.struct(x.alias("i"), F.pmod(own, "n_j").cast("int").alias("j"), F.lit(False).alias("left"))
+    )
+    dealt = rows.withColumn("cell", F.explode(F.concat(as_left, as_right))).select(
+        "bucket", "cell.i", "cell.j", "cell.left", "band", "rep", "component", "out", "signature", "shingles"
     )
-    one = F.expr("explode(if(out, sequence(0, n_j - 1), cast(array() as array<int>)))")
-    left = rows.filter("out").select(
-        "bucket", F.pmod("h", "n_i").cast("int").alias("i"), one.alias("j"), F.lit(True).alias("left"),
-        "rep", "component", "out", "signature",
-    )
-    right = rows.select(
-        "bucket", F.expr("explode(sequence(0, n_i - 1))").alias("i"), F.pmod("h", "n_j").cast("int").alias("j"),
-        F.lit(False).alias("left"), "rep", "component", "out", "signature",
-    )
 
     def compare(group: pa.Table) -> pa.Table:
-        side = group.column("left").to_numpy()
-        ids = group.column("rep").to_numpy()
-        component = group.column("component").to_numpy()
-        out = group.column("out").to_numpy()
+        group = group.combine_chunks()
+        side, ids, component, out = (group.column(c).to_numpy() for c in ("left", "rep", "component", "out"))
         signature = _matrix(group.column("signature").combine_chunks())
-        p, q = np.flatnonzero(side), np.flatnonzero(~side)
-        a, b = (x.ravel() for x in np.meshgrid(p, q, indexing="ij"))
-        # two outsiders meet twice, once from either side
-        held = (component[a] != component[b]) & (~out[b] | (ids[a] < ids[b]))
-        a, b = a[held], b[held]
-        keep = np.concatenate(
-            [likely(signature[a[k : k + 8192]], signature[b[k : k + 8192]], bounds) for k in range(0, len(a), 8192)]
-            or [np.zeros(0, bool)]
-        )
-        a, b = ids[a[keep]], ids[b[keep]]
+        sets = [np.frombuffer(x.as_buffer(), np.uint64) for x in group.column("shingles")]
+        before = group.column("band")[0].as_py() * ROWS
+        right = np.flatnonzero(~side)
+        links = []
+        for p in np.flatnonzero(side):
+            # two outsiders meet twice, once from either side
+            q = right[(component[right] != component[p]) & (~out[right] | (ids[p] < ids[right]))]
+            same = (signature[q, :before] == signature[p, :before]).reshape(len(q), -1, ROWS)
+            q = q[~same.all(axis=2).any(axis=1)]
+            q = q[likely(np.broadcast_to(signature[p], (len(q), HASHES)), signature[q], bounds)]
+            if not len(q):
+                continue
+            sizes = np.array([len(sets[x]) for x in q])
+            both = np.add.reduceat(is_in(np.concatenate([sets[x] for x in q]), sets[p]), np.cumsum(sizes) - sizes)
+            q = q[100 * both >= percent * (len(sets[p]) + sizes - both)]
+            _, first = np.unique(component[q], return_index=True)
+            links += [(ids[p], ids[x]) for x in q[first]]
+        a, b = np.array(links, np.int64).reshape(-1, 2).T
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    both = left.union(right)
-    return both.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long").distinct()
+    return dealt.groupBy("bucket", "i", "j").applyInArrow(compare, "a long, b long")
+
+
+def is_in(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    """1 for each key that is in a sorted table, else 0."""
+    at = np.minimum(np.searchsorted(table, keys), len(table) - 1)
+    return (table[at] == keys).astype(np.int64)
 
 
 def near_duplicates(
@@ -279,7 +296,8 @@ def near_duplicates(
         "classes",
     )
     band = F.expr(f"transform(sequence(0, {BANDS - 1}), b -> xxhash64(b, slice(signature, b * {ROWS} + 1, {ROWS})))")
-    banded = classes.select("rep", F.explode(band).alias("bucket"))
+    weight = (8 * F.col("n_shingles") + 4 * HASHES).alias("weight")
+    banded = classes.select("rep", weight, F.posexplode(band).alias("band", "bucket"))
     hubs = banded.groupBy("bucket").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("size")).filter("size > 1")
     members = stored(banded.join(hubs, "bucket"), "members")
 
@@ -290,7 +308,7 @@ def near_duplicates(
     star = members.filter("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     links = stored(_verified(_prune_pairs(star, classes, bounds), sets, percent), "links")
     labels = components(links)
-    rest = stored(_verified(_block_pairs(members, classes, labels, bounds, block), sets, percent), "links")
+    rest = stored(_block_links(members, classes, labels, sets, percent, miss, block), "links")
     labels = components(links.union(rest))
 
     ends = classes.select("f1", "f2", "n_shingles", "rep").join(

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import decontamination, near_duplicates, quality_rules
+from riskframe.llm import byte_bpe, chat, decontamination, near_duplicates, quality_rules, secrets, sharding, subword_classifier, toxicity, warc
 from riskframe.llm.frames import stored, table
 from riskframe.llm.shipping import ship
 
@@ -67,3 +67,110 @@ def op5_benchmark_decontamination(spark, sf_dir):
 @query
 def op6_minhash_near_dedup(spark, sf_dir):
     return near_duplicates.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def encoded_digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """Per row: doc_id, n_tokens, and digests of the ids and of the bytes they decode to."""
+    vocabulary = byte_bpe.read_ranks(ranks)
+    coded = byte_bpe.encode(docs.select("doc_id", "text"), vocabulary, pattern)
+    back = byte_bpe.decode(coded, vocabulary, pattern)
+    return back.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op2_secret_scans(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs).drop("text")
+
+    def of(kind: str):
+        return F.filter("secrets", lambda x: x["kind"] == kind)
+
+    base = F.filter("secrets", lambda x: x["rank"] < 3)
+    return found.select(
+        "doc_id",
+        *[F.size(of(k)).cast("long").alias(f"n_{k}") for k in secrets.KINDS],
+        F.sha2(secrets.as_text(base).cast("binary"), 256).alias("base_sha256"),
+        secrets.as_text(F.col("secrets")).alias("spans"),
+    )
+
+
+def _control_conversation(spark: SparkSession) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    rows = [(-7, 0, "user", said), (-7, 1, "assistant", said)]
+    return spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+
+
+@query
+def op3_chat_formatting(spark, sf_dir):
+    """Turns of ``conversations`` as JSON records of six layouts, dealt by a hash."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    messages = F.struct(F.array(F.struct(role.alias("role"), text.alias("content"))).alias("messages"))
+    speakers = F.struct(F.array(F.struct(role.alias("from"), text.alias("value"))).alias("conversations"))
+    plain = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(3))
+    record = (
+        F.when((plain == 0) & (role == "user"), F.to_json(F.struct(text.alias("prompt"))))
+        .when((plain == 0) & (role == "assistant"), F.to_json(F.struct(text.alias("completion"))))
+        .when((plain == 0) & (role == "system"), F.to_json(F.struct(text.alias("system"))))
+        .when((plain == 1) & ~role.isin("human", "gpt", "bot"), F.to_json(speakers))
+        .otherwise(F.to_json(messages))
+    )
+    records = turns.unionByName(_control_conversation(spark)).select("conv_id", "turn", "role", record.alias("record"))
+    shaped = chat.formatted(chat.canonical_turns(records).drop("record"))
+    return chat.read_back(shaped, "conv_id", ["turn", "role"])
+
+
+@query
+def op8_warc(spark, sf_dir):
+    archives = warc.archive(table(spark, sf_dir, "pages"))
+    return warc.read_archives(archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+@query
+def op9_sharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return sharding.shard_rows(docs, 40).select(
+        F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard"
+    )
+
+
+@query
+def op10_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents")
+    return encoded_digests(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+def _scored(spark: SparkSession, sf_dir: str, label: str, fit, least: float) -> DataFrame:
+    """Scores of all documents by a model that has seen labels of two thirds of the ids."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", label)
+    out = ~subword_classifier.held_out()
+    model = fit(docs.filter(out), labels.filter(out))
+    return subword_classifier.score(docs, model).select(
+        "doc_id",
+        subword_classifier.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= least).cast("int").alias("predicted"),
+    )
+
+
+@query
+def op1_toxicity(spark, sf_dir):
+    return _scored(spark, sf_dir, "toxic", toxicity.fit, 0.7)
+
+
+@query
+def op7_quality_classifier(spark, sf_dir):
+    def fit(docs, labels):
+        return subword_classifier.fit(docs.join(labels, "doc_id"))
+
+    return _scored(spark, sf_dir, "quality", fit, 0.5)
