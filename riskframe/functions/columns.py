@@ -53,6 +53,11 @@ def replace_columns(df: DataFrame, changed: Mapping[str, str]) -> DataFrame:
     return df.selectExpr(*kept, *new)
 
 
+def doubles(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Only the given columns, as double, NaN as null."""
+    return df.selectExpr(*[f"{sql.as_double(c)} as {sql.name(c)}" for c in columns])
+
+
 def melt(
     df: DataFrame,
     columns: Sequence[str],
@@ -64,6 +69,9 @@ def melt(
     """One row per (row, column), all values cast to one type."""
     typed = df.selectExpr(
         *[sql.name(k) for k in keys],
-        *[f"cast({sql.name(c)} as {as_type}) as {sql.name(c)}" for c in columns],
+        *[
+            f"{sql.as_double(c) if as_type == 'double' else f'cast({sql.name(c)} as {as_type})'} as {sql.name(c)}"
+            for c in columns
+        ],
     )
     return typed.unpivot(list(keys), list(columns), name, value)

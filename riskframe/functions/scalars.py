@@ -18,11 +18,11 @@ def nan_to_null(c: Column | str) -> Column:
 
 
 def clamp(c: Column | str, lower: Column | float, upper: Column | float) -> Column:
-    """``c`` held inside [lower, upper]; a missing value stays missing.
+    """``c`` held inside [lower, upper]; a missing value (null or NaN) is null.
 
     ``greatest``/``least`` skip nulls and would turn a missing value into a bound.
     """
-    c = _col(c).cast("double")
+    c = nan_to_null(_col(c).cast("double"))
     lo = lower if isinstance(lower, Column) else F.lit(float(lower))
     hi = upper if isinstance(upper, Column) else F.lit(float(upper))
     return F.when(c < lo, lo).when(c > hi, hi).otherwise(c)
@@ -54,10 +54,10 @@ def lenient_timestamp(c: Column | str, formats: Sequence[str] = ()) -> Column:
     return F.coalesce(*parsed) if len(parsed) > 1 else parsed[0]
 
 
-def strict_timestamp(c: Column | str) -> Column:
+def strict_timestamp(c: Column | str, formats: Sequence[str] = ()) -> Column:
     """Text to timestamp; text that does not parse fails the job (null stays null)."""
     c = _col(c)
-    parsed = c.try_cast("timestamp_ntz")
+    parsed = lenient_timestamp(c, formats)
     bad = c.isNotNull() & parsed.isNull()
     message = F.concat(F.lit("not a timestamp: "), c.cast("string"))
     return F.when(bad, F.raise_error(message).cast("timestamp_ntz")).otherwise(parsed)

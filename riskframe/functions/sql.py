@@ -23,6 +23,8 @@ def number(value: float | None) -> str:
     if value is None:
         return "cast(null as double)"
     value = float(value)
+    if math.isnan(value):
+        return "double('NaN')"
     if math.isinf(value):
         return f"double('{'-' if value < 0 else ''}Infinity')"
     return f"{value!r}D"
@@ -42,4 +44,5 @@ def literal(value) -> str:
 
 
 def as_double(column: str) -> str:
-    return f"cast({name(column)} as double)"
+    """The column as double, NaN as null: there is one marker for a missing number."""
+    return f"nullif(cast({name(column)} as double), double('NaN'))"

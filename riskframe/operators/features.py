@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions import scalars as S
@@ -42,25 +42,28 @@ def with_timestamp(
     if dict(df.dtypes)[timestamp_col] == "timestamp_ntz":
         return df
     if on_bad_timestamp == "raise":
-        parsed = S.strict_timestamp(timestamp_col)
+        parsed = S.strict_timestamp(timestamp_col, formats)
     else:
         parsed = S.lenient_timestamp(timestamp_col, formats)
     return df.withColumn(timestamp_col, parsed)
 
 
-def drop_undated(
-    df: DataFrame, timestamp_col: str = START_TIME, observation: Observation | None = None
-) -> DataFrame:
-    """Rows with a time. ``observation`` receives ``rows`` and ``dropped`` from the same pass."""
-    if observation is not None:
-        df = df.observe(
-            observation,
-            F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col(timestamp_col).isNull()).alias("dropped"),
-        )
+def drop_undated(df: DataFrame, timestamp_col: str = START_TIME) -> DataFrame:
+    """Rows with a time."""
     return df.filter(F.col(timestamp_col).isNotNull())
 
 
+def undated_rows(
+    df: DataFrame, timestamp_col: str = START_TIME, formats: Sequence[str] = ()
+) -> DataFrame:
+    """One row: how many rows there are, and how many ``drop_undated`` leaves out."""
+    read = with_timestamp(df, timestamp_col, formats=formats)
+    return read.agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col(timestamp_col).isNull()).alias("n_dropped"),
+    )
+
+
 def _feature_aggregates(
     timestamp_col: str, exact_distinct: bool, only_dated: bool = False
 ) -> list[Column]:
@@ -106,17 +109,17 @@ def customer_features(
     keys: Sequence[str] = (),
     exact_distinct: bool = True,
     on_bad_timestamp: str = "null",
-    observation: Observation | None = None,
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """One feature row per customer, from the rows that have a readable time.
 
     With ``target_col`` the customer's greatest target is added from the same
     aggregation. ``keys`` are grouped on beside the customer (a request id, say).
-    Rows without a customer are left out.
+    Rows without a customer are left out. ``formats`` are date patterns tried after ISO.
     """
     require_columns(df, customer_id_col, timestamp_col)
     dated = drop_undated(
-        with_timestamp(df, timestamp_col, on_bad_timestamp), timestamp_col, observation
+        with_timestamp(df, timestamp_col, on_bad_timestamp, formats), timestamp_col
     )
     aggregates = _feature_aggregates(timestamp_col, exact_distinct)
     if target_col is not None:
@@ -155,25 +158,27 @@ def rfm(
     timestamp_col: str = START_TIME,
     amount_col: str = AMOUNT,
     on_bad_timestamp: str = "raise",
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """Recency (days), frequency (rows) and monetary (sum) of each customer.
 
     The snapshot is the day after the latest time in the whole table, rows without
-    a customer included.
+    a customer included. The grouping is stored, so the transactions are scanned once.
     """
     require_columns(df, customer_id_col, timestamp_col, amount_col)
-    dated = with_timestamp(df, timestamp_col, on_bad_timestamp)
-    latest = dated.agg(F.max(timestamp_col).alias("_latest"))
-    summary = (
-        dated.filter(F.col(customer_id_col).isNotNull())
-        .groupBy(customer_id_col)
-        .agg(
+    dated = with_timestamp(df, timestamp_col, on_bad_timestamp, formats)
+    # Rows without a customer form one more group, only for the latest time.
+    summary = stage(
+        dated.groupBy(customer_id_col).agg(
             F.max(timestamp_col).alias("_last"),
             F.count(F.lit(1)).alias("Frequency"),
             F.coalesce(F.sum(amount_col), F.lit(0.0)).alias("Monetary"),
-        )
+        ),
+        "rfm",
     )
-    return _with_recency(summary, latest, sql.name(customer_id_col))
+    latest = summary.agg(F.max("_last").alias("_latest"))
+    known = summary.filter(F.col(customer_id_col).isNotNull())
+    return _with_recency(known, latest, sql.name(customer_id_col))
 
 
 def features_and_rfm(
@@ -182,6 +187,7 @@ def features_and_rfm(
     timestamp_col: str = START_TIME,
     exact_distinct: bool = True,
     on_bad_timestamp: str = "raise",
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """Features and RFM of each customer from one pass over the transactions.
 
@@ -191,7 +197,7 @@ def features_and_rfm(
     is left out.
     """
     require_columns(df, customer_id_col, timestamp_col)
-    dated = with_timestamp(df, timestamp_col, on_bad_timestamp)
+    dated = with_timestamp(df, timestamp_col, on_bad_timestamp, formats)
     customer = sql.name(customer_id_col)
     # Rows without a customer form one more group, only for the latest time.
     summary = stage(

@@ -94,11 +94,13 @@ def high_risk_target(
     n_clusters: int = 3,
     random_state: int = 42,
     on_bad_timestamp: str = "raise",
+    formats: Sequence[str] = (),
 ) -> DataFrame:
     """RFM, cluster and 0/1 label of each customer.
 
     The label is the ``is_high_risk`` column of the result. The RFM table is stored
     once, since k-means passes over it many times.
     """
-    table = stage(rfm(df, customer_id_col, timestamp_col, amount_col, on_bad_timestamp), "rfm")
+    made = rfm(df, customer_id_col, timestamp_col, amount_col, on_bad_timestamp, formats)
+    table = stage(made, "rfm")
     return label_rfm(table, customer_id_col, n_clusters, random_state)

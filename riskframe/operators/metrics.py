@@ -5,6 +5,7 @@ Input is a long table: label (0/1), score, prediction (0/1) and the model's name
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -21,7 +22,8 @@ def _score_bounds(df: DataFrame, score_col: str, buckets: int) -> list[float]:
     """Rough quantiles of the scores. They spread the work; no result depends on them."""
     probabilities = ", ".join(sql.number(i / buckets) for i in range(1, buckets))
     found = f"percentile_approx({sql.name(score_col)}, array({probabilities}), {10 * buckets})"
-    return sorted(set(df.selectExpr(found).first()[0] or [0.0]))
+    bounds = df.selectExpr(found).first()[0] or []
+    return sorted({b for b in bounds if math.isfinite(b)}) or [0.0]
 
 
 def roc_auc(

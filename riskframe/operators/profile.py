@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions import sql
-from riskframe.functions.columns import melt, numeric_columns, string_columns
+from riskframe.functions.columns import doubles, melt, numeric_columns, string_columns
 from riskframe.functions.scalars import percent
 from riskframe.operators.quantiles import quantiles
 from riskframe.operators.winsorize import REACH
@@ -76,6 +76,7 @@ def describe_numeric(
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of each numeric column."""
     columns = list(columns or numeric_columns(df))
+    df = doubles(df, columns)
     quartiles = quantiles(df, columns, [0.25, 0.5, 0.75], exact)
 
     def quartile(i: int):

@@ -229,11 +229,11 @@ def exact_quantiles(
     margin = 2.0 / accuracy
     while pending:
         kept, missed = _locate(df, pending, found)
-        small_enough = [b for b in kept if b.distinct <= max_ranked or margin > 0.2]
+        small_enough = [b for b in kept if b.distinct <= max_ranked]
         ready += small_enough
         too_big = [b for b in kept if b not in small_enough]
-        if missed:
-            margin *= 2
+        if missed:  # wider, but each round still leaves less than half of a bracket
+            margin = min(2 * margin, 0.2)
         pending = missed + (_narrow(df, too_big, accuracy, margin) if too_big else [])
     if ready:
         found.update(_pick(df, ready))

@@ -23,17 +23,23 @@ MAX_CLASSES = 1_000
 PREFIX = 4
 
 
-def class_sizes(df: DataFrame, label_col: str = LABEL) -> dict:
-    """Rows per class. A label with very many values is no class label and is refused."""
-    counted = (
-        df.filter(F.col(label_col).isNotNull())
-        .groupBy(label_col)
-        .count()
-        .limit(MAX_CLASSES + 1)
-        .collect()
-    )
-    if len(counted) > MAX_CLASSES:
-        raise ValueError(f"{label_col!r} has more than {MAX_CLASSES} classes")
+def class_sizes(
+    df: DataFrame,
+    label_col: str = LABEL,
+    key_col: str | None = None,
+    max_classes: int = MAX_CLASSES,
+) -> dict:
+    """Rows per class, of those that have a key where ``key_col`` is given.
+
+    The driver holds one number per class; a label of more than ``max_classes`` values
+    is taken for no class label and refused.
+    """
+    known = df.filter(F.col(label_col).isNotNull())
+    if key_col is not None:
+        known = known.filter(F.col(key_col).isNotNull())
+    counted = known.groupBy(label_col).count().limit(max_classes + 1).collect()
+    if len(counted) > max_classes:
+        raise ValueError(f"{label_col!r} has more than {max_classes} classes")
     return {r[label_col]: r["count"] for r in sorted(counted, key=lambda r: r[label_col])}
 
 
@@ -56,7 +62,7 @@ def _cuts(
     )
     hashed = (
         df.selectExpr(f"{number} end as class", f"{shuffle_key(key_col, seed)} as hash")
-        .filter("class is not null")
+        .filter("class is not null and hash is not null")
         .selectExpr("*", f"substring(hash, 1, {PREFIX}) as prefix")
     )
     # At most 16^PREFIX rows per class, of which one per wanted rank is kept.
@@ -79,9 +85,16 @@ def _cuts(
 
 
 def _add_by_class(
-    df: DataFrame, name: str, label_col: str, by_class: dict[object, str], as_type: str
+    df: DataFrame,
+    name: str,
+    label_col: str,
+    by_class: dict[object, str],
+    as_type: str,
+    key_col: str | None = None,
 ) -> DataFrame:
-    """Rows that have a label, with a column whose SQL depends on the class."""
+    """Rows that have a label (and a key), with a column whose SQL depends on the class."""
+    if key_col is not None:
+        df = df.filter(F.col(key_col).isNotNull())
     cases = " ".join(
         f"when {sql.name(label_col)} = {sql.literal(c)} then {e}" for c, e in by_class.items()
     )
@@ -106,18 +119,21 @@ def stratified_split(
 ) -> DataFrame:
     """Adds ``is_test``: 1 for the first ceil(test_size * n) rows of each class by hash.
 
-    The key must identify a row. Rows without a label are left out. ``sizes`` are the
-    class sizes where they are known.
+    Rows without a label or a key are left out and count nowhere. Rows that repeat a key
+    go to the same side, which may then exceed its size by them. ``sizes`` are the class
+    sizes where they are known.
     """
     require_columns(df, key_col, label_col)
-    take = test_sizes(class_sizes(df, label_col) if sizes is None else sizes, test_size)
+    if sizes is None:
+        sizes = class_sizes(df, label_col, key_col)
+    take = test_sizes(sizes, test_size)
     ranks = {c: [k] for c, k in take.items() if k > 0}
     cuts = _cuts(df, key_col, label_col, seed, ranks) if ranks else {}
     hashed = shuffle_key(key_col, seed)
     is_test = {
         c: f"{hashed} <= '{cuts[c, k]}'" if k > 0 else "false" for c, k in take.items()
     }
-    return _add_by_class(df, "is_test", label_col, is_test, "int")
+    return _add_by_class(df, "is_test", label_col, is_test, "int", key_col)
 
 
 def stratified_folds(
@@ -133,7 +149,7 @@ def stratified_folds(
     Fold sizes of a class differ by at most one. ``sizes`` as in ``stratified_split``.
     """
     require_columns(df, key_col, label_col)
-    sizes = class_sizes(df, label_col) if sizes is None else sizes
+    sizes = class_sizes(df, label_col, key_col) if sizes is None else sizes
     ends = {c: [n * (j + 1) // n_folds for j in range(n_folds - 1)] for c, n in sizes.items()}
     ranks = {c: sorted({e for e in es if e > 0}) for c, es in ends.items()}
     ranks = {c: es for c, es in ranks.items() if es}
@@ -145,7 +161,7 @@ def stratified_folds(
         )
         for c, es in ends.items()
     }
-    return _add_by_class(df, "fold", label_col, fold, "int")
+    return _add_by_class(df, "fold", label_col, fold, "int", key_col)
 
 
 def class_weights(sizes: Mapping) -> dict:

@@ -27,13 +27,32 @@ class CustomerFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable
         Params._dummy(), "exactDistinct", "exact distinct counts", TypeConverters.toBoolean
     )
 
+    onBadTimestamp = Param(
+        Params._dummy(), "onBadTimestamp", "null or raise", TypeConverters.toString
+    )
+    formats = Param(
+        Params._dummy(), "formats", "date patterns tried after ISO", TypeConverters.toListString
+    )
+
     @keyword_only
     def __init__(
-        self, *, customerIdCol=CUSTOMER_ID, timestampCol=START_TIME, keys=None, exactDistinct=True
+        self,
+        *,
+        customerIdCol=CUSTOMER_ID,
+        timestampCol=START_TIME,
+        keys=None,
+        exactDistinct=True,
+        onBadTimestamp="null",
+        formats=None,
     ):
         super().__init__()
         self._setDefault(
-            customerIdCol=CUSTOMER_ID, timestampCol=START_TIME, keys=[], exactDistinct=True
+            customerIdCol=CUSTOMER_ID,
+            timestampCol=START_TIME,
+            keys=[],
+            exactDistinct=True,
+            onBadTimestamp="null",
+            formats=[],
         )
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
@@ -44,4 +63,6 @@ class CustomerFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable
             timestamp_col=self.getOrDefault(self.timestampCol),
             keys=[k for k in self.getOrDefault(self.keys) if k in df.columns],
             exact_distinct=self.getOrDefault(self.exactDistinct),
+            on_bad_timestamp=self.getOrDefault(self.onBadTimestamp),
+            formats=self.getOrDefault(self.formats),
         )

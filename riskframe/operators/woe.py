@@ -35,6 +35,7 @@ MISSING = "nan"
 FLOOR = 0.5
 # Categories broadcast at most, over all text columns of one model.
 MAX_BROADCAST = 100_000
+SALTS = 16
 
 TABLE_SCHEMA = (
     "feature string, bin string, n bigint, events bigint, non_events bigint, woe double"
@@ -145,8 +146,9 @@ class WoeEncoderModel(Model, _WoeParams, DefaultParamsReadable, DefaultParamsWri
 
         The most frequent categories are broadcast (a bounded number of them), which
         keeps hot categories out of any shuffle. Where that leaves rare ones, the rows
-        without a hit look those up in a shuffled join; rows already resolved take
-        part under a key of their own, spread evenly.
+        without a hit look those up in a shuffled join under a salted key, so that a
+        frequent category that was not seen at the fit is spread; each rare category is
+        repeated once per salt. Rows already resolved take part under a key of their own.
         """
         lookup = self.categories.filter(F.col("feature") == column).select(
             F.col("bin").alias("_bin"), F.col("woe").alias("_woe"), "n"
@@ -165,9 +167,16 @@ class WoeEncoderModel(Model, _WoeParams, DefaultParamsReadable, DefaultParamsWri
         if not all_fit:
             rare = lookup.join(F.broadcast(frequent.select("_bin")), "_bin", "left_anti")
             own = F.concat(F.lit("\u0000"), F.xxhash64(*columns).cast("string"))
-            hit = hit.withColumn(
-                "_key", F.when(F.col("_woe").isNull(), F.col("_key")).otherwise(own)
-            ).join(rare.select(F.col("_bin").alias("_key"), F.col("_woe").alias("_rare")), "_key", "left")
+            salted = rare.select(
+                F.col("_bin").alias("_key"),
+                F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_salt"),
+                F.col("_woe").alias("_rare"),
+            )
+            hit = (
+                hit.withColumn("_key", F.when(F.col("_woe").isNull(), F.col("_key")).otherwise(own))
+                .withColumn("_salt", F.floor(F.rand(0) * SALTS).cast("int"))
+                .join(salted, ["_key", "_salt"], "left")
+            )
             found = F.coalesce("_woe", "_rare")
         return hit.withColumn(column, F.coalesce(found, F.lit(fill))).select(*columns)
 

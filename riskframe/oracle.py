@@ -69,6 +69,10 @@ cte("gaps", """SELECT * REPLACE (
       CASE WHEN CAST(TransactionId AS BIGINT) % 53 <> 0 THEN ProductCategory END AS ProductCategory,
       CASE WHEN CAST(TransactionId AS BIGINT) % 211 <> 0 THEN CustomerId END AS CustomerId)
     FROM tx""", "tx")
+cte("nan", """SELECT * REPLACE (
+      CASE WHEN CAST(TransactionId AS BIGINT) % 41 <> 0 THEN Amount END AS Amount) FROM tx""", "tx")
+cte("to_second", """SELECT * REPLACE (date_trunc('second', TransactionStartTime) AS TransactionStartTime)
+    FROM ev""", "ev")
 cte("bad", """SELECT * REPLACE (
       CASE WHEN CAST(TransactionId AS BIGINT) % 97 = 0 THEN 'not-a-date'
            ELSE CAST(TransactionStartTime AS VARCHAR) END AS TransactionStartTime)
@@ -266,6 +270,35 @@ def _ordered_rank() -> str:
 
 
 cte("ordered", _ordered_rank(), "label")
+cte("held_out", f"SELECT CustomerId, {LABEL} AS label FROM ordered WHERE rk <= ceil(round(0.2 * n, 9))",
+    "ordered")
+# Numeric columns of the transactions whose missing amounts are NaN, and of the capped ones.
+cte("nan_numbers", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM nan" for c in NUMBERS), "nan")
+cte("capped_numbers", " UNION ALL ".join(
+    f"SELECT '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM ev" for c in ("CountryCode", "FraudResult"))
+    + "".join(f""" UNION ALL SELECT '{c}', CASE WHEN {c} < lo_{c} THEN lo_{c}
+      WHEN {c} > hi_{c} THEN hi_{c} ELSE CAST({c} AS DOUBLE) END FROM ev, fences""" for c in FENCED),
+    "ev", "fences")
+SCORE_FACTS = "true AS scores_are_probabilities, true AS prediction_follows"
+
+
+def _describe(source: str) -> str:
+    return f"""SELECT feature AS column, count(value) AS count, {r('avg(value)')} AS mean,
+      {r('stddev_samp(value)')} AS std, {r('min(value)')} AS min,
+      {r('quantile_cont(value, 0.25)')} AS q25, {r('quantile_cont(value, 0.5)')} AS q50,
+      {r('quantile_cont(value, 0.75)')} AS q75, {r('max(value)')} AS max
+    FROM {source} GROUP BY feature"""
+
+
+def _model_facts(name: str, points: int | None = None) -> str:
+    """What must hold of a fit, from the split alone; models must be better than chance."""
+    searched = "" if points is None else (
+        f", CAST({points} AS BIGINT) AS n_points, CAST(5 AS BIGINT) AS n_folds, "
+        "true AS chosen_from_grid, true AS cv_auc_above_0_8")
+    return with_ctes(
+        f"""SELECT '{name}' AS model, count(*) AS n_test, CAST(sum(label) AS BIGINT) AS n_positive,
+              {SCORE_FACTS}, true AS auc_above_0_8{searched} FROM held_out""", "held_out")
 
 
 def all_oracles() -> dict[str, str]:
@@ -336,12 +369,41 @@ def all_oracles() -> dict[str, str]:
         "column_info": with_ctes(_union(
             lambda i, c: f"SELECT CAST({i} AS BIGINT) AS position, '{c}' AS column, "
                          f"count({c}) AS non_null, '{SPARK_TYPES[c]}' AS dtype FROM gaps", COLUMNS), "gaps"),
-        "describe_numeric": with_ctes(
-            f"""SELECT feature AS column, count(value) AS count, {r('avg(value)')} AS mean,
-                  {r('stddev_samp(value)')} AS std, {r('min(value)')} AS min,
-                  {r('quantile_cont(value, 0.25)')} AS q25, {r('quantile_cont(value, 0.5)')} AS q50,
-                  {r('quantile_cont(value, 0.75)')} AS q75, {r('max(value)')} AS max
-                FROM numbers GROUP BY feature""", "numbers"),
+        "describe_numeric": with_ctes(_describe("numbers"), "numbers"),
+        "describe_numeric_nan": with_ctes(_describe("nan_numbers"), "nan_numbers"),
+        "describe_capped": with_ctes(_describe("capped_numbers"), "capped_numbers"),
+        "quantiles_nan": with_ctes(
+            f"""SELECT feature AS column, p AS probability, {r('q')} AS quantile
+                FROM (SELECT feature, unnest([0.05, 0.25, 0.5, 0.75, 0.95]::DOUBLE[]) AS p,
+                        unnest(quantile_cont(value, [0.05, 0.25, 0.5, 0.75, 0.95])) AS q
+                      FROM nan_numbers WHERE feature IN ('Amount', 'Value') GROUP BY feature)""",
+            "nan_numbers"),
+        "winsorize_nan": with_ctes(
+            "SELECT TransactionId, " + ", ".join(
+                r(f"CASE WHEN {c} < lo_{c} THEN lo_{c} WHEN {c} > hi_{c} THEN hi_{c} "
+                  f"ELSE CAST({c} AS DOUBLE) END") + f" AS {c}" for c in ("Amount", "Value"))
+            + f" FROM nan, (SELECT {_fence_columns()} FROM nan)", "nan"),
+        "customer_features_formats": with_ctes(features_sql("to_second"), "to_second"),
+        "high_risk_target": with_ctes(
+            f"""SELECT CustomerId, Recency, Frequency, {r('Monetary')} AS Monetary,
+                  true AS label_is_binary, true AS label_is_risky_cluster FROM rfm""", "rfm"),
+        "kmeans_rfm": with_ctes(
+            "SELECT count(*) AS n_customers, CAST(3 AS BIGINT) AS n_clusters, true AS all_nearest FROM rfm",
+            "rfm"),
+        "logistic_baseline": _model_facts("logistic_baseline"),
+        "logistic_tuned": _model_facts("logistic_tuned", 8),
+        "forest_baseline": _model_facts("forest_baseline"),
+        "forest_tuned": _model_facts("forest_tuned", 36),
+        "gbt_baseline": _model_facts("gbt_baseline"),
+        "gbt_tuned": _model_facts("gbt_tuned", 54),
+        "class_probability": with_ctes(
+            f"SELECT CustomerId, 'logistic_baseline' AS model, label, {SCORE_FACTS} FROM held_out",
+            "held_out"),
+        "score_transactions_batch": with_ctes(
+            f"SELECT DISTINCT CustomerId AS customer_id, {SCORE_FACTS} FROM tx", "tx"),
+        "score_payloads_batch": with_ctes(
+            f"""SELECT DISTINCT request_id, CustomerId AS customer_id, {SCORE_FACTS}
+                FROM requests WHERE reason IS NULL""", "requests"),
         "describe_categorical": with_ctes(
             f"""SELECT c AS column, CAST(sum(n) AS BIGINT) AS count, count(*) AS unique,
                   arg_min(v, (-n, v)) AS top, max(n) AS freq
@@ -395,11 +457,12 @@ def all_oracles() -> dict[str, str]:
                            GROUP BY 1, 2) c USING (feature, b)""", "numbers", "hist_ranges"),
         "kde": with_ctes(
             f"""SELECT feature, point, {r('x')} AS x,
+                  {r('1e6 * total / (n * bw * sqrt(2 * pi()))')} AS density,
                   {r('total / (bw * sqrt(2 * pi())) * (hi - lo) / 30')} AS curve
                 FROM (SELECT g.feature, point, any_value(x) AS x, any_value(bw) AS bw,
-                        any_value(lo) AS lo, any_value(hi) AS hi,
+                        any_value(n) AS n, any_value(lo) AS lo, any_value(hi) AS hi,
                         sum(exp(-0.5 * ((x - value) / bw) * ((x - value) / bw))) AS total
-                      FROM (SELECT feature, lo, hi, b AS point, lo + b * ((hi - lo) / 199) AS x,
+                      FROM (SELECT feature, n, lo, hi, b AS point, lo + b * ((hi - lo) / 199) AS x,
                               power(n, -0.2) * sd AS bw
                             FROM ranges CROSS JOIN range(200) t(b) WHERE sd > 0) g
                       JOIN (SELECT * FROM numbers WHERE value IS NOT NULL) v USING (feature)

@@ -53,28 +53,46 @@ def read_runs(spark: SparkSession, root: str) -> DataFrame:
 
 
 def _versions(spark: SparkSession, root: str) -> DataFrame | None:
+    """All versions of all names; None where none was ever saved."""
+    reader = spark.read.schema(VERSION_SCHEMA).option("recursiveFileLookup", True)
     try:
-        return spark.read.schema(VERSION_SCHEMA).parquet(f"{root}/versions")
-    except AnalysisException:
-        return None
+        return reader.parquet(f"{root}/versions")
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
+def _taken(e: AnalysisException) -> bool:
+    return e.getCondition() in ("PATH_ALREADY_EXISTS",)
 
 
 def save_model(
     spark: SparkSession, model: PipelineModel, root: str, name: str, tags: Mapping[str, str] | None = None
 ) -> int:
-    """Store a model as the next version of its name; returns the version."""
+    """Store a model as the next version of its name; returns the version.
+
+    A version is claimed by writing its record to a path of its own; where another
+    writer has it already the next number is tried.
+    """
     known = _versions(spark, root)
     last = None
     if known is not None:
         last = known.filter(F.col("name") == name).agg(F.max("version")).first()[0]
-    version = (last or 0) + 1
-    path = f"{root}/models/{name}/v={version}-{uuid.uuid4().hex[:8]}"
+    version = last or 0
+    path = f"{root}/models/{name}/{uuid.uuid4().hex}"
     model.write().save(path)
-    row = (name, version, path, dict(tags or {}), _now())
-    spark.createDataFrame([row], VERSION_SCHEMA).coalesce(1).write.mode("append").parquet(
-        f"{root}/versions"
-    )
-    return version
+    while True:
+        version += 1
+        row = (name, version, path, dict(tags or {}), _now())
+        record = spark.createDataFrame([row], VERSION_SCHEMA).coalesce(1)
+        try:
+            record.write.mode("error").parquet(f"{root}/versions/{name}/{version}")
+        except AnalysisException as e:
+            if _taken(e):
+                continue
+            raise
+        return version
 
 
 def load_model(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -33,7 +33,6 @@ from riskframe.schema import CUSTOMER_ID, FEATURES, LABEL
 from riskframe.session import stage
 
 MODEL_NAME = "risk_classifier"
-ROWS_PER_TASK = 20_000
 
 
 @dataclass(frozen=True)
@@ -57,7 +56,7 @@ def training_set(
     All of them are expressions over ``labelled``, a stored table with one row per key:
     two small jobs find the cuts of split and folds, and no rows move.
     """
-    sizes = class_sizes(labelled, LABEL)
+    sizes = class_sizes(labelled, LABEL, key_col)
     held_out = test_sizes(sizes, test_size)
     kept = {c: n - held_out[c] for c, n in sizes.items() if n > held_out[c]}
     split = stratified_split(labelled, key_col, LABEL, test_size, seed, sizes)
@@ -79,21 +78,30 @@ class Fitted:
     model: Model
     params: Mapping
     cv_roc_auc: float | None = None
+    family: str = ""
 
 
 def fit_family(
-    data: TrainingSet, family: Family, tuned: bool, grid: Mapping | None = None, **search
+    data: TrainingSet,
+    family: Family,
+    tuned: bool,
+    grid: Mapping | None = None,
+    tasks: int | None = None,
+    **search,
 ) -> Fitted:
-    # Few rows in many tasks would make each of the many passes wait for scheduling.
-    tasks = max(1, math.ceil(data.rows / ROWS_PER_TASK))
-    train = data.train.coalesce(tasks).persist()
+    """Fit one family. ``tasks`` sets the partitions of the training rows, which are read
+    many times; None leaves them as they are."""
+    train = data.train if tasks is None else data.train.coalesce(tasks)
+    train = train.persist()
     try:
         if not tuned:
             params = {**family.default, **(grid or {})}
             model = fit_baseline(train, family, data.rows, params)
-            return Fitted(f"{family.name}_baseline", model, params)
+            return Fitted(f"{family.name}_baseline", model, params, None, family.name)
         found = fit_tuned(train, family, data.rows, grid, data.n_folds, **search)
-        return Fitted(f"{family.name}_tuned", found.model, found.params, found.cv_roc_auc)
+        return Fitted(
+            f"{family.name}_tuned", found.model, found.params, found.cv_roc_auc, family.name
+        )
     finally:
         train.unpersist()
 
@@ -135,14 +143,18 @@ def train_all(
     comparison = model_comparison(scores)
     # One row per model.
     ids = []
+    families_by_name = {f.name: f for f in families}
     for row in comparison.collect():
         fitted = models[row["model"]]
-        path = f"{root}/artifacts/{fitted.name}"
-        PipelineModel([assembler(), fitted.model]).write().overwrite().save(path)
+        # a run keeps its own artifact
+        path = f"{root}/artifacts/{fitted.name}/{uuid.uuid4().hex}"
+        PipelineModel([assembler(), fitted.model]).write().save(path)
         values = {m: row[m] for m in ("roc_auc", *METRICS)}
         if fitted.cv_roc_auc is not None:
             values["cv_roc_auc"] = fitted.cv_roc_auc
-        ids.append(log_run(spark, root, fitted.name, fitted.params, values, path))
+        weighted = "balanced" if families_by_name[fitted.family].weighted else "none"
+        settings = {**fitted.params, "model_type": fitted.family, "class_weight": weighted}
+        ids.append(log_run(spark, root, fitted.name, settings, values, path))
     these = read_runs(spark, root).filter(F.col("run_id").isin(ids))
     best = best_run(these).first()["run_name"]
     chosen = PipelineModel([assembler(), models[best].model])

@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 
 from riskframe.functions import scalars as S
 from riskframe.functions import sql
-from riskframe.functions.columns import numeric_columns, replace_columns, string_columns
+from riskframe.functions.columns import (
+    nans_to_nulls,
+    numeric_columns,
+    replace_columns,
+    string_columns,
+)
 from riskframe.operators import binning, distribution, label, metrics, profile, split
 from riskframe.operators import features as feat
-from riskframe.operators.classifiers import FOREST, GBT, LOGISTIC, assembler, predict
+from riskframe.operators.classifiers import FOREST, GBT, LOGISTIC, assembler, grid_points, predict
 from riskframe.operators.quantiles import quantile_table
 from riskframe.operators.scale import standardize
 from riskframe.operators.winsorize import NOT_CAPPED, winsorize_iqr
@@ -30,8 +35,10 @@ from riskframe.session import stage
 from riskframe.sources.adapters import (
     tx_events,
     tx_events_bad_dates,
+    tx_events_dates,
     tx_orders,
     tx_orders_missing,
+    tx_orders_nan,
 )
 from riskframe.sources.payloads import explode_payloads, rejected_payloads, to_payloads
 
@@ -44,14 +51,6 @@ NUDGE = 1e-9
 # Centroids in scaled (recency, frequency, monetary); cluster 0 is risky.
 CENTROIDS = {0: (2.0, -1.0, -0.8), 1: (-0.2, -0.4, -0.4), 2: (-0.3, 1.0, 1.0)}
 
-# Grids small enough for a check run; the full ones are the defaults of the library.
-SMALL_GRIDS = {
-    "logistic": {"C": [0.1, 1.0], "penalty": ["l1", "l2"]},
-    "forest": {"n_estimators": [20], "max_depth": [5, 10], "min_samples_leaf": [1, 4]},
-    "gbt": {"n_estimators": [10], "learning_rate": [0.1, 0.2], "max_depth": [3]},
-}
-SMALL_FOLDS = 3
-
 _registry: dict[str, Query] = {}
 
 
@@ -167,12 +166,8 @@ def lenient_timestamps(spark, sf_dir):
 
 @query
 def dropped_timestamps(spark, sf_dir):
-    """How many rows the lenient reading of times loses; in a job it is observed in passing."""
-    tx = feat.with_timestamp(tx_events_bad_dates(spark, sf_dir))
-    return tx.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col(START_TIME).isNull()).alias("n_dropped"),
-    )
+    """How many rows the lenient reading of times loses."""
+    return feat.undated_rows(tx_events_bad_dates(spark, sf_dir))
 
 
 @query
@@ -237,6 +232,13 @@ def customer_features_lenient(spark, sf_dir):
     return rounded(feat.customer_features(tx_events_bad_dates(spark, sf_dir)))
 
 
+@query
+def customer_features_formats(spark, sf_dir):
+    """Features of transactions whose times are written day first."""
+    tx = tx_events_dates(spark, sf_dir)
+    return rounded(feat.customer_features(tx, formats=["dd/MM/yyyy HH:mm:ss"]))
+
+
 @query
 def customer_target_max(spark, sf_dir):
     tx = tx_orders(spark, sf_dir)
@@ -302,6 +304,30 @@ def describe_numeric(spark, sf_dir):
     return rounded(profile.describe_numeric(tx_orders_missing(spark, sf_dir)))
 
 
+@query
+def describe_numeric_nan(spark, sf_dir):
+    """The same where missing amounts are NaN."""
+    return rounded(profile.describe_numeric(tx_orders_nan(spark, sf_dir)))
+
+
+@query
+def quantiles_nan(spark, sf_dir):
+    tx = tx_orders_nan(spark, sf_dir)
+    return rounded(quantile_table(tx, [AMOUNT, "Value"], [0.05, 0.25, 0.5, 0.75, 0.95]))
+
+
+@query
+def winsorize_nan(spark, sf_dir):
+    capped = winsorize_iqr(tx_orders_nan(spark, sf_dir))
+    return rounded(nans_to_nulls(capped.select("TransactionId", AMOUNT, "Value")))
+
+
+@query
+def describe_capped(spark, sf_dir):
+    """The profile of the numeric columns after capping."""
+    return rounded(profile.describe_numeric(winsorize_iqr(tx_events(spark, sf_dir))))
+
+
 @query
 def describe_categorical(spark, sf_dir):
     return profile.describe_categorical(tx_orders_missing(spark, sf_dir))
@@ -365,8 +391,9 @@ def histogram(spark, sf_dir):
 
 @query
 def kde(spark, sf_dir):
+    """Curves, and the density as a share of what its bandwidth allows."""
     curves = distribution.kde(tx_orders_missing(spark, sf_dir))
-    return rounded(curves.drop("density"))
+    return rounded(curves.withColumn("density", F.col("density") * 1e6))
 
 
 # --- capping, bins, weight of evidence, scaling -------------------------------
@@ -463,15 +490,38 @@ def high_risk_cluster_fixed(spark, sf_dir):
     return label.high_risk_cluster(profiled)
 
 
+def _label_facts(table: DataFrame) -> DataFrame:
+    """What must hold of a label by k-means, whatever its start: the risky cluster is the
+    one that the order of mean recency, frequency and monetary puts first."""
+    risky = label.high_risk_cluster(label.cluster_profile(table)).withColumnRenamed("Cluster", "_risky")
+    return table.crossJoin(F.broadcast(risky)).select(
+        CUSTOMER_ID,
+        *RFM,
+        F.col(LABEL).isin(0, 1).alias("label_is_binary"),
+        ((F.col(LABEL) == 1) == (F.col("Cluster") == F.col("_risky"))).alias("label_is_risky_cluster"),
+    )
+
+
 @query
 def high_risk_target(spark, sf_dir):
-    return rounded(label.high_risk_target(tx_orders(spark, sf_dir)))
+    table = stage(label.high_risk_target(tx_orders(spark, sf_dir)), "target")
+    return rounded(_label_facts(table))
 
 
 @query
 def kmeans_rfm(spark, sf_dir):
-    table = stage(feat.rfm(tx_orders(spark, sf_dir)), "rfm")
-    return rounded(label.cluster_profile(label.label_rfm(table)))
+    """Every customer is nearest to the centre of its own cluster, but for those that the
+    last step of k-means may leave on a border."""
+    scaled = label.scaled_rfm(stage(feat.rfm(tx_orders(spark, sf_dir)), "rfm"))
+    model = label.fit_kmeans(scaled)
+    centres = {i: list(map(float, c)) for i, c in enumerate(model.stages[-1].clusterCenters())}
+    clustered = model.transform(scaled).withColumnRenamed("Cluster", "_own")
+    nearest = label.assign_cluster(clustered, centres)
+    return nearest.agg(
+        F.count(F.lit(1)).alias("n_customers"),
+        F.count_distinct("_own").alias("n_clusters"),
+        (F.count_if(F.col("_own") == F.col("Cluster")) == F.count(F.lit(1))).alias("all_nearest"),
+    )
 
 
 # --- split, weights -------------------------------------------------------------
@@ -544,14 +594,45 @@ def _encoded(spark: SparkSession, sf_dir: str):
     return stage(encoding.transform(table), "encoded"), encoding
 
 
+def _score_facts(scores: DataFrame, score: str, prediction: str) -> dict:
+    """Scores are probabilities, and the prediction follows from them."""
+    return {
+        "scores_are_probabilities": F.coalesce(F.col(score).between(0, 1), F.lit(False)),
+        "prediction_follows": F.coalesce((F.col(score) > 0.5) == (F.col(prediction) == 1), F.lit(False)),
+    }
+
+
 def _evaluated(spark: SparkSession, sf_dir: str, family, tuned: bool) -> DataFrame:
+    """A fit with the library's own grid and folds, and what must hold of its test scores."""
     table, _ = _encoded(spark, sf_dir)
-    data = training_set(table, n_folds=SMALL_FOLDS)
-    fitted = fit_family(data, family, tuned, SMALL_GRIDS[family.name] if tuned else None)
-    compared = metrics.model_comparison(stage(scored([fitted], data.test), "scores"))
+    data = training_set(table)
+    fitted = fit_family(data, family, tuned, tasks=_tasks(data))
+    scores = stage(scored([fitted], data.test), "scores")
+    facts = _score_facts(scores, "score", "prediction")
+    summary = scores.groupBy("model").agg(
+        F.count(F.lit(1)).alias("n_test"),
+        F.sum("label").cast("long").alias("n_positive"),
+        *[F.min(v).alias(k) for k, v in facts.items()],
+    )
+    better = metrics.roc_auc(scores).select("model", (F.col("roc_auc") > 0.8).alias("auc_above_0_8"))
+    result = summary.join(better, "model")
     if tuned:
-        compared = compared.withColumn("cv_roc_auc", F.lit(fitted.cv_roc_auc))
-    return rounded(compared, DIGITS)
+        axes = {k: sorted(map(str, v)) for k, v in family.grid.items()}
+        chosen = all(str(fitted.params[k]) in v for k, v in axes.items())
+        result = result.withColumns(
+            {
+                "n_points": F.lit(len(grid_points(family.grid))).cast("long"),
+                "n_folds": F.lit(data.n_folds).cast("long"),
+                "chosen_from_grid": F.lit(chosen),
+                "cv_auc_above_0_8": F.lit(fitted.cv_roc_auc > 0.8),
+            }
+        )
+    return result
+
+
+def _tasks(data) -> int:
+    """One task per 20,000 training rows: many short passes go over them."""
+    return max(1, -(-data.rows // 20_000))
 
 
 @query
@@ -588,25 +669,35 @@ def _fitted_logistic(spark: SparkSession, sf_dir: str):
     from pyspark.ml import PipelineModel
 
     table, encoding = _encoded(spark, sf_dir)
-    data = training_set(table, n_folds=SMALL_FOLDS)
-    fitted = fit_family(data, LOGISTIC, tuned=False)
+    data = training_set(table)
+    fitted = fit_family(data, LOGISTIC, tuned=False, tasks=_tasks(data))
     return data, fitted, with_aggregation(encoding), PipelineModel([assembler(), fitted.model])
 
 
 @query
 def class_probability(spark, sf_dir):
-    """Score and prediction of every test customer."""
+    """Every test customer with its label, and what must hold of its score."""
     data, fitted, _, _ = _fitted_logistic(spark, sf_dir)
-    return rounded(predict(fitted.model, data.test, fitted.name, keep=[CUSTOMER_ID]), DIGITS)
+    scores = predict(fitted.model, data.test, fitted.name, keep=[CUSTOMER_ID])
+    facts = _score_facts(scores, "score", "prediction")
+    return scores.select(CUSTOMER_ID, "model", "label", *[v.alias(k) for k, v in facts.items()])
+
+
+def _scored_facts(scores: DataFrame, *keys: str) -> DataFrame:
+    facts = _score_facts(scores, "risk_probability", LABEL)
+    return scores.select(*keys, *[v.alias(k) for k, v in facts.items()])
 
 
 @query
 def score_transactions_batch(spark, sf_dir):
+    """One score per customer."""
     _, _, encoder, classifier = _fitted_logistic(spark, sf_dir)
-    return rounded(score_transactions(tx_orders(spark, sf_dir).drop(FRAUD), encoder, classifier), DIGITS)
+    scores = score_transactions(tx_orders(spark, sf_dir).drop(FRAUD), encoder, classifier)
+    return _scored_facts(scores, "customer_id")
 
 
 @query
 def score_payloads_batch(spark, sf_dir):
+    """One score per readable request and customer; ``requests`` says what a request holds."""
     _, _, encoder, classifier = _fitted_logistic(spark, sf_dir)
-    return rounded(score_payloads(requests(spark, sf_dir), encoder, classifier), DIGITS)
+    return _scored_facts(score_payloads(requests(spark, sf_dir), encoder, classifier), "request_id", "customer_id")

@@ -23,14 +23,13 @@ _KEYED = {
 
 
 def _project(df: DataFrame, key: str, customer: str, columns: dict[str, str]) -> DataFrame:
-    """Each column of the schema from its expression, cast to its type."""
+    """Each column of the schema from its expression, cast to its type, NaN as null."""
     made = {c: e.format(key=key, customer=customer) for c, e in {**_KEYED, **columns}.items()}
-    return df.selectExpr(
-        *[
-            f"cast({made[f.name]} as {f.dataType.simpleString()}) as {name(f.name)}"
-            for f in TRANSACTION_SCHEMA
-        ]
-    )
+    cast = {f.name: f"cast({made[f.name]} as {f.dataType.simpleString()})" for f in TRANSACTION_SCHEMA}
+    for f in TRANSACTION_SCHEMA:
+        if f.dataType.typeName() == "double":
+            cast[f.name] = f"nullif({cast[f.name]}, double('NaN'))"
+    return df.selectExpr(*[f"{e} as {name(c)}" for c, e in cast.items()])
 
 
 def tx_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +73,18 @@ def tx_events_bad_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def tx_orders_nan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order transactions whose amount is NaN in every 41st row."""
+    bad = "cast(TransactionId as bigint) % 41 = 0"
+    return replace_columns(tx_orders(spark, sf_dir), {"Amount": f"if({bad}, double('NaN'), Amount)"})
+
+
+def tx_events_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event transactions with times as text, day first, to the second."""
+    text = "date_format(TransactionStartTime, 'dd/MM/yyyy HH:mm:ss')"
+    return replace_columns(tx_events(spark, sf_dir), {"TransactionStartTime": text})
+
+
 def tx_orders_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order transactions with gaps in amount, category and customer."""
     key = "cast(TransactionId as bigint)"

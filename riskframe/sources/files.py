@@ -13,12 +13,19 @@ def _header(spark: SparkSession, path: str) -> list[str]:
     return spark.read.option("header", True).csv(path).columns
 
 
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """CSV by a schema whose names every file's header must give in the same order."""
+    reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
+    return reader.csv(path)
+
+
 def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     """Transactions from CSV with a header row.
 
-    Columns are matched by name, in whatever order the file has them; the start
-    time stays text, since each consumer parses it leniently or strictly. A
-    missing path raises ``AnalysisException``.
+    Columns are matched by name, in whatever order the file has them; all files of a
+    folder must have the header of the first, else the read fails. The start time stays
+    text, since each consumer parses it leniently or strictly. A missing path raises
+    ``AnalysisException``.
     """
     types = {f.name: f.dataType for f in TRANSACTION_SCHEMA}
     types[START_TIME] = T.StringType()
@@ -27,7 +34,7 @@ def read_transactions_csv(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType(
         [T.StructField(c, types.get(c, T.StringType())) for c in _header(spark, path)]
     )
-    return nans_to_nulls(spark.read.schema(schema).option("header", True).csv(path))
+    return nans_to_nulls(_read(spark, path, schema))
 
 
 def read_keyed_csv(spark: SparkSession, path: str, key: str = CUSTOMER_ID) -> DataFrame:
@@ -37,7 +44,7 @@ def read_keyed_csv(spark: SparkSession, path: str, key: str = CUSTOMER_ID) -> Da
         raise ValueError(f"key column {key!r} not found in {header}")
     types = {key: T.StringType(), LABEL: T.IntegerType()}
     schema = T.StructType([T.StructField(c, types.get(c, T.DoubleType())) for c in header])
-    return nans_to_nulls(spark.read.schema(schema).option("header", True).csv(path))
+    return nans_to_nulls(_read(spark, path, schema))
 
 
 def write_csv(df: DataFrame, path: str, key: str | None = None, mode: str = "overwrite") -> None:

@@ -11,17 +11,27 @@ from pyspark.sql import types as T
 
 from riskframe.schema import CUSTOMER_ID, REQUEST_SCHEMA, START_TIME
 
-_PAYLOAD_TYPE = T.ArrayType(REQUEST_SCHEMA)
+_TEXT_TYPE = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in REQUEST_SCHEMA]))
 
 
 def _parsed(requests: DataFrame, payload: str) -> DataFrame:
-    return requests.withColumn("_transactions", F.from_json(payload, _PAYLOAD_TYPE))
+    """Requests with their transactions, each payload parsed once.
+
+    Fields are read as text and cast, so a number may come in quotes. The parsed array
+    goes through ``explode``, which keeps a later filter from parsing it again.
+    """
+    texts = F.from_json(payload, _TEXT_TYPE)
+    typed = F.transform(
+        texts,
+        lambda t: F.struct(*[t[f.name].try_cast(f.dataType).alias(f.name) for f in REQUEST_SCHEMA]),
+    )
+    return requests.select("*", F.explode(F.array(typed)).alias("_transactions"))
 
 
 def _complete() -> F.Column:
     """True where every field of every transaction is present and well typed.
 
-    A field of the wrong type or left out parses to null. The time is only required
+    A field that cannot be read as its type or is left out is null. The time is only required
     to be present: whether it is a date is decided later, leniently.
     """
     return F.forall(

@@ -37,10 +37,14 @@ def score_stream(
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        scored = score_payloads(batch, encoder, classifier)
-        scored.write.mode("overwrite").parquet(f"{output}/scores/batch={batch_id}")
-        rejected = rejected_payloads(batch)
-        rejected.write.mode("overwrite").parquet(f"{output}/rejects/batch={batch_id}")
+        batch.persist()  # read for the scores and for the rejects
+        try:
+            scored = score_payloads(batch, encoder, classifier)
+            scored.write.mode("overwrite").parquet(f"{output}/scores/batch={batch_id}")
+            rejected = rejected_payloads(batch)
+            rejected.write.mode("overwrite").parquet(f"{output}/rejects/batch={batch_id}")
+        finally:
+            batch.unpersist()
 
     writer = requests.writeStream.foreachBatch(write_batch).option("checkpointLocation", checkpoint)
     if available_now:

@@ -45,3 +45,15 @@ def test_empty_and_missing(spark):
 def test_approximate_is_close(spark):
     df = spark.range(10_001)
     assert approximate_quantiles(df, ["id"], [0.5])["id"][0] == pytest.approx(5000, abs=2)
+
+
+@pytest.mark.parametrize("max_ranked", [500_000, 40])
+def test_nan_is_missing(spark, max_ranked):
+    """On either side of the limit of one task, NaN is skipped as null is."""
+    rows = [(float("nan") if i % 3 == 0 else None if i % 3 == 1 else float(i * 7 % 1000),) for i in range(3000)]
+    df = spark.createDataFrame(rows, "x double")
+    kept = sorted(r[0] for r in rows if r[0] is not None and r[0] == r[0])
+    found = exact_quantiles(df, ["x"], [0, 0.5, 1], accuracy=100, max_ranked=max_ranked)["x"]
+    half = (len(kept) - 1) / 2
+    middle = (kept[int(half)] + kept[int(half + 0.5)]) / 2
+    assert found == pytest.approx([kept[0], middle, kept[-1]])

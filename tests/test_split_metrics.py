@@ -100,3 +100,21 @@ def test_report(spark):
     assert report["weighted avg"].recall == pytest.approx(0.7)
     none = spark.createDataFrame([("m", 0, 0)], "model string, label int, prediction int")
     assert tuple(metrics.binary_metrics(none).first())[1:] == (1.0, 0.0, 0.0, 0.0)
+
+
+def test_rows_without_a_key_count_nowhere(spark):
+    rows = [(str(i), i % 2) for i in range(40)] + [(None, 0)] * 7
+    df = spark.createDataFrame(rows, "CustomerId string, is_high_risk int")
+    parts = split.stratified_split(df).groupBy("is_high_risk", "is_test").count().collect()
+    assert {(r.is_high_risk, r.is_test): r["count"] for r in parts} == {
+        (0, 0): 16, (0, 1): 4, (1, 0): 16, (1, 1): 4
+    }
+    folds = split.stratified_folds(df).groupBy("fold").count().collect()
+    assert [r["count"] for r in folds] == [8] * 5
+
+
+def test_infinite_scores(spark):
+    inf = float("inf")
+    rows = [("m", 1, inf), ("m", 0, -inf), ("m", 1, 0.5), ("m", 0, 0.5), ("m", 0, inf)]
+    df = spark.createDataFrame(rows, "model string, label int, score double")
+    assert metrics.roc_auc(df).first().roc_auc == pytest.approx((0.5 + 2 + 1.5) / 6)

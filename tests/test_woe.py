@@ -86,3 +86,16 @@ def test_population_scaler(spark, tmp_path):
     rows = PopulationScalerModel.load(str(tmp_path / "scaler")).transform(df).collect()
     assert rows[0].x == pytest.approx(-2 / 1.5811388300841898)
     assert {r.k for r in rows} == {0.0}
+
+
+def test_frequent_unseen_category(spark, monkeypatch):
+    """Half of the rows hold a category that the fit has not seen; one category is broadcast."""
+    monkeypatch.setattr(woe, "MAX_BROADCAST", 1)
+    rows = [("abc"[i % 3], i % 2) for i in range(60)]
+    fitted = WoeEncoder(categoryCols=["c"], labelCol="y", fillValue=9.0).fit(
+        spark.createDataFrame(rows, "c string, y int")
+    )
+    by_value = {r.bin: r.woe for r in fitted.table().collect()}
+    df = spark.createDataFrame([("new" if i % 2 else "abc"[i % 3],) for i in range(200)], "c string")
+    found = fitted.transform(df.withColumn("was", df.c)).collect()
+    assert len(found) == 200 and all(r.c == by_value.get(r.was, 9.0) for r in found)
