@@ -18,6 +18,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +43,7 @@ def slices(batch: pa.RecordBatch, column: int, most: int = SLICE_BYTES) -> Itera
     """The batch in runs of rows of about ``most`` bytes of the column."""
     at, size = 0, 0
     values = batch.column(column)
-    lengths = pa.compute.fill_null(pa.compute.binary_length(values), 0).to_pylist()
+    lengths = pc.fill_null(pc.binary_length(values), 0).to_pylist()
     for i, n in enumerate(lengths):
         if i > at and size + n > most:
             yield batch.slice(at, i - at)
