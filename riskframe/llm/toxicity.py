@@ -7,8 +7,8 @@
 2. A generative label model: from the mean votes and their covariances over all texts,
    a voter's covariance with the hidden label follows from triplets of voters; voters
    whose covariance is not explained by the label are taken as correlated, and triplets
-   with such a pair are left out. The posterior weighs votes by the inverse of their
-   covariance within a class, so correlated voters do not count twice.
+   with such a pair are left out. The posterior trusts correlated voters less, so that
+   they do not count twice.
 3. A linear classifier over words and word beginnings, fitted to the posterior labels of
    a sample and scaled so that its scores are probabilities on the sample's known labels.
 
@@ -37,6 +37,7 @@ from riskframe.llm.frames import quoted, stored
 MAX_ROWS = 20_000
 MAX_FEATURES = 1 << 16
 SHARE = 0.1
+PRECISION = 0.8
 
 # Word lists of the lexicon voters.
 INSULTS = (
@@ -50,7 +51,7 @@ OTHER_INSULTS = (
 THREATS = "kill die hurt destroy murder beat crush töten sterben tuer mourir matar morir"
 ADDRESS = "you your youre ur tu toi vous du dich ihr tú usted"
 
-BEGINNINGS = (4, 5, 6, 8)
+BEGINNINGS = (4, 5, 6, 7, 8)
 VOTERS = (
     "insults", "other insults", "threats", "address", "density", "shouting", "exclamations", "masked",
     "induced words", *(f"induced beginnings of {n}" for n in BEGINNINGS),
@@ -123,72 +124,76 @@ class Voters:
         ]
         for (held, keys), table in zip(families, self.induced):
             said.append(np.bincount(row[held[_isin(keys, table)]], minlength=n) > 0)
-        votes = np.where(np.stack(said, axis=1), 1, -1)
-        votes[count(np.ones(len(row), bool)) == 0] = 0
-        return votes
+        return np.stack(said, axis=1).astype(np.int64)
 
 
 @dataclass
 class LabelModel:
-    """Log odds of the label given votes: ``bias + votes @ weight``."""
+    """How often each voter votes in either class, and how much its vote counts."""
 
-    weight: np.ndarray
-    bias: float
-    accuracy: np.ndarray  # P(vote = label | it votes)
+    share: float
+    high: np.ndarray  # P(it votes | label 1)
+    low: np.ndarray  # P(it votes | label 0)
+    trust: np.ndarray  # 1 for a voter independent of the others given the label, else less
     correlated: np.ndarray  # pairs of voters not explained by the label alone
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.bias + votes @ self.weight, -30, 30)))
+        """P(label 1 | votes). Silence counts once, by the voter that is silent least."""
+        odds = self.trust * np.log(self.high / self.low)
+        best = int(np.argmax(np.where(odds > 0.5, self.high, 0)))
+        silent = np.log((1 - self.high[best]) / (1 - self.low[best]))
+        told = (votes * (odds > 0.5)).any(axis=1)
+        z = np.log(self.share / (1 - self.share)) + votes @ odds + np.where(told, 0.0, silent)
+        return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
 def label_model(mean: np.ndarray, second: np.ndarray, share: float, excess: float = 0.25) -> LabelModel:
     """From mean votes, their second moments, and the share of label 1.
 
-    With the label y in {-1, 1}, voters independent given it have
+    With the label y in {0, 1}, voters independent given it have
     Cov(i, j) = Cov(i, y) Cov(j, y) / Var(y); so Cov(i, y)^2 = Var(y) C_ij C_ik / C_jk for
     each triplet, and the median over triplets is taken.
     """
     k = len(mean)
     cov = second - np.outer(mean, mean)
     spread = np.sqrt(np.clip(np.diag(cov), 1e-12, None))
-    active = spread > 1e-3
-    var_y = 4 * share * (1 - share)
+    active = np.flatnonzero(spread > 1e-3)
+    var_y = share * (1 - share)
     correlated = np.zeros((k, k), bool)
-    c = np.zeros(k)
+    signed = np.zeros(k)
     for _ in range(3):
-        for i in np.flatnonzero(active):
+        c = np.zeros(k)
+        for i in active:
             found = []
-            for a in np.flatnonzero(active):
-                for b in range(a):
-                    if i in (a, b) or not active[b] or correlated[i, a] or correlated[i, b] or correlated[a, b]:
+            for a in active:
+                for b in active[active < a]:
+                    if i in (a, b) or correlated[i, a] or correlated[i, b] or correlated[a, b]:
                         continue
                     if abs(cov[a, b]) > 1e-3 * spread[a] * spread[b]:
                         found.append(var_y * abs(cov[i, a] * cov[i, b] / cov[a, b]))
             if found:
                 c[i] = min(np.sqrt(np.median(found)), spread[i] * np.sqrt(var_y) * 0.99)
-        # votes of 1 speak for the label, so the sign follows from agreement with the rest
-        lean = np.array([cov[i] @ c - cov[i, i] * c[i] for i in range(k)])
+        # most votes speak for the label, so the sign follows from agreement with the rest
+        lean = cov @ c - np.diag(cov) * c
         signed = np.where(lean < 0, -c, c)
         rest = (cov - np.outer(signed, signed) / var_y) / np.outer(spread, spread)
         np.fill_diagonal(rest, 0)
-        more = (np.abs(rest) > excess) & np.outer(active, active)
+        used = np.ix_(active, active)
+        more = np.zeros((k, k), bool)
+        more[used] = np.abs(rest[used]) > excess
         if (more == correlated).all():
             break
         correlated = more
-    centre = 2 * share - 1
-    high, low = mean + signed * (1 - centre) / var_y, mean - signed * (1 + centre) / var_y
-    within = cov - np.outer(signed, signed) / var_y
-    # keep it a covariance: no direction below a tenth of the voters' own spread
-    values, vectors = np.linalg.eigh(within / np.outer(spread, spread))
-    within = (vectors * np.clip(values, 0.1, None)) @ vectors.T * np.outer(spread, spread)
-    weight = np.where(active, np.linalg.solve(within, high - low), 0.0)
-    bias = float(np.log(share / (1 - share)) - weight @ (high + low) / 2)
-    accuracy = (1 + share * np.clip(high, -1, 1) - (1 - share) * np.clip(low, -1, 1)) / 2
-    return LabelModel(weight, bias, accuracy, np.argwhere(np.triu(correlated)))
+    high = np.clip(mean + signed / share, 1e-3, 1 - 1e-3)
+    low = np.clip(mean - signed / (1 - share), 1e-3, 1 - 1e-3)
+    shared = np.where(correlated, np.abs(rest), 0).sum(axis=1)
+    trust = np.zeros(k)
+    trust[active] = 1 / (1 + shared[active])
+    return LabelModel(share, high, low, trust, np.argwhere(np.triu(correlated)))
 
 
 def vote_moments(docs: DataFrame, text: str, voters: Voters) -> tuple[int, np.ndarray, np.ndarray]:
-    """Number of texts with votes, mean votes, second moments; the driver gets voters^2 sums."""
+    """Number of texts, mean votes, second moments; the driver gets voters^2 sums."""
     sent = docs.sparkSession.sparkContext.broadcast(voters)
     k = len(VOTERS)
 
@@ -197,7 +202,7 @@ def vote_moments(docs: DataFrame, text: str, voters: Voters) -> tuple[int, np.nd
         for batch in batches:
             for block in W.blocks(batch.column(0), 1 << 20):
                 v = sent.value.votes(block).astype(float)
-                total[0] += (v[:, 0] != 0).sum()
+                total[0] += len(v)
                 total[1 : k + 1] += v.sum(axis=0)
                 total[k + 1 :] += (v.T @ v).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["at", "total"])
@@ -271,7 +276,7 @@ def associated(sample: DataFrame, least: int = 4, most: int = MAX_FEATURES) -> t
     p0 = np.clip(positives / max(rows, 1), 1e-6, 1 - 1e-6)
     p = np.clip(with_y / np.maximum(n, 1), 1e-9, 1 - 1e-9)
     evidence = n * (p * np.log(p / p0) + (1 - p) * np.log((1 - p) / (1 - p0)))
-    kept = (p > max(0.5, 2 * p0)) & (evidence > np.log(len(keys)) + 5)
+    kept = (p > max(PRECISION, 2 * p0)) & (evidence > np.log(len(keys)) + 5)
     return keys[kept], family[kept]
 
 
@@ -319,20 +324,31 @@ def _logistic(row, place, n_rows: int, n_keys: int, target, penalty: float = 0.5
 
 
 def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """(a, b) so that a z + b are log odds of y; targets are drawn in a little (Platt)."""
+    """(a, b) so that a z + b are log odds of y.
+
+    Targets are drawn in a little (Platt), a is held near 1, and a step that does not
+    lower the loss is halved.
+    """
     hi, lo = (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2)
     target = np.where(y == 1, hi, lo)
-    a, b = 1.0, 0.0
+
+    def loss(x: np.ndarray) -> float:
+        v = x[0] * z + x[1]
+        return float((np.logaddexp(0, v) - target * v).sum() + 0.5 * (x[0] - 1) ** 2)
+
+    x = np.array([1.0, 0.0])
     for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(a * z + b, -30, 30)))
-        w = np.clip(p * (1 - p), 1e-9, None)
-        g = np.array([((p - target) * z).sum(), (p - target).sum()])
-        h = np.array([[(w * z * z).sum(), (w * z).sum()], [(w * z).sum(), w.sum()]]) + 1e-6 * np.eye(2)
-        move = np.linalg.solve(h, g)
-        a, b = a - move[0], b - move[1]
-        if np.abs(move).max() < 1e-8:
+        p = 1 / (1 + np.exp(-np.clip(x[0] * z + x[1], -500, 500)))
+        w = p * (1 - p)
+        g = np.array([((p - target) * z).sum() + x[0] - 1, (p - target).sum()])
+        h = np.array([[(w * z * z).sum() + 1, (w * z).sum()], [(w * z).sum(), w.sum() + 1e-3]])
+        move, size = np.linalg.solve(h, g), 1.0
+        while size > 1e-6 and loss(x - size * move) > loss(x):
+            size /= 2
+        x = x - size * move
+        if np.abs(size * move).max() < 1e-8:
             break
-    return (a, b) if a > 0 and np.isfinite([a, b]).all() else (1.0, 0.0)
+    return (float(x[0]), float(x[1])) if x[0] > 0 else (1.0, 0.0)
 
 
 def fit(
