@@ -35,7 +35,6 @@ from pyspark.sql import functions as F
 from riskframe.llm.frames import quoted, shared_folder, stored
 
 LEAST_REVISIT = 1000
-FILE_BYTES = 64 << 20
 PIECE = 1 << 18
 LEVEL = 1
 GZIP = 31  # zlib's window bits for a gzip wrapper
@@ -292,15 +291,17 @@ def archive(
     url: str = "url",
     html: str = "html",
     least_revisit: int = LEAST_REVISIT,
-    file_bytes: int = FILE_BYTES,
 ) -> DataFrame:
-    """Writes ``pages`` as monolithic archives and normalises them: (path, index, n_records)."""
+    """Writes ``pages`` as monolithic archives and normalises them: (path, index, n_records).
+
+    Pages are written where the search for equal payloads leaves them, so an archive is
+    as large as a partition of that join, which Spark sizes
+    (spark.sql.adaptive.advisoryPartitionSizeInBytes).
+    """
     spark = pages.sparkSession
     folder = shared_folder(spark, "warc")
     typed = typed_pages(pages, page_id, url, html, least_revisit)
-    total = pages.agg(F.sum(F.octet_length(F.col(quoted(html)).cast("binary")))).first()[0] or 0
-    dealt = typed.repartition(max(1, -(-total // file_bytes), spark.sparkContext.defaultParallelism))
-    raw = stored(write_archives(dealt, f"{folder}/raw"), "raw-archives")
+    raw = stored(write_archives(typed, f"{folder}/raw"), "raw-archives")
     # one archive to a task
-    whole = raw.repartition(max(1, raw.count()), "path")
+    whole = raw.repartition(max(1, raw.count()))
     return stored(normalise(whole, f"{folder}/archives"), "archives")
