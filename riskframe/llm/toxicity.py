@@ -38,6 +38,8 @@ MAX_ROWS = 20_000
 MAX_FEATURES = 1 << 16
 SHARE = 0.1
 PRECISION = 0.8
+DENSE = 3
+MOST_COUNTED = 4
 
 # Word lists of the lexicon voters.
 INSULTS = (
@@ -59,10 +61,19 @@ VOTERS = (
 FIRST_INDUCED = 8
 
 
+def lowered(block: W.Block) -> W.Block:
+    """ASCII letters and those of Latin-1 (two bytes, the first C3) in lower case."""
+    data = W.LOWER[block.data]
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    second = second[(data[second] <= 0x9E) & (data[second] != 0x97)]
+    data[second] += 0x20
+    return W.Block(block.first, data, block.offsets)
+
+
 def block_keys(block: W.Block) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """The row of each word, and per family (words, then beginnings) which words and keys."""
-    data = W.LOWER[block.data]
-    found = W.words(W.Block(block.first, data, block.offsets), WORD)
+    block = lowered(block)
+    data, found = block.data, W.words(block, WORD)
     families = []
     length = found.end - found.start
     for i, n in enumerate((None, *BEGINNINGS)):
@@ -103,6 +114,12 @@ class Voters:
         hits = [_isin(words, t) for t in self.lists]
         bad = hits[0] | hits[1]
         count = lambda flags: np.bincount(row[flags], minlength=n)
+        known = np.zeros(len(words), bool)
+        said_by = []
+        for (held, keys), table in zip(families, self.induced):
+            inside = held[_isin(keys, table)]
+            known[inside] = True
+            said_by.append(np.bincount(row[inside], minlength=n) > 0)
         near = np.zeros(len(words), bool)  # an insult at most three words after an address
         told = _isin(words, self.address)
         for gap in (1, 2, 3):
@@ -117,14 +134,12 @@ class Voters:
         said = [
             *(count(h) > 0 for h in hits),
             count(bad & near) > 0,
-            count(bad) > 1,
+            count(bad | known) >= DENSE,
             2 * total(upper) > total(letters),
             total(run(mark, 3)) > 0,
             total(masked) > 0,
         ]
-        for (held, keys), table in zip(families, self.induced):
-            said.append(np.bincount(row[held[_isin(keys, table)]], minlength=n) > 0)
-        return np.stack(said, axis=1).astype(np.int64)
+        return np.stack([*said, *said_by], axis=1).astype(np.int64)
 
 
 @dataclass
@@ -282,7 +297,7 @@ def associated(sample: DataFrame, least: int = 4, most: int = MAX_FEATURES) -> t
 
 @dataclass
 class ToxicityModel:
-    """Log odds: bias plus the weights of the keys a text holds, scaled."""
+    """Log odds: bias plus the weights of the keys a text holds, times how often it does."""
 
     keys: np.ndarray
     weight: np.ndarray
@@ -291,30 +306,30 @@ class ToxicityModel:
     labels: LabelModel
 
     def scores(self, block: W.Block) -> np.ndarray:
-        row, place = held_keys(block, self.keys)
-        z = self.bias + np.bincount(row, self.weight[place], block.n)
+        row, place, n = held_keys(block, self.keys)
+        z = self.bias + np.bincount(row, n * self.weight[place], block.n)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def held_keys(block: W.Block, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, place in ``keys``) of the keys that texts hold."""
+def held_keys(block: W.Block, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct (row, place in ``keys``) of the keys that texts hold, and how often, up to a few times."""
     row, families = block_keys(block)
     pairs = [np.zeros(0, np.int64)]
     for held, own in families:
         inside = _isin(own, keys)
         pairs.append(row[held[inside]] * len(keys) + np.searchsorted(keys, own[inside]))
-    both = np.unique(np.concatenate(pairs))
-    return both // max(len(keys), 1), both % max(len(keys), 1)
+    both, n = np.unique(np.concatenate(pairs), return_counts=True)
+    return both // max(len(keys), 1), both % max(len(keys), 1), np.minimum(n, MOST_COUNTED)
 
 
-def _logistic(row, place, n_rows: int, n_keys: int, target, penalty: float = 0.5, rounds: int = 400):
-    """Logistic regression on 0/1 features to soft targets, by full-batch gradient steps."""
+def _logistic(row, place, times, n_rows: int, n_keys: int, target, penalty: float = 0.5, rounds: int = 400):
+    """Logistic regression on counts to soft targets, by full-batch gradient steps."""
     weight, bias = np.zeros(n_keys), float(np.log((target.mean() + 1e-3) / (1 - target.mean() + 1e-3)))
     moment, scale = np.zeros(n_keys + 1), np.zeros(n_keys + 1)
     for t in range(1, rounds + 1):
-        z = bias + np.bincount(row, weight[place], n_rows)
+        z = bias + np.bincount(row, times * weight[place], n_rows)
         error = 1 / (1 + np.exp(-np.clip(z, -30, 30))) - target
-        grad = np.append(np.bincount(place, error[row], n_keys) + penalty * weight, error.sum()) / n_rows
+        grad = np.append(np.bincount(place, times * error[row], n_keys) + penalty * weight, error.sum()) / n_rows
         moment = 0.9 * moment + 0.1 * grad
         scale = 0.99 * scale + 0.01 * grad**2
         step = 0.1 * (moment / (1 - 0.9**t)) / (np.sqrt(scale / (1 - 0.99**t)) + 1e-8)
@@ -395,9 +410,9 @@ def fit(
         for batch in batches:
             out = []
             for block in W.blocks(batch.column(0), 1 << 20):
-                row, place = held_keys(block, chosen_keys.value)
+                row, place, n = held_keys(block, chosen_keys.value)
                 head = np.searchsorted(row, np.arange(block.n + 1))
-                out += [place[head[i] : head[i + 1]] for i in range(block.n)]
+                out += [np.repeat(place[head[i] : head[i + 1]], n[head[i] : head[i + 1]]) for i in range(block.n)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(1), batch.column(2), pa.array(out, pa.list_(pa.int64()))], ["known", "y", "places"]
             )
@@ -409,7 +424,8 @@ def fit(
     target, gold = table.column("y").to_numpy(), table.column("known").to_numpy()
     if not len(target):
         return ToxicityModel(keys, np.zeros(len(keys)), float(np.log(share / (1 - share))), voters, model)
-    weight, bias = _logistic(row, place, len(places), len(keys), target)
+    times = np.ones(len(row))
+    weight, bias = _logistic(row, place, times, len(places), len(keys), target)
     if known:
         a, b = _calibrate(bias + np.bincount(row, weight[place], len(places)), gold)
         weight, bias = a * weight, a * bias + b
