@@ -7,7 +7,8 @@ had before, a mark that it came again; each is hashed to a bucket that has a vec
 average and output are linear, a trained model is applied as one number per bucket.
 
 The model is fitted on at most ``max_rows`` labelled rows, those of least hash of the
-id; everything else reads whole texts of all rows.
+id, which reach the driver as three bytes per distinct bucket of a text (a count goes up
+to 255); everything else reads whole texts of all rows.
 
 Cases: a null or empty text has no features and gets the score of the bias alone; equal
 texts get equal scores; an empty table gives an empty result; without labels of both
@@ -29,9 +30,9 @@ from pyspark.sql import types as T
 from riskframe.llm import words as W
 from riskframe.llm.frames import cols, fresh, quoted
 
-BUCKETS = 1 << 17
+BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
-MAX_ROWS = 6_000
+MAX_ROWS = 4_000
 DIMENSION = 16
 
 _GRAM = (W.randoms(256, 21) >> np.uint64(32)).astype(np.uint32)
@@ -133,7 +134,7 @@ def train(
             done += 1
             if not len(buckets):
                 continue
-            part = (counts / counts.sum()).astype(np.float32)
+            part = (counts / counts.sum(dtype=np.int64)).astype(np.float32)
             hidden = part @ vectors[buckets]
             z = output @ hidden + bias
             p = np.exp(z - z.max())
@@ -168,7 +169,10 @@ def fit(
         for batch in batches:
             out = []
             for block in W.blocks(batch.column(1)):
-                out += [(b.astype(np.int32).tobytes(), c.astype(np.int32).tobytes()) for b, c in _sparse(block)]
+                out += [
+                    (b.astype(np.uint16).tobytes(), np.minimum(c, 255).astype(np.uint8).tobytes())
+                    for b, c in _sparse(block)
+                ]
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
@@ -181,10 +185,12 @@ def fit(
 
     rows = chosen.orderBy("place", "label").limit(max_rows)
     found = rows.mapInArrow(run, "label int, place long, buckets binary, counts binary").toArrow()
-    found = found.sort_by([("place", "ascending"), ("label", "ascending")])
-    read = lambda name: [np.frombuffer(v.as_py(), np.int32) for v in found.column(name)]
-    texts = list(zip(read("buckets"), read("counts")))
-    return train(texts, found.column("label").to_numpy().astype(np.int64), **options)
+    # views of what has arrived, in the order of the hash, so that partitioning changes nothing
+    read = lambda name, kind: [np.frombuffer(v.as_buffer(), kind) for v in found.column(name)]
+    texts = list(zip(read("buckets", np.uint16), read("counts", np.uint8)))
+    labels = found.column("label").to_numpy().astype(np.int64)
+    order = np.lexsort((labels, found.column("place").to_numpy()))
+    return train([texts[i] for i in order], labels[order], **options)
 
 
 def score(df: DataFrame, model, text: str = "text", out: str = "score") -> DataFrame:
