@@ -189,10 +189,13 @@ def class_counts(df: DataFrame, label_col: str) -> DataFrame:
 
 
 def class_balance(df: DataFrame, label_col: str = FRAUD) -> DataFrame:
-    """Rows and share in percent of each class."""
-    counted = class_counts(df, label_col)
-    total = counted.agg(F.sum("n").alias("_total"))
-    return counted.crossJoin(F.broadcast(total)).select(
+    """Rows and share in percent of each class.
+
+    The total is a window over the classes, of which there are few, so the table is
+    scanned once.
+    """
+    counted = class_counts(df, label_col).withColumn("_total", F.expr("sum(n) over ()"))
+    return counted.select(
         F.col(label_col).alias("label"), "n", percent("n", "_total").alias("percent")
     )
 
@@ -204,6 +207,7 @@ def correlation_matrix(df: DataFrame, columns: Sequence[str] | None = None) -> D
     All pairs come out of one pass.
     """
     columns = list(columns or numeric_columns(df))
+    df = doubles(df, columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
 
     def correlation(a: str, b: str) -> str:
@@ -237,6 +241,7 @@ def boxplot_stats(
 ) -> DataFrame:
     """Quartiles, whiskers (the furthest values inside the fences) and outliers."""
     columns = list(columns or numeric_columns(df, exclude))
+    df = doubles(df, columns)
     medians = quantiles(df, columns, [0.25, 0.5, 0.75], exact)
     present = [c for c in columns if medians[c][0] is not None]
     low, high = {}, {}

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions import sql
+from riskframe.session import stage
 
 ACCURACY = 10_000
 MAX_RANKED = 500_000
@@ -227,6 +228,8 @@ def exact_quantiles(
     ]
     pending = [b for b in pending if b.column not in small]
     margin = 2.0 / accuracy
+    if pending:  # read several times from here on
+        df = stage(df, "quantiles")
     while pending:
         kept, missed = _locate(df, pending, found)
         small_enough = [b for b in kept if b.distinct <= max_ranked]

@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_CONF = "spark.checkpoint.dir"
@@ -34,6 +33,7 @@ def local_session(cpus: int = 8, app: str = "riskframe", **conf: str) -> SparkSe
 
 
 _own_scratch: dict[str, str] = {}
+_staged: dict[str, list[str]] = {}
 
 
 def scratch_dir(spark: SparkSession) -> str | None:
@@ -57,13 +57,27 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
 
     Used where a table is read by several jobs (fits, iterative training). The
     copy is a parquet table in the shared scratch folder, so it survives the loss
-    of executors, prunes columns, and lets Catalyst see its true size. Where no
-    shared folder is configured the DataFrame is persisted; lost blocks are then
-    computed again from lineage.
+    of executors, prunes columns, and lets Catalyst see its true size. A cluster must
+    name that folder in ``spark.checkpoint.dir``. ``drop_stages`` removes the copies.
     """
-    folder = scratch_dir(df.sparkSession)
+    spark = df.sparkSession
+    folder = scratch_dir(spark)
     if folder is None:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        raise ValueError(f"set {SCRATCH_CONF} to a folder that all executors share")
     path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> int:
+    """Remove the tables staged by this application; what reads them must be done with.
+
+    Returns how many there were.
+    """
+    paths = _staged.pop(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)

@@ -19,6 +19,7 @@ def spark():
     session.stop()
 
 
+# The worked example of FIXTURES.md, section 2.
 SEVEN = [
     # transaction, customer, category, amount, value, day, pricing, fraud
     ("T1", "C1", "airtime", 100.0, 100, 1, 1, 0),

@@ -2,6 +2,7 @@
 
 import io
 import json
+import os
 from contextlib import redirect_stdout
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from riskframe import queries
+from riskframe import queries, session
 from riskframe.operators import classifiers, features, split
 from riskframe.operators.woe import WoeEncoder
 from riskframe.plans import runs
@@ -227,6 +228,7 @@ def test_scans(spark):
     assert made and not any("o_" in line for line in made)  # only the stored grouping
     assert len(scans(queries.all_queries()["histogram"](spark, SMALL))) == 1
     assert len(scans(queries.all_queries()["kde"](spark, SMALL))) == 1
+    assert len(scans(queries.all_queries()["class_balance"](spark, SMALL))) == 1
     read = scans(queries.all_queries()["customer_features"](spark, SMALL))
     assert len(read) == 1 and "o_orderkey" in read[0]
 
@@ -250,3 +252,14 @@ def test_split_and_encoding_are_projections(spark):
     done = split.stratified_folds(split.stratified_split(table).filter("is_test = 0"))
     encoded = WoeEncoder(inputCols=list(FEATURES)).fit(table).transform(done)
     assert "Exchange" not in plan(encoded)
+
+
+def test_staged_tables_can_be_dropped(spark):
+    spark_only = session.stage(spark.range(5).toDF("x"), "five")
+    path = spark_only.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path) and spark_only.count() == 5
+    known = session._staged[spark.sparkContext.applicationId]
+    mine, others = [p for p in known if path.endswith(p.rsplit("/", 1)[1])], list(known)
+    known[:] = mine
+    assert session.drop_stages(spark) == 1 and not os.path.exists(path)
+    session._staged[spark.sparkContext.applicationId] = [p for p in others if p not in mine]
