@@ -50,6 +50,21 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def salted(*names: str, salts: int):
-    """A column of 0 to salts-1 by the named columns, to spread a hot key's rows."""
-    return F.pmod(F.xxhash64(*names), F.lit(salts)).cast("int")
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, max_rows: int
+) -> DataFrame:
+    """(doc_id, text, label) of at most ``max_rows`` documents that have a label 0 or 1.
+
+    The ids are chosen among the labels, by least hash, before any text is touched; they
+    are at most ``max_rows`` rows, so they are broadcast and texts are not shuffled. Of
+    rows that repeat an id one is taken.
+    """
+    chosen = (
+        labels.filter(F.col(quoted(label)).isin(0, 1) & F.col(quoted(doc_id)).isNotNull())
+        .groupBy(F.col(quoted(doc_id)).alias("doc_id"))
+        .agg(F.max(F.col(quoted(label)).cast("int")).alias("label"))
+        .orderBy(F.xxhash64("doc_id"), "doc_id")
+        .limit(max_rows)
+    )
+    texts = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).cast("binary").alias("text"))
+    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])

@@ -170,7 +170,4 @@ def op1_toxicity(spark, sf_dir):
 
 @query
 def op7_quality_classifier(spark, sf_dir):
-    def fit(docs, labels):
-        return subword_classifier.fit(docs.join(labels, "doc_id"))
-
-    return _scored(spark, sf_dir, "quality", fit, 0.5)
+    return _scored(spark, sf_dir, "quality", subword_classifier.fit, 0.5)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.llm import words as W
-from riskframe.llm.frames import cols, fresh, quoted
+from riskframe.llm.frames import cols, fresh, labelled_sample, quoted
 
 BUCKETS = 1 << 16
 GRAMS = (3, 4, 5)
@@ -151,19 +151,17 @@ def train(
 
 
 def fit(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
+    doc_id: str = "doc_id",
     text: str = "text",
     label: str = "quality",
-    order: str = "doc_id",
     max_rows: int = MAX_ROWS,
     **options,
 ) -> SubwordModel:
-    """A model from rows whose label is 0 or 1, at most ``max_rows`` of them."""
-    chosen = (
-        labelled.filter(F.col(quoted(label)).isin(0, 1))
-        .select(F.col(quoted(label)).cast("int"), F.col(quoted(text)).cast("binary"), F.xxhash64(quoted(order)))
-        .toDF("label", "text", "place")
-    )
+    """A model from ``docs`` and ``labels`` (doc_id, label 0 or 1), at most ``max_rows`` rows."""
+    sample = labelled_sample(docs, labels, doc_id, text, label, max_rows)
+    chosen = sample.select("label", "text", F.xxhash64("doc_id").alias("place"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -183,8 +181,7 @@ def fit(
                 ["label", "place", "buckets", "counts"],
             )
 
-    rows = chosen.orderBy("place", "label").limit(max_rows)
-    found = rows.mapInArrow(run, "label int, place long, buckets binary, counts binary").toArrow()
+    found = chosen.mapInArrow(run, "label int, place long, buckets binary, counts binary").toArrow()
     # views of what has arrived, in the order of the hash, so that partitioning changes nothing
     read = lambda name, kind: [np.frombuffer(v.as_buffer(), kind) for v in found.column(name)]
     texts = list(zip(read("buckets", np.uint16), read("counts", np.uint8)))

@@ -217,16 +217,16 @@ def test_label_model_knows_accuracies():
 def test_subwords(spark):
     df, truth = labelled(spark, "qqzz")
     seen = df.filter("doc_id % 3 != 1")
-    model = subword_classifier.fit(seen, label="y")
+    model = subword_classifier.fit(seen.drop("y"), seen.select("doc_id", "y"), label="y")
     rows = subword_classifier.score(df.select("doc_id", "text"), model).collect()
     assert len(rows) == df.count() and all(0 <= r.score <= 1 for r in rows)
     fresh = [r for r in rows if r.doc_id % 3 == 1 and r.doc_id < 9000]
     ones = [r.score for r in fresh if truth[r.doc_id]]
     zeros = [r.score for r in fresh if not truth[r.doc_id]]
     assert np.mean([a > b for a in ones for b in zeros]) > 0.9
-    one_class = subword_classifier.fit(seen.filter("y = 1"), label="y")
+    one_class = subword_classifier.fit(seen, seen.filter("y = 1"), label="y")
     assert subword_classifier.score(df, one_class).selectExpr("min(score)").first()[0] > 0.9
-    assert subword_classifier.fit(seen.limit(0), label="y").bias == 0
+    assert subword_classifier.fit(seen, seen.limit(0), label="y").bias == 0
 
 
 def test_held_out(spark):
