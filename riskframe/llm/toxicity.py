@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm import words as W
 from riskframe.llm.decontamination import WORD
-from riskframe.llm.frames import quoted, stored
+from riskframe.llm.frames import labelled_sample, quoted, stored
 
 MAX_ROWS = 20_000
 MAX_FEATURES = 1 << 16
@@ -376,21 +376,15 @@ def fit(
 ) -> ToxicityModel:
     """A model from unlabelled ``docs`` and from ``labels`` (doc_id, label 0 or 1)."""
     spark = docs.sparkSession
-    named = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).cast("binary").alias("text"))
-    chosen = (
-        labels.filter(F.col(quoted(label)).isin(0, 1))
-        .select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(label)).cast("double").alias("y"))
-        .orderBy(F.xxhash64("doc_id"), "y")
-        .limit(max_rows)
-    )
-    sample = stored(named.join(chosen, "doc_id"), "labelled")
+    labelled = labelled_sample(docs, labels, doc_id, text, label, max_rows)
+    sample = stored(labelled.select("text", F.col("label").cast("double").alias("y")), "labelled")
     rows, positives = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0.0))).first()
     known = bool(0 < positives < rows)
     share = float(np.clip(positives / rows, 0.005, 0.995)) if known else SHARE
 
     keys, family = associated(sample) if known else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     voters = Voters([keys[family == i] for i in range(1 + len(BEGINNINGS))])
-    _, mean, second = vote_moments(named, "text", voters)
+    _, mean, second = vote_moments(docs, text, voters)
     model = label_model(mean, second, share)
 
     sent = spark.sparkContext.broadcast((voters, model))
