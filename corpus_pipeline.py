@@ -45,7 +45,7 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     found = decontamination.contamination(docs, table(spark, sf_dir, "benchmark"))
     hit = found.filter("n_hit > 0").select("key").distinct()
     (key,) = fresh(docs, "_key")
-    keyed = docs.withColumn(key, decontamination.row_key("doc_id", "text"))
+    keyed = docs.withColumn(key, decontamination.text_key("text"))
     clean = keyed.join(hit, keyed[quoted(key)] == hit["key"], "left_anti")
     return clean.select(*cols(docs.columns))
 

@@ -146,13 +146,13 @@ def _pieces(marked: DataFrame, step: int) -> DataFrame:
         key = group.column("key")[0].as_py()
         return pa.table(
             {
-                "key": pa.array([key] * len(pieces), pa.int64()),
+                "key": pa.array([key] * len(pieces), pa.string()),
                 "place": pa.array(range(len(pieces)), pa.int32()),
                 "piece": pa.array(pieces, pa.string()),
             }
         )
 
-    return marked.groupBy("key").applyInArrow(run, "key long, place int, piece string")
+    return marked.groupBy("key").applyInArrow(run, "key string, place int, piece string")
 
 
 def encode(
@@ -175,7 +175,7 @@ def encode(
     whole = df.select(*cols(rest), body.alias(name))
     one = _encode_column(whole.filter(F.length(quoted(name)) <= step), name, out, sent, pattern)
 
-    long_texts = whole.filter(F.length(quoted(name)) > step).withColumn(key, F.xxhash64(quoted(name), F.reverse(quoted(name))))
+    long_texts = whole.filter(F.length(quoted(name)) > step).withColumn(key, F.md5(F.col(quoted(name)).cast("binary")))
     chunks = (
         long_texts.select(F.col(quoted(key)).alias("key"), F.col(quoted(name)).alias("whole"))
         .select("key", "whole", F.explode(F.sequence(F.lit(0), F.ceil(F.length("whole") / step).cast("int") - 1)).alias("seq"))

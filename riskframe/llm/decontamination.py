@@ -8,9 +8,9 @@ fixed size lets pass; these are joined with the items' fingerprints, and each hi
 extended over its whole diagonal by comparing words.
 
 Cases: a null or empty text has no words, hits nothing and, as an item, is never hit. An
-item without an id still marks words but is not counted or listed. Equal rows get equal
-results; rows are told apart by id and text together. An empty table of either kind gives
-no hits. Extra columns are not read.
+item without an id still marks words but is not counted or listed. Equal texts are worked out once and
+get equal results. An empty table of either kind gives no hits. Extra columns are not
+read.
 """
 
 from __future__ import annotations
@@ -157,7 +157,7 @@ def _document_seeds(docs: DataFrame, bloom, short: list[int]) -> DataFrame:
 
 def _extend(hits: DataFrame) -> DataFrame:
     """Words inside whole windows on the diagonals of a document's hits."""
-    schema = "key long, n_hit long, ids array<string>"
+    schema = "key string, n_hit long, ids array<string>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -197,7 +197,7 @@ def contamination(
 ) -> DataFrame:
     """Per row of ``docs``: key, doc_id, n_words, n_hit, ids (items with a whole window in it).
 
-    ``key`` is ``row_key(doc_id, text)``.
+    ``key`` is ``text_key(text)``.
     """
     spark = docs.sparkSession
     known = stored(item_table(items, item_id, item_text), "benchmark")
@@ -207,13 +207,13 @@ def contamination(
     marks = known.select("item", F.explode("seeds").alias("s")).select("item", "s.f", F.col("s.at").alias("item_at"))
     bloom = spark.sparkContext.broadcast(B.build(marks, "f", bloom_bits))
     keyed = docs.select(
-        row_key(doc_id, text).alias("key"),
+        text_key(text).alias("key"),
         F.col(quoted(doc_id)).alias("doc_id"),
         F.col(quoted(text)).cast("binary").alias("text"),
     )
     base = stored(_document_seeds(keyed, bloom, short), "seeds")
-    with_seeds = base.filter(F.size("seeds") > 0)
-    seeds = with_seeds.select("key", F.explode("seeds").alias("s")).select("key", "s.f", F.col("s.at").alias("at"))
+    texts = stored(base.filter(F.size("seeds") > 0).dropDuplicates(["key"]).drop("doc_id", "n_words"), "texts")
+    seeds = texts.select("key", F.explode("seeds").alias("s")).select("key", "s.f", F.col("s.at").alias("at"))
     diagonals = (
         seeds.join(marks, "f").select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     )
@@ -222,8 +222,6 @@ def contamination(
         .groupBy("key")
         .agg(F.collect_list(F.struct("shift", "id", "hashes")).alias("hits"))
     )
-    # equal rows share a key, so their hits are worked out once
-    texts = with_seeds.select("key", "hashes").dropDuplicates(["key"])
     extended = _extend(texts.join(found, "key").select("key", "hashes", "hits"))
     return base.join(extended, "key", "left").select(
         "key",
@@ -234,6 +232,6 @@ def contamination(
     )
 
 
-def row_key(doc_id: str, text: str):
-    """One number for an id and a text together."""
-    return F.xxhash64(F.col(quoted(doc_id)), F.col(quoted(text)))
+def text_key(text: str):
+    """A digest of a text; a null text is empty."""
+    return F.md5(F.coalesce(F.col(quoted(text)), F.lit("")).cast("binary"))

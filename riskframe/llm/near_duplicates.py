@@ -44,7 +44,7 @@ BANDS = 40
 HASHES = ROWS * BANDS
 BATCH = 40
 MISS = 1e-5
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 BLOOM_BITS = 1 << 24
 
 _FACTORS = (W.randoms(HASHES, 9) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
