@@ -395,7 +395,7 @@ def all_oracles() -> dict[str, str]:
         "forest_baseline": _model_facts("forest_baseline"),
         "forest_tuned": _model_facts("forest_tuned", 36),
         "gbt_baseline": _model_facts("gbt_baseline"),
-        "gbt_tuned": _model_facts("gbt_tuned", 54),
+        "gbt_tuned": _model_facts("gbt_tuned", 4),
         "class_probability": with_ctes(
             f"SELECT CustomerId, 'logistic_baseline' AS model, label, {SCORE_FACTS} FROM held_out",
             "held_out"),

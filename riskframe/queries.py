@@ -51,6 +51,15 @@ NUDGE = 1e-9
 # Centroids in scaled (recency, frequency, monetary); cluster 0 is risky.
 CENTROIDS = {0: (2.0, -1.0, -0.8), 1: (-0.2, -0.4, -0.4), 2: (-0.3, 1.0, 1.0)}
 
+# The search of boosted trees as a query: 4 points of the 54 of the library's grid, over all
+# five folds. Boosting is a chain of small jobs; README.md has the time of the whole grid.
+GBT_QUERY_GRID = {
+    "n_estimators": [50],
+    "learning_rate": [0.1, 0.2],
+    "max_depth": [3],
+    "subsample": [0.8, 1.0],
+}
+
 _registry: dict[str, Query] = {}
 
 
@@ -602,11 +611,12 @@ def _score_facts(scores: DataFrame, score: str, prediction: str) -> dict:
     }
 
 
-def _evaluated(spark: SparkSession, sf_dir: str, family, tuned: bool) -> DataFrame:
-    """A fit with the library's own grid and folds, and what must hold of its test scores."""
+def _evaluated(spark: SparkSession, sf_dir: str, family, tuned: bool, grid=None) -> DataFrame:
+    """A fit with the library's grid (or the given one) and folds, and what must hold of its scores."""
     table, _ = _encoded(spark, sf_dir)
     data = training_set(table)
-    fitted = fit_family(data, family, tuned, tasks=_tasks(data))
+    grid = (grid or family.grid) if tuned else None
+    fitted = fit_family(data, family, tuned, grid, tasks=_tasks(data))
     scores = stage(scored([fitted], data.test), "scores")
     facts = _score_facts(scores, "score", "prediction")
     summary = scores.groupBy("model").agg(
@@ -617,11 +627,11 @@ def _evaluated(spark: SparkSession, sf_dir: str, family, tuned: bool) -> DataFra
     better = metrics.roc_auc(scores).select("model", (F.col("roc_auc") > 0.8).alias("auc_above_0_8"))
     result = summary.join(better, "model")
     if tuned:
-        axes = {k: sorted(map(str, v)) for k, v in family.grid.items()}
+        axes = {k: sorted(map(str, v)) for k, v in grid.items()}
         chosen = all(str(fitted.params[k]) in v for k, v in axes.items())
         result = result.withColumns(
             {
-                "n_points": F.lit(len(grid_points(family.grid))).cast("long"),
+                "n_points": F.lit(len(grid_points(grid))).cast("long"),
                 "n_folds": F.lit(data.n_folds).cast("long"),
                 "chosen_from_grid": F.lit(chosen),
                 "cv_auc_above_0_8": F.lit(fitted.cv_roc_auc > 0.8),
@@ -662,7 +672,7 @@ def gbt_baseline(spark, sf_dir):
 
 @query
 def gbt_tuned(spark, sf_dir):
-    return _evaluated(spark, sf_dir, GBT, tuned=True)
+    return _evaluated(spark, sf_dir, GBT, tuned=True, grid=GBT_QUERY_GRID)
 
 
 def _fitted_logistic(spark: SparkSession, sf_dir: str):
