@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskframe.llm.frames import quoted
+from riskframe.llm.frames import quoted, stored
 
 SEED = 20_011
 SUB_BUCKETS = 64
@@ -57,11 +57,15 @@ def shard_rows(
     )
     # equal rows once, with their number, so that a hot key is one row from here on
     alike = facts.groupBy("key", "size", "text_crc32").agg(F.count(F.lit(1)).alias("n"))
-    placed = alike.select(
-        "*",
-        jump(F.col("key"), shards).alias("shard"),
-        jump(F.col("key"), shards + 1).alias("grown_shard"),
-        F.pmod(F.xxhash64("key", F.lit(SEED + 1)), F.lit(sub_buckets)).cast("int").alias("sub"),
+    # numbered and summed from one stored copy, so texts are read once
+    placed = stored(
+        alike.select(
+            "*",
+            jump(F.col("key"), shards).alias("shard"),
+            jump(F.col("key"), shards + 1).alias("grown_shard"),
+            F.pmod(F.xxhash64("key", F.lit(SEED + 1)), F.lit(sub_buckets)).cast("int").alias("sub"),
+        ),
+        "placed",
     )
     inside = Window.partitionBy("shard", "sub").orderBy("key", "size", "text_crc32")
     run = placed.withColumn("upto", F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
