@@ -50,6 +50,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def least_hashed(df: DataFrame, names: list[str], max_rows: int) -> DataFrame:
+    """At most ``max_rows`` rows, those of least hash of the named columns.
+
+    Rows far from the least are left out before the sort, by the number of rows, so that
+    what is gathered does not grow with the partitions.
+    """
+    (place,) = fresh(df, "_place")
+    most, n = 1 << 40, df.count()
+    hashed = df.withColumn(place, F.pmod(F.xxhash64(*cols(names)), F.lit(most)))
+    if n > max_rows:
+        hashed = hashed.filter(F.col(place) <= int(most * min(1.0, 1.2 * max_rows / n)))
+    return hashed.orderBy(place, *cols(names)).limit(max_rows).drop(place)
+
+
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, max_rows: int
 ) -> DataFrame:
@@ -59,12 +73,11 @@ def labelled_sample(
     are at most ``max_rows`` rows, so they are broadcast and texts are not shuffled. Of
     rows that repeat an id one is taken.
     """
-    chosen = (
+    known = (
         labels.filter(F.col(quoted(label)).isin(0, 1) & F.col(quoted(doc_id)).isNotNull())
         .groupBy(F.col(quoted(doc_id)).alias("doc_id"))
         .agg(F.max(F.col(quoted(label)).cast("int")).alias("label"))
-        .orderBy(F.xxhash64("doc_id"), "doc_id")
-        .limit(max_rows)
     )
+    chosen = least_hashed(known, ["doc_id"], max_rows)
     texts = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).cast("binary").alias("text"))
     return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])

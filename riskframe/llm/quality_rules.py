@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskframe.llm import words as W
-from riskframe.llm.frames import cols, fresh, quoted
+from riskframe.llm.frames import cols, fresh, least_hashed, quoted
 
 COUNTS = (
     "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_chars", "n_lines",
@@ -277,14 +277,10 @@ def fit_rules(
     counts and label, so that the choice does not depend on partitioning.
     """
     made = features(out)
-    chosen = (
-        df.filter(F.col(quoted(label)).isin(0, 1))
-        .select(F.col(quoted(label)).cast("int").alias("_label"), *[v.alias(k) for k, v in made.items()])
-        .withColumn("_order", F.xxhash64("_label", *made))
-        .orderBy("_order")
-        .limit(max_rows)
-        .toPandas()
+    known = df.filter(F.col(quoted(label)).isin(0, 1)).select(
+        F.col(quoted(label)).cast("int").alias("_label"), *[v.alias(k) for k, v in made.items()]
     )
+    chosen = least_hashed(known, ["_label", *made], max_rows).toPandas()
     bad = chosen["_label"].to_numpy() == 0
     if not len(chosen) or bad.all() or not bad.any():
         return DecisionList()
