@@ -50,14 +50,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def least_hashed(df: DataFrame, names: list[str], max_rows: int) -> DataFrame:
+def least_hashed(df: DataFrame, names: list[str], max_rows: int, n: int | None = None) -> DataFrame:
     """At most ``max_rows`` rows, those of least hash of the named columns.
 
-    Rows far from the least are left out before the sort, by the number of rows, so that
-    what is gathered does not grow with the partitions.
+    Rows far from the least are left out before the sort, by the number of rows (``n``, if
+    it is known), so that what is gathered does not grow with the partitions. Rows equal
+    in the named columns share a hash, so these must tell rows apart.
     """
     (place,) = fresh(df, "_place")
-    most, n = 1 << 40, df.count()
+    most, n = 1 << 40, df.count() if n is None else n
     hashed = df.withColumn(place, F.pmod(F.xxhash64(*cols(names)), F.lit(most)))
     if n > max_rows:
         hashed = hashed.filter(F.col(place) <= int(most * min(1.0, 1.2 * max_rows / n)))

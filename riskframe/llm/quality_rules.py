@@ -268,19 +268,41 @@ def cover(
     return learned
 
 
+def rule_sample(
+    df: DataFrame, label: str = "quality", out: str = "statistics", max_rows: int = 20_000, doc_id: str = "doc_id"
+) -> DataFrame:
+    """(_label, features) of at most ``max_rows`` rows whose ``label`` is 0 or 1.
+
+    They are those of least hash of id, label and counts, so that the choice does not
+    depend on partitioning and copies of a text enter in their share. Rows equal in all of
+    these are numbered, and the number is hashed as well.
+    """
+    made = features(out)
+    known = df.filter(F.col(quoted(label)).isin(0, 1)).select(
+        F.col(quoted(doc_id)).alias("_id"),
+        F.col(quoted(label)).cast("int").alias("_label"),
+        *[v.alias(k) for k, v in made.items()],
+    )
+    n = known.count()
+    equal = known.groupBy(*known.columns).agg(F.count(F.lit(1)).alias("_n"))
+    rows = equal.select(*known.columns, F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
+    return least_hashed(rows, rows.columns, max_rows, n).select("_label", *made)
+
+
 def fit_rules(
-    df: DataFrame, label: str = "quality", out: str = "statistics", max_rows: int = 20_000, **options
+    df: DataFrame,
+    label: str = "quality",
+    out: str = "statistics",
+    max_rows: int = 20_000,
+    doc_id: str = "doc_id",
+    **options,
 ) -> DecisionList:
     """A decision list from rows of ``text_statistics`` whose ``label`` is 0 (bad) or 1.
 
-    At most ``max_rows`` labelled rows are used, those with the least hash of their
-    counts and label, so that the choice does not depend on partitioning.
+    At most ``max_rows`` labelled rows are used, chosen by ``rule_sample``.
     """
     made = features(out)
-    known = df.filter(F.col(quoted(label)).isin(0, 1)).select(
-        F.col(quoted(label)).cast("int").alias("_label"), *[v.alias(k) for k, v in made.items()]
-    )
-    chosen = least_hashed(known, ["_label", *made], max_rows).toPandas()
+    chosen = rule_sample(df, label, out, max_rows, doc_id).toPandas()
     bad = chosen["_label"].to_numpy() == 0
     if not len(chosen) or bad.all() or not bad.any():
         return DecisionList()

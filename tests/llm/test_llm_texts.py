@@ -39,6 +39,24 @@ def test_decision_list(spark):
     assert none.rules == [] and counted.select(none.column(quality_rules.features()).alias("g")).first().g
 
 
+@pytest.mark.parametrize("one_id", [False, True])
+def test_decision_list_of_copies(spark, one_id):
+    """Copies of one text, a third of more labelled rows than are used, are a third of the sample."""
+    counted = quality_rules.text_statistics(
+        spark.createDataFrame([(i, fixtures.prose(i, 40)) for i in range(1600)] + [(-1, "buy ### now " * 30)], "doc_id long, text string")
+    )
+    copies = counted.filter("doc_id = -1").crossJoin(spark.range(800)).select(
+        (F.lit(-1) if one_id else -1 - F.col("id")).alias("doc_id"), "statistics", F.lit(0).alias("quality")
+    )
+    labelled = counted.filter("doc_id >= 0").select("doc_id", "statistics", F.lit(1).alias("quality")).union(copies)
+    chosen = quality_rules.rule_sample(labelled, max_rows=300)
+    n = {r["_label"]: r["count"] for r in chosen.groupBy("_label").count().collect()}
+    assert n[0] + n[1] == 300 and 70 <= n[0] <= 130
+    rules = quality_rules.fit_rules(labelled, max_rows=300)
+    wrong = labelled.filter(rules.column(quality_rules.features()) != (F.col("quality") == 1)).count()
+    assert rules.rules and wrong <= 24
+
+
 def test_secrets(spark):
     df, docs = fixtures.documents(spark)
     out = secrets.find_secrets(df, "text", "found")
