@@ -95,6 +95,41 @@ def test_entropy_windows(spark):
         assert (r.h.first, r.h.last) == ((hot[0], hot[-1] + secrets.WINDOW) if hot else (-1, -1))
 
 
+def random_secrets(each: int) -> list[tuple]:
+    """(alphabet, length, text around a random secret without a keyword)."""
+    import random
+    import string
+
+    rng, plain = random.Random(11), string.ascii_letters + string.digits
+    kinds = {
+        "letters and digits": (plain, (20, 24, 32)),
+        "base64": (plain + "+/", (20, 24, 40)),
+        "base32": (string.ascii_uppercase + "234567", (20, 32, 40)),
+    }
+    return [
+        (kind, n, f"use {''.join(rng.choices(alphabet, k=n))} for it")
+        for kind, (alphabet, lengths) in kinds.items() for n in lengths for _ in range(each)
+    ]
+
+
+def test_recall_of_random_secrets(spark):
+    df = spark.createDataFrame(random_secrets(1000), "kind string, n int, text string").repartition(8)
+    found = secrets.find_secrets(df).groupBy("kind", "n").agg(F.avg((F.size("secrets") > 0).cast("int")).alias("recall"))
+    recall = {(r.kind, r.n): r.recall for r in found.collect()}
+    assert all(v >= (0.95 if n == 20 else 0.97) for (_, n), v in recall.items()), recall
+
+
+def test_words_are_no_secrets(spark):
+    said = [
+        "internationalization INTERNATIONALIZATION counterrevolutionaries",
+        "getElementsByTagNameFromDocument AbstractSingletonProxyFactoryBean",
+        "how-to-use-word2vec-in-python-for-beginners the_quick_brown_fox_jumps_over",
+        "blog/2024/how-people-write-plain-texts supercalifragilisticexpialidocious2",
+    ]
+    df = spark.createDataFrame([(t,) for t in said], "text string")
+    assert [r.text for r in secrets.find_secrets(df).filter(F.size("secrets") > 0).collect()] == []
+
+
 def test_allow_list_and_redaction(spark):
     df, _ = fixtures.documents(spark)
     rows = {r.doc_id: r for r in secrets.redact(df).filter("doc_id is not null").collect()}
