@@ -3,7 +3,7 @@
 1. Voters: fixed lexicons (insults, threats), patterns (address, density, shouting,
    exclamation runs, masked words), and lexicons induced from labelled rows: words and
    word beginnings far more frequent in toxic texts than chance allows. Each votes 1
-   (toxic), -1 (not) or 0 (nothing to go by).
+   (toxic) or 0 (nothing to go by).
 2. A generative label model: from the mean votes and their covariances over all texts,
    a voter's covariance with the hidden label follows from triplets of voters; voters
    whose covariance is not explained by the label are taken as correlated, and triplets
@@ -38,6 +38,7 @@ MAX_ROWS = 20_000
 MAX_FEATURES = 1 << 16
 SHARE = 0.1
 PRECISION = 0.8
+LIFT = 4  # a key's odds of toxic texts are at least so many times those of all texts
 DENSE = 3
 MOST_COUNTED = 4
 
@@ -291,7 +292,8 @@ def associated(sample: DataFrame, least: int = 4, most: int = MAX_FEATURES) -> t
     p0 = np.clip(positives / max(rows, 1), 1e-6, 1 - 1e-6)
     p = np.clip(with_y / np.maximum(n, 1), 1e-9, 1 - 1e-9)
     evidence = n * (p * np.log(p / p0) + (1 - p) * np.log((1 - p) / (1 - p0)))
-    kept = (p > max(PRECISION, 2 * p0)) & (evidence > np.log(len(keys)) + 5)
+    odds = LIFT * p0 / (1 - p0)
+    kept = (p > max(PRECISION, odds / (1 + odds))) & (evidence > np.log(len(keys)) + 5)
     return keys[kept], family[kept]
 
 

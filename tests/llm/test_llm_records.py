@@ -232,3 +232,15 @@ def test_subwords(spark):
 def test_held_out(spark):
     rows = spark.range(1000).select("id", subword_classifier.held_out("id").alias("out")).collect()
     assert all(r.out == (zlib.crc32(str(r.id).encode()) % 3 == 1) for r in rows)
+
+
+def test_toxic_majority(spark):
+    """With 60 % toxic labels words are still induced, and texts are told apart."""
+    rows = [(i, fixtures.prose(i, 30) + (" grobnak vexilut" if i % 5 < 3 else ""), int(i % 5 < 3)) for i in range(400)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    sample = df.selectExpr("cast(text as binary) as text", "cast(toxic as double) as y")
+    keys, _ = toxicity.associated(sample)
+    assert np.isin(toxicity.word_keys("grobnak vexilut"), keys).all()
+    model = toxicity.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+    found = subword_classifier.score(df, model).select("toxic", "score").collect()
+    assert np.mean([(r.score >= 0.5) == (r.toxic == 1) for r in found]) > 0.95
