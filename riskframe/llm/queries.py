@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import byte_bpe, chat, decontamination, near_duplicates, quality_rules, secrets, sharding, subword_classifier, toxicity, warc
+from riskframe.llm import alignment, byte_bpe, chat, decontamination, near_duplicates, quality_rules, secrets, sharding, subword_classifier, toxicity, warc
 from riskframe.llm.frames import stored, table
 from riskframe.llm.shipping import ship
 
@@ -171,3 +171,12 @@ def op1_toxicity(spark, sf_dir):
 @query
 def op7_quality_classifier(spark, sf_dir):
     return _scored(spark, sf_dir, "quality", subword_classifier.fit, 0.5)
+
+
+@query
+def op12_cross_tokenizer_alignment(spark, sf_dir):
+    import public_tokenizers
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.aligned(docs, *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
