@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import alignment, byte_bpe, chat, decontamination, near_duplicates, quality_rules, secrets, sharding, subword_classifier, toxicity, warc
+from riskframe.llm import alignment, byte_bpe, chat, decontamination, hard_negatives, near_duplicates, quality_rules, secrets, sharding, subword_classifier, toxicity, warc
 from riskframe.llm.frames import stored, table
 from riskframe.llm.shipping import ship
 
@@ -180,3 +180,9 @@ def op12_cross_tokenizer_alignment(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     paths = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
     return alignment.aligned(docs, *paths, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
+@query
+def op13_hard_negatives(spark, sf_dir):
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label)
