@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.llm import alignment, byte_bpe, chat, decontamination, hard_negatives, near_duplicates, quality_rules, secrets, sharding, subword_classifier, toxicity, warc
+from riskframe.llm import alignment, byte_bpe, chat, decontamination, hard_negatives, html_extraction, near_duplicates, quality_rules, secrets, sharding, subword_classifier, toxicity, warc
 from riskframe.llm.frames import stored, table
 from riskframe.llm.shipping import ship
 
@@ -173,6 +173,12 @@ def op7_quality_classifier(spark, sf_dir):
     return _scored(spark, sf_dir, "quality", subword_classifier.fit, 0.5)
 
 
+@query
+def op11_html_extraction(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extraction.extract(pages, html_extraction.fit(pages))
+
+
 @query
 def op12_cross_tokenizer_alignment(spark, sf_dir):
     import public_tokenizers
