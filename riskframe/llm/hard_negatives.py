@@ -38,7 +38,7 @@ from riskframe.llm.frames import quoted, stored
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 256
 LEAF = 24
-SHRINK = 0.6  # a level's scale, of the one above
+SHRINK = 0.25  # a level's scale, of the one above
 POSITIVES = 5
 NEGATIVES = 10
 # a window, in per cent of the positive's score
@@ -157,24 +157,27 @@ class CoverTree:
                 if len(place) == k and -bound < score[-1]:
                     break
                 found, first = below(node), self.first[node]
+                child = None
                 if self.last[node]:
-                    child = np.arange(first, self.last[node])
-                    slack = length * self.radius[child] + 1e-6 * (1 + np.abs(found))
+                    child, centre = np.arange(first, self.last[node]), found
                     alone = self.end[child] - self.begin[child] == 1
-                    best = np.minimum(found + slack, high)
-                    more = ~alone & (found + slack >= low) & (found - slack <= high)
-                    for c, b in zip(child[more].tolist(), best[more].tolist()):
-                        heapq.heappush(heap, (-b, c))
                     rows, found = self.begin[child[alone]], found[alone]
                 else:
                     rows = np.arange(self.begin[node], self.end[node])
-                held = allowed[rows] & (found >= low) & (found <= high)
-                if len(place) == k:
-                    held &= found >= score[-1]
-                if held.any():
+                held = np.flatnonzero(allowed[rows] & (found >= (score[-1] if len(place) == k else low)) & (found <= high))
+                if len(held) > 4 * k:  # all rows below the k-th score are out
+                    held = held[found[held] >= np.partition(found[held], len(held) - k)[len(held) - k]]
+                if len(held):
                     place, score = np.concatenate((place, rows[held])), np.concatenate((score, found[held]))
                     order = np.lexsort((self.ids[place], -score))[:k]
                     place, score = place[order], score[order]
+                if child is not None:
+                    slack = length * self.radius[child] + 1e-6 * (1 + np.abs(centre))
+                    least = score[-1] if len(place) == k else low
+                    more = ~alone & (centre + slack >= least) & (centre - slack <= high)
+                    best = np.minimum(centre[more] + slack[more], high)
+                    for c, b in zip(child[more].tolist(), best.tolist()):
+                        heapq.heappush(heap, (-b, c))
             out.append(place)
         return out
 
