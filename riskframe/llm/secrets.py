@@ -14,6 +14,7 @@ whatever their names.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -33,13 +34,20 @@ WINDOW = 20
 
 @dataclass(frozen=True)
 class CharacterClass:
-    """Candidates are runs of ``pattern``; ``alphabet`` lists the characters counted."""
+    """A kind of candidate: the least bits of a window, and what it must match besides."""
 
     kind: str
+    bits: float
+    needs: str
+
+
+@dataclass(frozen=True)
+class Scan:
+    """Candidates are runs of ``pattern``; ``alphabet`` lists the characters counted."""
+
     pattern: str
     alphabet: str
-    bits: float
-    needs: str  # a candidate must match this as well
+    classes: tuple[CharacterClass, ...]
 
 
 _DIGITS = "0123456789"
@@ -49,28 +57,29 @@ _UNEVEN = r"(?:[A-Z][a-z][A-Z]|[a-z][A-Z]{2}[a-z])"
 # Bits of the last two classes: a window of 20 random characters has less in 0.6 % of
 # cases (62 or 32 equally likely characters). What words alone have is asked for nowhere:
 # a digit before a letter, or two uneven case changes, in a run that no mark interrupts.
-CLASSES = (
-    CharacterClass("entropy_hex", r"(?<![0-9A-Za-z])[0-9A-Fa-f]{20,}(?![0-9A-Za-z])", _DIGITS + "abcdefABCDEF", 3.0, r"[0-9]"),
-    CharacterClass(
-        "entropy_base64",
-        r"[A-Za-z0-9+/_-]{20,}={0,2}",
-        _LETTERS.upper() + _LETTERS + _DIGITS + "+/_-=",
-        3.9,
-        r"[0-9].*[0-9]",
+SCANS = (
+    Scan(
+        r"(?<![0-9A-Za-z])[0-9A-Fa-f]{20,}(?![0-9A-Za-z])",
+        _DIGITS + "abcdefABCDEF",
+        (CharacterClass("entropy_hex", 3.0, r"[0-9]"),),
     ),
-    CharacterClass(
-        "entropy_mixed",
+    Scan(
         r"[A-Za-z0-9+/_-]{20,}={0,2}",
         _LETTERS.upper() + _LETTERS + _DIGITS + "+/_-=",
-        3.6,
-        rf"(?<![A-Za-z0-9])(?=[A-Za-z0-9]{{10}})[A-Za-z0-9]*(?:[0-9][A-Za-z]|{_UNEVEN}[A-Za-z0-9]*{_UNEVEN})",
+        (
+            CharacterClass("entropy_base64", 3.9, r"[0-9].*[0-9]"),
+            CharacterClass(
+                "entropy_mixed",
+                3.6,
+                rf"(?<![A-Za-z0-9])(?=[A-Za-z0-9]{{10}})[A-Za-z0-9]*(?:[0-9][A-Za-z]|{_UNEVEN}[A-Za-z0-9]*{_UNEVEN})",
+            ),
+        ),
     ),
-    CharacterClass(
-        "entropy_base32",
+    Scan(
         r"(?<![0-9A-Za-z])(?:[A-Z0-9]{20,}|[a-z0-9]{20,})(?![0-9A-Za-z])",
         _LETTERS.upper() + _LETTERS + _DIGITS,
-        3.3,
-        r"^(?=.*[G-Zg-z]).*[0-9][A-Za-z]",  # without the first part it is hexadecimal
+        # without the first part it is hexadecimal
+        (CharacterClass("entropy_base32", 3.3, r"^(?=.*[G-Zg-z]).*[0-9][A-Za-z]"),),
     ),
 )
 
@@ -80,10 +89,10 @@ ALLOWED = (
     # samples and alphabets
     r"|(?i)example|sample|placeholder|changeme|dummy|lorem|0123456789|abcdefghij|xxxxx"
     # digests named as such, and paths
-    r"|^(?i)(sha(1|224|256|384|512)|md5)[-_=]|^/?([A-Za-z_-]+/){2,}"
+    r"|^(?i)(sha(1|224|256|384|512)|md5)[-_=]|^/?[A-Za-z_-]+/[A-Za-z_-]+/"
 )
 
-KINDS = ("assign", "access", "hex", *(c.kind for c in CLASSES))
+KINDS = ("assign", "access", "hex", *(c.kind for scan in SCANS for c in scan.classes))
 _SPAN = "array<struct<s: int, e: int, m: string>>"
 
 
@@ -111,82 +120,147 @@ def _matches(text: Column, pattern: str) -> Column:
     return F.when(text.rlike(pattern), F.aggregate(pieces, start, step, lambda acc: acc["out"])).otherwise(none)
 
 
-def hot_windows(candidate: Column, alphabet: str, bits: float, window: int = WINDOW) -> Column:
-    """struct(first, last): from where to where windows have at least ``bits`` of entropy.
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once, however often ``then`` names it."""
+    return F.transform(F.array(value), then)[0]
+
+
+def hot_windows(candidate: Column, alphabet: str, bits: list[float], window: int = WINDOW) -> Column:
+    """For each of ``bits`` a struct(first, last): from where to where windows have as much entropy.
 
     With c the counts of a window of w characters, its entropy is
-    log2(w) - sum(c * log2(c)) / w; moving the window changes two counts.
+    log2(w) - sum(c * log2(c)) / w; moving the window changes two counts. Counts are five
+    bits each, twelve to a number, so a step changes two numbers of a few. Whether a window
+    is hot is asked when the next character comes, of the sum kept by then.
     """
-    chars = F.split(candidate, "")
+    if window > 31:
+        raise ValueError("a count has five bits")
+    codes = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(alphabet), c) - 1)
     share = F.array(*[F.expr(f"{c} * log2({c})") if c > 1 else F.lit(0.0) for c in range(window + 2)])
+    n_words = -(-(len(alphabet) + 1) // 12)
+    # the sum must not exceed these
+    least = [F.expr(f"log2({window}) - {b}D") * window + 1e-9 for b in bits]
     start = F.struct(
-        F.array_repeat(F.lit(0), len(alphabet) + 1).alias("counts"),
+        F.array_repeat(F.lit(0).cast("long"), n_words).alias("counts"),
         F.lit(0.0).alias("total"),
-        F.lit(-1).alias("first"),
-        F.lit(-1).alias("last"),
+        *[F.lit(-1).alias(f"{end}{k}") for k in range(len(bits)) for end in ("first", "last")],
     )
-    least = F.expr(f"log2({window}) - {bits}D") * window  # total must not exceed this
-
-    def step(acc: Column, i: Column) -> Column:
-        come = F.instr(F.lit(alphabet), F.element_at(chars, i))
-        gone = F.when(i > window, F.instr(F.lit(alphabet), F.get(chars, i - window - 1))).otherwise(-1)
-        a, b = F.get(acc["counts"], come), F.get(acc["counts"], F.greatest(gone, F.lit(0)))
-        up = F.get(share, a + 1) - F.get(share, a)
-        down = F.when(gone < 0, 0.0).otherwise(F.get(share, b) - F.get(share, b - 1))
-        same = come == gone
-        total = F.when(same, acc["total"]).otherwise(acc["total"] + up - down)
-        moved = F.transform(
-            acc["counts"],
-            lambda c, k: c + F.when(k == come, 1).otherwise(0) - F.when(k == gone, 1).otherwise(0),
-        )
-        hot = (i >= window) & (total <= least + 1e-9)
-        return F.struct(
-            F.when(same, acc["counts"]).otherwise(moved).alias("counts"),
-            total.alias("total"),
-            F.when(hot & (acc["first"] < 0), i - window).otherwise(acc["first"]).alias("first"),
-            F.when(hot, i).otherwise(acc["last"]).alias("last"),
+
+    def word(code: Column) -> Column:
+        return F.floor(code / 12).cast("int")
+
+    def one(code: Column) -> Column:
+        return F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(code, F.lit(12)) * 5)
+
+    def count(counts: Column, code: Column) -> Column:
+        moved = F.call_function("shiftright", F.get(counts, word(code)), F.pmod(code, F.lit(12)) * 5)
+        return moved.bitwiseAND(F.lit(31).cast("long")).cast("int")
+
+    def ends(acc: Column, done: Column) -> list[Column]:
+        """first and last of each class after ``done`` characters."""
+        out = []
+        for k, most in enumerate(least):
+            hot = (done >= window) & (acc["total"] <= most)
+            out.append(F.when(hot & (acc[f"first{k}"] < 0), done - window).otherwise(acc[f"first{k}"]).alias(f"first{k}"))
+            out.append(F.when(hot, done).otherwise(acc[f"last{k}"]).alias(f"last{k}"))
+        return out
+
+    def scan(codes: Column) -> Column:
+        def step(acc: Column, i: Column) -> Column:
+            # a character outside the alphabet has the last count
+            come = F.get(codes, i)
+            come = F.when(come < 0, len(alphabet)).otherwise(come)
+            gone = F.get(codes, i - window)
+            gone = F.when(gone < 0, len(alphabet)).otherwise(gone)
+            full = i >= window
+            a, b = count(acc["counts"], come), count(acc["counts"], gone)
+            up = F.get(share, a + 1) - F.get(share, a)
+            down = F.when(full, F.get(share, b) - F.get(share, b - 1)).otherwise(0.0)
+            same = full & (come == gone)
+            moved = F.transform(
+                acc["counts"],
+                lambda c, k: c
+                + F.when(k == word(come), one(come)).otherwise(F.lit(0).cast("long"))
+                - F.when(full & (k == word(gone)), one(gone)).otherwise(F.lit(0).cast("long")),
+            )
+            return F.struct(
+                F.when(same, acc["counts"]).otherwise(moved).alias("counts"),
+                F.when(same, acc["total"]).otherwise(acc["total"] + up - down).alias("total"),
+                *ends(acc, i),
+            )
+
+        places = F.sequence(F.lit(0), F.size(codes) - 1)
+        n = F.size(codes)
+        return F.aggregate(
+            places,
+            start,
+            step,
+            lambda acc: _once(
+                F.struct(*ends(acc, n)),
+                lambda e: F.array(
+                    *[F.struct(e[f"first{k}"].alias("first"), e[f"last{k}"].alias("last")) for k in range(len(bits))]
+                ),
+            ),
         )
 
-    return F.aggregate(
-        F.sequence(F.lit(1), F.length(candidate)),
-        start,
-        step,
-        lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")),
-    )
+    return _once(codes, scan)
 
 
-def _entropy_spans(text: Column, kind: CharacterClass) -> Column:
-    candidates = F.filter(
-        _matches(text, kind.pattern), lambda x: x["m"].rlike(kind.needs) & ~x["m"].rlike(ALLOWED)
-    )
+def _entropy_spans(text: Column, scan: Scan) -> Column:
+    """Candidates of a scan with the hot stretch of each of its classes, null where it has none."""
+
+    def wanted(x: Column) -> Column:
+        out = F.lit(False)
+        for c in scan.classes:
+            out = out | x["m"].rlike(c.needs)
+        return out & ~x["m"].rlike(ALLOWED)
 
     def placed(x: Column) -> Column:
-        hot = hot_windows(x["m"], kind.alphabet, kind.bits)
-        return F.struct((x["s"] + hot["first"]).alias("s"), (x["s"] + hot["last"]).alias("e"), hot["first"].alias("hot"))
+        hot = hot_windows(x["m"], scan.alphabet, [c.bits for c in scan.classes])
+
+        def spans(h: Column) -> Column:
+            return F.struct(
+                *[
+                    F.when(
+                        (h[k]["first"] >= 0) & x["m"].rlike(c.needs),
+                        F.struct((x["s"] + h[k]["first"]).alias("s"), (x["s"] + h[k]["last"]).alias("e")),
+                    ).alias(c.kind)
+                    for k, c in enumerate(scan.classes)
+                ]
+            )
 
-    return F.filter(F.transform(candidates, placed), lambda x: x["hot"] >= 0)
+        return _once(hot, spans)
+
+    return F.transform(F.filter(_matches(text, scan.pattern), wanted), placed)
 
 
 def find_secrets(df: DataFrame, text: str = "text", out: str = "secrets") -> DataFrame:
     """``df`` with ``out``: an array of struct(start, rank, end, kind), by start, then kind."""
-    names = fresh(df, *(f"_{k}" for k in KINDS))
     body = F.coalesce(F.col(quoted(text)), F.lit(""))
     held = F.filter(
         _matches(body, ASSIGN), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= LEAST_VALUE
     )
-    spans = [held, _matches(body, ACCESS), _matches(body, HEX), *(_entropy_spans(body, c) for c in CLASSES)]
-
-    def listed(rank: int) -> Column:
+    searched = {"assign": held, "access": _matches(body, ACCESS), "hex": _matches(body, HEX)}
+    names = dict(zip((*searched, *SCANS), fresh(df, *(f"_{k}" for k in (*searched, "scan1", "scan2", "scan3")))))
+    columns = [c.alias(names[k]) for k, c in searched.items()]
+    columns += [_entropy_spans(body, scan).alias(names[scan]) for scan in SCANS]
+
+    def listed(kind: str) -> Column:
+        """The spans of a kind, from the column that has them."""
+        (of,) = [scan for scan in SCANS for c in scan.classes if c.kind == kind] or [kind]
+        found = F.col(quoted(names[of]))
+        if of is not kind:
+            found = F.filter(F.transform(found, lambda x: x[kind]), lambda x: x.isNotNull())
+        rank = KINDS.index(kind)
         return F.transform(
-            F.col(quoted(names[rank])),
+            found,
             lambda x: F.struct(
-                x["s"].alias("start"), F.lit(rank).alias("rank"), x["e"].alias("end"), F.lit(KINDS[rank]).alias("kind")
+                x["s"].alias("start"), F.lit(rank).alias("rank"), x["e"].alias("end"), F.lit(kind).alias("kind")
             ),
         )
 
-    searched = df.select(*cols(df.columns), *[s.alias(n) for s, n in zip(spans, names)])
-    every = F.array_sort(F.concat(*[listed(i) for i in range(len(KINDS))]))
-    return searched.select(*cols(df.columns), every.alias(out))
+    every = F.array_sort(F.concat(*[listed(kind) for kind in KINDS]))
+    return df.select(*cols(df.columns), *columns).select(*cols(df.columns), every.alias(out))
 
 
 def as_text(spans: Column) -> Column:

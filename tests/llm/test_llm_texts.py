@@ -87,12 +87,66 @@ def entropies(text: str, window: int) -> list[float]:
 
 def test_entropy_windows(spark):
     """Incremental counts give the entropy that counting each window anew gives."""
-    kind = secrets.CLASSES[1]
+    scan = secrets.SCANS[1]
+    bits = [c.bits for c in scan.classes]
     texts = ["aaaaaaaaaaaaaaaaaaaaf3A9kLq8ZxT2vB7nM4pRzzzzzzzzzzzzzzzzzzzz", "f3A9kLq8ZxT2vB7nM4pR", "short1", "ab" * 30]
     df = spark.createDataFrame([(t,) for t in texts], "text string")
-    for r in df.select("text", secrets.hot_windows(F.col("text"), kind.alphabet, kind.bits).alias("h")).collect():
-        hot = [i for i, e in enumerate(entropies(r.text, secrets.WINDOW)) if e >= kind.bits - 1e-9]
-        assert (r.h.first, r.h.last) == ((hot[0], hot[-1] + secrets.WINDOW) if hot else (-1, -1))
+    for r in df.select("text", secrets.hot_windows(F.col("text"), scan.alphabet, bits).alias("h")).collect():
+        for least, h in zip(bits, r.h, strict=True):
+            hot = [i for i, e in enumerate(entropies(r.text, secrets.WINDOW)) if e >= least - 1e-9]
+            assert (h.first, h.last) == ((hot[0], hot[-1] + secrets.WINDOW) if hot else (-1, -1))
+
+
+def plain_spans(text: str) -> list[tuple]:
+    """(start, end, kind) of the entropy classes, each window counted anew."""
+    import re
+
+    out = []
+    for scan in secrets.SCANS:
+        for m in re.finditer(scan.pattern, text):
+            for c in scan.classes:
+                if re.search(c.needs, m[0]) and not allowed(m[0]):
+                    hot = [i for i, e in enumerate(entropies(m[0], secrets.WINDOW)) if e >= c.bits - 1e-9]
+                    out += [(m.start() + hot[0], m.start() + hot[-1] + secrets.WINDOW, c.kind)] if hot else []
+    return sorted(out)
+
+
+def allowed(candidate: str) -> bool:
+    import re
+
+    some = r"example|sample|placeholder|changeme|dummy|lorem|0123456789|abcdefghij|xxxxx"
+    ids = r"[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}"
+    return bool(
+        re.fullmatch(ids, candidate) or re.search(some, candidate, re.I)
+        or re.match(r"(sha(1|224|256|384|512)|md5)[-_=]", candidate, re.I) or re.match(r"/?[A-Za-z_-]+/[A-Za-z_-]+/", candidate)
+    )
+
+
+def test_long_candidates(spark):
+    """Runs of 100,000 characters and paths of 100,000 parts, in time that follows their length."""
+    import random
+    import string
+    import time
+
+    rng = random.Random(2)
+    plain = string.ascii_letters + string.digits
+    run = "".join(rng.choices(plain + "+/", k=100_000))
+    texts = {
+        "empty": "", "run": f"see {run} end", "hex": "".join(rng.choices("0123456789abcdef", k=100_000)), "flat": "a1" * 50_000,
+        "base32": "".join(rng.choices(string.ascii_uppercase + "234567", k=100_000)), "letters": "".join(rng.choices(string.ascii_letters, k=100_000)),
+        "path": "a/" * 100_000 + "12", "words": "some-part_of/" * 20_000 + "x1", "marked": "key " + "".join(rng.choices(plain, k=30)) + " a/b/c12 " * 5_000,
+        "mixed": "aB" * 300 + run[:500] + "z" * 300 + run[500:900],
+    }
+    df = spark.createDataFrame(list(texts.items()), "name string, text string").coalesce(1)
+    found, seconds = {}, {}
+    for name in texts:
+        start = time.perf_counter()
+        (row,) = secrets.find_secrets(df.filter(F.col("name") == name)).collect()
+        seconds[name] = time.perf_counter() - start
+        found[name] = [(x.start, x.end, x.kind) for x in row.secrets if x.rank >= 3]
+    for name, text in texts.items():
+        assert found[name] == plain_spans(text), name
+    assert max(seconds.values()) < min(seconds.values()) + 6, seconds
 
 
 def random_secrets(each: int) -> list[tuple]:
