@@ -27,7 +27,8 @@ class Bloom:
 def build(df: DataFrame, column: str, bits: int) -> Bloom:
     """Two bits for each hash in ``column``; ``bits`` is a power of two of 64 or more.
 
-    The driver gets bits/64 rows at most.
+    The driver gets bits/64 rows at most. Null hashes are left out, repeated ones change
+    nothing; an empty table gives a filter that lets nothing pass.
     """
     low, high = F.col(column), F.shiftrightunsigned(column, 32)
     bit = F.explode(F.array(low.bitwiseAND(bits - 1), high.bitwiseAND(bits - 1)))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from riskframe.llm.frames import stored
+from riskframe.llm.frames import shared_folder, stored
+from riskframe.session import drop_staged
 
 MOST_ROUNDS = 100
 
@@ -16,13 +17,19 @@ def components(links: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     Each round takes the least label among a node's neighbours, then the label of that
     label; rounds go on until nothing changes. Minima combine before each shuffle, and
     joins on a label that many nodes share can be split, so one large component is no
-    hot task. Every round's table is written to the shared folder.
+    hot task. Every round's table is written to the shared folder and removed when the next
+    is there.
+
+    A link of a node with itself gives the node its own label; nodes without links are not
+    returned; repeated links count once; no links give an empty result. Ends are not null.
     """
     edges = stored(
         links.select("a", "b").union(links.select("b", "a")).toDF("src", "dst").distinct(), "edges"
     )
+    spark = links.sparkSession
+    place = shared_folder(spark, "labels")
     labels = stored(
-        edges.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("node")).alias("label")), "labels"
+        edges.groupBy(F.col("src").alias("node")).agg(F.least(F.min("dst"), F.col("node")).alias("label")), "labels", place
     )
     for _ in range(most_rounds):
         near = (
@@ -36,9 +43,11 @@ def components(links: DataFrame, most_rounds: int = MOST_ROUNDS) -> DataFrame:
         hooked = labels.join(roots, "node", "left").join(near, "node", "left")
         hooked = hooked.select("node", F.col("label").alias("old"), F.least("label", "least", "hook").alias("new"))
         up = hooked.select(F.col("node").alias("new"), F.col("new").alias("top"))
+        before, place = place, shared_folder(spark, "labels")
         after = stored(
-            hooked.join(up, "new", "left").select("node", "old", F.coalesce("top", "new").alias("label")), "labels"
+            hooked.join(up, "new", "left").select("node", "old", F.coalesce("top", "new").alias("label")), "labels", place
         )
+        drop_staged(spark, before)
         if after.filter("label != old").isEmpty():
             return after.select("node", "label")
         labels = after.select("node", "label")

@@ -155,27 +155,46 @@ def _document_seeds(docs: DataFrame, bloom, short: list[int]) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
+def _shifts(own: np.ndarray, at: np.ndarray, item: np.ndarray, item_at: np.ndarray, last: int, most: int) -> np.ndarray:
+    """The diagonals on which a text and an item share a fingerprint, as shifts of the item.
+
+    ``own`` and ``item`` are fingerprints, the others their places. A place of the item marks
+    all its diagonals at once, so many equal places need no table of their pairs.
+    """
+    marked = np.zeros(last + most + 1, bool)  # a shift is -most to last
+    order = np.argsort(own, kind="stable")
+    own, at = own[order], at[order]
+    low, high = np.searchsorted(own, item, "left"), np.searchsorted(own, item, "right")
+    for place, a, b in zip(item_at.tolist(), low.tolist(), high.tolist()):
+        marked[at[a:b] - place + most] = True
+    return np.flatnonzero(marked) - most
+
+
 def _extend(hits: DataFrame) -> DataFrame:
     """Words inside whole windows on the diagonals of a document's hits."""
     schema = "key string, n_hit long, ids array<string>"
 
+    def seeds(column: pa.ListScalar) -> tuple[np.ndarray, np.ndarray]:
+        return tuple(column.values.field(k).to_numpy() for k in ("f", "at"))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n_hit, ids = [], []
-            for stored_words, found in zip(batch.column(1), batch.column(2)):
+            for stored_words, own_seeds, found in zip(batch.column(1), batch.column(2), batch.column(3)):
                 own = np.frombuffer(stored_words.as_py(), np.int64)
+                f, at = seeds(own_seeds)
                 marked, listed = np.zeros(len(own), bool), set()
                 for hit in found.values:
                     item = hit["hashes"].values.to_numpy(zero_copy_only=False)
-                    shift = hit["shift"].as_py()
-                    a, b = max(0, shift), min(len(own), shift + len(item))
-                    same = own[a:b] == item[a - shift : b - shift]
-                    edge = np.flatnonzero(np.diff(np.concatenate(([0], same.view(np.int8), [0]))))
                     least = min(WINDOW, len(item))
-                    for s, e in zip(edge[::2], edge[1::2]):
-                        if e - s >= least:
-                            marked[a + s : a + e] = True
-                            listed.add(hit["id"].as_py())
+                    for shift in _shifts(f, at, *seeds(hit["seeds"]), len(own), len(item)).tolist():
+                        a, b = max(0, shift), min(len(own), shift + len(item))
+                        same = own[a:b] == item[a - shift : b - shift]
+                        edge = np.flatnonzero(np.diff(np.concatenate(([0], same.view(np.int8), [0]))))
+                        for s, e in zip(edge[::2], edge[1::2]):
+                            if e - s >= least:
+                                marked[a + s : a + e] = True
+                                listed.add(hit["id"].as_py())
                 n_hit.append(int(marked.sum()))
                 ids.append(sorted(x for x in listed if x is not None))
             yield pa.RecordBatch.from_arrays(
@@ -204,7 +223,7 @@ def contamination(
     short = sorted(
         r[0] for r in known.filter(F.col("n_words").between(1, WINDOW - 1)).select("n_words").distinct().collect()
     )
-    marks = known.select("item", F.explode("seeds").alias("s")).select("item", "s.f", F.col("s.at").alias("item_at"))
+    marks = known.select("item", F.explode(_distinct_prints()).alias("f"))
     bloom = spark.sparkContext.broadcast(B.build(marks, "f", bloom_bits))
     keyed = docs.select(
         text_key(text).alias("key"),
@@ -213,16 +232,15 @@ def contamination(
     )
     base = stored(_document_seeds(keyed, bloom, short), "seeds")
     texts = stored(base.filter(F.size("seeds") > 0).dropDuplicates(["key"]).drop("doc_id", "n_words"), "texts")
-    seeds = texts.select("key", F.explode("seeds").alias("s")).select("key", "s.f", F.col("s.at").alias("at"))
-    diagonals = (
-        seeds.join(marks, "f").select("key", "item", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
-    )
+    # a fingerprint counts once a text and once an item, however often either repeats it
+    seeds = texts.select("key", F.explode(_distinct_prints()).alias("f"))
+    pairs = seeds.join(marks, "f").select("key", "item").distinct()
     found = (
-        diagonals.join(known.select("item", "id", "hashes"), "item")
+        pairs.join(known.select("item", "id", "hashes", "seeds"), "item")
         .groupBy("key")
-        .agg(F.collect_list(F.struct("shift", "id", "hashes")).alias("hits"))
+        .agg(F.collect_list(F.struct("id", "hashes", "seeds")).alias("hits"))
     )
-    extended = _extend(texts.join(found, "key").select("key", "hashes", "hits"))
+    extended = _extend(texts.join(found, "key").select("key", "hashes", "seeds", "hits"))
     return base.join(extended, "key", "left").select(
         "key",
         "doc_id",
@@ -232,6 +250,10 @@ def contamination(
     )
 
 
+def _distinct_prints():
+    return F.array_distinct(F.transform("seeds", lambda s: s["f"]))
+
+
 def text_key(text: str):
     """A digest of a text; a null text is empty."""
     return F.md5(F.coalesce(F.col(quoted(text)), F.lit("")).cast("binary"))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskframe.session import scratch_dir
+from riskframe.session import stage, staged_path
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,17 +36,15 @@ def cols(names: Iterable[str]) -> list:
 
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new path in the folder that all executors share (spark.checkpoint.dir)."""
-    folder = scratch_dir(spark)
-    if folder is None:
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return staged_path(spark, name)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: it cuts lineage for good."""
-    path = shared_folder(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """``df`` written to the shared folder and read back: it cuts lineage for good.
+
+    ``riskframe.session.drop_stages`` removes what was written.
+    """
+    return stage(df, name, path)
 
 
 def least_hashed(df: DataFrame, names: list[str], max_rows: int, n: int | None = None) -> DataFrame:

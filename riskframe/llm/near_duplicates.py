@@ -18,8 +18,8 @@
 The bands find a pair at the threshold but for (1 - t^rows)^bands: 2e-5 at 0.75.
 
 Cases: a text of one to four words is one shingle; a null, empty or blank text has none
-and is linked with nothing. Rows that repeat an id are one node and are kept or dropped
-together. A row without an id is its own group: component null, kept. An empty table
+and is linked with nothing. Rows that repeat an id are one node: all texts of an id, and
+what any of them is linked with, are one component. A row without an id is its own group: component null, kept. An empty table
 gives an empty result. Extra columns are not read.
 """
 
@@ -277,6 +277,19 @@ def is_in(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
     return (table[at] == keys).astype(np.int64)
 
 
+def _shared_ids(base: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links (a, b) between an id that comes in several rows and the classes of its texts."""
+    held = base.filter("doc_id is not null and n_shingles > 0").select("doc_id", "n_shingles", "f1", "f2")
+    repeated = held.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("doc_id")
+    return (
+        held.join(repeated, "doc_id")
+        .join(classes.select("f1", "f2", "n_shingles", "rep"), ["f1", "f2", "n_shingles"])
+        .filter("rep != doc_id")
+        .select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
+        .distinct()
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     doc_id: str = "doc_id",
@@ -307,6 +320,7 @@ def near_duplicates(
 
     star = members.filter("rep != hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
     links = stored(_verified(_prune_pairs(star, classes, bounds), sets, percent), "links")
+    links = links.union(_shared_ids(base, classes))
     labels = components(links)
     rest = stored(_block_links(members, classes, labels, sets, percent, miss, block), "links")
     labels = components(links.union(rest))

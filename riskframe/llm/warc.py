@@ -129,18 +129,25 @@ def write_archives(typed: DataFrame, folder: str, level: int = LEVEL) -> DataFra
 
 
 def inflated(source) -> Iterator[bytes]:
-    """The bytes of a gzip file, member after member if there are several."""
-    unpacker = zlib.decompressobj(GZIP)
-    while piece := source.read(PIECE):
+    """The bytes of a gzip file, member after member if there are several.
+
+    A file that stops inside a member, or before its check sum, is refused.
+    """
+    unpacker, piece = None, source.read(PIECE)
+    while True:
         while piece:
-            yield unpacker.decompress(piece, PIECE) if not unpacker.eof else b""
-            while unpacker.unconsumed_tail:
-                yield unpacker.decompress(unpacker.unconsumed_tail, PIECE)
-            piece = b""
-            if unpacker.eof:
-                piece = unpacker.unused_data
+            if unpacker is None or unpacker.eof:
                 unpacker = zlib.decompressobj(GZIP)
-    yield unpacker.flush()
+            yield unpacker.decompress(piece, PIECE)
+            piece = unpacker.unused_data if unpacker.eof else unpacker.unconsumed_tail
+        piece = source.read(PIECE)
+        if not piece:
+            if unpacker is None or unpacker.eof:
+                return
+            yield unpacker.flush()
+            if not unpacker.eof:
+                raise ValueError("the archive ends inside a gzip stream")
+            piece = unpacker.unused_data
 
 
 def rewrite(source, out, level: int = LEVEL) -> Iterator[tuple[int, int, str, str]]:

@@ -142,6 +142,23 @@ def test_normaliser_rejects_a_cut_file():
         list(warc.rewrite(io.BytesIO(gzip.compress(whole[:-10])), io.BytesIO()))
 
 
+def test_normaliser_rejects_a_cut_stream():
+    """Cut where a record ends, cut before the check sum, and whole files of several members."""
+    one = warc.record(1, "u", b"x" * 5000, "0" * 40, "response", None)
+    packer = zlib.compressobj(1, zlib.DEFLATED, 31)
+    cut = b"".join(packer.compress(one) + packer.flush(zlib.Z_FULL_FLUSH) for _ in range(3))
+
+    def records(data):
+        return list(warc.rewrite(io.BytesIO(data), io.BytesIO()))
+
+    for broken in (cut, cut + packer.flush()[:-5], gzip.compress(one) + gzip.compress(one)[:-3]):
+        with pytest.raises(ValueError, match="inside a gzip stream"):
+            records(broken)
+    assert len(records(gzip.compress(one) * 3)) == 3 and records(b"") == []
+    big = warc.record(1, "u", bytes(3_000_000), "0" * 40, "response", None)
+    assert len(records(gzip.compress(big) + gzip.compress(one))) == 2
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(200)] + [(500 + i, 400) for i in range(50)]

@@ -225,6 +225,20 @@ def test_decontamination(spark):
     assert clean.filter("n_hit > 0").count() == 0 and clean.count() == len(docs)
 
 
+def test_long_repeated_words_are_decontaminated(spark):
+    """A text of 100,000 equal words and one of a repeated line, with items of them."""
+    line = "the same few words stand in every line of this text "
+    items = [(1, "na " * 1000), (2, line * 30), (3, "na " * 9 + "end")]
+    docs = [(1, "na " * 100_000), (2, line * 5_000), (3, "other " * 50 + "na " * 9 + "end"), (4, "na " * 9)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = decontamination.contamination(df, spark.createDataFrame(items, "item_id long, text string"))
+    got = {r.doc_id: (r.n_words, r.n_hit, r.ids) for r in found.collect()}
+    n_line = len(line.split())
+    assert got == {
+        1: (100_000, 100_000, ["1"]), 2: (5_000 * n_line, 5_000 * n_line, ["2"]), 3: (60, 10, ["3"]), 4: (9, 0, []),
+    }
+
+
 def test_winnowing_guarantee():
     """Two texts with ten words in common share a fingerprint, wherever the words stand."""
     import numpy as np
@@ -254,6 +268,36 @@ def test_near_duplicates(spark):
     assert near_duplicates.near_duplicates(fixtures.none(spark)).count() == 0
 
 
+def test_an_id_with_several_texts_is_one_node(spark):
+    a, b, c = (fixtures.prose(i, 60) for i in (70, 71, 72))
+    rows = [(3, a), (5, a), (5, b), (7, b), (9, c), (9, c), (11, c), (12, fixtures.prose(73, 60)), (12, "")]
+    found = near_duplicates.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = sorted((r.doc_id, r.component_id, r.kept) for r in found.collect())
+    assert got == [
+        (3, 3, True), (5, 3, False), (5, 3, False), (7, 3, False), (9, 9, True), (9, 9, True), (11, 9, False), (12, 12, True), (12, 12, True),
+    ]
+
+
+@pytest.mark.parametrize("share", [0.75, 0.8])
+def test_recall_of_pairs(spark, share):
+    """Random pairs of sets at a similarity, of six sizes, are all linked."""
+    import random
+
+    rng, rows, pairs = random.Random(8), [], 0
+    for n in (8, 20, 60, 200, 600, 2000):
+        for _ in range(30):
+            words = [f"w{rng.getrandbits(40)}" for _ in range(n + 4)]
+            kept = -(-int(share * 2 * n * 1000) // int((1 + share) * 1000))  # same shingles of n on either side
+            more = [f"w{rng.getrandbits(40)}" for _ in range(n - kept)]
+            rows += [(2 * pairs, " ".join(words)), (2 * pairs + 1, " ".join(words[: kept + 4] + more))]
+            pairs += 1
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    known = brute.groups(rows)
+    found = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(df).collect()}
+    assert found == {d: known[d][1] for d, _ in rows}
+    assert sum(1 for d, c in found.items() if d != c) > pairs * 0.5
+
+
 @pytest.mark.parametrize("block", [near_duplicates.BLOCK, 40_000])
 def test_large_bucket(spark, block):
     """One group of near copies whose least id is not near to all; small blocks change nothing."""
