@@ -147,8 +147,8 @@ class WoeEncoderModel(Model, _WoeParams, DefaultParamsReadable, DefaultParamsWri
         The most frequent categories are broadcast (a bounded number of them), which
         keeps hot categories out of any shuffle. Where that leaves rare ones, the rows
         without a hit look those up in a shuffled join under a salted key, so that a
-        frequent category that was not seen at the fit is spread; each rare category is
-        repeated once per salt. Rows already resolved take part under a key of their own.
+        frequent category that was not seen at the fit is spread; the salt is a hash of the
+        row, so a task that runs again salts alike. Each rare category is repeated once per salt. Rows already resolved take part under a key of their own.
         """
         lookup = self.categories.filter(F.col("feature") == column).select(
             F.col("bin").alias("_bin"), F.col("woe").alias("_woe"), "n"
@@ -174,7 +174,7 @@ class WoeEncoderModel(Model, _WoeParams, DefaultParamsReadable, DefaultParamsWri
             )
             hit = (
                 hit.withColumn("_key", F.when(F.col("_woe").isNull(), F.col("_key")).otherwise(own))
-                .withColumn("_salt", F.floor(F.rand(0) * SALTS).cast("int"))
+                .withColumn("_salt", F.pmod(F.xxhash64(*columns), F.lit(SALTS)).cast("int"))
                 .join(salted, ["_key", "_salt"], "left")
             )
             found = F.coalesce("_woe", "_rare")

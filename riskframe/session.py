@@ -52,32 +52,46 @@ def scratch_dir(spark: SparkSession) -> str | None:
     return folder
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
+def staged_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, for ``drop_stages`` to remove."""
+    folder = scratch_dir(spark)
+    if folder is None:
+        raise ValueError(f"set {SCRATCH_CONF} to a folder that all executors share")
+    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
+def stage(df: DataFrame, name: str = "stage", path: str | None = None) -> DataFrame:
     """Compute ``df`` once and return a DataFrame that reads the stored result.
 
     Used where a table is read by several jobs (fits, iterative training). The
     copy is a parquet table in the shared scratch folder, so it survives the loss
     of executors, prunes columns, and lets Catalyst see its true size. A cluster must
     name that folder in ``spark.checkpoint.dir``. ``drop_stages`` removes the copies.
+    ``path`` is one that ``staged_path`` gave, for a copy that ends earlier.
     """
     spark = df.sparkSession
-    folder = scratch_dir(spark)
-    if folder is None:
-        raise ValueError(f"set {SCRATCH_CONF} to a folder that all executors share")
-    path = f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = path or staged_path(spark, name)
     df.write.parquet(path)
-    _staged.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession, *paths: str) -> None:
+    """Remove copies that nothing reads any more."""
+    known = _staged.get(spark.sparkContext.applicationId, [])
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for path in paths:
+        place = hadoop.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+        known.remove(path)
+
+
 def drop_stages(spark: SparkSession) -> int:
     """Remove the tables staged by this application; what reads them must be done with.
 
     Returns how many there were.
     """
-    paths = _staged.pop(spark.sparkContext.applicationId, [])
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for path in paths:
-        place = hadoop.Path(path)
-        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    paths = list(_staged.get(spark.sparkContext.applicationId, []))
+    drop_staged(spark, *paths)
     return len(paths)
