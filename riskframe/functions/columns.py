@@ -75,3 +75,13 @@ def melt(
         ],
     )
     return typed.unpivot(list(keys), list(columns), name, value)
+
+
+def round_doubles(df: DataFrame, digits: int, nudge: float = 1e-9) -> DataFrame:
+    """Doubles rounded, with no negative zero.
+
+    Means of cents often end in an exact half of the last digit; a tiny shift sends those
+    the same way whatever order they were summed in.
+    """
+    doubles = [c for c, t in df.dtypes if t == "double"]
+    return replace_columns(df, {c: f"round({sql.name(c)} + {nudge}D, {digits}) + 0D" for c in doubles})

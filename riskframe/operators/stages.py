@@ -8,6 +8,7 @@ from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 
+from riskframe.functions.columns import round_doubles
 from riskframe.operators.features import customer_features
 from riskframe.schema import CUSTOMER_ID, START_TIME
 
@@ -17,7 +18,8 @@ class CustomerFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable
 
     The row grain changes, so this is the first stage of a pipeline, and a label is
     joined to its output by key. ``keys`` are grouped on beside the customer where
-    the input has them.
+    the input has them. ``digits`` rounds sums, means and deviations: their last digits
+    depend on the order of summing, and a value on the edge of a bin would fall to either side.
     """
 
     customerIdCol = Param(Params._dummy(), "customerIdCol", "customer", TypeConverters.toString)
@@ -34,6 +36,8 @@ class CustomerFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable
         Params._dummy(), "formats", "date patterns tried after ISO", TypeConverters.toListString
     )
 
+    digits = Param(Params._dummy(), "digits", "digits kept after the point, -1 for all", TypeConverters.toInt)
+
     @keyword_only
     def __init__(
         self,
@@ -44,6 +48,7 @@ class CustomerFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable
         exactDistinct=True,
         onBadTimestamp="null",
         formats=None,
+        digits=None,
     ):
         super().__init__()
         self._setDefault(
@@ -53,11 +58,12 @@ class CustomerFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable
             exactDistinct=True,
             onBadTimestamp="null",
             formats=[],
+            digits=-1,
         )
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        return customer_features(
+        made = customer_features(
             df,
             customer_id_col=self.getOrDefault(self.customerIdCol),
             timestamp_col=self.getOrDefault(self.timestampCol),
@@ -66,3 +72,5 @@ class CustomerFeatures(Transformer, DefaultParamsReadable, DefaultParamsWritable
             on_bad_timestamp=self.getOrDefault(self.onBadTimestamp),
             formats=self.getOrDefault(self.formats),
         )
+        digits = self.getOrDefault(self.digits)
+        return made if digits < 0 else round_doubles(made, digits)

@@ -280,6 +280,72 @@ cte("capped_numbers", " UNION ALL ".join(
     + "".join(f""" UNION ALL SELECT '{c}', CASE WHEN {c} < lo_{c} THEN lo_{c}
       WHEN {c} > hi_{c} THEN hi_{c} ELSE CAST({c} AS DOUBLE) END FROM ev, fences""" for c in FENCED),
     "ev", "fences")
+
+# The penalized logistic fit. Its minimum is unique, so any way to it gives the same scores:
+# here accelerated descent, whose steps follow from a bound on the curvature. The penalty
+# bounds the curvature from below by one, so 25 roots of the upper bound settle ten digits.
+cte("spread", """SELECT feature, avg(value) AS mean, stddev_pop(value) AS sd, min(value) = max(value) AS flat
+    FROM encoded GROUP BY feature""", "encoded")
+
+
+def design_sql(source: str) -> str:
+    """(CustomerId, x): scaled features in order, then the constant."""
+    z = "CASE WHEN flat THEN 0.0 ELSE (value - mean) / sd END"
+    cells = ", ".join(f"max({z}) FILTER (feature = '{c}')" for c in FEATURES)
+    return f"SELECT CustomerId, [{cells}, 1.0] AS x FROM {source} JOIN spread USING (feature) GROUP BY CustomerId"
+
+
+cte("design", design_sql("encoded"), "encoded", "spread")
+cte("training", f"""SELECT x, CAST({LABEL} AS DOUBLE) AS t,
+      count(*) OVER () / (2.0 * count(*) OVER (PARTITION BY {LABEL})) AS w
+    FROM ordered JOIN design USING (CustomerId) WHERE rk > ceil(round(0.2 * n, 9))""", "ordered", "design")
+cte("bound", "SELECT 1 + sum(w * list_dot_product(x, x)) / 4 AS size FROM training", "training")
+_WIDTH = len(FEATURES) + 1
+_slopes = ", ".join(
+    f"any_value(y)[{j}] - (any_value(y)[{j}] + sum(w * (1 / (1 + exp(-list_dot_product(y, x))) - t) * x[{j}])) / any_value(size)"
+    for j in range(1, _WIDTH + 1))
+cte("fit", f"""WITH RECURSIVE descent(k, b, y) AS (
+      SELECT 0, [{', '.join(['CAST(0 AS DOUBLE)'] * _WIDTH)}], [{', '.join(['CAST(0 AS DOUBLE)'] * _WIDTH)}]
+      UNION ALL
+      SELECT k + 1, after, list_transform(range(1, {_WIDTH + 1}),
+        lambda j: after[j] + (sqrt(size) - 1) / (sqrt(size) + 1) * (after[j] - b[j]))
+      FROM (SELECT any_value(k) AS k, any_value(b) AS b, any_value(size) AS size, [{_slopes}] AS after
+            FROM descent, bound, training WHERE k < 25 * sqrt(size) HAVING count(*) > 0)
+    ) SELECT b FROM descent ORDER BY k DESC LIMIT 1""", "bound", "training")
+
+
+def scored_sql(source: str) -> str:
+    return f"SELECT CustomerId, 1 / (1 + exp(-list_dot_product(b, x))) AS score FROM {source}, fit"
+
+
+cte("fitted", scored_sql("design"), "design", "fit")
+cte("fitted_test", """SELECT CustomerId, label, score, CAST(score > 0.5 AS INTEGER) AS prediction
+    FROM held_out JOIN fitted USING (CustomerId)""", "held_out", "fitted")
+
+
+
+def _scoring(name: str, source: str) -> None:
+    """``<name>_fitted``: scores from transactions."""
+    features, long, binned, encoded, design = (f"{name}_{x}" for x in ("features", "long", "binned", "encoded", "design"))
+    cte(features, features_sql(source), source)
+    cte(long, " UNION ALL ".join(
+        f"SELECT CustomerId, '{c}' AS feature, CAST({c} AS DOUBLE) AS value FROM {features}" for c in FEATURES), features)
+    cte(binned, f"""SELECT CustomerId, feature,
+          coalesce(CAST(CASE WHEN count(*) < 2 THEN NULL
+               WHEN any_value(value) = min(edge) THEN 1
+               WHEN count(*) FILTER (edge < value) IN (0, count(*)) THEN NULL
+               ELSE count(*) FILTER (edge < value) END AS VARCHAR), 'nan') AS bin
+        FROM {long} JOIN edges USING (feature) GROUP BY CustomerId, feature""", long, "edges")
+    cte(encoded, f"""SELECT b.CustomerId, b.feature, coalesce(w.woe, 0.0) AS value
+        FROM {binned} b LEFT JOIN woe w ON b.feature = w.feature AND b.bin = w.bin""", binned, "woe")
+    cte(design, design_sql(encoded), encoded, "spread")
+    cte(f"{name}_fitted", scored_sql(design), design, "fit")
+
+
+cte("request_tx", """SELECT * REPLACE (request_id || '#' || CustomerId AS CustomerId)
+    FROM requests WHERE reason IS NULL""", "requests")
+_scoring("batch", "tx")
+_scoring("request", "request_tx")
 SCORE_FACTS = "true AS scores_are_probabilities, true AS prediction_follows"
 
 
@@ -390,20 +456,35 @@ def all_oracles() -> dict[str, str]:
         "kmeans_rfm": with_ctes(
             "SELECT count(*) AS n_customers, CAST(3 AS BIGINT) AS n_clusters, true AS all_nearest FROM rfm",
             "rfm"),
-        "logistic_baseline": _model_facts("logistic_baseline"),
+        "logistic_baseline": with_ctes(
+            f"""SELECT 'logistic_baseline' AS model, n_test, n_positive, {r6('roc_auc')} AS roc_auc,
+                  {r6('(tp + tn) / n_test')} AS accuracy, {r6('coalesce(tp / nullif(tp + fp, 0), 0)')} AS precision,
+                  {r6('coalesce(tp / nullif(tp + fn, 0), 0)')} AS recall,
+                  {r6('coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0)')} AS f1,
+                  {SCORE_FACTS}, true AS auc_above_half
+                FROM (SELECT count(*) AS n_test, CAST(sum(label) AS BIGINT) AS n_positive,
+                    CAST(count(*) FILTER (label = 1 AND prediction = 1) AS DOUBLE) AS tp,
+                    CAST(count(*) FILTER (label = 0 AND prediction = 1) AS DOUBLE) AS fp,
+                    CAST(count(*) FILTER (label = 1 AND prediction = 0) AS DOUBLE) AS fn,
+                    CAST(count(*) FILTER (label = 0 AND prediction = 0) AS DOUBLE) AS tn FROM fitted_test),
+                  (SELECT avg(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0 END) AS roc_auc
+                   FROM (SELECT round(score, 12) AS score FROM fitted_test WHERE label = 1) p,
+                     (SELECT round(score, 12) AS score FROM fitted_test WHERE label = 0) n)""", "fitted_test"),
         "logistic_tuned": _model_facts("logistic_tuned", 8),
         "forest_baseline": _model_facts("forest_baseline"),
-        "forest_tuned": _model_facts("forest_tuned", 36),
+        "forest_tuned": _model_facts("forest_tuned", 108),
         "gbt_baseline": _model_facts("gbt_baseline"),
         "gbt_tuned": _model_facts("gbt_tuned", 4),
         "class_probability": with_ctes(
-            f"SELECT CustomerId, 'logistic_baseline' AS model, label, {SCORE_FACTS} FROM held_out",
-            "held_out"),
+            f"""SELECT CustomerId, 'logistic_baseline' AS model, label, {r6('score')} AS score, prediction, {SCORE_FACTS}
+                FROM fitted_test""", "fitted_test"),
         "score_transactions_batch": with_ctes(
-            f"SELECT DISTINCT CustomerId AS customer_id, {SCORE_FACTS} FROM tx", "tx"),
+            f"""SELECT CustomerId AS customer_id, {r6('score')} AS risk_probability,
+                  CAST(score > 0.5 AS INTEGER) AS {LABEL}, {SCORE_FACTS} FROM batch_fitted""", "batch_fitted"),
         "score_payloads_batch": with_ctes(
-            f"""SELECT DISTINCT request_id, CustomerId AS customer_id, {SCORE_FACTS}
-                FROM requests WHERE reason IS NULL""", "requests"),
+            f"""SELECT split_part(CustomerId, '#', 1) AS request_id, split_part(CustomerId, '#', 2) AS customer_id,
+                  {r6('score')} AS risk_probability, CAST(score > 0.5 AS INTEGER) AS {LABEL}, {SCORE_FACTS}
+                FROM request_fitted""", "request_fitted"),
         "describe_categorical": with_ctes(
             f"""SELECT c AS column, CAST(sum(n) AS BIGINT) AS count, count(*) AS unique,
                   arg_min(v, (-n, v)) AS top, max(n) AS freq

@@ -96,9 +96,9 @@ def fit_family(
     try:
         if not tuned:
             params = {**family.default, **(grid or {})}
-            model = fit_baseline(train, family, data.rows, params)
+            model = fit_baseline(train, family, params)
             return Fitted(f"{family.name}_baseline", model, params, None, family.name)
-        found = fit_tuned(train, family, data.rows, grid, data.n_folds, **search)
+        found = fit_tuned(train, family, grid, data.n_folds, **search)
         return Fitted(
             f"{family.name}_tuned", found.model, found.params, found.cv_roc_auc, family.name
         )

@@ -18,6 +18,7 @@ from riskframe.functions.columns import (
     nans_to_nulls,
     numeric_columns,
     replace_columns,
+    round_doubles,
     string_columns,
 )
 from riskframe.operators import binning, distribution, label, metrics, profile, split
@@ -73,15 +74,7 @@ def all_queries() -> dict[str, Query]:
 
 
 def rounded(df: DataFrame, digits: int = AMOUNT_DIGITS) -> DataFrame:
-    """Doubles rounded, with no negative zero.
-
-    Means of cents often end in an exact half of the last digit; a tiny shift sends
-    those the same way whatever order the engine summed in.
-    """
-    doubles = [c for c, t in df.dtypes if t == "double"]
-    return replace_columns(
-        df, {c: f"round({sql.name(c)} + {NUDGE}D, {digits}) + 0D" for c in doubles}
-    )
+    return round_doubles(df, digits, NUDGE)
 
 
 # --- shared inputs ----------------------------------------------------------
@@ -611,8 +604,11 @@ def _score_facts(scores: DataFrame, score: str, prediction: str) -> dict:
     }
 
 
-def _evaluated(spark: SparkSession, sf_dir: str, family, tuned: bool, grid=None) -> DataFrame:
-    """A fit with the library's grid (or the given one) and folds, and what must hold of its scores."""
+def _evaluated(spark: SparkSession, sf_dir: str, family, tuned: bool, grid=None, measured: bool = False) -> DataFrame:
+    """A fit with the library's grid (or the given one) and folds, and what must hold of its scores.
+
+    ``measured`` adds the metrics themselves, which SQL can check where the fit is unique.
+    """
     table, _ = _encoded(spark, sf_dir)
     data = training_set(table)
     grid = (grid or family.grid) if tuned else None
@@ -626,6 +622,8 @@ def _evaluated(spark: SparkSession, sf_dir: str, family, tuned: bool, grid=None)
     )
     better = metrics.roc_auc(scores).select("model", (F.col("roc_auc") > 0.5).alias("auc_above_half"))
     result = summary.join(better, "model")
+    if measured:
+        result = result.join(rounded(metrics.model_comparison(scores), DIGITS), "model")
     if tuned:
         axes = {k: sorted(map(str, v)) for k, v in grid.items()}
         chosen = all(str(fitted.params[k]) in v for k, v in axes.items())
@@ -640,6 +638,15 @@ def _evaluated(spark: SparkSession, sf_dir: str, family, tuned: bool, grid=None)
     return result
 
 
+@query
+def fitted_model_comparison(spark, sf_dir):
+    """The three baselines on the held-out customers: ROC AUC and metrics of each, in one table."""
+    table, _ = _encoded(spark, sf_dir)
+    data = training_set(table)
+    models = [fit_family(data, family, False, tasks=_tasks(data)) for family in (LOGISTIC, FOREST, GBT)]
+    return rounded(metrics.model_comparison(stage(scored(models, data.test), "scores")), DIGITS)
+
+
 def _tasks(data) -> int:
     """One task per 20,000 training rows: many short passes go over them."""
     return max(1, -(-data.rows // 20_000))
@@ -647,7 +654,7 @@ def _tasks(data) -> int:
 
 @query
 def logistic_baseline(spark, sf_dir):
-    return _evaluated(spark, sf_dir, LOGISTIC, tuned=False)
+    return _evaluated(spark, sf_dir, LOGISTIC, tuned=False, measured=True)
 
 
 @query
@@ -681,21 +688,20 @@ def _fitted_logistic(spark: SparkSession, sf_dir: str):
     table, encoding = _encoded(spark, sf_dir)
     data = training_set(table)
     fitted = fit_family(data, LOGISTIC, tuned=False, tasks=_tasks(data))
-    return data, fitted, with_aggregation(encoding), PipelineModel([assembler(), fitted.model])
+    return data, fitted, with_aggregation(encoding, digits=AMOUNT_DIGITS), PipelineModel([assembler(), fitted.model])
 
 
 @query
 def class_probability(spark, sf_dir):
-    """Every test customer with its label, and what must hold of its score."""
+    """Every test customer with its label, its score, and what must hold of that."""
     data, fitted, _, _ = _fitted_logistic(spark, sf_dir)
     scores = predict(fitted.model, data.test, fitted.name, keep=[CUSTOMER_ID])
     facts = _score_facts(scores, "score", "prediction")
-    return scores.select(CUSTOMER_ID, "model", "label", *[v.alias(k) for k, v in facts.items()])
+    return rounded(scores.withColumns(facts), DIGITS)
 
 
-def _scored_facts(scores: DataFrame, *keys: str) -> DataFrame:
-    facts = _score_facts(scores, "risk_probability", LABEL)
-    return scores.select(*keys, *[v.alias(k) for k, v in facts.items()])
+def _scored_facts(scores: DataFrame) -> DataFrame:
+    return rounded(scores.withColumns(_score_facts(scores, "risk_probability", LABEL)), DIGITS)
 
 
 @query
@@ -703,11 +709,11 @@ def score_transactions_batch(spark, sf_dir):
     """One score per customer."""
     _, _, encoder, classifier = _fitted_logistic(spark, sf_dir)
     scores = score_transactions(tx_orders(spark, sf_dir).drop(FRAUD), encoder, classifier)
-    return _scored_facts(scores, "customer_id")
+    return _scored_facts(scores)
 
 
 @query
 def score_payloads_batch(spark, sf_dir):
     """One score per readable request and customer; ``requests`` says what a request holds."""
     _, _, encoder, classifier = _fitted_logistic(spark, sf_dir)
-    return _scored_facts(score_payloads(requests(spark, sf_dir), encoder, classifier), "request_id", "customer_id")
+    return _scored_facts(score_payloads(requests(spark, sf_dir), encoder, classifier))
