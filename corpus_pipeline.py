@@ -3,6 +3,11 @@
 Every stage takes (spark, docs, sf_dir) and works on all that the one before has kept.
 ``run`` writes each stage's result as Parquet to the folder that the executors share and
 reads it back for the next one, so a lost executor costs the stage at hand at most.
+
+Cases, for all stages: a null text is empty, and an empty one fails the quality rules; a null
+id is no node of a group, so such rows pass near-dedup; rows that repeat an id are one node and
+stay or go together, rows that repeat a text follow the least id; texts of any length are taken
+whole; other columns pass through, whatever their names; an empty table gives an empty one.
 """
 
 from __future__ import annotations
