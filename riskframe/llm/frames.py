@@ -79,3 +79,15 @@ def labelled_sample(
     chosen = least_hashed(known, ["doc_id"], max_rows)
     texts = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).cast("binary").alias("text"))
     return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+
+
+def hashed_sample(docs: DataFrame, doc_id: str, text: str, max_rows: int) -> DataFrame:
+    """(doc_id, text) of at most ``max_rows`` documents, those of least hash of the id.
+
+    The ids are chosen before any text is touched and broadcast, as in ``labelled_sample``.
+    Rows without an id have no place; of rows that repeat one, one is taken.
+    """
+    ids = docs.select(F.col(quoted(doc_id)).alias("doc_id")).filter("doc_id is not null")
+    chosen = least_hashed(ids, ["doc_id"], max_rows).distinct()
+    texts = docs.select(F.col(quoted(doc_id)).alias("doc_id"), F.col(quoted(text)).cast("binary").alias("text"))
+    return texts.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])

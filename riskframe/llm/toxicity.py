@@ -4,26 +4,31 @@
    exclamation runs, masked words), and lexicons induced from labelled rows: words and
    word beginnings far more frequent in toxic texts than chance allows. Each votes 1
    (toxic) or 0 (nothing to go by).
-2. A generative label model: from the mean votes and their covariances over all texts,
-   a voter's covariance with the hidden label follows from triplets of voters; voters
-   whose covariance is not explained by the label are taken as correlated, and triplets
-   with such a pair are left out. The posterior trusts correlated voters less, so that
-   they do not count twice.
-3. A linear classifier over words and word beginnings, fitted to the posterior labels of
-   a sample and scaled so that its scores are probabilities on the sample's known labels.
-
-Labels and the classifier come from at most ``max_rows`` labelled rows, those of least
-hash of the id; the votes' statistics come from all rows given for training.
+2. A generative label model in two steps. From the mean votes and their covariances over
+   all texts, a voter's covariance with the hidden label follows from triplets of voters;
+   pairs not explained by the label are taken as correlated and left out of triplets.
+   From there the counts of all vote patterns (2^voters cells at most) are fitted by
+   expectation and maximization: votes depend on the label and, along a tree per label, on one
+   other voter, and a known label is one more voter, which can be wrong. The posterior counts
+   every vote and every silence; known labels of a pattern correct what the trees say of it.
+3. A linear classifier over words, word beginnings and votes, fitted to the posterior labels
+   of a sample with and without known labels, and scaled so that its scores are
+   probabilities where labels are known, given the votes and how often known labels are wrong.
+
+Lexicons and the classifier come from at most ``max_rows`` labelled rows and as many of all
+rows, those of least hash of the id; the vote patterns are counted over all rows given for
+training.
 
 Cases: a null or empty text has no votes and gets the score of the bias; equal texts get
 equal scores; an empty table gives an empty result; without toxic labels no lexicon is
-induced and the class share is ``SHARE``; other columns pass through.
+induced, the class share starts from ``SHARE`` and only the pairs that triplets find
+correlated depend on one another; other columns pass through.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +37,7 @@ from pyspark.sql import functions as F
 
 from riskframe.llm import words as W
 from riskframe.llm.decontamination import WORD
-from riskframe.llm.frames import labelled_sample, quoted, stored
+from riskframe.llm.frames import hashed_sample, labelled_sample, quoted, stored
 
 MAX_ROWS = 20_000
 MAX_FEATURES = 1 << 16
@@ -41,6 +46,8 @@ PRECISION = 0.8
 LIFT = 4  # a key's odds of toxic texts are at least so many times those of all texts
 DENSE = 3
 MOST_COUNTED = 4
+TREE_WEIGHT = 4
+NONE_SETTLED = (np.zeros(0, np.int64), np.zeros(0))
 
 # Word lists of the lexicon voters.
 INSULTS = (
@@ -107,10 +114,10 @@ class Voters:
         self.address = word_keys(ADDRESS)
         self.induced = induced
 
-    def votes(self, block: W.Block) -> np.ndarray:
-        """One row per text, one column per voter."""
+    def votes(self, block: W.Block, found=None) -> np.ndarray:
+        """One row per text, one column per voter; ``found`` is ``block_keys`` of the block."""
         n, data, offsets = block.n, block.data, block.offsets
-        row, families = block_keys(block)
+        row, families = found or block_keys(block)
         words = families[0][1]
         hits = [_isin(words, t) for t in self.lists]
         bad = hits[0] | hits[1]
@@ -154,7 +161,10 @@ class LabelModel:
     correlated: np.ndarray  # pairs of voters not explained by the label alone
 
     def posterior(self, votes: np.ndarray) -> np.ndarray:
-        """P(label 1 | votes). Silence counts once, by the voter that is silent least."""
+        """A guess at P(label 1 | votes) to start from.
+
+        Silence counts once, by the voter that is silent least. ``PatternModel`` counts all of it.
+        """
         odds = self.trust * np.log(self.high / self.low)
         best = int(np.argmax(np.where(odds > 0.5, self.high, 0)))
         silent = np.log((1 - self.high[best]) / (1 - self.low[best]))
@@ -208,26 +218,156 @@ def label_model(mean: np.ndarray, second: np.ndarray, share: float, excess: floa
     return LabelModel(share, high, low, trust, np.argwhere(np.triu(correlated)))
 
 
-def vote_moments(docs: DataFrame, text: str, voters: Voters) -> tuple[int, np.ndarray, np.ndarray]:
-    """Number of texts, mean votes, second moments; the driver gets voters^2 sums."""
+@dataclass
+class PatternModel:
+    """Votes given the label: per label a tree in which each voter depends on its parent."""
+
+    share: float
+    parent: np.ndarray  # by label and voter: a voter, or -1
+    votes_given: np.ndarray  # P(it votes | label, vote of the parent), by label, parent's vote, voter
+    right: tuple[float, float]  # P(known label is 1 | label), for label 1 and 0
+    settled: tuple[np.ndarray, np.ndarray]  # patterns that have known labels, by code, and their posteriors
+
+    def tree_odds(self, votes: np.ndarray) -> np.ndarray:
+        votes = votes.astype(int)
+        logs = []
+        for parent, given in zip(self.parent, self.votes_given):
+            p = given[np.where(parent >= 0, votes[:, parent], 0), np.arange(votes.shape[1])]
+            logs.append(np.log(np.where(votes == 1, p, 1 - p)).sum(axis=1))
+        return np.log(self.share / (1 - self.share)) + logs[1] - logs[0]
+
+    def said(self) -> tuple[float, float]:
+        """Log odds that a known label of 0, and of 1, adds: known labels can be wrong."""
+        return np.log((1 - self.right[0]) / (1 - self.right[1])), np.log(self.right[0] / self.right[1])
+
+    def posterior(self, votes: np.ndarray) -> np.ndarray:
+        """P(label 1 | all votes and silences)."""
+        p = 1 / (1 + np.exp(-np.clip(self.tree_odds(votes), -30, 30)))
+        codes, own = pattern_codes(votes), self.settled[0]
+        if len(own):
+            at = np.minimum(np.searchsorted(own, codes), len(own) - 1)
+            p = np.where(own[at] == codes, self.settled[1][at], p)
+        return p
+
+    def settle(self, votes: np.ndarray, known: np.ndarray) -> PatternModel:
+        """Posteriors of patterns with known labels, moved from the tree's by those labels.
+
+        The tree's posterior weighs as much as ``TREE_WEIGHT`` texts; known labels count as often as
+        they are right.
+        """
+        told = known.sum(axis=1) > 0
+        votes, (zeros, ones) = votes[told], known[told].T
+        prior = self.posterior(votes)
+        p, (a, b) = np.full(len(prior), 0.5), self.right
+        for _ in range(50):
+            p = np.clip(p, 1e-9, 1 - 1e-9)
+            up, down = a * p / (a * p + b * (1 - p)), (1 - a) * p / ((1 - a) * p + (1 - b) * (1 - p))
+            p = (TREE_WEIGHT * prior + ones * up + zeros * down) / (TREE_WEIGHT + ones + zeros)
+        codes = pattern_codes(votes)
+        order = np.argsort(codes)
+        return replace(self, settled=(codes[order], p[order]))
+
+
+def pattern_codes(votes: np.ndarray) -> np.ndarray:
+    return votes.astype(np.int64) @ (1 << np.arange(votes.shape[1]))
+
+
+def _tree(pairs: np.ndarray, allowed: np.ndarray) -> np.ndarray:
+    """Parents in the forest of greatest mutual information (Chow and Liu).
+
+    ``pairs`` holds weights by vote of i, vote of j, i, j.
+    """
+    k = pairs.shape[-1]
+    joint = pairs / np.maximum(pairs.sum(axis=(0, 1)), 1e-9)
+    own, other = joint.sum(axis=1, keepdims=True), joint.sum(axis=0, keepdims=True)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = np.nan_to_num(joint * np.log(joint / (own * other)), posinf=0, neginf=0).sum(axis=(0, 1))
+    gain = np.where(allowed, gain, 0.0)
+    parent, left, reach, by = np.full(k, -1), np.ones(k, bool), np.zeros(k), np.full(k, -1)
+    for _ in range(k):
+        i = int(np.argmax(np.where(left, reach, -1)))
+        parent[i], left[i] = by[i], False
+        closer = left & (gain[i] > np.maximum(reach, 1e-6))
+        reach[closer], by[closer] = gain[i][closer], i
+    return parent
+
+
+def pattern_model(
+    votes: np.ndarray, n: np.ndarray, known: np.ndarray, start: np.ndarray, allowed: np.ndarray, rounds: int = 60
+) -> PatternModel:
+    """Fitted to vote patterns (rows of ``votes``) that ``n`` texts have.
+
+    ``known`` counts, by pattern, the texts known as 0 and as 1. A known label is taken as a
+    voter that is right nine times in ten before anything is counted. ``start`` is a first
+    posterior of each pattern; only ``allowed`` pairs of voters may depend on one another.
+    """
+    v = np.stack((1 - votes, votes)).astype(float)  # vote, pattern, voter
+    cells = np.column_stack((np.maximum(n - known.sum(axis=1), 0), known)).astype(float)
+    total, told = max(cells.sum(), 1.0), cells[:, 1:].sum()
+    start = np.clip(start, 1e-4, 1 - 1e-4)
+    z, right = np.log(start / (1 - start)), (0.95, 0.05)
+    parent = np.full((2, votes.shape[1]), -1)
+    for t in range(rounds):
+        said = np.array([0.0, np.log((1 - right[0]) / (1 - right[1])), np.log(right[0] / right[1])])
+        r = 1 / (1 + np.exp(-np.clip(z[:, None] + said, -30, 30)))
+        by_label = np.stack((cells * (1 - r), cells * r))  # label, pattern, state
+        weight = by_label.sum(axis=2)
+        pairs = np.einsum("yp,api,bpj->yabij", weight, v, v, optimize=True)
+        if t < rounds // 2:  # the tree is settled first, so that the rest is an ascent
+            parent = np.stack([_tree(p, allowed) for p in pairs])
+        each = np.arange(votes.shape[1])
+        mass = np.maximum(weight.sum(axis=1), 1e-9)
+        given = np.empty((2, 2, len(each)))  # label, vote of the parent, voter
+        for y in (0, 1):
+            alone = (pairs[y, 1, 1, each, each] + 0.5) / (mass[y] + 1)
+            beside = pairs[y][:, :, each, np.maximum(parent[y], 0)]
+            given[y] = np.where(parent[y] >= 0, (beside[1] + 2 * alone) / (beside.sum(axis=0) + 2), alone)
+        share = float(np.clip(mass[1] / total, 1e-4, 1 - 1e-4))
+        if told:
+            states = by_label[:, :, 1:].sum(axis=1)  # label, known label
+            right = (
+                float((states[1, 1] + 9) / (states[1].sum() + 10)),
+                float((states[0, 1] + 1) / (states[0].sum() + 10)),
+            )
+        model = PatternModel(share, parent, np.clip(given, 1e-4, 1 - 1e-4), right, NONE_SETTLED)
+        after = model.tree_odds(votes)
+        moved, z = np.abs(after - z).max(initial=0.0), after
+        if t > rounds // 2 and moved < 1e-6:
+            break
+    return model.settle(votes, known)
+
+
+def vote_patterns(docs: DataFrame, text: str, voters: Voters) -> np.ndarray:
+    """How many texts have each of the 2^voters patterns; the driver gets those that occur."""
     sent = docs.sparkSession.sparkContext.broadcast(voters)
     k = len(VOTERS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 + k + k * k)
+        total = np.zeros(1 << k, np.int64)
         for batch in batches:
             for block in W.blocks(batch.column(0), 1 << 20):
-                v = sent.value.votes(block).astype(float)
-                total[0] += len(v)
-                total[1 : k + 1] += v.sum(axis=0)
-                total[k + 1 :] += (v.T @ v).ravel()
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], ["at", "total"])
+                total += np.bincount(pattern_codes(sent.value.votes(block)), minlength=1 << k)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["pattern", "n"])
 
-    parts = docs.select(F.col(quoted(text)).cast("binary")).mapInArrow(run, "at long, total double")
-    rows = parts.groupBy("at").agg(F.sum("total").alias("total")).toArrow().sort_by("at")
-    total = rows.column("total").to_numpy() if rows.num_rows else np.zeros(1 + k + k * k)
-    n = max(total[0], 1.0)
-    return int(total[0]), total[1 : k + 1] / n, total[k + 1 :].reshape(k, k) / n
+    parts = docs.select(F.col(quoted(text)).cast("binary")).mapInArrow(run, "pattern long, n long")
+    rows = parts.groupBy("pattern").agg(F.sum("n").alias("n")).toArrow()
+    total = np.zeros(1 << k, np.int64)
+    total[rows.column("pattern").to_numpy()] = rows.column("n").to_numpy()
+    return total
+
+
+def fitted_labels(counts: np.ndarray, known: np.ndarray, share: float) -> tuple[LabelModel, PatternModel]:
+    """Both steps of the label model, from counts of patterns, in all and by known label."""
+    k = len(VOTERS)
+    at = np.flatnonzero(counts)
+    votes, n = (at[:, None] >> np.arange(k)) & 1, counts[at]
+    rows = max(n.sum(), 1)
+    first = label_model(n @ votes / rows, (votes.T * n) @ votes / rows, share)
+    allowed = np.full((k, k), bool(known.sum()))
+    allowed[tuple(first.correlated.T)] = True
+    start = first.posterior(votes) if len(at) else np.zeros(0)
+    return first, pattern_model(votes, n, known[at], start, allowed | allowed.T)
 
 
 def _family_keys(block: W.Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -299,29 +439,33 @@ def associated(sample: DataFrame, least: int = 4, most: int = MAX_FEATURES) -> t
 
 @dataclass
 class ToxicityModel:
-    """Log odds: bias plus the weights of the keys a text holds, times how often it does."""
+    """Log odds: bias, the weights of the keys a text holds, times how often it does, and of its votes."""
 
     keys: np.ndarray
-    weight: np.ndarray
+    weight: np.ndarray  # of the keys, then of the voters
     bias: float
     voters: Voters
-    labels: LabelModel
+    labels: PatternModel
 
     def scores(self, block: W.Block) -> np.ndarray:
-        row, place, n = held_keys(block, self.keys)
+        row, place, n = features(block, self.keys, self.voters)
         z = self.bias + np.bincount(row, n * self.weight[place], block.n)
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def held_keys(block: W.Block, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (row, place in ``keys``) of the keys that texts hold, and how often, up to a few times."""
-    row, families = block_keys(block)
+def features(block: W.Block, keys: np.ndarray, voters: Voters) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place, times) by row: the keys a text holds, up to a few times, then its votes."""
+    found = block_keys(block)
+    words, families = found
     pairs = [np.zeros(0, np.int64)]
+    width = len(keys) + len(VOTERS)
     for held, own in families:
         inside = _isin(own, keys)
-        pairs.append(row[held[inside]] * len(keys) + np.searchsorted(keys, own[inside]))
+        pairs.append(words[held[inside]] * width + np.searchsorted(keys, own[inside]))
+    row, voter = np.nonzero(voters.votes(block, found))
+    pairs.append(row * width + len(keys) + voter)
     both, n = np.unique(np.concatenate(pairs), return_counts=True)
-    return both // max(len(keys), 1), both % max(len(keys), 1), np.minimum(n, MOST_COUNTED)
+    return both // width, both % width, np.minimum(n, MOST_COUNTED)
 
 
 def _logistic(row, place, times, n_rows: int, n_keys: int, target, penalty: float = 0.5, rounds: int = 400):
@@ -343,11 +487,11 @@ def _logistic(row, place, times, n_rows: int, n_keys: int, target, penalty: floa
 def _calibrate(z: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     """(a, b) so that a z + b are log odds of y.
 
-    Targets are drawn in a little (Platt), a is held near 1, and a step that does not
+    Targets (0 to 1) are drawn in a little (Platt), a is held near 1, and a step that does not
     lower the loss is halved.
     """
     hi, lo = (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2)
-    target = np.where(y == 1, hi, lo)
+    target = lo + (hi - lo) * y
 
     def loss(x: np.ndarray) -> float:
         v = x[0] * z + x[1]
@@ -379,15 +523,18 @@ def fit(
     """A model from unlabelled ``docs`` and from ``labels`` (doc_id, label 0 or 1)."""
     spark = docs.sparkSession
     labelled = labelled_sample(docs, labels, doc_id, text, label, max_rows)
-    sample = stored(labelled.select("text", F.col("label").cast("double").alias("y")), "labelled")
+    labelled = stored(labelled.select("doc_id", "text", F.col("label").cast("double").alias("y")), "labelled")
+    sample = labelled.select("text", "y")
     rows, positives = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0.0))).first()
     known = bool(0 < positives < rows)
     share = float(np.clip(positives / rows, 0.005, 0.995)) if known else SHARE
 
     keys, family = associated(sample) if known else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
     voters = Voters([keys[family == i] for i in range(1 + len(BEGINNINGS))])
-    _, mean, second = vote_moments(docs, text, voters)
-    model = label_model(mean, second, share)
+    told = [vote_patterns(sample.filter(F.col("y") == y), "text", voters) for y in (0, 1)] if known else None
+    counts = vote_patterns(docs, text, voters)
+    by_label = np.stack(told, axis=1) if known else np.zeros((len(counts), 2), np.int64)
+    _, model = fitted_labels(counts, by_label, share)
 
     sent = spark.sparkContext.broadcast((voters, model))
 
@@ -397,16 +544,18 @@ def fit(
             y = np.concatenate(found) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(y)], ["text", "known", "y"])
 
-    soft = sample.select("text", F.col("y").alias("known")).mapInArrow(posterior, "text binary, known double, y double")
+    others = hashed_sample(docs, doc_id, text, max_rows).join(labelled.select("doc_id"), "doc_id", "left_anti")
+    both = sample.unionByName(others.select("text", F.lit(None).cast("double").alias("y")))
+    soft = both.select("text", F.col("y").alias("known")).mapInArrow(posterior, "text binary, known double, y double")
     soft = stored(soft, "posterior")
-    keys, _ = associated(soft)
-    chosen_keys = spark.sparkContext.broadcast(keys)
+    keys, _ = associated(soft.select("text", "y"))
+    chosen = spark.sparkContext.broadcast((keys, voters))
 
     def held(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
             for block in W.blocks(batch.column(0), 1 << 20):
-                row, place, n = held_keys(block, chosen_keys.value)
+                row, place, n = features(block, *chosen.value)
                 head = np.searchsorted(row, np.arange(block.n + 1))
                 out += [np.repeat(place[head[i] : head[i + 1]], n[head[i] : head[i + 1]]) for i in range(block.n)]
             yield pa.RecordBatch.from_arrays(
@@ -414,15 +563,19 @@ def fit(
             )
 
     table = soft.mapInArrow(held, "known double, y double, places array<long>").toArrow()
+    width = len(keys) + len(VOTERS)
     places = [np.asarray(v.as_py(), np.int64) for v in table.column("places")]
     row = np.repeat(np.arange(len(places)), [len(p) for p in places])
     place = np.concatenate([*places, np.zeros(0, np.int64)])
-    target, gold = table.column("y").to_numpy(), table.column("known").to_numpy()
+    target, gold = table.column("y").to_numpy(), table.column("known").to_numpy(zero_copy_only=False)
     if not len(target):
-        return ToxicityModel(keys, np.zeros(len(keys)), float(np.log(share / (1 - share))), voters, model)
+        return ToxicityModel(keys, np.zeros(width), float(np.log(share / (1 - share))), voters, model)
     times = np.ones(len(row))
-    weight, bias = _logistic(row, place, times, len(places), len(keys), target)
+    weight, bias = _logistic(row, place, times, len(places), width, target)
     if known:
-        a, b = _calibrate(bias + np.bincount(row, weight[place], len(places)), gold)
+        z, had = bias + np.bincount(row, weight[place], len(places)), ~np.isnan(gold)
+        told = np.where(gold == 1, model.said()[1], model.said()[0])
+        odds = np.log(np.clip(target, 1e-9, 1 - 1e-9) / np.clip(1 - target, 1e-9, 1 - 1e-9)) + told
+        a, b = _calibrate(z[had], 1 / (1 + np.exp(-odds[had])))
         weight, bias = a * weight, a * bias + b
     return ToxicityModel(keys, weight, float(bias), voters, model)
