@@ -385,6 +385,17 @@ def all_oracles() -> dict[str, str]:
             f"SELECT request_id, {EV_COLUMNS} FROM requests WHERE reason IS NULL", "requests"),
         "payload_rejects": with_ctes(
             "SELECT DISTINCT request_id, reason FROM requests WHERE reason IS NOT NULL", "requests"),
+        "inferred_types": with_ctes(
+            f"""SELECT "column", CASE bit_or(kind) WHEN 1 THEN 'bigint' WHEN 2 THEN 'double' WHEN 3 THEN 'double'
+                  WHEN 4 THEN 'timestamp' ELSE 'string' END AS type
+                FROM (SELECT "column", CASE WHEN v IS NULL OR v = '' OR lower(v) = 'nan' THEN 0
+                    WHEN regexp_full_match(v, '[+-]?(0|[1-9][0-9]{{0,17}})') THEN 1
+                    WHEN regexp_full_match(v, '[+-]?[0-9]*[.]?[0-9]*([eE][+-]?[0-9]+)?') AND TRY_CAST(v AS DOUBLE) IS NOT NULL
+                      AND NOT regexp_full_match(v, '[+-]?(0[0-9].*|[0-9]+)') THEN 2
+                    WHEN regexp_full_match(v, '[0-9]{{4}}-[0-9-]+([T ].*)?') AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL THEN 4
+                    ELSE 8 END AS kind
+                  FROM ({_union(lambda i, c: f"SELECT '{c}' AS column, CAST({c} AS VARCHAR) AS v FROM gaps", COLUMNS)}))
+                GROUP BY 1""", "gaps"),
         "drop_columns": with_ctes(f"SELECT {EV_COLUMNS} FROM tx", "tx"),
         "numeric_projection": with_ctes(
             "SELECT TransactionId, Amount, Value, PricingStrategy FROM tx", "tx"),

@@ -41,6 +41,7 @@ from riskframe.sources.adapters import (
     tx_orders_missing,
     tx_orders_nan,
 )
+from riskframe.sources.files import kind_of, merged_type
 from riskframe.sources.payloads import explode_payloads, rejected_payloads, to_payloads
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -143,6 +144,17 @@ def payload_rejects(spark, sf_dir):
     return rejected_payloads(requests(spark, sf_dir))
 
 
+@query
+def inferred_types(spark, sf_dir):
+    """The types a reader finds for the transactions as text, from all rows."""
+    tx = tx_orders_missing(spark, sf_dir)
+    texts = tx.select(*[F.col(c).cast("string").alias(c) for c in tx.columns])
+    kinds = [F.struct(F.lit(c).alias("column"), F.expr(kind_of(c)).alias("kind")) for c in tx.columns]
+    merged = texts.select(F.inline(F.array(*kinds))).groupBy("column").agg(F.bit_or("kind").alias("kinds"))
+    names = [x for k in range(16) for x in (F.lit(k), F.lit(merged_type(k)))]
+    return merged.select("column", F.create_map(*names)[F.col("kinds")].alias("type"))
+
+
 @query
 def drop_columns(spark, sf_dir):
     return tx_orders(spark, sf_dir).drop(FRAUD)

@@ -20,7 +20,7 @@ from riskframe.plans.score import score_payloads, score_transactions
 from riskframe.plans.train import train_all
 from riskframe.schema import CUSTOMER_ID, FEATURES, LABEL, REQUEST_SCHEMA
 from riskframe.sources.adapters import tx_orders
-from riskframe.sources.files import read_keyed_csv, read_transactions_csv
+from riskframe.sources.files import read_csv, read_keyed_csv, read_transactions_csv
 from riskframe.sources.payloads import explode_payloads, rejected_payloads, to_payloads
 from riskframe.streaming.scoring import read_requests, score_stream
 
@@ -263,3 +263,37 @@ def test_staged_tables_can_be_dropped(spark):
     known[:] = mine
     assert session.drop_stages(spark) == 1 and not os.path.exists(path)
     session._staged[spark.sparkContext.applicationId] = [p for p in others if p not in mine]
+
+
+def test_csv_types_are_inferred(spark, tmp_path):
+    """Types come from all rows of all files; files that disagree are widened."""
+    folder = tmp_path / "typed"
+    folder.mkdir()
+    head = "whole,real,mixed,zeros,time,word,none,long,nan,blank,bad day\n"
+    (folder / "a.csv").write_text(
+        head + "1,1.5,3,007,2024-01-02,a,,123456789012345678901,NaN, 5,2024-01-02\n-2,1e3,,12,2024-01-02 03:04:05,,,1,4,6,2024-13-45\n"
+    )
+    (folder / "b.csv").write_text(head + "3,.25,2.5,1,2024-01-02T03:04:05.5Z,7,,2,nan,7,2024-02-01\n")
+    df = read_csv(spark, str(folder))
+    assert dict(df.dtypes) == {
+        "whole": "bigint", "real": "double", "mixed": "double", "zeros": "string", "time": "timestamp",
+        "word": "string", "none": "string", "long": "string", "nan": "bigint", "blank": "string", "bad day": "string",
+    }
+    rows = {r["whole"]: r for r in df.collect()}
+    assert [rows[k]["real"] for k in (1, -2, 3)] == [1.5, 1000.0, 0.25]
+    assert [rows[k]["mixed"] for k in (1, -2, 3)] == [3.0, None, 2.5]
+    assert [rows[k]["nan"] for k in (1, -2, 3)] == [None, 4, None]
+    assert [rows[k]["zeros"] for k in (1, -2, 3)] == ["007", "12", "1"]
+    assert rows[-2]["time"].isoformat() == "2024-01-02T03:04:05"
+    only = tmp_path / "only.csv"
+    only.write_text("a,b\n")
+    assert dict(read_csv(spark, str(only)).dtypes) == {"a": "string", "b": "string"}
+
+
+def test_transactions_with_more_columns(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text("TransactionId,Score,CustomerId,Branch\n007,1,c,x\n8,2.5,d,y\n")
+    df = read_transactions_csv(spark, str(path))
+    assert dict(df.dtypes) == {"TransactionId": "string", "Score": "double", "CustomerId": "string", "Branch": "string"}
+    assert {r.TransactionId: r.Score for r in df.collect()} == {"007": 1.0, "8": 2.5}
+    assert dict(read_transactions_csv(spark, str(path), infer=False).dtypes)["Score"] == "string"
