@@ -104,9 +104,24 @@ def _add_by_class(
     )
 
 
-def test_sizes(sizes: Mapping, test_size: float) -> dict:
-    """Rows of each class that go to the test side."""
-    return {c: math.ceil(round(test_size * n, 9)) for c, n in sizes.items()}
+def test_sizes(sizes: Mapping, test_size: float, shares: str = "class") -> dict:
+    """Rows of each class that go to the test side.
+
+    ``class`` rounds the share of each class up. ``whole`` rounds the share of all rows up and
+    deals it out by largest remainder: each class gets its share rounded down, and those with the
+    largest fractions one more; of equal fractions the class that comes first in ``sizes``.
+    """
+    if shares == "class":
+        return {c: math.ceil(round(test_size * n, 9)) for c, n in sizes.items()}
+    if shares != "whole":
+        raise ValueError(f"shares are by 'class' or of the 'whole', not {shares!r}")
+    total = sum(sizes.values())
+    drawn = math.ceil(round(test_size * total, 9))
+    take = {c: drawn * n // total for c, n in sizes.items()}
+    by_fraction = sorted(sizes, key=lambda c: -(drawn * sizes[c] % total))
+    for c in by_fraction[: drawn - sum(take.values())]:
+        take[c] += 1
+    return take
 
 
 def stratified_split(
@@ -116,9 +131,13 @@ def stratified_split(
     test_size: float = 0.2,
     seed: int = 42,
     sizes: Mapping | None = None,
+    shares: str = "class",
 ) -> DataFrame:
     """Adds ``is_test``: 1 for the first ceil(test_size * n) rows of each class by hash.
 
+    With ``shares="whole"`` the test side has ceil(test_size * n) of all n rows, dealt out to
+    the classes by ``test_sizes``.
+
     Rows without a label or a key are left out and count nowhere. Rows that repeat a key
     go to the same side, which may then exceed its size by them. ``sizes`` are the class
     sizes where they are known.
@@ -126,7 +145,7 @@ def stratified_split(
     require_columns(df, key_col, label_col)
     if sizes is None:
         sizes = class_sizes(df, label_col, key_col)
-    take = test_sizes(sizes, test_size)
+    take = test_sizes(sizes, test_size, shares)
     ranks = {c: [k] for c, k in take.items() if k > 0}
     cuts = _cuts(df, key_col, label_col, seed, ranks) if ranks else {}
     hashed = shuffle_key(key_col, seed)

@@ -594,6 +594,13 @@ def all_oracles() -> dict[str, str]:
         "stratified_split": with_ctes(
             f"""SELECT CustomerId, {LABEL}, CAST(CASE WHEN rk <= ceil(round(0.2 * n, 9)) THEN 1 ELSE 0 END
                 AS INTEGER) AS is_test FROM ordered""", "ordered"),
+        "stratified_split_whole": with_ctes(
+            f"""SELECT CustomerId, {LABEL}, CAST(rk <= n_test AS INTEGER) AS is_test FROM ordered JOIN (
+                  SELECT {LABEL}, drawn * size // total + CAST(row_number() OVER (
+                      ORDER BY drawn * size % total DESC, {LABEL}) <= drawn - sum(drawn * size // total) OVER () AS BIGINT) AS n_test
+                  FROM (SELECT {LABEL}, count(*) AS size, CAST(sum(count(*)) OVER () AS BIGINT) AS total,
+                      CAST(ceil(round(0.2 * sum(count(*)) OVER (), 9)) AS BIGINT) AS drawn FROM ordered GROUP BY {LABEL})
+                ) USING ({LABEL})""", "ordered"),
         "stratified_folds": with_ctes(
             f"""SELECT CustomerId, {LABEL}, CAST({' + '.join(
                 f'CASE WHEN rk > n * {j} // 5 THEN 1 ELSE 0 END' for j in range(1, 5))} AS INTEGER) AS fold

@@ -547,6 +547,13 @@ def stratified_split(spark, sf_dir):
     return split.stratified_split(table)
 
 
+@query
+def stratified_split_whole(spark, sf_dir):
+    """A test side of exactly the rounded-up share of all customers."""
+    table = stage(labelled_customers(spark, sf_dir).select(CUSTOMER_ID, LABEL), "labelled")
+    return split.stratified_split(table, shares="whole")
+
+
 @query
 def stratified_folds(spark, sf_dir):
     table = labelled_customers(spark, sf_dir).select(CUSTOMER_ID, LABEL)

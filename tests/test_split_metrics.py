@@ -1,5 +1,7 @@
 import hashlib
 import math
+import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -27,6 +29,40 @@ def test_split_is_the_first_share_by_hash(people):
         assert {r.CustomerId for r in done if r.is_high_risk == label and r.is_test} == expected
 
 
+def by_fractions(sizes, drawn):
+    """Largest remainder, one row at a time."""
+    total = sum(sizes)
+    quotas = [Fraction(drawn * n, total) for n in sizes]
+    take = [int(q) for q in quotas]
+    while sum(take) < drawn:
+        lacking = [q - t if t <= q else -1 for q, t in zip(quotas, take)]
+        take[lacking.index(max(lacking))] += 1
+    return take
+
+
+def test_shares_of_the_whole():
+    rng = random.Random(4)
+    for _ in range(50):
+        sizes = {c: rng.randint(1, 400) for c in range(rng.randint(1, 9))}
+        share = rng.choice([0.1, 0.2, 0.25, 0.33])
+        found = split.test_sizes(sizes, share, "whole")
+        drawn = math.ceil(round(share * sum(sizes.values()), 9))
+        assert sum(found.values()) == drawn
+        assert list(found.values()) == by_fractions(list(sizes.values()), drawn)
+    assert split.test_sizes({0: 600, 1: 101}, 0.2, "whole") == {0: 121, 1: 20}
+    assert split.test_sizes({"a": 1, "b": 1, "c": 1}, 0.5, "whole") == {"a": 1, "b": 1, "c": 0}  # ties: first come
+    assert split.test_sizes({}, 0.2, "whole") == {}
+    with pytest.raises(ValueError, match="shares"):
+        split.test_sizes({0: 1}, 0.2, "row")
+
+
+def test_split_of_the_whole(people):
+    done = split.stratified_split(people, shares="whole").collect()
+    for label, n in ((0, 121), (1, 20)):
+        expected = set(ordered(people, label)[:n])
+        assert {r.CustomerId for r in done if r.is_high_risk == label and r.is_test} == expected
+
+
 def test_folds_are_even_ranges(people):
     done = split.stratified_folds(people, n_folds=5).collect()
     for label in (0, 1):
