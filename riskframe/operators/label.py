@@ -4,15 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import PipelineModel
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions import sql
 from riskframe.functions.columns import replace_columns
 from riskframe.functions.scalars import flag_equal
+from riskframe.operators import kmeans
 from riskframe.operators.features import rfm
 from riskframe.operators.scale import PopulationScaler
 from riskframe.schema import AMOUNT, CUSTOMER_ID, LABEL, RFM, START_TIME
@@ -64,13 +62,14 @@ def flag_high_risk(clustered: DataFrame) -> DataFrame:
     return clustered.withColumn(LABEL, flag_equal("Cluster", F.lit(risky["Cluster"])))
 
 
-def fit_kmeans(scaled: DataFrame, n_clusters: int = 3, random_state: int = 42) -> PipelineModel:
-    assembler = VectorAssembler(inputCols=list(SCALED), outputCol="_point")
-    points = assembler.transform(scaled)
-    model: KMeansModel = KMeans(
-        k=n_clusters, seed=random_state, featuresCol="_point", predictionCol="Cluster"
-    ).fit(points)
-    return PipelineModel([assembler, model])
+def fit_kmeans(
+    scaled: DataFrame,
+    n_clusters: int = 3,
+    random_state: int = 42,
+    customer_id_col: str = CUSTOMER_ID,
+    n_starts: int = 10,
+) -> kmeans.KMeansFit:
+    return kmeans.fit(scaled, SCALED, customer_id_col, n_clusters, random_state, n_starts)
 
 
 def label_rfm(
@@ -82,7 +81,7 @@ def label_rfm(
 ) -> DataFrame:
     """Cluster a stored RFM table and flag the high-risk cluster; ``keep`` carries columns along."""
     scaled = scaled_rfm(table)
-    clustered = fit_kmeans(scaled, n_clusters, random_state).transform(scaled)
+    clustered = fit_kmeans(scaled, n_clusters, random_state, customer_id_col).transform(scaled)
     return flag_high_risk(clustered).select(customer_id_col, *keep, *RFM, "Cluster", LABEL)
 
 

@@ -122,6 +122,50 @@ cte("clustered", f"""SELECT CustomerId, Recency, Frequency, Monetary,
       CAST(CASE WHEN {_distance[0]} <= {_distance[1]} AND {_distance[0]} <= {_distance[2]} THEN 0
            WHEN {_distance[1]} <= {_distance[2]} THEN 1 ELSE 2 END AS INTEGER) AS Cluster
     FROM scaled""", "scaled")
+_SCALED = ("Recency", "Frequency", "Monetary")
+N_CLUSTERS, N_STARTS, UNIT = 3, 10, 1_000_000
+
+
+def _apart(point: str, centre: str) -> str:
+    return " + ".join(f"({point}.p{i} - {centre}.p{i}) * ({point}.p{i} - {centre}.p{i})" for i in range(3))
+
+
+cte("points", "SELECT CustomerId, " + ", ".join(
+    f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () * {UNIT}) AS p{i}" for i, c in enumerate(_SCALED))
+    + " FROM rfm", "rfm")
+for _draw in range(N_CLUSTERS):
+    # an exponential race of all customers, each at the speed of its squared distance
+    _weight = "1.0" if _draw == 0 else f"(SELECT min({_apart('p', 'c')}) FROM drawn{_draw - 1} c WHERE c.start = s.start)"
+    _race = f"""-ln((CAST(CAST('0x' || substr(md5(concat_ws(':', CustomerId, '42', s.start, '{_draw}')), 1, 13) AS BIGINT)
+          AS DOUBLE) + 0.5) / CAST({2**52} AS DOUBLE))"""
+    _before = f"SELECT * FROM drawn{_draw - 1} UNION ALL " if _draw else ""
+    cte(f"drawn{_draw}", f"""{_before}SELECT start, {_draw} AS k, p0, p1, p2 FROM (
+        SELECT *, row_number() OVER (PARTITION BY start ORDER BY race / weight, p0, p1, p2) AS place
+        FROM (SELECT s.start, p0, p1, p2, {_race} AS race, {_weight} AS weight
+              FROM points p, range({N_STARTS}) s(start)) WHERE weight > 0)
+      WHERE place = 1""", "points", *([f"drawn{_draw - 1}"] if _draw else []))
+# Steps of all starts together until no centre moves. No centre of these tables loses all rows.
+_moved = ", ".join(f"floor(CAST(sum(CAST(p{i} AS HUGEINT)) AS DOUBLE) / count(*) + 0.5) AS p{i}" for i in range(3))
+cte("settled", f"""WITH RECURSIVE steps(step, start, k, p0, p1, p2, n, inertia, moves) AS (
+      SELECT 0, start, k, p0, p1, p2, CAST(0 AS BIGINT), CAST(0 AS HUGEINT), true FROM drawn{N_CLUSTERS - 1}
+      UNION ALL
+      SELECT step, start, k, p0, p1, p2, n, inertia,
+        bool_or(p0 <> o0 OR p1 <> o1 OR p2 <> o2) OVER () AS moves
+      FROM (SELECT step + 1 AS step, start, k, {_moved}, count(*) AS n,
+              sum(CAST(floor(d) AS HUGEINT)) AS inertia, any_value(o0) AS o0, any_value(o1) AS o1, any_value(o2) AS o2
+            FROM (SELECT c.step, c.start, c.k, c.p0 AS o0, c.p1 AS o1, c.p2 AS o2, p.p0, p.p1, p.p2, {_apart('p', 'c')} AS d,
+                    row_number() OVER (PARTITION BY c.start, p.CustomerId ORDER BY {_apart('p', 'c')}, c.k) AS place
+                  FROM points p, steps c WHERE c.moves AND c.step < 300)
+            WHERE place = 1 GROUP BY step, start, k))
+    SELECT * FROM steps WHERE step = (SELECT max(step) FROM steps)""", "points", f"drawn{N_CLUSTERS - 1}")
+cte("best_start", """SELECT start FROM settled GROUP BY start ORDER BY sum(inertia), start LIMIT 1""", "settled")
+cte("kmeans", f"""SELECT CustomerId, k AS Cluster FROM (
+      SELECT CustomerId, k, row_number() OVER (PARTITION BY CustomerId ORDER BY {_apart('p', 'c')}, k) AS place
+      FROM points p, settled c WHERE start = (SELECT start FROM best_start)) WHERE place = 1""",
+    "points", "settled", "best_start")
+cte("kmeans_rows", "SELECT rfm.*, CAST(Cluster AS INTEGER) AS Cluster FROM rfm JOIN kmeans USING (CustomerId)", "rfm", "kmeans")
+cte("kmeans_risky", """SELECT Cluster FROM kmeans_rows GROUP BY Cluster
+    ORDER BY avg(Recency) DESC, avg(Frequency), avg(Monetary), Cluster LIMIT 1""", "kmeans_rows")
 cte("profile", """SELECT Cluster, avg(Recency) AS avg_recency, avg(Frequency) AS avg_frequency,
       avg(Monetary) AS avg_monetary, count(*) AS count FROM clustered GROUP BY Cluster""", "clustered")
 cte("risky", """SELECT Cluster FROM profile
@@ -462,11 +506,21 @@ def all_oracles() -> dict[str, str]:
             + f" FROM nan, (SELECT {_fence_columns()} FROM nan)", "nan"),
         "customer_features_formats": with_ctes(features_sql("to_second"), "to_second"),
         "high_risk_target": with_ctes(
-            f"""SELECT CustomerId, Recency, Frequency, {r('Monetary')} AS Monetary,
-                  true AS label_is_binary, true AS label_is_risky_cluster FROM rfm""", "rfm"),
+            f"""SELECT CustomerId, Recency, Frequency, {r('Monetary')} AS Monetary, Cluster,
+                  CAST(Cluster = (SELECT Cluster FROM kmeans_risky) AS INTEGER) AS {LABEL},
+                  true AS label_is_binary, true AS label_is_risky_cluster FROM kmeans_rows""",
+            "kmeans_rows", "kmeans_risky"),
         "kmeans_rfm": with_ctes(
-            "SELECT count(*) AS n_customers, CAST(3 AS BIGINT) AS n_clusters, true AS all_nearest FROM rfm",
-            "rfm"),
+            "SELECT Cluster, count(*) AS n_customers, " + ", ".join(
+                f"{r(f'avg(({c} - m{c}) / d{c})')} AS centre_{c.lower()}" for c in _SCALED)
+            + ", true AS all_nearest FROM kmeans_rows, (SELECT " + ", ".join(
+                f"avg({c}) AS m{c}, stddev_pop({c}) AS d{c}" for c in _SCALED) + " FROM rfm) GROUP BY Cluster",
+            "kmeans_rows"),
+        "kmeans_starts": with_ctes(
+            "SELECT CAST(start AS INTEGER) AS start, CAST(k AS INTEGER) AS Cluster, n AS n_customers, " + ", ".join(
+                f"{r(f'p{i} / CAST({UNIT} AS DOUBLE)')} AS centre_{c.lower()}" for i, c in enumerate(_SCALED))
+            + f""", {r(f'CAST(sum(inertia) OVER (PARTITION BY start) AS DOUBLE) / CAST({UNIT**2} AS DOUBLE)')} AS inertia,
+              start = (SELECT start FROM best_start) AS chosen FROM settled""", "settled", "best_start"),
         "logistic_baseline": with_ctes(
             f"""SELECT 'logistic_baseline' AS model, n_test, n_positive, {r6('roc_auc')} AS roc_auc,
                   {r6('(tp + tn) / n_test')} AS accuracy, {r6('coalesce(tp / nullif(tp + fp, 0), 0)')} AS precision,

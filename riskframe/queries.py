@@ -24,6 +24,7 @@ from riskframe.functions.columns import (
 from riskframe.operators import binning, distribution, label, metrics, profile, split
 from riskframe.operators import features as feat
 from riskframe.operators.classifiers import FOREST, GBT, LOGISTIC, assembler, grid_points, predict
+from riskframe.operators.kmeans import UNIT
 from riskframe.operators.quantiles import quantile_table
 from riskframe.operators.scale import standardize
 from riskframe.operators.winsorize import NOT_CAPPED, winsorize_iqr
@@ -505,12 +506,14 @@ def high_risk_cluster_fixed(spark, sf_dir):
 
 
 def _label_facts(table: DataFrame) -> DataFrame:
-    """What must hold of a label by k-means, whatever its start: the risky cluster is the
-    one that the order of mean recency, frequency and monetary puts first."""
+    """The label, and what must hold of it: the risky cluster is the one that the order of
+    mean recency, frequency and monetary puts first."""
     risky = label.high_risk_cluster(label.cluster_profile(table)).withColumnRenamed("Cluster", "_risky")
     return table.crossJoin(F.broadcast(risky)).select(
         CUSTOMER_ID,
         *RFM,
+        "Cluster",
+        LABEL,
         F.col(LABEL).isin(0, 1).alias("label_is_binary"),
         ((F.col(LABEL) == 1) == (F.col("Cluster") == F.col("_risky"))).alias("label_is_risky_cluster"),
     )
@@ -522,20 +525,40 @@ def high_risk_target(spark, sf_dir):
     return rounded(_label_facts(table))
 
 
+def _fitted_clusters(spark: SparkSession, sf_dir: str):
+    scaled = label.scaled_rfm(stage(feat.rfm(tx_orders(spark, sf_dir)), "rfm"))
+    return scaled, label.fit_kmeans(scaled)
+
+
 @query
 def kmeans_rfm(spark, sf_dir):
-    """Every customer is nearest to the centre of its own cluster, but for those that the
-    last step of k-means may leave on a border."""
-    scaled = label.scaled_rfm(stage(feat.rfm(tx_orders(spark, sf_dir)), "rfm"))
-    model = label.fit_kmeans(scaled)
-    centres = {i: list(map(float, c)) for i, c in enumerate(model.stages[-1].clusterCenters())}
-    clustered = model.transform(scaled).withColumnRenamed("Cluster", "_own")
-    nearest = label.assign_cluster(clustered, centres)
-    return nearest.agg(
+    """The clusters of the start that ended best: centres and their distances, every customer
+    being nearest to its own."""
+    scaled, fit = _fitted_clusters(spark, sf_dir)
+    clustered = fit.transform(scaled, "_own")
+    nearest = label.assign_cluster(clustered, fit.centres)
+    found = nearest.groupBy(F.col("_own").alias("Cluster")).agg(
         F.count(F.lit(1)).alias("n_customers"),
-        F.count_distinct("_own").alias("n_clusters"),
+        *[F.avg(s).alias(f"centre_{c.lower()}") for s, c in zip(label.SCALED, RFM)],
         (F.count_if(F.col("_own") == F.col("Cluster")) == F.count(F.lit(1))).alias("all_nearest"),
     )
+    return rounded(found)
+
+
+@query
+def kmeans_starts(spark, sf_dir):
+    """Where each start of the search for clusters ended, and which one was kept."""
+    _, fit = _fitted_clusters(spark, sf_dir)
+    rows = [
+        (i, k, n, *[x / UNIT for x in centre], one.inertia / UNIT**2, i == fit.chosen)
+        for i, one in enumerate(fit.starts)
+        for k, (n, centre) in enumerate(zip(one.sizes, one.centres))
+    ]
+    columns = ", ".join(f"centre_{c.lower()} double" for c in RFM)
+    made = spark.createDataFrame(
+        rows, f"start int, Cluster int, n_customers bigint, {columns}, inertia double, chosen boolean"
+    )
+    return rounded(made)
 
 
 # --- split, weights -------------------------------------------------------------
