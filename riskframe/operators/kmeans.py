@@ -2,7 +2,7 @@
 
 ``pyspark.ml`` draws its start from the partitions it meets and sums doubles in any order, so
 its clusters change with the layout of the table. Here points are whole numbers (``UNIT``
-of a scaled column), sums are exact decimals, and the draws of k-means++ hang on a hash of the
+of a scaled column), sums are exact, and the draws of k-means++ hang on a hash of the
 row's key, so results are equal on any cluster and can be written in SQL.
 
 All starts go through the rows together: one job for each centre drawn, and one for each step
@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from riskframe.functions import sql
+from riskframe.session import drop_staged, stage, staged_path
 
 UNIT = 1_000_000
 HASH_BITS = 52
@@ -104,23 +105,42 @@ def draw_starts(points: DataFrame, point: Sequence[str], n_clusters: int, n_star
     return found
 
 
+# Whole numbers are summed in two parts, so that no sum of longs passes its range.
+LOW_BITS = 24
+
+
 def _step(points: DataFrame, point: Sequence[str], starts: dict[int, Centres]) -> dict[int, dict[int, tuple]]:
     """Of each start and cluster: rows, exact sums of the columns and of the squared distances."""
-    own = ", ".join(f"named_struct('start', {s}, 'near', {_nearest(point, c)})" for s, c in starts.items())
-    sums = [F.sum(F.col(p).cast("decimal(20,0)")).alias(p) for p in point]
+    apart = {s: [f"_d{s}_{k}" for k in range(len(c))] for s, c in starts.items()}
+    distances = [f"{_squared(point, c)} as {d}" for s in starts for d, c in zip(apart[s], starts[s])]
+    near = []
+    for s, ds in apart.items():
+        least = f"least({', '.join(ds)})" if len(ds) > 1 else ds[0]
+        which = " ".join(f"when {d} = {least} then {k}" for k, d in enumerate(ds))
+        near.append(f"named_struct('start', {s}, 'k', case {which} end, 'd', {least})")
+
+    def parts(value: str) -> list:
+        whole = F.floor(value)
+        return [
+            F.sum(F.shiftright(whole, LOW_BITS)).alias(f"high{value}"),
+            F.sum(whole.bitwiseAND((1 << LOW_BITS) - 1)).alias(f"low{value}"),
+        ]
+
     rows = (
-        points.selectExpr(*point, f"inline(array({own}))")
-        .groupBy("start", F.col("near.k").alias("k"))
+        points.selectExpr(*point, *distances)
+        .selectExpr(*point, f"inline(array({', '.join(near)}))")
+        .groupBy("start", "k")
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.floor("near.d").cast("decimal(28,0)")).alias("inertia"),
-            *sums,
+            F.sum(F.floor("d").cast("decimal(28,0)")).alias("inertia"),
+            *[a for p in point for a in parts(p)],
         )
         .collect()
     )
     found: dict[int, dict[int, tuple]] = {s: {} for s in starts}
     for r in rows:
-        found[r["start"]][r["k"]] = (r["n"], [int(r[p]) for p in point], int(r["inertia"]))
+        sums = [(r[f"high{p}"] << LOW_BITS) + r[f"low{p}"] for p in point]
+        found[r["start"]][r["k"]] = (r["n"], sums, int(r["inertia"]))
     return found
 
 
@@ -136,9 +156,14 @@ def _mean(total: int, n: int) -> float:
     return float(math.floor(float(total) / float(n) + 0.5))
 
 
-def settle(points: DataFrame, point: Sequence[str], starts: Sequence[Centres], max_iter: int) -> list[Start]:
+def settle(
+    points: DataFrame, point: Sequence[str], starts: Sequence[Centres], max_iter: int, tol: float = 0.0
+) -> list[Start]:
     """Lloyd's steps of all starts until their centres stay, or ``max_iter`` passes are over.
 
+    Centres stay where their squared moves, summed and in the scale of the columns, are ``tol``
+    or less; then that move is not made, so centres, sizes and inertia belong together.
+
     A centre without rows moves to the row farthest from its own centre, one such centre a
     step, the lowest first; it stays where every row lies on a centre.
     """
@@ -159,7 +184,8 @@ def settle(points: DataFrame, point: Sequence[str], starts: Sequence[Centres], m
                 moved[min(k for k in range(len(centres)) if k not in sums[s])] = far[s]
             sizes = tuple(sums[s][k][0] if k in sums[s] else 0 for k in range(len(centres)))
             inertia = sum(of[2] for of in sums[s].values())
-            stays = tuple(moved) == centres
+            way = sum((x - y) * (x - y) for new, old in zip(moved, centres) for x, y in zip(new, old))
+            stays = way <= tol * UNIT**2
             found[s] = Start(centres, sizes, inertia, done, stays)
             if not stays and done < max_iter:
                 found[s] = replace(found[s], centres=tuple(moved))
@@ -172,10 +198,11 @@ def fit(
     key: str,
     n_clusters: int = 3,
     random_state: int = 42,
-    n_starts: int = 10,
+    n_starts: int = 4,
     max_iter: int = 300,
+    tol: float = 1e-4,
 ) -> KMeansFit:
-    """k-means of a stored table over scaled ``columns``; ``key`` tells the rows apart.
+    """k-means over scaled ``columns``; ``key`` tells the rows apart. The points are stored once.
 
     Rows with a null or NaN in a column take no part. Rows of equal key race alike, and of
     equal races the lower point wins. An empty table gives no centres. Scaled values may
@@ -183,6 +210,10 @@ def fit(
     """
     point = [f"_p{i}" for i in range(len(columns))]
     units = [f"{_unit(c)} as {p}" for c, p in zip(columns, point)]
-    points = df.selectExpr(f"cast({sql.name(key)} as string) as _key", *units).dropna(subset=point)
+    spark = df.sparkSession
+    path = staged_path(spark, "points")
+    points = stage(df.selectExpr(f"cast({sql.name(key)} as string) as _key", *units).dropna(subset=point), path=path)
     starts = draw_starts(points, point, n_clusters, n_starts, random_state)
-    return KMeansFit(tuple(columns), tuple(settle(points, point, starts, max_iter)))
+    settled = settle(points, point, starts, max_iter, tol)
+    drop_staged(spark, path)
+    return KMeansFit(tuple(columns), tuple(settled))

@@ -67,7 +67,7 @@ def fit_kmeans(
     n_clusters: int = 3,
     random_state: int = 42,
     customer_id_col: str = CUSTOMER_ID,
-    n_starts: int = 10,
+    n_starts: int = 4,
 ) -> kmeans.KMeansFit:
     return kmeans.fit(scaled, SCALED, customer_id_col, n_clusters, random_state, n_starts)
 

@@ -123,7 +123,7 @@ cte("clustered", f"""SELECT CustomerId, Recency, Frequency, Monetary,
            WHEN {_distance[1]} <= {_distance[2]} THEN 1 ELSE 2 END AS INTEGER) AS Cluster
     FROM scaled""", "scaled")
 _SCALED = ("Recency", "Frequency", "Monetary")
-N_CLUSTERS, N_STARTS, UNIT = 3, 10, 1_000_000
+N_CLUSTERS, N_STARTS, UNIT, TOLERANCE = 3, 4, 1_000_000, 1e-4
 
 
 def _apart(point: str, centre: str) -> str:
@@ -145,18 +145,19 @@ for _draw in range(N_CLUSTERS):
               FROM points p, range({N_STARTS}) s(start)) WHERE weight > 0)
       WHERE place = 1""", "points", *([f"drawn{_draw - 1}"] if _draw else []))
 # Steps of all starts together until no centre moves. No centre of these tables loses all rows.
-_moved = ", ".join(f"floor(CAST(sum(CAST(p{i} AS HUGEINT)) AS DOUBLE) / count(*) + 0.5) AS p{i}" for i in range(3))
+_mean = ", ".join(f"floor(CAST(sum(CAST(p{i} AS HUGEINT)) AS DOUBLE) / count(*) + 0.5) AS p{i}" for i in range(3))
+_kept = ", ".join(f"CASE WHEN way > {TOLERANCE * UNIT**2} THEN p{i} ELSE o{i} END AS p{i}" for i in range(3))
+_old = ", ".join(f"any_value(o{i}) AS o{i}" for i in range(3))
 cte("settled", f"""WITH RECURSIVE steps(step, start, k, p0, p1, p2, n, inertia, moves) AS (
       SELECT 0, start, k, p0, p1, p2, CAST(0 AS BIGINT), CAST(0 AS HUGEINT), true FROM drawn{N_CLUSTERS - 1}
       UNION ALL
-      SELECT step, start, k, p0, p1, p2, n, inertia,
-        bool_or(p0 <> o0 OR p1 <> o1 OR p2 <> o2) OVER () AS moves
-      FROM (SELECT step + 1 AS step, start, k, {_moved}, count(*) AS n,
-              sum(CAST(floor(d) AS HUGEINT)) AS inertia, any_value(o0) AS o0, any_value(o1) AS o1, any_value(o2) AS o2
+      SELECT step, start, k, {_kept}, n, inertia, bool_or(way > {TOLERANCE * UNIT**2}) OVER () AS moves
+      FROM (SELECT *, sum((p0 - o0) * (p0 - o0) + (p1 - o1) * (p1 - o1) + (p2 - o2) * (p2 - o2)) OVER (PARTITION BY start) AS way
+        FROM (SELECT step + 1 AS step, start, k, {_mean}, count(*) AS n, sum(CAST(floor(d) AS HUGEINT)) AS inertia, {_old}
             FROM (SELECT c.step, c.start, c.k, c.p0 AS o0, c.p1 AS o1, c.p2 AS o2, p.p0, p.p1, p.p2, {_apart('p', 'c')} AS d,
                     row_number() OVER (PARTITION BY c.start, p.CustomerId ORDER BY {_apart('p', 'c')}, c.k) AS place
                   FROM points p, steps c WHERE c.moves AND c.step < 300)
-            WHERE place = 1 GROUP BY step, start, k))
+            WHERE place = 1 GROUP BY step, start, k)))
     SELECT * FROM steps WHERE step = (SELECT max(step) FROM steps)""", "points", f"drawn{N_CLUSTERS - 1}")
 cte("best_start", """SELECT start FROM settled GROUP BY start ORDER BY sum(inertia), start LIMIT 1""", "settled")
 cte("kmeans", f"""SELECT CustomerId, k AS Cluster FROM (
