@@ -166,6 +166,17 @@ def canonical_turns(
     return df.mapInArrow(run, schema)
 
 
+def unmapped(df: DataFrame, turns: str = "turns") -> DataFrame:
+    """Records that no mapping took, as (fingerprint, n_records); a null fingerprint stands for
+    records that are null or no JSON object. ``read_back`` leaves them out, so a job that must
+    keep all its records asks for none here."""
+    return (
+        df.filter(F.col(quoted(turns)).isNull())
+        .groupBy(F.col(quoted(f"{turns}_fingerprint")).alias("fingerprint"))
+        .agg(F.count(F.lit(1)).alias("n_records"))
+    )
+
+
 def format_turns(turns: list[tuple[str, str]]) -> str:
     return "".join(f"{TURN}{escape(r)}{TEXT}{escape(t)}{END}" for r, t in turns)
 

@@ -107,7 +107,7 @@ def _control_conversation(spark: SparkSession) -> DataFrame:
 
 @query
 def op3_chat_formatting(spark, sf_dir):
-    """Turns of ``conversations`` as JSON records of six layouts, dealt by a hash."""
+    """Turns of ``conversations`` as JSON records of five layouts, dealt by a hash."""
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
     messages = F.struct(F.array(F.struct(role.alias("role"), text.alias("content"))).alias("messages"))

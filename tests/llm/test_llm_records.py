@@ -56,6 +56,9 @@ def test_layouts(spark):
     }
     prints = {r.name: r.turns_fingerprint for r in out.collect()}
     assert prints["instruction"] == prints["no input"] and prints["unknown"] and prints["null"] is None
+    left = {r.fingerprint: r.n_records for r in chat.unmapped(out).collect()}
+    assert left == {None: 3, prints["unknown"]: 1}
+    assert chat.unmapped(out.filter("name = 'pair'")).count() == 0
     shaped = {r.name: r for r in chat.formatted(out).collect()}
     mask = shaped["pair"].formatted_loss
     assert [shaped["pair"].formatted[m.start : m.end] for m in mask] == ["c"]
@@ -85,6 +88,37 @@ def folder(spark, tmp_path_factory):
     return str(out), turns, pages
 
 
+def test_every_mapping_takes_its_own_records(spark):
+    """Two records of each of the eleven layouts, made from the paths of its mapping."""
+    said = {}
+    for n, m in enumerate(chat.MAPPINGS):
+        record: dict = {}
+        for i, path in enumerate(m.paths):
+            parts = path.replace("[]", "").split(".")
+            if "[]" in path:
+                items = record.setdefault(parts[0], [{}, {}, {}])
+                for j, item in enumerate(items):
+                    item[parts[1]] = f"{n}.{i}.{j} [/INST]"
+            else:
+                at = record
+                for part in parts[:-1]:
+                    at = at.setdefault(part, {})
+                at[parts[-1]] = f"{n}.{i} <|end|>"
+        said[m.name] = record
+    assert len({m.fingerprint for m in chat.MAPPINGS}) == len(chat.MAPPINGS) == 11
+    rows = [(k, t, json.dumps(v)) for k, v in said.items() for t in (0, 1)]
+    df = spark.createDataFrame(rows, "name string, turn int, record string")
+    out = chat.formatted(chat.canonical_turns(df))
+    assert chat.unmapped(out).count() == 0
+    found = {r.name: r for r in chat.read_back(out, "name", ["turn"]).collect()}
+    assert set(found) == set(said)
+    for m in chat.MAPPINGS:
+        turns = m.turns(said[m.name])
+        assert len(turns) == (3 if m.each else len(m.fixed))
+        r = found[m.name]
+        assert (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) == brute.conversation(turns * 2)
+
+
 def test_chat_query(spark, folder):
     from riskframe.llm.queries import all_queries
 

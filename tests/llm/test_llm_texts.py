@@ -325,6 +325,36 @@ def test_sharding(spark):
     assert sharding.shard_rows(fixtures.none(spark), 7).count() == 0
 
 
+def plain_jump(key, shards):
+    """The last position below ``shards`` on the key's way; hashes by the public library."""
+    import xxhash
+
+    def fraction(i):
+        h = 42 if key is None else xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), 42)
+        for part in (i, sharding.SEED):
+            h = xxhash.xxh64_intdigest(part.to_bytes(4, "little"), h)
+        return ((h >> 12) + 1) / 2**52
+
+    at, ahead, i = -1, 0, 0
+    while ahead < shards:
+        i += 1
+        at, ahead = ahead, int((ahead + 1) / fraction(i))
+    return at
+
+
+def test_sharding_equals_plain_jumps(spark):
+    """Shards, grown shards and slots of ids of either sign, null and repeated ones."""
+    keys = [None, 0, -1, 2**62, -(2**62), *range(1000, 1600), *[77] * 300]
+    df = spark.createDataFrame([(k, f"t{i % 3}") for i, k in enumerate(keys)], "doc_id long, text string")
+    for shards in (1, 2, 40):
+        rows = sharding.shard_rows(df.repartition(5), shards).collect()
+        assert sorted((str(r.key), r.shard, r.grown_shard) for r in rows) == sorted(
+            (str(k), plain_jump(k, shards), plain_jump(k, shards + 1)) for k in keys
+        )
+        again = sharding.shard_rows(df.repartition(2), shards).collect()
+        assert Counter(map(tuple, rows)) == Counter(map(tuple, again))  # slots as well
+
+
 def test_jump_moves_only_its_share(spark):
     keys = spark.range(20_000).select(
         sharding.jump(F.col("id"), 10).alias("a"), sharding.jump(F.col("id"), 11).alias("b"), sharding.jump(F.col("id"), 1).alias("c")
