@@ -64,6 +64,20 @@ def test_absolute_penalty_is_optimal(train):
     assert b[3] == 0 and (penalized.fit_many(train, [penalized.Problem(1e-6, "l1")], "features", LABEL, "weight")[0] == 0).all()
 
 
+def test_absolute_penalty_of_correlated_columns_takes_few_sweeps(monkeypatch):
+    """Sweeps alone need thousands here; the point they lead to is solved for once its signs are found."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(500, 1)) + 0.01 * rng.normal(size=(500, 6))
+    curvature, slope, swept = 100 * x.T @ x, 100 * x.T @ rng.normal(size=500), []
+    soft = penalized._soft
+    monkeypatch.setattr(penalized, "_soft", lambda *a: swept.append(1) or soft(*a))
+    b = rng.normal(size=6)
+    out = b + penalized._step(penalized.Problem(1.0, "l1"), b, slope, curvature)
+    pull = slope + curvature @ (out - b)
+    assert np.abs(pull[out != 0] + np.sign(out[out != 0])).max() < 1e-6 and np.abs(pull[out == 0]).max(initial=0) <= 1 + 1e-6
+    assert len(swept) <= 6 * 1000
+
+
 def test_model_scores_and_is_stored(spark, train, tmp_path):
     x, y, w, _ = made()
     model = C.LOGISTIC.estimator().fit(train)
