@@ -31,6 +31,8 @@ GRAM = 5
 SPAN = 6
 WINDOW = GRAM + SPAN - 1
 BLOOM_BITS = 1 << 22
+# Working arrays of a block take some fifty times its bytes, and stay with the worker.
+BLOCK_BYTES = 1 << 17
 
 # Digits, letters after lower-casing, and everything beyond ASCII.
 WORD = np.zeros(256, bool)
@@ -81,7 +83,7 @@ def item_table(items: DataFrame, item_id: str = "item_id", text: str = "text") -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = [[], [], []]
-            for block in W.blocks(batch.column(2)):
+            for block in W.blocks(batch.column(2), BLOCK_BYTES):
                 hashes, row = block_words(block)
                 head = _heads(row, block.n)
                 for i in range(block.n):
@@ -121,7 +123,7 @@ def _document_seeds(docs: DataFrame, bloom, short: list[int]) -> DataFrame:
         sieve = bloom.value
         for batch in batches:
             n_words, per_row, fs, ats, kept = [], [], [], [], []
-            for block in W.blocks(batch.column(2)):
+            for block in W.blocks(batch.column(2), BLOCK_BYTES):
                 hashes, row = block_words(block)
                 head = _heads(row, block.n)
                 f, at = fingerprints(hashes, row, short)

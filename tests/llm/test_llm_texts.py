@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from riskframe.llm import byte_bpe, decontamination, near_duplicates, quality_rules, secrets, sharding
+from riskframe.llm import words as W
 from riskframe.llm.queries import encoded_digests
 
 
@@ -390,3 +391,19 @@ def test_stitching():
         pieces = byte_bpe.stitch(chunks, step)
         assert "".join(pieces) == text
         assert all(p[0] == " " for p in pieces[1:]) and (len(pieces) > 5) == blanks
+
+
+def test_working_arrays_of_decontamination_stay_small():
+    """Texts of 8 MB in one batch are fingerprinted in blocks whose arrays take some megabytes."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    column = pa.array([b"some words of a text that goes on " * 60] * 4000, pa.binary())
+    tracemalloc.start()
+    try:
+        for block in W.blocks(column, decontamination.BLOCK_BYTES):
+            decontamination.fingerprints(*decontamination.block_words(block))
+        assert tracemalloc.get_traced_memory()[1] < 32e6
+    finally:
+        tracemalloc.stop()
