@@ -56,6 +56,10 @@ class Ensemble:
         total = np.cumsum(self.leaf_values(x, least_rows), axis=1)
         return np.stack([total[:, n - 1] / n for n in sizes], axis=1)
 
+    def margins(self, x: np.ndarray) -> np.ndarray:
+        """The weighted sum over all trees."""
+        return self.leaf_values(x) @ self.weights
+
     def boosted_scores(self, x: np.ndarray, sizes: Sequence[int]) -> np.ndarray:
         """(row, size): the probability by the first trees."""
         total = np.cumsum(self.leaf_values(x) * self.weights, axis=1)
