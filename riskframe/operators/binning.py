@@ -70,10 +70,14 @@ def fit_edges(
 
 
 def choose_by_bin(column: str, edges: Sequence[float], results: Sequence, missing) -> str:
-    """SQL: ``results[i]`` for a value in bin i + 1, ``missing`` for none of the bins."""
+    """SQL: ``results[i]`` for a value in bin i + 1, ``missing`` for none of the bins.
+
+    Spark orders NaN above all numbers, so it is in none of the bins without a test of its own. One
+    such test in every comparison makes the generated methods too long for the JVM to compile.
+    """
     if len(edges) < 2:
         return sql.literal(missing)
-    value, otherwise = sql.as_double(column), sql.literal(missing)
+    value, otherwise = f"cast({sql.name(column)} as double)", sql.literal(missing)
     chosen = [f"when {value} < {sql.number(edges[0])} then {otherwise}"]
     chosen += [
         f"when {value} <= {sql.number(edge)} then {sql.literal(result)}"

@@ -99,3 +99,20 @@ def test_frequent_unseen_category(spark, monkeypatch):
     df = spark.createDataFrame([("new" if i % 2 else "abc"[i % 3],) for i in range(200)], "c string")
     found = fitted.transform(df.withColumn("was", df.c)).collect()
     assert len(found) == 200 and all(r.c == by_value.get(r.was, 9.0) for r in found)
+
+
+def test_the_encoding_is_compiled(spark):
+    """The JVM runs methods of more than 8000 bytes uncompiled; nine columns of ten bins stay below."""
+    columns = [f"c{j}" for j in range(9)]
+    df = spark.range(1000).selectExpr("id", f"int(id % 3 = 0) as is_high_risk", *[f"double((id * {7 + 2 * j}) % 997) as {c}" for j, c in enumerate(columns)])
+    encoded = WoeEncoder(inputCols=columns).fit(df).transform(df)
+    parts = encoded._jdf.queryExecution().debug().codegenToSeq()
+    assert parts.size() and max(parts.apply(i)._3().maxMethodCodeSize() for i in range(parts.size())) < 8000
+
+
+def test_nan_is_in_no_bin(spark):
+    """NaN and null get the value of missing numbers, infinities lie outside the edges or in the bin they bound."""
+    edges = [0.0, 1.0, float("inf")]
+    df = spark.createDataFrame([(0, 0.5), (1, 7.0), (2, float("nan")), (3, None), (4, -1.0), (5, float("inf"))], "id int, x double")
+    found = df.selectExpr("id", f"{binning.choose_by_bin('x', edges, [1, 2], -1)} as b").orderBy("id").collect()
+    assert [r.b for r in found] == [1, 2, -1, -1, -1, 2]
