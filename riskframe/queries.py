@@ -55,7 +55,7 @@ NUDGE = 1e-9
 CENTROIDS = {0: (2.0, -1.0, -0.8), 1: (-0.2, -0.4, -0.4), 2: (-0.3, 1.0, 1.0)}
 
 # The search of boosted trees as a query: 4 points of the 54 of the library's grid, over all
-# five folds. Boosting is a chain of small jobs; README.md has the time of the whole grid.
+# five folds. Each round costs a job a level; README.md has the times of this search.
 GBT_QUERY_GRID = {
     "n_estimators": [50],
     "learning_rate": [0.1, 0.2],
