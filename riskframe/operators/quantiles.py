@@ -11,9 +11,11 @@ shuffles the rows; what reaches the driver is a few numbers per quantile.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +40,7 @@ class _Bracket:
     ranks: set[int] = field(default_factory=set)
     below: int = 0  # rows before the first one strictly inside
     inside: int = 0
-    distinct: int = 0
+    distinct: int = 0  # at most, or about
 
     def holds(self, value: str | None = None) -> str:
         value = value or sql.name(self.column)
@@ -102,29 +104,57 @@ def _sketch_brackets(df, columns, probabilities, accuracy):
     return counts, brackets
 
 
+def _cells(df: DataFrame, cuts: dict[str, list[float]]) -> dict[str, np.ndarray]:
+    """Rows of each column by its sorted cuts, in one pass: below the first, on it, between the
+    first two, on the second and so on, so place 2 i + 1 counts the rows on cut i.
+
+    Each task counts in numpy, Spark adds up.
+    """
+    columns = [np.array(c) for c in cuts.values()]
+    ends = np.cumsum([0] + [2 * len(c) + 1 for c in columns])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(ends[-1], dtype=np.int64)
+        for batch in batches:
+            for i, c in enumerate(columns):
+                values = batch.column(i).drop_null().to_numpy()
+                place = np.searchsorted(c, values, "left") + np.searchsorted(c, values, "right")
+                total[ends[i] : ends[i + 1]] += np.bincount(place, minlength=2 * len(c) + 1)
+        yield pa.RecordBatch.from_arrays([pa.array([total], pa.list_(pa.int64()))], ["counts"])
+
+    counted = df.select(*map(sql.name, cuts)).mapInArrow(run, "counts array<bigint>")
+    summed = counted.select(F.posexplode("counts").alias("at", "n")).groupBy("at").agg(F.sum("n"))
+    found = np.zeros(ends[-1], dtype=np.int64)
+    for at, n in summed.collect():
+        found[at] = n
+    return {c: found[ends[i] : ends[i + 1]] for i, c in enumerate(cuts)}
+
+
 def _locate(
-    df: DataFrame, brackets: list[_Bracket], found: dict[tuple[str, int], float]
+    df: DataFrame, brackets: list[_Bracket], found: dict[tuple[str, int], float], max_ranked: int
 ) -> tuple[list[_Bracket], list[_Bracket]]:
     """Count the brackets exactly, all in one pass.
 
     Ranks that fall on an end are found. Returns the brackets with the ranks strictly
-    inside, and new ones to the left or right for ranks the sketch missed.
+    inside, and new ones to the left or right for ranks the sketch missed. Distinct values
+    are estimated, in a further pass, only where a bracket has more than ``max_ranked`` rows.
     """
-    row = df.selectExpr(
-        *[
-            f"struct(count_if({v} < {lo}) as below, count_if({v} = {lo} and not {b.holds()}) as at_lo, "
-            f"count_if({b.holds()}) as inside, "
-            f"count_if({v} = {hi} and {hi} > {lo} and not {b.holds()}) as at_hi, "
-            f"approx_count_distinct(if({b.holds()}, {v}, null)) as n) as b{i}"
-            for i, b in enumerate(brackets)
-            for v, lo, hi in ((sql.name(b.column), sql.number(b.lo), sql.number(b.hi)),)
-        ]
-    ).first()
+    ends: dict[str, set[float]] = {}
+    for b in brackets:
+        ends.setdefault(b.column, set()).update((b.lo, b.hi))
+    cuts = {c: sorted(xs) for c, xs in ends.items()}
+    cells = _cells(df, cuts)
     kept, missed = [], []
-    for b, counts in zip(brackets, row):
-        starts = [counts["below"]]
-        for part in ("at_lo", "inside", "at_hi"):
-            starts.append(starts[-1] + counts[part])
+    for b in brackets:
+        upto = np.concatenate(([0], np.cumsum(cells[b.column]))).tolist()
+        place = {x: 2 * i + 1 for i, x in enumerate(cuts[b.column])}
+        # rows below lo, with those on it, with those inside, with those on hi
+        starts = [upto[place[x] + i] for x in (b.lo, b.hi) for i in (0, 1)]
+        if b.lo == b.hi:
+            starts[2] = starts[3]
+        else:  # an open end takes infinite values in
+            starts[1] = 0 if b.lo == -math.inf else starts[1]
+            starts[2] = upto[-1] if b.hi == math.inf else starts[2]
         left = {r for r in b.ranks if r < starts[0]}
         right = {r for r in b.ranks if r >= starts[3]}
         missed += [_Bracket(b.column, -math.inf, b.lo, left)] if left else []
@@ -133,9 +163,18 @@ def _locate(
         found.update({(b.column, r): b.hi for r in b.ranks if starts[2] <= r < starts[3]})
         within = {r for r in b.ranks if starts[1] <= r < starts[2]}
         if within:
-            kept.append(
-                _Bracket(b.column, b.lo, b.hi, within, starts[1], counts["inside"], counts["n"])
-            )
+            inside = starts[2] - starts[1]
+            kept.append(_Bracket(b.column, b.lo, b.hi, within, starts[1], inside, inside))
+    wide = [b for b in kept if b.inside > max_ranked]
+    if wide:
+        distinct = df.selectExpr(
+            *[
+                f"approx_count_distinct(if({b.holds()}, {sql.name(b.column)}, null)) as n{i}"
+                for i, b in enumerate(wide)
+            ]
+        ).first()
+        for b, n in zip(wide, distinct):
+            b.distinct = n
     return kept, missed
 
 
@@ -231,7 +270,7 @@ def exact_quantiles(
     if pending:  # read several times from here on
         df = stage(df, "quantiles")
     while pending:
-        kept, missed = _locate(df, pending, found)
+        kept, missed = _locate(df, pending, found, max_ranked)
         small_enough = [b for b in kept if b.distinct <= max_ranked]
         ready += small_enough
         too_big = [b for b in kept if b not in small_enough]

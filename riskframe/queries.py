@@ -63,6 +63,9 @@ GBT_QUERY_GRID = {
     "subsample": [0.8, 1.0],
 }
 
+# Requests are made of so many events by one task: a task's time then is the same at every size.
+EVENTS_PER_TASK = 25_000
+
 _registry: dict[str, Query] = {}
 
 
@@ -118,7 +121,8 @@ def model_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event transactions as JSON requests; some cut short, emptied, or missing a field."""
-    packed = to_payloads(tx_events(spark, sf_dir))
+    events = tx_events(spark, sf_dir)
+    packed = to_payloads(events, tasks=max(1, -(-events.count() // EVENTS_PER_TASK)))
     parts = F.split("request_id", "-")
     number = parts[0].cast("bigint") + parts[1].cast("bigint")
     body = F.col("payload")
@@ -632,8 +636,11 @@ def best_run(spark, sf_dir):
 
 
 def _encoded(spark: SparkSession, sf_dir: str):
-    """Encoded features with the label, stored, and the encoding."""
-    table = features_label(spark, sf_dir)
+    """Encoded features with the label, stored, and the encoding.
+
+    Features and label are stored too: the fit goes over them several times.
+    """
+    table = stage(features_label(spark, sf_dir), "labelled")
     encoding = fit_encoding(table)
     return stage(encoding.transform(table), "encoded"), encoding
 

@@ -72,11 +72,14 @@ def rejected_payloads(
     )
 
 
-def to_payloads(transactions: DataFrame, per_request: int = 256) -> DataFrame:
+def to_payloads(transactions: DataFrame, per_request: int = 256, tasks: int | None = None) -> DataFrame:
     """Pack transactions into requests, for tests and demonstrations.
 
     A request holds transactions of one customer out of a run of ``per_request``
     transaction numbers, so no group grows beyond that however busy a customer is.
+    ``tasks`` sets the partitions that requests are packed in, and by which what follows
+    reads them: parsing costs far more than the bytes it reads, by which Spark would merge
+    partitions into a few long tasks. None leaves that to Spark.
     """
     chunk = F.floor(F.col("TransactionId").cast("bigint") / per_request)
     body = transactions.withColumn(
@@ -85,5 +88,7 @@ def to_payloads(transactions: DataFrame, per_request: int = 256) -> DataFrame:
         F.concat_ws("-", F.col(CUSTOMER_ID), chunk.cast("string")).alias("request_id"),
         F.struct(*[F.col(f.name) for f in REQUEST_SCHEMA]).alias("_tx"),
     )
+    if tasks is not None:
+        body = body.repartition(tasks, "request_id")
     packed = F.to_json(F.array_sort(F.collect_list("_tx")))
     return body.groupBy("request_id").agg(packed.alias("payload"))

@@ -171,6 +171,16 @@ def test_packed_payloads_stay_bounded(spark):
     assert sum(sizes) == 1500 and max(sizes) <= 100
 
 
+def test_requests_are_packed_in_tasks_by_rows(spark, monkeypatch):
+    """Partitions of requests follow the number of events, and Spark does not merge them by their few bytes."""
+    monkeypatch.setattr(queries, "EVENTS_PER_TASK", 100)
+    made = queries.requests(spark, SMALL).withColumn("part", F.spark_partition_id())
+    n_events = spark.read.parquet(f"{SMALL}/events.parquet").count()
+    parts = made.groupBy("request_id").agg(F.count("*").alias("n"), F.min("part").alias("part")).collect()
+    assert all(r.n == 1 for r in parts)
+    assert n_events // 100 * 0.8 < len({r.part for r in parts}) <= -(-n_events // 100)
+
+
 def test_stream_equals_batch(spark, built, trained, tmp_path):
     classifier = runs.load_model(spark, trained[0], "risk_classifier", version=1)
     requests = spark.createDataFrame(PAYLOADS[:4], "request_id string, payload string")

@@ -1,7 +1,7 @@
 import numpy as np
 import pytest
 
-from riskframe.operators.quantiles import approximate_quantiles, exact_quantiles, quantile_table
+from riskframe.operators.quantiles import _cells, approximate_quantiles, exact_quantiles, quantile_table
 
 PROBABILITIES = [0.0, 0.1, 0.25, 0.3, 0.5, 0.7, 0.9, 1.0]
 
@@ -57,3 +57,21 @@ def test_nan_is_missing(spark, max_ranked):
     half = (len(kept) - 1) / 2
     middle = (kept[int(half)] + kept[int(half + 0.5)]) / 2
     assert found == pytest.approx([kept[0], middle, kept[-1]])
+
+
+def test_rows_by_cuts(spark):
+    """Every bracket is counted by one pass that keeps no sketches; nulls count nowhere."""
+    inf = float("inf")
+    values = [None, -inf, -3.0, -0.0, 0.0, 0.5, 1.0, 1.0, 2.0, inf, inf]
+    df = spark.createDataFrame([(v, None) for v in values], "`x` double, `a b` double").repartition(3)
+    found = _cells(df, {"x": [0.0, 1.0, inf], "a b": [5.0]})
+    assert found["x"].tolist() == [2, 2, 1, 2, 1, 2, 0] and found["a b"].tolist() == [0, 0, 0]
+
+
+@pytest.mark.parametrize("low,finite,high", [(400, 1001, 600), (1500, 1, 500), (0, 1, 2000), (2000, 1, 0)])
+def test_infinite_values_are_ranked(spark, low, finite, high):
+    values = [float("-inf")] * low + [i * 37 % 1009 / 8 for i in range(finite)] + [float("inf")] * high
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(4)
+    found = exact_quantiles(df, ["x"], [0, 0.1, 0.25, 0.5, 0.7, 0.9, 1], accuracy=50, max_ranked=40)["x"]
+    ranked = sorted(values)
+    assert found == [ranked[len(values) // 20 * k] for k in (0, 2, 5, 10, 14, 18)] + [ranked[-1]]
