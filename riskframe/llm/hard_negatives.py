@@ -12,8 +12,10 @@ the node of the highest bound first, skips nodes that lie outside the asked wind
 cannot better what is found, and works out the scores of leaves exactly.
 
 Anchors are dealt into chunks; every chunk meets every block (a stated query set against
-all rows, in blocks), first for the positives, then for the windows they set. A meeting
-returns its first rows of each question, and a ranking over those gives the answer.
+all rows, in blocks), first for the positives, then for the windows they set. A task has a
+run of blocks and a span of chunks, and neither is broadcast. An anchor goes through the
+trees of a run in turn, what it found being the least that the next tree has to better. A
+meeting returns its first rows of each question, and a ranking over those gives the answer.
 
 Cases: rows with a null id, label or vector, or with a null or non-finite component, take
 no part; of rows that repeat an id, the one with the least (label, vector) does. Vectors of
@@ -26,6 +28,7 @@ error. An empty table gives an empty result. Extra columns are not read.
 from __future__ import annotations
 
 import heapq
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +40,8 @@ from riskframe.llm.frames import quoted, stored
 
 BLOCK_ROWS = 4096
 CHUNK_ROWS = 256
+SPAN_CHUNKS, RUN_BLOCKS = 64, 8  # at most, that a task has at once
+GROUPS = 4  # of tasks, at least, for each core
 LEAF = 24
 SHRINK = 0.25  # a level's scale, of the one above
 POSITIVES = 5
@@ -201,61 +206,120 @@ def _net(points: np.ndarray, scale: float) -> list[np.ndarray]:
     return parts
 
 
-_TREE = "block int, ids binary, labels binary, x binary, width int, begin binary, end binary, radius binary, first binary, last binary"
+_TREE = "block int, ids binary, labels binary, x binary, width int, kind string, begin binary, end binary, radius binary, first binary, last binary"
 _PARTS = ("begin", "end", "radius", "first", "last")
 
 
+def _packed(x: np.ndarray) -> np.ndarray:
+    """Whole numbers in the smallest type that holds them."""
+    most = np.abs(x).max(initial=0.0)
+    return x.astype(np.int16 if most < 2**15 else np.int32 if most < 2**31 else np.float64)
+
+
 def trees(rows: DataFrame, n_blocks: int) -> DataFrame:
     """A cover tree per block of rows, its arrays as bytes."""
 
     def build(group: pa.Table) -> pa.Table:
         ids, labels = (group.column(c).to_numpy() for c in ("vec_id", "label"))
-        x = matrix(group.column("vector"))
-        tree = CoverTree.build(ids, labels, x)
-        parts = {p: [getattr(tree, p).tobytes()] for p in ("ids", "labels", "x", *_PARTS)}
-        return pa.table({"block": pa.array(group.column("block")[:1].to_pylist(), pa.int32()), **parts, "width": pa.array([x.shape[1]], pa.int32())}).select(
-            [f.split(" ")[0] for f in _TREE.split(", ")]
-        )
+        tree = CoverTree.build(ids, labels, matrix(group.column("vector")))
+        x = _packed(tree.x)
+        parts = {p: [getattr(tree, p).tobytes()] for p in ("ids", "labels", *_PARTS)}
+        own = {"block": pa.array(group.column("block")[:1].to_pylist(), pa.int32()), "x": [x.tobytes()], "width": pa.array([x.shape[1]], pa.int32()), "kind": [x.dtype.name]}
+        return pa.table({**parts, **own}).select([f.split(" ")[0] for f in _TREE.split(", ")])
 
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("vec_id"), F.lit(n_blocks)).cast("int"))
-    return dealt.groupBy("block").applyInArrow(build, _TREE)
+    return dealt.repartition(n_blocks, "block").groupBy("block").applyInArrow(build, _TREE)
 
 
 def _tree(row: dict) -> CoverTree:
     ids, labels = (np.frombuffer(row[c], np.int64) for c in ("ids", "labels"))
-    x = np.frombuffer(row["x"], np.float64).reshape(len(ids), row["width"])
+    x = np.frombuffer(row["x"], row["kind"]).astype(np.float64).reshape(len(ids), row["width"])
     begin, end, first, last = (np.frombuffer(row[c], np.int64) for c in ("begin", "end", "first", "last"))
     return CoverTree(ids, labels, x, begin, end, np.frombuffer(row["radius"], np.float64), first, last)
 
 
-def _meetings(anchors: DataFrame, forest: DataFrame, n_blocks: int, ask, schema: str) -> DataFrame:
-    """``ask(tree, anchors of a chunk)`` for every chunk of anchors and every tree."""
+@dataclass(frozen=True)
+class Layout:
+    """How many blocks and chunks there are, and how many of them a task has at once."""
+
+    blocks: int
+    chunks: int
+    run: int
+    span: int
+
+    @classmethod
+    def of(cls, n_blocks: int, n_chunks: int, cores: int) -> Layout:
+        """Few copies of trees and anchors, yet enough tasks and bounded ones."""
+        run = max(1, min(RUN_BLOCKS, int(n_blocks / (GROUPS * cores))))
+        runs = -(-n_blocks // run)
+        spans = min(n_chunks, max(-(-n_chunks // SPAN_CHUNKS), math.ceil(GROUPS * cores / runs)))
+        return cls(n_blocks, n_chunks, run, -(-n_chunks // spans))
+
+    @property
+    def runs(self) -> int:
+        return -(-self.blocks // self.run)
+
+    @property
+    def spans(self) -> int:
+        return -(-self.chunks // self.span)
+
+
+def _meetings(anchors: DataFrame, forest: DataFrame, layout: Layout, ask, schema: str) -> DataFrame:
+    """``ask(trees of a run, anchors of a chunk)`` for every chunk of anchors and every run of trees.
+
+    Copies of anchors and trees only pass through a shuffle: the plan holds no join that could be broadcast.
+    """
     chunks = anchors.groupBy("chunk").agg(F.collect_list(F.struct(*[c for c in anchors.columns if c != "chunk"])).alias("anchors"))
-    dealt = chunks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    both = dealt.join(forest, "block")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    span, run = (F.floor(F.col(c) / F.lit(n)).cast("int") for c, n in (("chunk", layout.span), ("block", layout.run)))
+    tasks = layout.runs * layout.spans
+    asked = chunks.select(every(layout.runs).alias("run"), span.alias("span"), "anchors").repartition(tasks, "run", "span")
+    held = forest.select(run.alias("run"), every(layout.spans).alias("span"), *forest.columns).repartition(tasks, "run", "span")
+    kinds = [f.split(" ") for f in schema.split(", ")]
+    none = pa.table({n: pa.array([], pa.int64()) for n, _ in kinds})
+
+    def meet(mine: pa.Table, theirs: pa.Table) -> pa.Table:
+        if not mine.num_rows or not theirs.num_rows:
+            return none
+        found = [_tree(row) for row in theirs.drop_columns(["run", "span"]).to_pylist()]
+        return pa.concat_tables([none, *[ask(found, a.values) for a in mine.column("anchors")]])
 
-    def meet(group: pa.Table) -> pa.Table:
-        row = group.select([c for c in group.column_names if c != "anchors"]).to_pylist()[0]
-        asked = group.column("anchors").combine_chunks().flatten()
-        return ask(_tree(row), asked)
+    return asked.groupBy("run", "span").cogroup(held.groupBy("run", "span")).applyInArrow(meet, schema)
 
-    return both.groupBy("block", "chunk").applyInArrow(meet, schema)
 
+def _first_of(forest: list[CoverTree], q: np.ndarray, k: int, allowed, windows: list[tuple[float, float]]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each window: ids and scores of the rows among which its first k are; ``allowed(tree)`` says which take part.
 
-def positives(anchors: DataFrame, forest: DataFrame, n_blocks: int, k: int) -> DataFrame:
+    Once k rows are found, only scores as high as the k-th of them are asked of the next tree.
+    """
+    ids, found = ([np.zeros(0, t) for _ in windows] for t in (np.int64, np.float64))
+    least = [low for low, _ in windows]
+    for tree in forest:
+        may = allowed(tree)
+        if not may.any():
+            continue
+        for i, place in enumerate(tree.search(q, k, may, [(low, high) for low, (_, high) in zip(least, windows)])):
+            ids[i], found[i] = np.concatenate((ids[i], tree.ids[place])), np.concatenate((found[i], scores(tree.x[place], q)))
+            if len(ids[i]) >= k:
+                order = np.lexsort((ids[i], -found[i]))[:k]
+                ids[i], found[i] = ids[i][order], found[i][order]
+                least[i] = max(least[i], found[i][-1])
+    return list(zip(ids, found))
+
+
+def positives(anchors: DataFrame, forest: DataFrame, layout: Layout, k: int) -> DataFrame:
     """(anchor_id, positives): each anchor's first k other rows of its label, with their scores."""
 
-    def ask(tree: CoverTree, asked: pa.StructArray) -> pa.Table:
+    def ask(trees: list[CoverTree], asked: pa.StructArray) -> pa.Table:
         out = ([], [], [])
         ids, labels = (asked.field(c).to_numpy() for c in ("vec_id", "label"))
         for anchor, label, q in zip(ids, labels, matrix(asked.field("vector"))):
-            allowed = (tree.labels == label) & (tree.ids != anchor)
-            if allowed.any():
-                (place,) = tree.search(q, k, allowed, [(-np.inf, np.inf)])
-                _put(out, (np.full(len(place), anchor), tree.ids[place], scores(tree.x[place], q).astype(np.int64)))
+            allowed = lambda tree, anchor=anchor, label=label: (tree.labels == label) & (tree.ids != anchor)
+            ((near, score),) = _first_of(trees, q, k, allowed, [(-np.inf, np.inf)])
+            _put(out, (np.full(len(near), anchor), near, score.astype(np.int64)))
         return _taken(out, ("anchor_id", "positive_id", "score"))
 
-    found = _meetings(anchors, forest, n_blocks, ask, "anchor_id long, positive_id long, score long")
+    found = _meetings(anchors, forest, layout, ask, "anchor_id long, positive_id long, score long")
     first = Window.partitionBy("anchor_id").orderBy(F.desc("score"), "positive_id")
     return (
         found.withColumn("place", F.row_number().over(first))
@@ -297,24 +361,25 @@ def hard_negatives(
     asked = rows.filter(anchor)
     n, n_anchors = (x.select("vec_id").count() for x in (rows, asked))
     n_blocks, n_chunks = max(1, -(-n // block_rows)), max(1, -(-n_anchors // chunk_rows))
+    layout = Layout.of(n_blocks, n_chunks, df.sparkSession.sparkContext.defaultParallelism)
     forest = stored(trees(rows, n_blocks), "trees")
     chunk = F.pmod(F.xxhash64("vec_id"), F.lit(n_chunks)).cast("int").alias("chunk")
     anchors = stored(asked.select("vec_id", "label", "vector", chunk), "anchors")
-    near = positives(anchors, forest, n_blocks, n_positives)
-    paired = stored(anchors.join(near.withColumnRenamed("anchor_id", "vec_id"), "vec_id"), "positives")
+    near = positives(anchors, forest, layout, n_positives)
+    paired = stored(anchors.join(near.withColumnRenamed("anchor_id", "vec_id").hint("merge"), "vec_id"), "positives")
 
-    def ask(tree: CoverTree, asked: pa.StructArray) -> pa.Table:
+    def ask(trees: list[CoverTree], asked: pa.StructArray) -> pa.Table:
         out = ([], [], [], [], [])
         ids, labels, pairs = (asked.field(c).to_pylist() for c in ("vec_id", "label", "positives"))
         for anchor_id, own, q, mine in zip(ids, labels, matrix(asked.field("vector")), pairs):
             windows = [(least * p["score"] / 100, most * p["score"] / 100) for p in mine]
-            for p, place in zip(mine, tree.search(q, n_negatives, tree.labels != own, windows)):
-                ends = [np.full(len(place), v) for v in (anchor_id, p["positive_id"], p["score"])]
-                _put(out, (*ends, tree.ids[place], scores(tree.x[place], q).astype(np.int64)))
+            for p, (other, score) in zip(mine, _first_of(trees, q, n_negatives, lambda tree, own=own: tree.labels != own, windows)):
+                ends = [np.full(len(other), v) for v in (anchor_id, p["positive_id"], p["score"])]
+                _put(out, (*ends, other, score.astype(np.int64)))
         return _taken(out, ("anchor_id", "positive_id", "positive_score", "negative_id", "negative_score"))
 
     schema = "anchor_id long, positive_id long, positive_score long, negative_id long, negative_score long"
-    found = _meetings(paired, forest, n_blocks, ask, schema)
+    found = _meetings(paired, forest, layout, ask, schema)
     order = Window.partitionBy("anchor_id", "positive_id").orderBy(F.desc("negative_score"), "negative_id")
     return (
         found.withColumn("rank", F.row_number().over(order))

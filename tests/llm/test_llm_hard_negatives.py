@@ -62,6 +62,36 @@ def test_equals_all_pairs(spark, block_rows, chunk_rows):
     assert sorted(tuple(r) for r in got.collect()) == sorted(want)
 
 
+def test_meetings_are_not_broadcast(spark, monkeypatch):
+    """Copies of anchors for each block, or of trees for each chunk, must not reach the driver."""
+    rows = [(i, [float(i % 13 - 6), float(i % 7), 1.0], i % 3) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    plans, kept = [], H.stored
+    monkeypatch.setattr(H, "stored", lambda df, *a: plans.append(df) or kept(df, *a))
+    found = H.hard_negatives(df, F.col("vec_id") % 5 == 0, F.col("label"), block_rows=30, chunk_rows=5)
+    text = "".join(d._jdf.queryExecution().executedPlan().toString() for d in (*plans, found))
+    assert "Broadcast" not in text and "FlatMapCoGroupsInArrow" in text
+
+
+@pytest.mark.parametrize("blocks, chunks, cores", [(1, 1, 8), (1, 500, 8), (13, 3, 6), (151, 25, 8), (5000, 2000, 12), (3, 1, 64)])
+def test_tasks_are_enough_and_bounded(blocks, chunks, cores):
+    layout = H.Layout.of(blocks, chunks, cores)
+    assert layout.run <= H.RUN_BLOCKS and layout.span <= H.SPAN_CHUNKS
+    assert (layout.runs - 1) * layout.run < blocks <= layout.runs * layout.run
+    assert (layout.spans - 1) * layout.span < chunks <= layout.spans * layout.span
+    assert layout.runs * layout.spans >= min(blocks * chunks, H.GROUPS * cores) / 2
+
+
+def test_runs_of_trees_find_what_single_trees_find(spark, monkeypatch):
+    monkeypatch.setattr(H, "GROUPS", 0.01)  # few tasks are enough: runs of blocks, spans of chunks
+    monkeypatch.setattr(H, "SPAN_CHUNKS", 4)
+    rows = made(2, 400)
+    df = spark.createDataFrame([(*r, "x", "y", "z") for r in rows], ROWS).repartition(3)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    got = H.hard_negatives(df, F.col("vec_id") % 10 == 0, label, block_rows=30, chunk_rows=4)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(plain(rows, 10, 5, 10, 30, 90))
+
+
 def test_nothing_to_find(spark):
     none = spark.createDataFrame([], ROWS)
     assert H.hard_negatives(none, F.col("vec_id") % 2 == 0, F.col("label")).count() == 0
