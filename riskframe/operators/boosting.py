@@ -2,9 +2,10 @@
 
 The method is that of ``pyspark.ml``'s ``GBTClassifier``: regression trees by variance, the first on
 the labels as -1 and 1, the others on the slope of the log loss, scaled by the learning rate. There
-each fit is a chain of small jobs of its own. Here the rows are stored as blocks (bins of the
-columns by fold left out, labels, margins of every fit), and one job a level finds the histograms of
-all open nodes of all fits. Every ``KEPT_ROUNDS`` rounds the blocks are stored again with their margins, and
+each fit is a chain of small jobs of its own. Here a fit of at most ``LOCAL_ROWS`` rows is grown by one
+task, all fits side by side in one job; a task holds about 100 bytes a row. Above that the rows are stored
+as blocks (bins of the columns by fold left out, labels, margins of every fit), and one job a level finds
+the histograms of all open nodes of all fits. Both ways find the same trees. Every ``KEPT_ROUNDS`` rounds the blocks are stored again with their margins, and
 the trees since then are applied in each pass, so no pass gets longer as the fits go on.
 
 Slopes are whole multiples of 1 / ``UNIT`` and their sums exact, so the trees do not depend on the order
@@ -37,9 +38,13 @@ BLOCK_ROWS, LEAST_ROWS = 20_000, 500
 BLOCK_BYTES = 4_000_000
 KEPT_ROUNDS = 5
 MOST_SENT = 32_000_000
+LOCAL_ROWS = 5_000_000
+MOST_CELLS = 256
 UNIT = 2.0**28
 _BLOCKS = "part int, n int, first binary, held binary, y binary, codes binary, margins binary"
 _SUMS = "fit int, node int, sums binary"
+_SENT = "fit int, part int, n int, first long, held binary, y binary, codes binary"
+_NODES = {"nodes": np.int32, "feature": np.int16, "cut": np.int16, "low": np.int32, "value": np.float64}
 
 
 @dataclass(frozen=True)
@@ -73,10 +78,15 @@ class Tree:
             self.value.append(value)
         return made
 
+    def settle(self) -> None:
+        """Nodes as arrays, which take less room; no more are added."""
+        for k, kind in list(_NODES.items())[1:]:
+            setattr(self, k, np.array(getattr(self, k), kind))
+
     def ends(self, codes: np.ndarray) -> np.ndarray:
         """The node of each row; ``codes`` is (column, row)."""
         n = codes.shape[1]
-        feature, cut, low = np.array(self.feature) * n, np.array(self.cut, np.uint8), np.array(self.low)
+        feature, cut, low = np.array(self.feature, np.int64) * n, np.array(self.cut, np.uint8), np.array(self.low, np.int64)
         flat, row, node = codes.ravel(), np.arange(n), np.zeros(n, np.int64)
         for _ in range(self.levels):
             node = low.take(node) + (flat.take(feature.take(node) + row) > cut.take(node))
@@ -148,11 +158,23 @@ class _Block:
     def drawn(self, of: int, turn: int, seed: int, share: float) -> np.ndarray:
         """The rows that a tree is fitted on."""
         held = self.held[of]
-        if share >= 1:
-            return np.flatnonzero(held)
-        place = (np.uint64(self.row["part"]) << np.uint64(33)) + (self.first[of] + np.cumsum(held) - 1).astype(np.uint64)
-        key = _mix(np.array([seed * 1_000_003 + turn], np.uint64))
-        return np.flatnonzero(held & (_mix(_mix(place) ^ key) / 2.0**64 < share))
+        return _drawn(held, _hashed(self.row["part"], self.first[of], held), turn, seed, share)
+
+
+def _hashed(part: int, first: int, held: np.ndarray) -> np.ndarray:
+    """A hash of each row's place among the rows that are fitted on."""
+    return _mix((np.uint64(part) << np.uint64(33)) + (first + np.cumsum(held) - 1).astype(np.uint64))
+
+
+def _drawn(held: np.ndarray, hashed: np.ndarray, turn: int, seed: int, share: float) -> np.ndarray:
+    if share >= 1:
+        return np.flatnonzero(held)
+    key = _mix(np.array([seed * 1_000_003 + turn], np.uint64))
+    return np.flatnonzero(held & (_mix(hashed ^ key) / 2.0**64 < share))
+
+
+def _slopes(y: np.ndarray, margin: np.ndarray) -> np.ndarray:
+    return 4 * y / (1 + np.exp(np.clip(2 * y * margin, -700, 700)))
 
 
 def _read(batches: Iterator[pa.RecordBatch], sets: int, fits: int) -> Iterator[_Block]:
@@ -179,7 +201,7 @@ def _level(blocks: DataFrame, problems: Sequence[Problem], of: Sequence[int], gr
                 if (at < 0).any():
                     rows, at = rows[at >= 0], at[at >= 0]
                 y = block.y.take(rows)
-                slope = y if turn == 0 else 4 * y / (1 + np.exp(np.clip(2 * y * block.margin(i, of[i], late[i]).take(rows), -700, 700)))
+                slope = y if turn == 0 else _slopes(y, block.margin(i, of[i], late[i]).take(rows))
                 slope, at, n = np.rint(slope * UNIT), at * MOST_BINS, len(nodes) * MOST_BINS
                 for j in range(width):
                     cell = at + block.codes[of[i], j].take(rows)
@@ -204,17 +226,162 @@ def _level(blocks: DataFrame, problems: Sequence[Problem], of: Sequence[int], gr
     return out
 
 
-def best_split(sums: np.ndarray) -> tuple[int, int, list[float]] | None:
-    """Column, cut and the means of both sides, where that lowers the variance most."""
-    n, s = sums[..., 0].astype(float), sums[..., 1] / UNIT
-    low_n, low_s = np.cumsum(n, axis=1)[:, :-1], np.cumsum(sums[..., 1], axis=1)[:, :-1] / UNIT
-    high_n, high_s = n.sum(axis=1)[:, None] - low_n, (sums[..., 1].sum(axis=1)[:, None] - np.cumsum(sums[..., 1], axis=1)[:, :-1]) / UNIT
+def best_splits(sums: np.ndarray) -> list[tuple[int, int, list[float]] | None]:
+    """Of each node: column, cut and the means of both sides, where that lowers the variance most."""
+    count, slope = sums[..., 0], sums[..., 1]
+    low_n, low_s = (np.cumsum(v, axis=2)[:, :, :-1] for v in (count, slope))
+    high_n, high_s = count.sum(axis=2)[:, :, None] - low_n, (slope.sum(axis=2)[:, :, None] - low_s) / UNIT
+    low_s = low_s / UNIT
     parts = low_s**2 / np.maximum(low_n, 1) + high_s**2 / np.maximum(high_n, 1)
-    gain = np.where((low_n > 0) & (high_n > 0), parts - s[0].sum() ** 2 / max(n[0].sum(), 1), -1.0)
-    j, cut = np.unravel_index(gain.argmax(), gain.shape)
-    if gain[j, cut] <= 1e-12 * parts[j, cut]:
-        return None
-    return int(j), int(cut), [float(low_s[j, cut] / low_n[j, cut]), float(high_s[j, cut] / high_n[j, cut])]
+    whole = (slope[:, 0].sum(axis=1) / UNIT) ** 2 / np.maximum(count[:, 0].sum(axis=1), 1)
+    gain = np.where((low_n > 0) & (high_n > 0), parts - whole[:, None, None], -1.0)
+    at = gain.reshape(len(sums), -1).argmax(axis=1)
+    j, cut = np.unravel_index(at, gain.shape[1:])
+    every = np.arange(len(sums))
+    found = gain[every, j, cut] > 1e-12 * parts[every, j, cut]
+    means = [(s / np.maximum(n, 1))[every, j, cut].tolist() for s, n in ((low_s, low_n), (high_s, high_n))]
+    return [(a, b, [low, high]) if f else None for f, a, b, low, high in zip(found.tolist(), j.tolist(), cut.tolist(), *means)]
+
+
+@dataclass
+class _Packed:
+    """Columns of few bins as one of their combinations, so that one count serves them all."""
+
+    columns: list[int]
+    sizes: list[int]
+    codes: np.ndarray
+
+    @classmethod
+    def of(cls, codes: np.ndarray, sizes: Sequence[int]) -> list[_Packed]:
+        out: list[_Packed] = []
+        for j, size in enumerate(sizes):
+            if out and size * int(np.prod(out[-1].sizes)) <= MOST_CELLS:
+                last = out[-1]
+                out[-1] = cls([*last.columns, j], [*last.sizes, size], last.codes * np.uint8(size) + codes[j])
+            else:
+                out.append(cls([j], [size], codes[j]))
+        return out
+
+    def add(self, rows: np.ndarray, at: np.ndarray | None, slope: np.ndarray, to: np.ndarray) -> None:
+        cells = int(np.prod(self.sizes))
+        cell = self.codes.take(rows)
+        cell = cell if at is None else at * cells + cell
+        for k, values in enumerate((None, slope)):
+            found = np.bincount(cell, values, len(to) * cells).reshape(len(to), *self.sizes)
+            for a, (j, size) in enumerate(zip(self.columns, self.sizes)):
+                to[:, j, :size, k] = found.sum(axis=tuple(b + 1 for b in range(len(self.sizes)) if b != a))
+
+
+def _grown(problem: Problem, codes: np.ndarray, sizes: Sequence[int], y: np.ndarray, held: np.ndarray, hashed: np.ndarray, seed: int) -> Iterator[tuple[Tree, np.ndarray]]:
+    """The trees of one fit in turn, each with the margins of all rows after it.
+
+    Of two children only the one of fewer rows is counted; the other has what is left of their parent.
+    """
+    width, n = codes.shape
+    packs, flat, row = _Packed.of(codes, sizes), codes.ravel(), np.arange(n)
+    margin, bins = np.zeros(n), max(2, *sizes)
+
+    def counted(rows: np.ndarray, at: np.ndarray | None, slope: np.ndarray, nodes: int) -> np.ndarray:
+        out, slope = np.zeros((nodes, width, bins, 2), np.int64), slope.take(rows)
+        for pack in packs:
+            pack.add(rows, at, slope, out)
+        return out
+
+    for turn in range(problem.rounds):
+        drawn = _drawn(held, hashed, turn, seed, problem.subsample)
+        slope = np.rint((y if turn == 0 else _slopes(y, margin)) * UNIT)
+        tree, node, opened = Tree(), np.zeros(n, np.int64), [0]
+        sums = counted(drawn, None, slope, 1)
+        rows = sums[0, 0, :, 0].sum()
+        if rows:
+            tree.value[0] = float(sums[0, 0, :, 1].sum() / UNIT / rows)
+        while opened and tree.levels < problem.depth:
+            splits = best_splits(sums)
+            parted = [k for k, split in enumerate(splits) if split is not None]
+            children = [tree.split(opened[k], *splits[k]) for k in parted]
+            if not children:
+                break
+            tree.levels += 1
+            opened = [k for both in children for k in both]
+            feature, cut, low = np.array(tree.feature) * n, np.array(tree.cut, np.uint8), np.array(tree.low)
+            node = low.take(node) + (flat.take(feature.take(node) + row) > cut.take(node))
+            if tree.levels < problem.depth:
+                whole = sums[parted]
+                less = np.array([whole[k, j, : cut + 1, 0].sum() * 2 <= whole[k, j, :, 0].sum() for k, (j, cut, _) in enumerate(splits[p] for p in parted)])
+                place = np.full(len(tree.low), -1)
+                place[np.array(children)[np.arange(len(children)), np.where(less, 0, 1)]] = np.arange(len(children))
+                at = place.take(node.take(drawn))
+                own = np.flatnonzero(at >= 0)
+                few = counted(drawn.take(own), at.take(own), slope, len(children))
+                side = less[:, None, None, None]
+                sums = np.stack([np.where(side, few, whole - few), np.where(side, whole - few, few)], axis=1).reshape(-1, width, bins, 2)
+        margin = margin + (1.0 if turn == 0 else problem.rate) * np.array(tree.value).take(node)
+        yield tree, margin
+
+
+def _in_tasks(df: DataFrame, problems: Sequence[Problem], features: str, label: str, fold_col: str | None, seed: int, use, schema: str) -> tuple[DataFrame, list, list[int]]:
+    """``use(fit, trees with margins, labels, who is fitted on)`` for every fit, each in a task that has its rows."""
+    known, sets, of, edges = _sets(df, problems, features, fold_col)
+    width, sizes = len(edges[0]), [[len(e) + 1 for e in one] for one in edges]
+    blocks, names = _blocks(known, features, label, fold_col, sets, edges, 0), _SENT.split()[::2]
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in _read(batches, len(sets), 0):
+            for s in range(len(sets)):
+                fits = [i for i, k in enumerate(of) if k == s]
+                values = block.row["part"], block.n, int(block.first[s]), block.held[s].tobytes(), block.row["y"], block.codes[s].tobytes()
+                kinds = pa.int32(), pa.int32(), pa.int64(), *[pa.binary()] * 3
+                yield pa.RecordBatch.from_arrays([pa.array(fits, pa.int32()), *[pa.array([v] * len(fits), t) for v, t in zip(values, kinds)]], names)
+
+    def grow(group: pa.Table) -> pa.Table:
+        fit = group.column("fit")[0].as_py()
+        rows = group.drop_columns("fit").to_pylist()
+        held = [np.frombuffer(r["held"], bool) for r in rows]
+        hashed = np.concatenate([_hashed(r["part"], r["first"], h) for r, h in zip(rows, held)])
+        y = np.concatenate([np.frombuffer(r["y"], np.int8) for r in rows]).astype(float)
+        codes = np.concatenate([np.frombuffer(r["codes"], np.uint8).reshape(width, -1) for r in rows], axis=1)
+        held = np.concatenate(held)
+        return use(fit, _grown(problems[fit], codes, sizes[of[fit]], y, held, hashed, seed), y, held)
+
+    dealt = blocks.mapInArrow(send, _SENT).repartition(2 * len(problems), "fit")
+    return dealt.groupBy("fit").applyInArrow(grow, schema), edges, of
+
+
+def fits_in_tasks(df: DataFrame) -> bool:
+    """Whether a fit on these rows is grown by one task."""
+    return df.count() <= LOCAL_ROWS
+
+
+def held_out_scores(
+    df: DataFrame, problems: Sequence[Problem], points: Sequence[dict[int, int]], features: str, label: str, fold_col: str, seed: int
+) -> DataFrame:
+    """(fold, point, label, score) of the rows that a fit left out; ``points`` has the rounds of each point of a fit."""
+
+    def use(fit: int, grown: Iterator, y: np.ndarray, held: np.ndarray) -> pa.Table:
+        out, left = [], np.flatnonzero(~held)
+        one = (y[left] > 0).astype(np.int32)
+        for turn, (_, margin) in enumerate(grown, 1):
+            score = 1 / (1 + np.exp(np.clip(-2 * margin[left], -700, 700)))
+            for point in [p for p, rounds in points[fit].items() if rounds == turn]:
+                whole = [np.full(len(left), v, np.int32) for v in (problems[fit].without_fold, point)]
+                out.append(pa.table([*whole, one, score], ["fold", "point", "label", "score"]))
+        return pa.concat_tables(out)
+
+    return _in_tasks(df, problems, features, label, fold_col, seed, use, "fold int, point int, label int, score double")[0]
+
+
+def _fit_in_tasks(df: DataFrame, problems: Sequence[Problem], features: str, label: str, fold_col: str | None, seed: int) -> list[Ensemble]:
+    def use(fit: int, grown: Iterator, y: np.ndarray, held: np.ndarray) -> pa.Table:
+        trees = [tree for tree, _ in grown]
+        parts = {"nodes": [len(t.low) for t in trees], **{k: [v for t in trees for v in getattr(t, k)] for k in list(_NODES)[1:]}}
+        return pa.table([pa.array([fit], pa.int32()), *[pa.array([np.array(parts[k], kind).tobytes()]) for k, kind in _NODES.items()]], ["fit", *_NODES])
+
+    found, edges, of = _in_tasks(df, problems, features, label, fold_col, seed, use, "fit int, " + ", ".join(f"{k} binary" for k in _NODES))
+    out = {}
+    for r in found.toArrow().to_pylist():
+        nodes, *parts = (np.frombuffer(r[k], kind) for k, kind in _NODES.items())
+        out[r["fit"]] = [Tree(*own) for own in zip(*[np.split(v, np.cumsum(nodes)[:-1]) for v in parts])]
+    return [_ensemble(out[i], edges[of[i]], p.rate) for i, p in enumerate(problems)]
 
 
 def _with_margins(blocks: DataFrame, problems: Sequence[Problem], of: Sequence[int], grown: list, since: int) -> DataFrame:
@@ -230,16 +397,23 @@ def _with_margins(blocks: DataFrame, problems: Sequence[Problem], of: Sequence[i
     return blocks.mapInArrow(run, _BLOCKS)
 
 
-def fit_many(
-    df: DataFrame, problems: Sequence[Problem], features: str = "features", label: str = "label", fold_col: str | None = None, seed: int = 42
-) -> list[Ensemble]:
-    """The trees of every problem; all problems advance together, a job a level."""
-    spark = df.sparkSession
+def _sets(df: DataFrame, problems: Sequence[Problem], features: str, fold_col: str | None) -> tuple[DataFrame, list, list[int], list]:
+    """The rows, the folds left out, which of these each problem has, and the cuts of the columns by fold left out."""
     sets = list(dict.fromkeys(p.without_fold for p in problems))
-    of = [sets.index(p.without_fold) for p in problems]
     # null folds are left out with every fold, as a filter does
     known = df if fold_col is None or None in sets else df.filter(F.col(sql.name(fold_col)).isNotNull())
     edges = [bin_edges(known if s is None else known.filter(F.col(sql.name(fold_col)) != s), sql.name(features)) for s in sets]
+    return known, sets, [sets.index(p.without_fold) for p in problems], edges
+
+
+def fit_many(
+    df: DataFrame, problems: Sequence[Problem], features: str = "features", label: str = "label", fold_col: str | None = None, seed: int = 42
+) -> list[Ensemble]:
+    """The trees of every problem: a task a fit, or all problems advance together, a job a level."""
+    if fits_in_tasks(df):
+        return _fit_in_tasks(df, problems, features, label, fold_col, seed)
+    spark = df.sparkSession
+    known, sets, of, edges = _sets(df, problems, features, fold_col)
     path, width = staged_path(spark, "boosted"), len(edges[0])
     dealt = _blocks(known, features, label, fold_col, sets, edges, len(problems)).repartition(spark.sparkContext.defaultParallelism)
     blocks = stage(dealt, path=path)
@@ -258,12 +432,14 @@ def fit_many(
                 tree, n = grown[i][-1], sums[0, :, 0].sum()
                 if node == 0 and n:
                     tree.value[0] = float(sums[0, :, 1].sum() / UNIT / n)
-                split = best_split(sums) if tree.levels < problems[i].depth else None
+                split = best_splits(sums[None])[0] if tree.levels < problems[i].depth else None
                 if split is not None:
                     more.setdefault(i, []).extend(tree.split(node, *split))
             for i in more:
                 grown[i][-1].levels += 1
             opened = {i: nodes for i, nodes in more.items() if grown[i][-1].levels < problems[i].depth}
+        for i in live:
+            grown[i][-1].settle()
         if (turn + 1) % KEPT_ROUNDS == 0:
             kept = staged_path(spark, "boosted")
             blocks = stage(_with_margins(blocks, problems, of, grown, since), path=kept)

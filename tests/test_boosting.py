@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -10,6 +11,7 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
+from riskframe import queries
 from riskframe.functions.scalars import class_probability
 from riskframe.operators import boosting
 from riskframe.operators import classifiers as C
@@ -90,3 +92,39 @@ def test_one_class_and_one_row(spark, train):
     for df in (train.filter(F.col(LABEL) == 0), train.limit(1)):
         model = boosting.Boosted(labelCol=LABEL, maxIter=3).fit(df.coalesce(1))
         assert len(set(scores(model, df))) == 1
+
+
+def test_fits_in_tasks_are_those_of_jobs_a_level(spark, monkeypatch):
+    """Same trees and scores whichever way fits are grown: rates, depths, shares, folds, a null fold, columns of many bins."""
+    rng = np.random.default_rng(6)
+    x = np.column_stack((rng.normal(size=500).round(2), rng.integers(0, 4, (500, 3)), np.ones(500)))
+    y = (x[:, 0] + x[:, 1] * x[:, 2] + rng.normal(size=500) > 2).astype(int)
+    rows = [(i, v.tolist(), int(t), None if i == 7 else i % 3) for i, (v, t) in enumerate(zip(x, y))]
+    df = spark.createDataFrame(rows, f"id long, x array<double>, {LABEL} int, fold int").repartition(3, "id")
+    df = df.select("id", array_to_vector("x").alias("features"), LABEL, "fold").persist()
+    problems = [boosting.Problem(3, 0.3, d, s, f) for d, s, f in ((1, 1.0, 0), (4, 0.8, 1), (3, 0.6, 2), (4, 1.0, 1))]
+    points = C.grid_points({"n_estimators": [2, 4], "max_depth": [3], "subsample": [0.8, 1.0]})
+    own, areas = boosting.fit_many(df, problems, fold_col="fold", label=LABEL), C.fold_areas(df, C.GBT, points, n_folds=3)
+    monkeypatch.setattr(boosting, "LOCAL_ROWS", 0)
+    for name, value in (("BLOCK_BYTES", 0), ("LEAST_ROWS", 37), ("KEPT_ROUNDS", 2)):
+        monkeypatch.setattr(boosting, name, value)
+    for a, b in zip(own, boosting.fit_many(df, problems, fold_col="fold", label=LABEL)):
+        assert all(np.allclose(getattr(a, k), getattr(b, k), rtol=0, atol=1e-9) for k in vars(a))
+    other = C.fold_areas(df, C.GBT, points, n_folds=3)
+    assert areas.keys() == other.keys() and len(areas) == 12
+    assert all(areas[k] == pytest.approx(other[k], abs=1e-9) for k in areas)
+
+
+def test_the_query_searches_the_whole_grid(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(queries, "_encoded", lambda *a: (None, None))
+    monkeypatch.setattr(queries, "training_set", lambda *a: SimpleNamespace(rows=1))
+
+    def fit(data, family, tuned, grid=None, **more):
+        asked.extend(C.grid_points(grid))
+        raise StopIteration
+
+    monkeypatch.setattr(queries, "fit_family", fit)
+    with pytest.raises(StopIteration):
+        queries.gbt_tuned(spark, "")
+    assert asked == C.grid_points(C.GBT_GRID) and len(asked) == 54
